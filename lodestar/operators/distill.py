@@ -1,0 +1,55 @@
+"""Distillation data: positional alignment, dimension checks and the distill loss."""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from lodestar.functions import vectors as V
+
+
+def align(*dfs: DataFrame, on=("version", "pos")) -> DataFrame:
+    """Equi-join sources row by row on their position keys (inner)."""
+    keys = list(on)
+    return reduce(lambda a, b: a.join(b, keys), dfs)
+
+
+def check_alignment(named: dict, by: str = "version") -> DataFrame:
+    """Row counts of each source per ``by`` value and whether they agree.
+
+    Returns (version, n_<name>..., ok).  A source missing a version counts 0.
+    """
+    counts = None
+    for name, df in named.items():
+        c = df.groupBy(by).agg(F.count(F.lit(1)).alias(f"n_{name}"))
+        counts = c if counts is None else counts.join(c, by, "full")
+    cols = [F.coalesce(F.col(f"n_{n}"), F.lit(0)).alias(f"n_{n}") for n in named]
+    out = counts.select(by, *cols)
+    first = F.col(f"n_{next(iter(named))}")
+    ok = reduce(lambda a, b: a & b, [F.col(f"n_{n}") == first for n in named])
+    return out.withColumn("ok", ok)
+
+
+def check_dimensions(pred: DataFrame, target: DataFrame, on="pos",
+                     pred_col: str = "pred", target_col: str = "target") -> DataFrame:
+    """(pred_dim, target_dim, n, ok) over matched samples; ok only when the dims agree."""
+    j = pred.join(target, on)
+    return (j.groupBy(F.size(pred_col).cast("bigint").alias("pred_dim"),
+                      F.size(target_col).cast("bigint").alias("target_dim"))
+            .agg(F.count(F.lit(1)).alias("n"))
+            .withColumn("ok", F.col("pred_dim") == F.col("target_dim")))
+
+
+def distill_loss(pred: DataFrame, target: DataFrame, on="pos", group="batch_id",
+                 pred_col: str = "pred", target_col: str = "target", l1_weight: float = 10.0) -> DataFrame:
+    """(1 - mean cosine) + l1_weight * mean |pred - target| over all N*D elements, per group."""
+    j = pred.join(target, on)
+    p, t = F.col(pred_col), F.col(target_col)
+    den = F.greatest(V.norm(p) * V.norm(t), F.lit(1e-8))
+    rows = j.select(group, (V.dot(p, t) / den).alias("_cos"), V.l1_sum(p, t).alias("_l1"),
+                    F.size(p).alias("_d"))
+    return rows.groupBy(group).agg(
+        ((F.lit(1.0) - F.avg("_cos")) + F.lit(float(l1_weight)) *
+         (F.sum("_l1") / (F.count(F.lit(1)) * F.max("_d")))).alias("loss"))
