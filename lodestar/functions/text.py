@@ -50,7 +50,7 @@ def rank_or_default(col, default: int = 1) -> Column:
     Digit strings and floats are truncated toward zero like ``int()``; null or
     text that is not a number gives ``default``.
     """
-    d = F.try_cast(_c(col).cast("string"), "double")
+    d = _c(col).cast("string").try_cast("double")
     return F.coalesce(F.when(F.abs(d) < 2.0e9, d.cast("int")), F.lit(default))
 
 
