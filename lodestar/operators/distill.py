@@ -53,3 +53,18 @@ def distill_loss(pred: DataFrame, target: DataFrame, on="pos", group="batch_id",
     return rows.groupBy(group).agg(
         ((F.lit(1.0) - F.avg("_cos")) + F.lit(float(l1_weight)) *
          (F.sum("_l1") / (F.count(F.lit(1)) * F.max("_d")))).alias("loss"))
+
+
+def splice_roles(df: DataFrame, tokens: str, prefixes=None) -> DataFrame:
+    """Both role variants of each token line: drop BOS, prepend the role prefix,
+    append EOS; adds (role, tokens, eos_pos)."""
+    from lodestar.functions import arrays as AR
+
+    prefixes = prefixes or {"query": AR.QUERY_PREFIX, "document": AR.DOC_PREFIX}
+    roles = F.explode(F.array(*[F.struct(F.lit(r).alias("role"), F.array(*[F.lit(i) for i in p]).alias("prefix"))
+                                for r, p in prefixes.items()]))
+    t = df.select("*", roles.alias("_r"))
+    spliced = F.concat(t["_r"]["prefix"], F.when(F.size(tokens) > 1, F.slice(tokens, 2, F.greatest(F.size(tokens) - 1, F.lit(1))))
+                       .otherwise(F.array().cast("array<int>")), F.array(F.lit(AR.EOS_ID)))
+    t = t.withColumn("role", t["_r"]["role"]).withColumn("tokens", spliced).drop("_r")
+    return t.withColumn("eos_pos", AR.last_eos("tokens"))

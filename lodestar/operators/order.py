@@ -110,3 +110,38 @@ def micro_split(df: DataFrame, g: int, batch_id: str = "batch_id", slot: str = "
     out = df.withColumn("_m", m).filter(F.col("_m") > 0)
     out = out.withColumn("micro_id", F.floor(F.col(slot) / F.col("_m")).cast("bigint"))
     return out.filter(F.col("micro_id") < g).drop("_m")
+
+
+def running_agg(df: DataFrame, order_by, value: str, group_by=(), how: str = "sum",
+                inclusive: bool = True, out: str | None = None, partitions: int | None = None) -> DataFrame:
+    """Running sum or max of ``value`` in ``order_by`` order within each group.
+
+    A group may hold a third of all rows, so no window runs over a whole group:
+    rows are range-partitioned on (group, order) and checkpointed; each range
+    partition computes its local running value (window over (partition, group)),
+    and the totals of earlier partitions of the same group (a table of at most
+    partitions x groups rows) are broadcast and combined in.
+    ``inclusive=False`` gives the value over strictly earlier rows.
+    """
+    spark = df.sparkSession
+    checkpoint_root(spark)
+    n = partitions or shuffle_partitions(spark)
+    out = out or f"running_{how}_{value}"
+    gcols = list(group_by)
+    keys = _cols(gcols) + _cols(order_by)
+    fixed = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys).checkpoint(eager=True)
+    t = fixed.withColumn("_pid", F.spark_partition_id())
+    fn = F.sum if how == "sum" else F.max
+    hi = 0 if inclusive else -1
+    w = Window.partitionBy("_pid", *gcols).orderBy(*_cols(order_by)).rowsBetween(Window.unboundedPreceding, hi)
+    local = t.withColumn("_local", fn(value).over(w))
+    totals = t.groupBy("_pid", *gcols).agg(fn(value).alias("_tot"))
+    wp = Window.partitionBy(*gcols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    prior = totals.withColumn("_prior", fn("_tot").over(wp)).select("_pid", *gcols, "_prior")
+    j = local.join(F.broadcast(prior), ["_pid", *gcols])
+    if how == "sum":
+        val = F.when(F.col("_local").isNull() & F.col("_prior").isNull(), F.lit(None)).otherwise(
+            F.coalesce("_local", F.lit(0)) + F.coalesce("_prior", F.lit(0)))
+    else:
+        val = F.greatest("_local", "_prior")
+    return j.withColumn(out, val).drop("_pid", "_local", "_prior")
