@@ -31,13 +31,13 @@ def step_windows(df: DataFrame, width: int = 10, run: str = "run", step: str = "
     """Tumbling windows of ``width`` steps per run (complete windows only):
     mean loss, tokens, seconds, tokens/s (0 when no time passed), running token total."""
     w = F.floor((F.col(step) - 1) / width).cast("bigint")
-    agg = (df.withColumn("window", w).groupBy(run, "window").agg(
+    agg = (df.withColumn("window_id", w).groupBy(run, "window_id").agg(
         F.count(F.lit(1)).alias("_n"), F.max(step).alias("last_step"), F.avg("loss").alias("mean_loss"),
         F.sum("tokens").alias("tokens"), F.sum("dt").alias("seconds"))
         .filter(F.col("_n") == width).drop("_n"))
     agg = agg.withColumn("tokens_per_sec", F.when(F.col("seconds") > 0, F.col("tokens") / F.col("seconds"))
                          .otherwise(F.lit(0.0)))
-    return running_agg(agg, ["window"], "tokens", group_by=[run], how="sum", out="total_tokens")
+    return running_agg(agg, ["window_id"], "tokens", group_by=[run], how="sum", out="total_tokens")
 
 
 def improvement(df: DataFrame, by=("run", "task"), step: str = "step", score: str = "score") -> DataFrame:
@@ -49,6 +49,6 @@ def best_so_far(df: DataFrame, run: str = "run", step: str = "step", score: str
                 initial: float = 0.0) -> DataFrame:
     """Rows that set a new best: score strictly above every earlier score of the
     run and above ``initial``; adds ``previous_best``."""
-    t = running_agg(df, [step], score, group_by=[run], how="max", inclusive=False, out="_prior")
-    prev = F.coalesce(F.greatest(F.col("_prior"), F.lit(initial)), F.lit(initial))
-    return t.withColumn("previous_best", prev).filter(F.col(score) > F.col("previous_best")).drop("_prior")
+    t = running_agg(df, [step], score, group_by=[run], how="max", inclusive=False, out="_prev_max")
+    prev = F.coalesce(F.greatest(F.col("_prev_max"), F.lit(initial)), F.lit(initial))
+    return t.withColumn("previous_best", prev).filter(F.col(score) > F.col("previous_best")).drop("_prev_max")

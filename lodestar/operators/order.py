@@ -87,7 +87,8 @@ def batch_epochs(df: DataFrame, pos: str, size: int, epochs: int, n_rows: int |
     """
     if n_rows is None:
         n_rows = df.agg(F.count(F.lit(1))).first()[0]
-    rep = df.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))).cast("bigint"))
+    rep = df.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
+    rep = rep.withColumn("epoch", F.col("epoch").cast("bigint"))
     if reshuffle_key is not None:
         rep = rep.drop(pos).withColumn(
             "_skey", hash_key(seed, "epoch", F.col("epoch"), F.col(reshuffle_key)))

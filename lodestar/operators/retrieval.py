@@ -64,7 +64,7 @@ def retrieve(queries: DataFrame, corpus: DataFrame, k: int = 10, method: str = "
         n_c = corpus.count()
         ncb = max(1, min(shuffle_partitions(spark), math.ceil(n_c / corpus_block_rows)))
         c = corpus.withColumn("_cb", F.pmod(F.xxhash64("did"), F.lit(ncb)))
-        q = queries.withColumn("_cb", F.explode(F.sequence(F.lit(0), F.lit(ncb - 1))).cast("long"))
+        q = queries.withColumn("_cb", F.explode(F.sequence(F.lit(0), F.lit(ncb - 1)))).withColumn("_cb", F.col("_cb").cast("long"))
         pairs = c.join(q, ["task", "_cb"])
     scored = pairs.select("task", "qid", "did", dot("qv", "dv").alias("score"))
     return _rank_top_k(scored, k)
@@ -101,10 +101,10 @@ def retrieve_blocks(queries: DataFrame, corpus: DataFrame, k: int = 10,
     nqb = max(1, math.ceil(n_q / query_block_rows))
     c = (corpus.select("task", "did", "dv")
          .withColumn("_cb", F.pmod(F.xxhash64("did"), F.lit(ncb)))
-         .withColumn("_qb", F.explode(F.sequence(F.lit(0), F.lit(nqb - 1))).cast("long")))
+         .withColumn("_qb", F.explode(F.sequence(F.lit(0), F.lit(nqb - 1)))).withColumn("_qb", F.col("_qb").cast("long")))
     q = (queries.select("task", "qid", "qv")
          .withColumn("_qb", F.pmod(F.xxhash64("qid"), F.lit(nqb)))
-         .withColumn("_cb", F.explode(F.sequence(F.lit(0), F.lit(ncb - 1))).cast("long")))
+         .withColumn("_cb", F.explode(F.sequence(F.lit(0), F.lit(ncb - 1)))).withColumn("_cb", F.col("_cb").cast("long")))
     keys = ["task", "_cb", "_qb"]
     cand = c.groupBy(*keys).cogroup(q.groupBy(*keys)).applyInPandas(_block_scorer(k), HITS_SCHEMA)
     del spark

@@ -1 +1,61 @@
-"""Queries (filled in below)."""
+"""Batching queries (C2, C3, C4) over fixtures X1 and X8."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from lodestar.functions import arrays as AR
+from lodestar.operators import augment as A
+from lodestar.operators import order as OR
+from lodestar.operators import tokens as TK
+from lodestar.operators.distill import splice_roles
+from lodestar.operators.pairs import valid_pairs
+from lodestar.plans import fixtures as fx
+from lodestar.plans import oracle as o
+from lodestar.plans.registry import as_long, query
+
+B, EPOCHS = 16, 3
+BUDGET, BUFFER = 256, 1000
+
+_VALID = """
+xv AS (SELECT pair_id, row_number() OVER (ORDER BY pair_id) - 1 AS pos FROM x1 WHERE query <> '' AND document <> '')
+"""
+
+
+def positioned_pairs(spark, sf_dir):
+    x1 = valid_pairs(fx.raw_pairs(spark, sf_dir).withColumnRenamed("document", "positive"))
+    return OR.with_positions(x1.select("pair_id"), ["pair_id"], pos="pos")
+
+
+@query("batch_fixed", o.with_ctes(o.X1, _VALID) + f"""
+SELECT pair_id, pos, pos // {B} AS batch_id, pos % {B} AS slot FROM xv
+""")
+def batch_fixed(spark, sf_dir):
+    t = OR.batch_fixed(positioned_pairs(spark, sf_dir), "pos", B)
+    return t.select("pair_id", "pos", "batch_id", "slot")
+
+
+@query("batch_epochs", o.with_ctes(o.X1, _VALID) + f"""
+SELECT e.epoch, pair_id, e.epoch * n + pos AS gpos, (e.epoch * n + pos) // {B} AS batch_id, (e.epoch * n + pos) % {B} AS slot
+FROM (SELECT *, count(*) OVER () AS n FROM xv) CROSS JOIN (SELECT range AS epoch FROM range({EPOCHS})) e
+""")
+def batch_epochs(spark, sf_dir):
+    t = OR.batch_epochs(positioned_pairs(spark, sf_dir), "pos", B, EPOCHS)
+    return t.select("epoch", "pair_id", "gpos", "batch_id", "slot")
+
+
+def distill_samples(spark, sf_dir):
+    """Distillation samples: each token line in one randomly drawn role, shuffled."""
+    from lodestar.plans.q_tokens import x8
+    t = x8(spark, sf_dir).select("version", "pos", AR.parse_ids("token_line").alias("ids"))
+    both = splice_roles(t, "ids")
+    role = A.assign_role(42, F.col("version"), F.col("pos"))
+    one = both.filter(F.col("role") == role).withColumn("line_id", F.concat_ws(":", "version", F.col("pos").cast("string")))
+    return OR.shuffle(one.drop("pos"), "line_id", 42, pos="spos")
+
+
+@query("batch_token_budget")
+def batch_token_budget(spark, sf_dir):
+    s = distill_samples(spark, sf_dir).withColumn("n_tok", F.size("tokens"))
+    t = TK.pack_token_budget(s, "spos", "n_tok", BUDGET, BUFFER)
+    return t.select("line_id", "role", "spos", as_long("n_tok").alias("n_tok"), "buffer_id", "batch_id", "batch_key")
