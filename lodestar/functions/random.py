@@ -24,7 +24,8 @@ def _key_cols(keys) -> list[Column]:
 
 def hash_key(seed, salt: str, *keys) -> Column:
     """md5 hex string of ``seed|salt|keys...`` — a uniform sort key."""
-    return F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit(salt), *_key_cols(keys)))
+    seed_c = seed.cast("string") if isinstance(seed, Column) else F.lit(str(seed))
+    return F.md5(F.concat_ws("|", seed_c, F.lit(salt), *_key_cols(keys)))
 
 
 def uniform(seed, salt: str, *keys) -> Column:
