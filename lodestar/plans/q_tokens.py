@@ -66,12 +66,17 @@ def vocab(spark, sf_dir):
     return TK.build_vocab(fx.lines(spark, sf_dir), "line", max_size=fx.VOCAB_SIZE)
 
 
-def x4(spark, sf_dir):
-    """Prompted query and document of each valid X1 pair, tokenized."""
+def x4_texts(spark, sf_dir):
+    """Prompted query and document text of each valid X1 pair: (pair_id, role, text)."""
     x1 = valid_pairs(fx.raw_pairs(spark, sf_dir).withColumnRenamed("document", "positive"))
     q = x1.select("pair_id", F.lit("query").alias("role"), T.prompt("query", F.lit("query")).alias("text"))
     d = x1.select("pair_id", F.lit("document").alias("role"), T.prompt("positive", F.lit("document")).alias("text"))
-    return TK.tokenize(q.unionByName(d), ["pair_id", "role"], "text", vocab(spark, sf_dir))
+    return q.unionByName(d)
+
+
+def x4(spark, sf_dir):
+    """X4 texts tokenized through the vocabulary join."""
+    return TK.tokenize(x4_texts(spark, sf_dir), ["pair_id", "role"], "text", vocab(spark, sf_dir))
 
 
 def x8(spark, sf_dir):

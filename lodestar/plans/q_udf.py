@@ -1 +1,73 @@
-"""Queries (filled in below)."""
+"""Pooling (E1, E2) and plug-in queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from lodestar.functions.arrays import truncate  # noqa: F401
+from lodestar.operators import encode as EN
+from lodestar.operators import pooling as PL
+from lodestar.plans import fixtures as fx
+from lodestar.plans import oracle as o
+from lodestar.plans.q_tokens import VOCAB, X4, vocab
+from lodestar.plans.registry import as_long, query, r6
+from lodestar.session import scratch_path
+
+
+def _long(df, vec="embedding"):
+    t = df.select("id", F.posexplode(vec).alias("dim", "value"))
+    return t.select("id", as_long("dim").alias("dim"), r6("value").alias("value"))
+
+
+@query("pool_mean", o.with_ctes(o.X7) + """
+SELECT id, CAST(dim AS BIGINT) AS dim, round(sum(x * mask) / greatest(sum(mask), 1), 6) AS value FROM (
+  SELECT id, mask, generate_subscripts(hidden, 1) - 1 AS dim, unnest(hidden) AS x FROM x7) GROUP BY id, dim
+""")
+def pool_mean(spark, sf_dir):
+    return _long(PL.pool_mean(fx.hidden_states(spark, sf_dir)))
+
+
+@query("pool_eos", o.with_ctes(o.X7) + f"""
+SELECT id, CAST(dim AS BIGINT) AS dim, round(x / n, 6) AS value FROM (
+  SELECT id, generate_subscripts(hidden, 1) - 1 AS dim, unnest(hidden) AS x, {o.norm_sql('hidden')} AS n
+  FROM x7 WHERE tok_pos = eos_pos)
+""")
+def pool_eos(spark, sf_dir):
+    return _long(PL.pool_eos(fx.hidden_states(spark, sf_dir)))
+
+
+@query("udf_tokenize", o.with_ctes(o.X1, o.X3, VOCAB, X4) + """
+SELECT pair_id, role, array_to_string(tokens, ' ') AS tokens FROM x4
+""")
+def udf_tokenize(spark, sf_dir):
+    """The vocabulary tokenizer as a plug-in: vocabulary landed as Parquet once,
+    loaded once per Python worker, applied by Arrow batches."""
+    from lodestar.plans.q_tokens import x4_texts
+    path = scratch_path(spark, "vocab")
+    vocab(spark, sf_dir).select("token", "id").write.mode("overwrite").parquet(path)
+    tok = EN.tokenize_udf(EN.VocabTokenizer.factory(path))
+    t = x4_texts(spark, sf_dir)
+    return t.select("pair_id", "role", F.array_join(tok(F.col("text")), " ").alias("tokens"))
+
+
+ENC_DIM = 64
+
+
+@query("encode_texts")
+def encode_texts(spark, sf_dir):
+    """Documents through the default hashing encoder, mean pooling, normalised."""
+    d = fx.table(spark, sf_dir, "documents").select("doc_id", "text")
+    t = EN.encode_texts(d, "text", F.lit("document"), EN.HashingEncoder.factory(ENC_DIM), pooling="mean",
+                        max_length=256)
+    return t.select("doc_id", as_long(F.size("embedding")).alias("dims"),
+                    r6(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x)).alias("sq_norm"))
+
+
+@query("attach_embeddings")
+def attach_embeddings(spark, sf_dir):
+    """Benchmark items (queries, EOS pooling) and documents, teacher vectors cut to 32 dims."""
+    b = fx.table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("id"), "text", F.lit("query").alias("role"))
+    d = fx.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text", F.lit("document").alias("role"))
+    t = EN.attach_embeddings(b.unionByName(d), "text", EN.HashingEncoder.factory(ENC_DIM), dims=32,
+                             role="role", pooling="eos")
+    return t.select("id", "role", as_long(F.size("embedding")).alias("dims"))
