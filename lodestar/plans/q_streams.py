@@ -1 +1,81 @@
-"""Queries (filled in below)."""
+"""Streaming queries (H1, H2, H4, H5, H6): inputs landed in the shared folder,
+streamed with availableNow, results read back."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from lodestar.operators.encode import HashingEncoder
+from lodestar.plans import fixtures as fx
+from lodestar.plans import oracle as o
+from lodestar.plans.q_sources import land_jsonl
+from lodestar.plans.registry import as_long, query, r6
+from lodestar.session import scratch_path
+from lodestar.streaming import streams as S
+
+
+def _paths(spark, name):
+    root = scratch_path(spark, name)
+    return f"{root}/out", f"{root}/checkpoint"
+
+
+@query("stream_pairs", o.with_ctes(o.X1) + f"""
+, v AS (SELECT query, document, {o.rank_default_sql('rank')} AS r FROM x1 WHERE query <> '' AND document <> ''
+        UNION ALL SELECT 'q4', 'd4', 1 UNION ALL SELECT 'q6', 'd6', 2)
+SELECT '<unused0>' || query || '<eos>' AS query_text, '<unused1>' || document || '<eos>' AS doc_text,
+       CAST(r AS BIGINT) AS rank, round({o.rank_weight_sql('r')}, 6) AS weight FROM v
+""")
+def stream_pairs(spark, sf_dir):
+    out, ck = _paths(spark, "stream-pairs")
+    S.stream_pairs(spark, land_jsonl(spark, sf_dir), out, ck)
+    t = spark.read.parquet(out)
+    return t.select("query_text", "doc_text", as_long("rank").alias("rank"), r6("weight").alias("weight"))
+
+
+@query("stream_batches")
+def stream_batches(spark, sf_dir):
+    out, ck = _paths(spark, "stream-batches")
+    S.stream_batches(spark, land_jsonl(spark, sf_dir), out, ck, size=16)
+    return spark.read.parquet(out).select("stream_batch_id", "batch_id", "slot", "query")
+
+
+def _land_x9(spark, sf_dir):
+    path = scratch_path(spark, "x9")
+    x9 = fx.metric_log(spark, sf_dir)
+    x9.write.mode("overwrite").parquet(path)
+    return path, x9.schema
+
+
+@query("stream_best", o.with_ctes(o.X9) + """
+SELECT run, step, round(score, 6) AS score FROM (
+  SELECT run, step, score, row_number() OVER (PARTITION BY run ORDER BY score DESC, step) AS rn FROM x9) WHERE rn = 1
+""")
+def stream_best(spark, sf_dir):
+    src, schema = _land_x9(spark, sf_dir)
+    out, ck = _paths(spark, "stream-best")
+    S.stream_best(spark, src, out, ck, schema)
+    t = spark.read.parquet(out)
+    return t.select("run", "step", r6("score").alias("score"))
+
+
+@query("stream_metrics", o.with_ctes(o.X9) + """
+SELECT run, (step - 1) // 10 AS window_id, count(*) AS n, round(avg(loss), 6) AS mean_loss,
+       CAST(sum(tokens) AS BIGINT) AS tokens FROM x9 GROUP BY ALL
+""")
+def stream_metrics(spark, sf_dir):
+    src, schema = _land_x9(spark, sf_dir)
+    out, ck = _paths(spark, "stream-metrics")
+    S.stream_metrics(spark, src, out, ck, schema)
+    t = spark.read.parquet(out)
+    return t.select("run", "window_id", "n", r6("mean_loss").alias("mean_loss"), as_long("tokens").alias("tokens"))
+
+
+@query("stream_embed")
+def stream_embed(spark, sf_dir):
+    src = scratch_path(spark, "docs-in")
+    d = fx.table(spark, sf_dir, "documents").select("doc_id", "text")
+    d.repartition(4).write.mode("overwrite").parquet(src)
+    out, ck = _paths(spark, "stream-embed")
+    S.stream_embed(spark, src, out, ck, "doc_id long, text string", HashingEncoder.factory(64))
+    t = spark.read.parquet(out)
+    return t.select("doc_id", as_long(F.size("embedding")).alias("dims"))
