@@ -80,28 +80,26 @@ def tokenize_udf(factory):
 
 
 class HashingEncoder:
-    def __init__(self, dim: int = 64, seed: int = 0):
+    """Token vector = row ``xxhash64(token) mod 2^bits`` of a fixed seeded
+    Gaussian table (the same table on every worker)."""
+
+    def __init__(self, dim: int = 64, seed: int = 0, bits: int = 16):
         self.dim, self.seed = dim, seed
-        self._vec: dict = {}
+        self.table = np.random.default_rng(seed).standard_normal((1 << bits, dim))
+        self.mask = (1 << bits) - 1
 
     @staticmethod
     def factory(dim: int = 64, seed: int = 0):
         return functools.partial(HashingEncoder, dim, seed)
 
-    def _v(self, tok: str) -> np.ndarray:
-        v = self._vec.get(tok)
-        if v is None:
-            import xxhash
-
-            rng = np.random.default_rng(xxhash.xxh64_intdigest(tok.encode("utf-8"), seed=self.seed))
-            v = self._vec[tok] = rng.standard_normal(self.dim)
-        return v
-
     def hidden_states(self, text: str, role: str | None, max_length: int):
+        import xxhash
+
         mark = _MARK.get(role or "")
         framed = f"{mark}{text}<eos>" if mark else text
         toks = (["<bos>"] + _words(framed))[:max_length]
-        return toks, np.stack([self._v(t) for t in toks])
+        ids = np.fromiter((xxhash.xxh64_intdigest(t) & self.mask for t in toks), dtype=np.int64, count=len(toks))
+        return toks, self.table[ids]
 
     def encode(self, texts, roles, pooling: str = "mean", max_length: int = 256, normalize: bool = True):
         out = []
@@ -112,8 +110,8 @@ class HashingEncoder:
             toks, H = self.hidden_states(text, role, max_length)
             eos = max((i for i, t in enumerate(toks) if t == "<eos>"), default=None)
             if pooling == "mean":
-                m = np.array([1.0 if eos is not None and i <= eos else 0.0 for i in range(len(toks))])
-                v = (H * m[:, None]).sum(axis=0) / max(m.sum(), 1.0)
+                # mask = 1 through the last EOS, 0 after it (all 0 without an EOS)
+                v = H[: eos + 1].sum(axis=0) / (eos + 1) if eos is not None else np.zeros(self.dim)
             else:
                 v = None if eos is None else H[eos]
             if v is not None and normalize:

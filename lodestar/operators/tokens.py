@@ -45,26 +45,35 @@ def build_vocab(df: DataFrame, text: str, max_size: int | None = None, reserved=
         words = with_positions(counts, [F.col("n").desc(), F.col("token").asc()], pos="_p")
         words = words.withColumn("id", (F.col("_p") + base).cast("int")).drop("_p")
     res = spark.createDataFrame([(t, i, 0) for t, i in reserved], "token string, id int, n long")
-    return words.select("token", "id", "n").unionByName(res)
+    # Small and read by every tokenization that follows: land it once.
+    return words.select("token", "id", "n").unionByName(res).checkpoint(eager=True)
 
 
 def tokenize(df: DataFrame, keys, text: str, vocab: DataFrame, unk: int = AR.UNK_ID,
-             add_bos: bool = True, out: str = "tokens") -> DataFrame:
-    """Add ``out`` = [BOS] + vocabulary ids of the words of ``text`` (UNK for misses)."""
+             add_bos: bool = True, out: str = "tokens", keep_input: bool = True) -> DataFrame:
+    """Add ``out`` = [BOS] + vocabulary ids of the words of ``text`` (UNK for misses).
+
+    The word rows of one text sit in one partition after the explode, so the
+    partial ``collect_list`` turns them into one id array per text before the
+    only shuffle; with ``keep_input=False`` the result is just (keys, out) and
+    no join back to the input is needed.
+    """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    spaced = F.regexp_replace(F.col(text), SPECIAL_PATTERN, " $1 ")
-    ex = df.select(*keys, F.posexplode_outer(split_words(spaced)).alias("_i", "token"))
+    spark = df.sparkSession
     v = vocab.select("token", F.col("id").alias("_tid"))
-    n_vocab = vocab.count()
-    if n_vocab <= broadcast_row_limit(df.sparkSession, 96):
+    if vocab.count() <= broadcast_row_limit(spark, 96):
         v = F.broadcast(v)
+    spaced = F.when(F.instr(F.col(text), "<") > 0,
+                    F.regexp_replace(F.col(text), SPECIAL_PATTERN, " $1 ")).otherwise(F.col(text))
+    ex = df.select(*keys, F.posexplode_outer(split_words(spaced)).alias("_i", "token"))
     j = ex.join(v, "token", "left")
     item = F.when(F.col("_i").isNotNull(), F.struct(F.col("_i"), F.coalesce("_tid", F.lit(unk)).alias("t")))
     g = j.groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("_s"))
     ids = F.transform("_s", lambda s: s["t"])
     if add_bos:
         ids = F.concat(F.array(F.lit(AR.BOS_ID)), ids)
-    return df.join(g.select(*keys, ids.alias(out)), keys)
+    res = g.select(*keys, ids.alias(out))
+    return df.join(res, keys) if keep_input else res
 
 
 def batch_max_length(df: DataFrame, batch_id: str, tokens: str, cap: int, by=()) -> DataFrame:

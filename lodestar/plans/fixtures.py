@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from lodestar.functions.text import split_words
 from lodestar.functions.text import rank_weight
-from lodestar.operators.order import with_positions
+from lodestar.operators.order import running_agg, with_positions
 
 # Fixture residues and sizes.
 X1_NULL_RANK, X1_RANK_ZERO, X1_RANK_NEG, X1_RANK_FLOAT, X1_RANK_TEXT = 3, 5, 7, 11, 13
@@ -111,12 +111,21 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     d = table(spark, sf_dir, "documents")
     version = F.concat(F.lit("v"), (F.lit(6) + F.pmod("doc_id", F.lit(3))).cast("string"))
-    x = d.select(version.alias("version"), "doc_id",
-                 F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
-    edge = spark.createDataFrame([("v6", -1, i, s) for i, s in enumerate(X8_EDGE_LINES)],
-                                 "version string, doc_id long, line_no int, line string")
-    x = x.unionByName(edge).withColumn("line_no", F.col("line_no").cast("long"))
-    return with_positions(x, ["doc_id", "line_no"], pos="pos", group_by=["version"])
+    docs = d.select(version.alias("version"), "doc_id", "text")
+    # The edge rows form one extra document (none of them holds a newline).
+    edge = spark.createDataFrame([("v6", -1, "\n".join(X8_EDGE_LINES))], "version string, doc_id long, text string")
+    docs = docs.unionByName(edge)
+    # Line offset of each document = lines of the earlier documents of its version:
+    # a running sum over the narrow (version, doc_id, n_lines) table, joined back.
+    counts = docs.select("version", "doc_id", F.size(F.split("text", "\n", -1)).cast("long").alias("n_lines"))
+    offs = running_agg(counts, ["doc_id"], "n_lines", group_by=["version"], how="sum", inclusive=False,
+                       out="_off").select("version", "doc_id", F.coalesce("_off", F.lit(0)).alias("_off"))
+    x = docs.join(offs, ["version", "doc_id"]).select(
+        "version", "doc_id", "_off", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
+    x = x.select("version", "doc_id", F.col("line_no").cast("long").alias("line_no"), "line",
+                 (F.col("_off") + F.col("line_no")).cast("long").alias("pos"))
+    # Read several times by most consumers: land it once in the shared folder.
+    return x.checkpoint(eager=True)
 
 
 def vector_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -62,8 +62,9 @@ x8 AS (SELECT version, pos, CASE WHEN len({o.words_sql('line')}) = 0 THEN '' ELS
 """)
 
 
-def vocab(spark, sf_dir):
-    return TK.build_vocab(fx.lines(spark, sf_dir), "line", max_size=fx.VOCAB_SIZE)
+def vocab(spark, sf_dir, x3=None):
+    x3 = x3 if x3 is not None else fx.lines(spark, sf_dir)
+    return TK.build_vocab(x3, "line", max_size=fx.VOCAB_SIZE)
 
 
 def x4_texts(spark, sf_dir):
@@ -76,14 +77,15 @@ def x4_texts(spark, sf_dir):
 
 def x4(spark, sf_dir):
     """X4 texts tokenized through the vocabulary join."""
-    return TK.tokenize(x4_texts(spark, sf_dir), ["pair_id", "role"], "text", vocab(spark, sf_dir))
+    return TK.tokenize(x4_texts(spark, sf_dir), ["pair_id", "role"], "text", vocab(spark, sf_dir), keep_input=False)
 
 
-def x8(spark, sf_dir):
+def x8(spark, sf_dir, x3=None):
     """X8 token lines: '2 id id ...' per X3 line, '' for a line without words."""
-    x3 = fx.lines(spark, sf_dir)
-    t = TK.tokenize(x3, ["version", "pos"], "line", vocab(spark, sf_dir))
-    return t.select("version", "pos", F.when(F.size(T.split_words("line")) == 0, F.lit(""))
+    x3 = x3 if x3 is not None else fx.lines(spark, sf_dir)
+    t = TK.tokenize(x3, ["version", "pos"], "line", vocab(spark, sf_dir, x3), keep_input=False)
+    # [BOS] alone means the line holds no word: it is written as a blank line.
+    return t.select("version", "pos", F.when(F.size("tokens") == 1, F.lit(""))
                     .otherwise(F.array_join("tokens", " ")).alias("token_line"))
 
 
@@ -255,7 +257,7 @@ FROM x8 JOIN qv USING (version, pos) JOIN dv USING (version, pos)
 """)
 def join_positional(spark, sf_dir):
     x3 = fx.lines(spark, sf_dir)
-    toks = x8(spark, sf_dir)
+    toks = x8(spark, sf_dir, x3)
     q = _vectors(spark, sf_dir, x3, 0, "qv")
     d = _vectors(spark, sf_dir, x3, 1, "dv")
     j = D.align(toks, q, d, on=("version", "pos"))
@@ -276,6 +278,6 @@ def check_alignment(spark, sf_dir):
     x3 = fx.lines(spark, sf_dir)
     q = _vectors(spark, sf_dir, x3, 0, "qv")
     d = _vectors(spark, sf_dir, x3, 1, "dv").filter(~((F.col("version") == "v7") & (F.col("pos") == 0)))
-    c = D.check_alignment({"tokens": x8(spark, sf_dir), "query": q, "doc": d})
+    c = D.check_alignment({"tokens": x8(spark, sf_dir, x3), "query": q, "doc": d})
     return c.select("version", as_long("n_tokens").alias("n_tokens"), as_long("n_query").alias("n_query"),
                     as_long("n_doc").alias("n_doc"), "ok")

@@ -33,7 +33,7 @@ def stream_pairs(spark: SparkSession, in_path: str, out_path: str, checkpoint: s
 
 
 def stream_batches(spark: SparkSession, in_path: str, out_path: str, checkpoint: str, size: int = 16,
-                   max_files_per_trigger: int = 1) -> None:
+                   max_files_per_trigger: int = 4) -> None:
     """Fixed-size batches per micro-batch (the tail is flushed at each trigger):
     rows get (stream_batch_id, batch_id, slot)."""
     p = (spark.readStream.option("lineSep", "\n").option("maxFilesPerTrigger", max_files_per_trigger)
@@ -51,10 +51,11 @@ def stream_batches(spark: SparkSession, in_path: str, out_path: str, checkpoint:
 
 
 def stream_embed(spark: SparkSession, in_path: str, out_path: str, checkpoint: str, schema,
-                 encoder_factory, text: str = "text", role="document", pooling: str = "mean") -> None:
+                 encoder_factory, text: str = "text", role="document", pooling: str = "mean",
+                 max_files_per_trigger: int = 4) -> None:
     """Parquet rows -> (rows, embedding) appended as Parquet."""
     from lodestar.operators.encode import encode_texts
-    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(in_path)
+    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger).parquet(in_path)
     role_c = F.lit(role) if role in ("query", "document") else F.col(role)
     out = encode_texts(src, text, role_c, encoder_factory, pooling=pooling)
     _run(out.writeStream.format("parquet").option("path", out_path)
@@ -69,18 +70,18 @@ def _complete_to_parquet(agg: DataFrame, out_path: str, checkpoint: str) -> None
 
 
 def stream_best(spark: SparkSession, in_path: str, out_path: str, checkpoint: str, schema,
-                run: str = "run", step: str = "step", score: str = "score") -> None:
+                run: str = "run", step: str = "step", score: str = "score", max_files_per_trigger: int = 4) -> None:
     """Best (earliest step of the highest score) per run, kept as streaming state;
     state is one row per run."""
-    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(in_path)
+    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger).parquet(in_path)
     best = src.groupBy(run).agg(F.max_by(F.struct(step, score), F.struct(F.col(score), -F.col(step))).alias("b"))
     _complete_to_parquet(best.select(run, "b.*"), out_path, checkpoint)
 
 
 def stream_metrics(spark: SparkSession, in_path: str, out_path: str, checkpoint: str, schema,
-                   width: int = 10, run: str = "run", step: str = "step") -> None:
+                   width: int = 10, run: str = "run", step: str = "step", max_files_per_trigger: int = 4) -> None:
     """Windows of ``width`` steps per run on a stream (complete mode: bounded runs)."""
-    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(in_path)
+    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger).parquet(in_path)
     w = F.floor((F.col(step) - 1) / width).cast("bigint")
     agg = src.groupBy(run, w.alias("window_id")).agg(
         F.count(F.lit(1)).alias("n"), F.avg("loss").alias("mean_loss"), F.sum("tokens").alias("tokens"))
