@@ -34,7 +34,7 @@ RARE_WS = ("\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u
 
 
 def split_words(col) -> Column:
-    """Python ``str.split()``: whitespace runs as separators, no empty words.
+    r"""Python ``str.split()``: whitespace runs as separators, no empty words.
 
     Same result as splitting on ``WS_CLASS``, but the rare whitespace is first
     mapped to a space by ``translate`` so the split runs on the cheap ASCII

@@ -72,8 +72,9 @@ def retrieve(queries: DataFrame, corpus: DataFrame, k: int = 10, method: str = "
 
 def _block_scorer(k: int):
     def score(cdf: pd.DataFrame, qdf: pd.DataFrame) -> pd.DataFrame:
-        if cdf.empty or qdf.empty:
-            return pd.DataFrame({"task": [], "qid": [], "did": [], "score": []})
+        if cdf.empty or qdf.empty:  # a block with no partner rows on one side
+            return pd.DataFrame({"task": pd.Series([], dtype=object), "qid": pd.Series([], dtype="int64"),
+                                 "did": pd.Series([], dtype="int64"), "score": pd.Series([], dtype="float64")})
         C = np.stack(cdf["dv"].to_numpy()).astype(np.float64)
         Q = np.stack(qdf["qv"].to_numpy()).astype(np.float64)
         S = Q @ C.T  # (nq, nc)
