@@ -28,9 +28,20 @@ MAX_GROUP_ROWS = 4096
 
 
 def in_batch_pairs(df: DataFrame, q: str = "qv", d: str = "dv", group="batch_id", idx: str = "pos",
-                   tau: float = 0.05) -> DataFrame:
-    """All query x document pairs inside each group: (group..., qi, di, logit = q·d/tau)."""
+                   tau: float = 0.05, max_group_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
+    """All query x document pairs inside each group: (group..., qi, di, logit = q·d/tau).
+
+    A group of n rows yields n^2 pairs, so groups must be bounded (batches from
+    ``batch_fixed`` / ``micro_split`` are).  With ``max_group_rows`` set, the
+    largest group is measured first (one pass over the key columns) and an
+    oversized group raises instead of producing a quadratic blow-up.
+    """
     g = [group] if isinstance(group, str) else list(group)
+    if max_group_rows is not None:
+        largest = df.groupBy(*g).count().agg(F.max("count")).first()[0] or 0
+        if largest > max_group_rows:
+            raise ValueError(f"group of {largest} rows exceeds max_group_rows={max_group_rows}; "
+                             "split it with micro_split first")
     qs = df.select(*g, F.col(idx).alias("qi"), F.col(q).alias("_q"))
     ds = df.select(*g, F.col(idx).alias("di"), F.col(d).alias("_d"))
     return qs.join(ds, g).select(*g, "qi", "di", dot_logit("_q", "_d", tau).alias("logit"))
@@ -57,13 +68,17 @@ def log_sum_exp(pairs: DataFrame, group="batch_id") -> DataFrame:
 def infonce(pairs: DataFrame, group="batch_id") -> DataFrame:
     """Symmetric InfoNCE per example: (group..., qi, loss)."""
     g = _g(group)
-    lse = log_sum_exp(pairs, g)
-    pos = pairs.filter(F.col("qi") == F.col("di")).select(*g, F.col("qi").alias("idx"), F.col("logit").alias("pos"))
-    row = lse.filter(F.col("axis") == "row").select(*g, "idx", F.col("lse").alias("lse_row"))
-    col = lse.filter(F.col("axis") == "col").select(*g, "idx", F.col("lse").alias("lse_col"))
-    j = pos.join(row, g + ["idx"]).join(col, g + ["idx"])
+    rm = F.max("logit").over(Window.partitionBy(*g, "qi"))
+    row = (pairs.withColumn("_m", rm).groupBy(*g, "qi").agg(
+        (F.max("_m") + F.log(F.sum(F.exp(F.col("logit") - F.col("_m"))))).alias("lse_row"),
+        F.max(F.when(F.col("qi") == F.col("di"), F.col("logit"))).alias("pos")))
+    cm = F.max("logit").over(Window.partitionBy(*g, "di"))
+    col = (pairs.withColumn("_m", cm).groupBy(*g, "di").agg(
+        (F.max("_m") + F.log(F.sum(F.exp(F.col("logit") - F.col("_m"))))).alias("lse_col"))
+        .withColumnRenamed("di", "qi"))
+    j = row.join(col, g + ["qi"])
     loss = F.lit(0.5) * ((F.col("lse_row") - F.col("pos")) + (F.col("lse_col") - F.col("pos")))
-    return j.select(*g, F.col("idx").alias("qi"), loss.alias("loss"))
+    return j.select(*g, "qi", loss.alias("loss"))
 
 
 def _row_stats(pairs: DataFrame, g) -> DataFrame:

@@ -20,6 +20,9 @@ _LOCAL_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Joins on (group, qi[, di]) of data already hash-partitioned by the group
+    # key (in-batch pairs) keep that partitioning instead of re-shuffling.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

@@ -16,8 +16,12 @@ def to_long(df: DataFrame, metrics, run: str = "run", step: str = "step") -> Dat
 
 
 def append_metrics(df: DataFrame, path: str, run: str = "run") -> None:
-    """Append rows to the Parquet log, partitioned by run (one folder per run)."""
-    df.repartition(run).write.mode("append").partitionBy(run).parquet(path)
+    """Append rows to the Parquet log, one folder per run.
+
+    No shuffle on ``run``: a run may hold most of the rows, so every task
+    writes its own files into each run folder it has rows for.
+    """
+    df.sortWithinPartitions(run).write.mode("append").partitionBy(run).parquet(path)
 
 
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:
