@@ -124,8 +124,10 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "version", "doc_id", "_off", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
     x = x.select("version", "doc_id", F.col("line_no").cast("long").alias("line_no"), "line",
                  (F.col("_off") + F.col("line_no")).cast("long").alias("pos"))
-    # Read several times by most consumers: land it once in the shared folder.
-    return x.checkpoint(eager=True)
+    # Spread lines by their own key (a single huge document must not stay in
+    # one partition), then land them once: most consumers read them repeatedly.
+    n = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    return x.repartition(n, "version", "pos").checkpoint(eager=True)
 
 
 def vector_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
