@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from lodestar.functions.vectors import l2_normalize, truncate_dims
+from lodestar.session import ship_package
 from lodestar.operators.tokens import SPECIAL_PATTERN
 
 _SPECIAL = re.compile(SPECIAL_PATTERN)
@@ -71,6 +72,11 @@ class VocabTokenizer:
 
 def tokenize_udf(factory):
     """pandas UDF text -> array<int> with the tokenizer built by ``factory``."""
+    from pyspark.sql import SparkSession
+
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        ship_package(active)
     @pandas_udf("array<int>")
     def tok(it: Iterator[pd.Series]) -> Iterator[pd.Series]:
         t = _cached(factory)
@@ -127,6 +133,7 @@ def encode_texts(df: DataFrame, text: str, role, encoder_factory, pooling: str =
     ``batch_size`` texts at a time inside Arrow batches."""
     if pooling not in ("mean", "eos"):
         raise ValueError(f"Invalid pooling method: {pooling}")
+    ship_package(df.sparkSession)
     role_c: Column = F.col(role) if isinstance(role, str) else role
 
     @pandas_udf("array<float>")

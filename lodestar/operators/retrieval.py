@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestar.functions.vectors import dot
-from lodestar.session import broadcast_row_limit, shuffle_partitions
+from lodestar.session import broadcast_row_limit, ship_package, shuffle_partitions
 
 HITS_SCHEMA = "task string, qid long, did long, score double"
 
@@ -97,6 +97,7 @@ def retrieve_blocks(queries: DataFrame, corpus: DataFrame, k: int = 10,
                     corpus_block_rows: int = 50_000, query_block_rows: int = 20_000) -> DataFrame:
     """Block form of :func:`retrieve`: numpy matmul per (task, corpus block, query block)."""
     spark = queries.sparkSession
+    ship_package(spark)
     n_q, n_c = queries.count(), corpus.count()
     ncb = max(1, math.ceil(n_c / corpus_block_rows))
     nqb = max(1, math.ceil(n_q / query_block_rows))

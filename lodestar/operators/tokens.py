@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from lodestar.functions import arrays as AR
 from lodestar.functions.text import split_words
 from lodestar.operators.order import with_positions
-from lodestar.session import broadcast_row_limit
+from lodestar.session import broadcast_row_limit, ship_package
 
 # Reserved vocabulary entries (token text, id).
 RESERVED = [("<pad>", 0), ("<eos>", 1), ("<bos>", 2), ("<unk>", 3),
@@ -101,6 +101,7 @@ def pack_token_budget(df: DataFrame, pos: str, length: str, budget: int, buffer:
 
     One ``applyInPandas`` call per buffer: a group never exceeds ``buffer`` rows.
     """
+    ship_package(df.sparkSession)
     t = df.withColumn("buffer_id", F.floor(F.col(pos) / buffer).cast("long"))
     schema = "buffer_id long, _p long, _local long"
 

@@ -35,7 +35,8 @@ def stream_pairs(spark, sf_dir):
 @query("stream_batches")
 def stream_batches(spark, sf_dir):
     out, ck = _paths(spark, "stream-batches")
-    S.stream_batches(spark, land_jsonl(spark, sf_dir), out, ck, size=16)
+    src = land_jsonl(spark, sf_dir)
+    S.stream_batches(spark, src, out, ck, size=16, max_files_per_trigger=S.files_per_trigger(spark, src, "text"))
     return spark.read.parquet(out).select("stream_batch_id", "batch_id", "slot", "query")
 
 
@@ -53,7 +54,8 @@ SELECT run, step, round(score, 6) AS score FROM (
 def stream_best(spark, sf_dir):
     src, schema = _land_x9(spark, sf_dir)
     out, ck = _paths(spark, "stream-best")
-    S.stream_best(spark, src, out, ck, schema)
+    S.stream_best(spark, src, out, ck, schema, max_files_per_trigger=S.files_per_trigger(spark, src),
+                  state_partitions=8)
     t = spark.read.parquet(out)
     return t.select("run", "step", r6("score").alias("score"))
 
@@ -65,7 +67,8 @@ SELECT run, (step - 1) // 10 AS window_id, count(*) AS n, round(avg(loss), 6) AS
 def stream_metrics(spark, sf_dir):
     src, schema = _land_x9(spark, sf_dir)
     out, ck = _paths(spark, "stream-metrics")
-    S.stream_metrics(spark, src, out, ck, schema)
+    S.stream_metrics(spark, src, out, ck, schema, max_files_per_trigger=S.files_per_trigger(spark, src),
+                     state_partitions=8)
     t = spark.read.parquet(out)
     return t.select("run", "window_id", "n", r6("mean_loss").alias("mean_loss"), as_long("tokens").alias("tokens"))
 
@@ -76,6 +79,7 @@ def stream_embed(spark, sf_dir):
     d = fx.table(spark, sf_dir, "documents").select("doc_id", "text")
     d.repartition(4).write.mode("overwrite").parquet(src)
     out, ck = _paths(spark, "stream-embed")
-    S.stream_embed(spark, src, out, ck, "doc_id long, text string", HashingEncoder.factory(64))
+    S.stream_embed(spark, src, out, ck, "doc_id long, text string", HashingEncoder.factory(64),
+                   max_files_per_trigger=S.files_per_trigger(spark, src))
     t = spark.read.parquet(out)
     return t.select("doc_id", as_long(F.size("embedding")).alias("dims"))

@@ -44,6 +44,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_root(spark)
+    ship_package(spark)
     return spark
 
 
@@ -83,3 +84,36 @@ def broadcast_row_limit(spark: SparkSession, row_bytes: int) -> int:
     if thr_b <= 0:
         return 0
     return max(1, thr_b // max(1, row_bytes))
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``lodestar`` importable in executor Python workers (once per application).
+
+    Operators that run Python on executors (pandas UDFs, applyInPandas,
+    mapInPandas) pickle references to this package; the package is zipped and
+    registered with ``addPyFile``, which copies it to every executor.
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = checkpoint_root(spark)
+    local = root[len("file:"):] if root.startswith("file:") else root
+    base = local if ("://" not in local and os.path.isdir(local)) else None
+    out_dir = tempfile.mkdtemp(prefix="lodestar-py-", dir=base)
+    zpath = os.path.join(out_dir, "lodestar.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for cur, dirs, files in os.walk(pkg_dir):
+            dirs[:] = [d for d in dirs if d != "__pycache__"]
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(cur, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(key)

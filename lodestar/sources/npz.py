@@ -17,6 +17,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lodestar.session import ship_package
+
 _NAME = re.compile(r"vectors-(\d+)\.npz$")
 
 
@@ -42,12 +44,14 @@ def write_npz(df: DataFrame, path: str, vec: str, pos: str = "pos", rows_per_fil
         filesystem.move(tmp, final)  # a retried task replaces the same name
         return pd.DataFrame({"chunk": [int(pdf["_chunk"].iloc[0])], "start": [start], "n": [len(pdf)]})
 
+    ship_package(df.sparkSession)
     t = df.select(pos, vec).withColumn("_chunk", F.floor(F.col(pos) / rows_per_file).cast("long"))
     return t.groupBy("_chunk").applyInPandas(write_chunk, "chunk long, start long, n long")
 
 
 def read_npz(spark: SparkSession, path: str, member: str = "embeddings") -> DataFrame:
     """(path, pos, embedding array<float>) from every ``*.npz`` file under ``path``."""
+    ship_package(spark)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.npz").load(path).select("path", "content")
 
     def explode_files(it):

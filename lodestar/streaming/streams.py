@@ -14,8 +14,21 @@ from lodestar.operators.order import batch_fixed, with_positions
 from lodestar.sources.jsonl import read_pairs_jsonl
 
 
-def _run(writer, timeout_s: int | None = None):
-    q = writer.trigger(availableNow=True).start()
+def _run(writer, timeout_s: int | None = None, spark: SparkSession | None = None,
+         state_partitions: int | None = None):
+    """Start with availableNow and wait.  ``state_partitions`` fixes the number
+    of state-store partitions of a stateful query (taken from
+    spark.sql.shuffle.partitions when the query first starts and then kept in
+    its checkpoint); the session value is restored right after the start."""
+    old = None
+    if spark is not None and state_partitions:
+        old = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    try:
+        q = writer.trigger(availableNow=True).start()
+    finally:
+        if old is not None:
+            spark.conf.set("spark.sql.shuffle.partitions", old)
     q.awaitTermination(timeout_s)
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
@@ -62,27 +75,36 @@ def stream_embed(spark: SparkSession, in_path: str, out_path: str, checkpoint: s
          .option("checkpointLocation", checkpoint).outputMode("append"))
 
 
-def _complete_to_parquet(agg: DataFrame, out_path: str, checkpoint: str) -> None:
+def files_per_trigger(spark: SparkSession, path: str, fmt: str = "parquet", batches: int = 4) -> int:
+    """maxFilesPerTrigger that drains the files now present in about ``batches`` micro-batches."""
+    n = len(spark.read.format(fmt).load(path).inputFiles())
+    return max(1, -(-n // batches))
+
+
+def _complete_to_parquet(agg: DataFrame, out_path: str, checkpoint: str, state_partitions: int | None) -> None:
     def overwrite(df: DataFrame, epoch_id: int) -> None:
         df.write.mode("overwrite").parquet(out_path)
 
-    _run(agg.writeStream.outputMode("complete").foreachBatch(overwrite).option("checkpointLocation", checkpoint))
+    _run(agg.writeStream.outputMode("complete").foreachBatch(overwrite).option("checkpointLocation", checkpoint),
+         spark=agg.sparkSession, state_partitions=state_partitions)
 
 
 def stream_best(spark: SparkSession, in_path: str, out_path: str, checkpoint: str, schema,
-                run: str = "run", step: str = "step", score: str = "score", max_files_per_trigger: int = 4) -> None:
+                run: str = "run", step: str = "step", score: str = "score", max_files_per_trigger: int = 4,
+                state_partitions: int | None = None) -> None:
     """Best (earliest step of the highest score) per run, kept as streaming state;
     state is one row per run."""
     src = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger).parquet(in_path)
     best = src.groupBy(run).agg(F.max_by(F.struct(step, score), F.struct(F.col(score), -F.col(step))).alias("b"))
-    _complete_to_parquet(best.select(run, "b.*"), out_path, checkpoint)
+    _complete_to_parquet(best.select(run, "b.*"), out_path, checkpoint, state_partitions)
 
 
 def stream_metrics(spark: SparkSession, in_path: str, out_path: str, checkpoint: str, schema,
-                   width: int = 10, run: str = "run", step: str = "step", max_files_per_trigger: int = 4) -> None:
+                   width: int = 10, run: str = "run", step: str = "step", max_files_per_trigger: int = 4,
+                   state_partitions: int | None = None) -> None:
     """Windows of ``width`` steps per run on a stream (complete mode: bounded runs)."""
     src = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger).parquet(in_path)
     w = F.floor((F.col(step) - 1) / width).cast("bigint")
     agg = src.groupBy(run, w.alias("window_id")).agg(
         F.count(F.lit(1)).alias("n"), F.avg("loss").alias("mean_loss"), F.sum("tokens").alias("tokens"))
-    _complete_to_parquet(agg, out_path, checkpoint)
+    _complete_to_parquet(agg, out_path, checkpoint, state_partitions)
