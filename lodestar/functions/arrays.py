@@ -55,7 +55,8 @@ def mask_to_eos(tokens, eos: int = EOS_ID) -> Column:
     """
     t = _c(tokens)
     e = F.coalesce(last_eos(t, eos), F.lit(-1))
-    return F.transform(t, lambda x, i: F.when(i <= e, 1).otherwise(0))
+    # The EOS position is a row value: evaluate it once, not once per element.
+    return F.transform(F.array_repeat(e, F.size(t)), lambda ee, i: F.when(i <= ee, 1).otherwise(0))
 
 
 def splice_role(tokens, prefix, eos: int = EOS_ID) -> Column:

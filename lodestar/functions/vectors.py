@@ -40,10 +40,17 @@ def norm(v) -> Column:
     return F.sqrt(_sum(F.transform(to_double(v), lambda x: x * x)))
 
 
+def per_element(arr: Column, value: Column) -> Column:
+    """``value`` repeated to the length of ``arr``: a row-level value evaluated
+    once instead of once per element inside a lambda."""
+    return F.array_repeat(value, F.size(arr))
+
+
 def l2_normalize(v) -> Column:
     """``v / ||v||``; a zero vector gives null instead of NaN."""
+    d = to_double(v)
     n = norm(v)
-    return F.when(n > 0, F.transform(to_double(v), lambda x: x / n))
+    return F.when(n > 0, F.zip_with(d, per_element(d, n), lambda x, m: x / m))
 
 
 def dot_logit(a, b, tau: float) -> Column:

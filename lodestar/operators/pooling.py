@@ -23,7 +23,7 @@ def pool_mean(df: DataFrame, id: str = "id", tok_pos: str = "tok_pos", hidden: s
     zero = F.array_repeat(F.lit(0.0), F.size(F.get(F.col("_s"), 0)["h"]))
     summed = F.aggregate("_s", zero, lambda acc, s: F.zip_with(acc, s["h"], lambda a, x: a + x * s["m"]))
     den = F.greatest(F.aggregate("_s", F.lit(0.0), lambda a, s: a + s["m"]), F.lit(1.0))
-    vec = F.transform(summed, lambda x: x / den)
+    vec = F.zip_with(summed, F.array_repeat(den, F.size(summed)), lambda x, d: x / d)
     if normalize:
         vec = l2_normalize(vec)
     return g.select(id, vec.alias(out))
