@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from lodestar.functions.random import hash_key, uniform
 from lodestar.functions.text import split_words
-from lodestar.operators.order import with_positions
+from lodestar.operators.order import global_from_group_positions, with_positions
 
 
 def _c(x) -> Column:
@@ -92,11 +92,19 @@ def with_partner(df: DataFrame, line: str, gpos: str, n_rows: int, seed, keys, o
 
 
 def concat_random(df: DataFrame, line: str, seed, keys, order_by=None, out: str = "text",
-                  only: Column | None = None) -> DataFrame:
-    """``f"{other} {line}"`` or ``f"{line} {other}"`` (50/50) with a random partner line."""
+                  only: Column | None = None, dense_in: tuple[str, str] | None = None) -> DataFrame:
+    """``f"{other} {line}"`` or ``f"{line} {other}"`` (50/50) with a random partner line.
+
+    Partners are drawn by global position.  ``dense_in=(group, pos)`` says that
+    ``pos`` is already dense within ``group`` (as in versioned line files), so
+    the global position comes from per-group counts instead of a global sort.
+    """
     order_by = order_by or keys
     n = df.count()
-    g = with_positions(df, order_by, pos="_gpos")
+    if dense_in is not None:
+        g = global_from_group_positions(df, dense_in[0], dense_in[1], out="_gpos")
+    else:
+        g = with_positions(df, order_by, pos="_gpos")
     j = with_partner(g, line, "_gpos", n, seed, [F.col(k) if isinstance(k, str) else k for k in keys],
                      out="_partner", only=only)
     first = uniform(seed, "order", *keys) < 0.5
@@ -105,12 +113,13 @@ def concat_random(df: DataFrame, line: str, seed, keys, order_by=None, out: str
     return j.withColumn(out, txt).drop("_gpos", "_partner")
 
 
-def augment(df: DataFrame, line: str, seed, keys, order_by=None) -> DataFrame:
+def augment(df: DataFrame, line: str, seed, keys, order_by=None,
+            dense_in: tuple[str, str] | None = None) -> DataFrame:
     """Draw one of eight cases per row and apply it: adds (case, text)."""
     kc = [F.col(k) if isinstance(k, str) else k for k in keys]
     case = draw_case(seed, *kc)
     t = df.withColumn("case", case)
-    t = concat_random(t, line, seed, keys, order_by, out="_c4", only=F.col("case") == 4)
+    t = concat_random(t, line, seed, keys, order_by, out="_c4", only=F.col("case") == 4, dense_in=dense_in)
     s = F.col(line)
     text = (F.when(F.col("case") == 1, s)
             .when(F.col("case") == 2, substring_random(s, seed, *kc))

@@ -61,6 +61,20 @@ def with_positions(df: DataFrame, order_by, pos: str = "pos", group_by=(),
     return out
 
 
+def global_from_group_positions(df: DataFrame, group: str, pos: str, out: str = "gpos") -> DataFrame:
+    """Global dense position from positions that are already dense inside each
+    group: ``pos + rows of the earlier groups`` (groups ordered by value).
+
+    Only a per-group count table is aggregated (map-side partial counts), so no
+    data-sized sort is needed.  Meant for few groups (versions, runs).
+    """
+    counts = df.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.orderBy(group).rowsBetween(Window.unboundedPreceding, -1)  # one row per group
+    offs = counts.withColumn("_goff", F.coalesce(F.sum("_n").over(w), F.lit(0))).select(group, "_goff")
+    return (df.join(F.broadcast(offs), group)
+            .withColumn(out, (F.col("_goff") + F.col(pos)).cast("bigint")).drop("_goff"))
+
+
 def shuffle(df: DataFrame, key, seed: int = 42, pos: str = "pos") -> DataFrame:
     """Seeded global permutation: order by ``md5(seed|shuffle|key)``, then key."""
     k = F.col(key) if isinstance(key, str) else key

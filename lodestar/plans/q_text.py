@@ -168,7 +168,7 @@ SELECT version, pos, c4 AS text FROM x3c
 """)
 def aug_concat_random(spark, sf_dir):
     x3 = fx.lines(spark, sf_dir)
-    t = A.concat_random(x3, "line", SEED, list(KEYS))
+    t = A.concat_random(x3, "line", SEED, list(KEYS), dense_in=("version", "pos"))
     return t.select("version", "pos", "text")
 
 
@@ -184,7 +184,7 @@ FROM x3c
 """)
 def aug_dispatch(spark, sf_dir):
     x3 = fx.lines(spark, sf_dir)
-    t = A.augment(x3, "line", SEED, list(KEYS))
+    t = A.augment(x3, "line", SEED, list(KEYS), dense_in=("version", "pos"))
     return t.select("version", "pos", as_long("case").alias("case_id"), "text")
 
 
