@@ -82,13 +82,16 @@ def draw_case(seed, *keys, cases: int = 8) -> Column:
 def with_partner(df: DataFrame, line: str, gpos: str, n_rows: int, seed, keys, out: str = "partner",
                  only: Column | None = None) -> DataFrame:
     """Attach a uniformly drawn partner line (may be the row itself) by an
-    equi-join on its global position.  ``only`` limits the draw to some rows."""
+    equi-join on its global position.  ``only`` limits the draw to some rows;
+    the other rows bypass the join (a null join key would send all of them to
+    one shuffle partition) and are unioned back with a null partner."""
     draw = F.floor(uniform(seed, "other", *keys) * F.lit(n_rows)).cast("bigint")
-    if only is not None:
-        draw = F.when(only, draw)
-    left = df.withColumn("_other", draw)
     right = df.select(F.col(gpos).alias("_other"), F.col(line).alias(out))
-    return left.join(right, "_other", "left").drop("_other")
+    if only is None:
+        return df.withColumn("_other", draw).join(right, "_other", "left").drop("_other")
+    need = df.filter(only).withColumn("_other", draw).join(right, "_other", "left").drop("_other")
+    rest = df.filter(~only | only.isNull()).withColumn(out, F.lit(None).cast("string"))
+    return need.unionByName(rest)
 
 
 def concat_random(df: DataFrame, line: str, seed, keys, order_by=None, out: str = "text",

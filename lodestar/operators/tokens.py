@@ -61,12 +61,17 @@ def tokenize(df: DataFrame, keys, text: str, vocab: DataFrame, unk: int = AR.UNK
     keys = [keys] if isinstance(keys, str) else list(keys)
     spark = df.sparkSession
     v = vocab.select("token", F.col("id").alias("_tid"))
-    if vocab.count() <= broadcast_row_limit(spark, 96):
-        v = F.broadcast(v)
+    small = vocab.count() <= broadcast_row_limit(spark, 96)
     spaced = F.when(F.instr(F.col(text), "<") > 0,
                     F.regexp_replace(F.col(text), SPECIAL_PATTERN, " $1 ")).otherwise(F.col(text))
     ex = df.select(*keys, F.posexplode_outer(split_words(spaced)).alias("_i", "token"))
-    j = ex.join(v, "token", "left")
+    if small:
+        j = ex.join(F.broadcast(v), "token", "left")
+    else:
+        # Shuffle join on the word (AQE splits a hot word); the null word of an
+        # empty text must not be shuffled (all nulls meet in one partition).
+        j = (ex.filter(F.col("token").isNotNull()).join(v, "token", "left")
+             .unionByName(ex.filter(F.col("token").isNull()).withColumn("_tid", F.lit(None).cast("int"))))
     item = F.when(F.col("_i").isNotNull(), F.struct(F.col("_i"), F.coalesce("_tid", F.lit(unk)).alias("t")))
     g = j.groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("_s"))
     ids = F.transform("_s", lambda s: s["t"])

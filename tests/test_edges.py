@@ -68,3 +68,20 @@ def test_oversized_group_is_refused(spark):
                                    F.array(F.lit(1.0)).alias("qv"), F.array(F.lit(1.0)).alias("dv"))
     with pytest.raises(ValueError):
         C.in_batch_pairs(df, max_group_rows=10)
+
+
+def test_tokenize_without_broadcast_matches(spark):
+    from lodestar.operators import tokens as TK
+    from lodestar.plans import fixtures as fx
+
+    x3 = fx.lines(spark, SF_SMALL)
+    v = TK.build_vocab(x3, "line", max_size=300)
+    a = sorted((r.version, r.pos, tuple(r.tokens)) for r in TK.tokenize(x3, ["version", "pos"], "line", v, keep_input=False).collect())
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        b = sorted((r.version, r.pos, tuple(r.tokens)) for r in TK.tokenize(x3, ["version", "pos"], "line", v, keep_input=False).collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert a == b
+    assert any(t == (2,) for _, _, t in a)          # blank lines give [BOS] only
