@@ -29,10 +29,13 @@ def batch_tokens(df: DataFrame, batch_id: str = "batch_id", mask: str = "attenti
 
 def step_windows(df: DataFrame, width: int = 10, run: str = "run", step: str = "step") -> DataFrame:
     """Tumbling windows of ``width`` steps per run (complete windows only):
-    mean loss, tokens, seconds, tokens/s (0 when no time passed), running token total."""
+    mean loss (the distillation log), the loss at the window's last step (the
+    contrastive trainer logs that instant value), tokens, seconds, tokens/s
+    (0 when no time passed) and the running token total."""
     w = F.floor((F.col(step) - 1) / width).cast("bigint")
     agg = (df.withColumn("window_id", w).groupBy(run, "window_id").agg(
         F.count(F.lit(1)).alias("_n"), F.max(step).alias("last_step"), F.avg("loss").alias("mean_loss"),
+        F.max_by("loss", step).alias("instant_loss"),
         F.sum("tokens").alias("tokens"), F.sum("dt").alias("seconds"))
         .filter(F.col("_n") == width).drop("_n"))
     agg = agg.withColumn("tokens_per_sec", F.when(F.col("seconds") > 0, F.col("tokens") / F.col("seconds"))
@@ -52,3 +55,12 @@ def best_so_far(df: DataFrame, run: str = "run", step: str = "step", score: str
     t = running_agg(df, [step], score, group_by=[run], how="max", inclusive=False, out="_prev_max")
     prev = F.coalesce(F.greatest(F.col("_prev_max"), F.lit(initial)), F.lit(initial))
     return t.withColumn("previous_best", prev).filter(F.col(score) > F.col("previous_best")).drop("_prev_max")
+
+
+def write_best_record(improvements: DataFrame, path: str, run: str = "run", step: str = "step",
+                      score: str = "score") -> None:
+    """Best-record sink: the last improvement of each run, (run, step, best score),
+    overwriting the table (one row per run)."""
+    best = improvements.groupBy(run).agg(F.max_by(F.struct(step, score), step).alias("_b"))
+    best.select(run, F.col(f"_b.{step}").alias(step), F.col(f"_b.{score}").alias(f"best_{score}")) \
+        .write.mode("overwrite").parquet(path)

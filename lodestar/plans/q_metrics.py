@@ -15,8 +15,10 @@ WIDTH = 10
 
 TUMBLING_SQL = o.with_ctes(o.X9) + f"""
 , w AS (SELECT run, (step - 1) // {WIDTH} AS window_id, count(*) AS n, max(step) AS last_step, avg(loss) AS mean_loss,
-              sum(tokens) AS tokens, sum(dt) AS seconds FROM x9 GROUP BY run, (step - 1) // {WIDTH})
-SELECT run, window_id, last_step, round(mean_loss, 6) AS mean_loss, CAST(tokens AS BIGINT) AS tokens,
+              arg_max(loss, step) AS instant_loss, sum(tokens) AS tokens, sum(dt) AS seconds
+       FROM x9 GROUP BY run, (step - 1) // {WIDTH})
+SELECT run, window_id, last_step, round(mean_loss, 6) AS mean_loss, round(instant_loss, 6) AS instant_loss,
+       CAST(tokens AS BIGINT) AS tokens,
        round(seconds, 6) AS seconds, round(CASE WHEN seconds > 0 THEN tokens / seconds ELSE 0.0 END, 6) AS tokens_per_sec,
        CAST(sum(tokens) OVER (PARTITION BY run ORDER BY window_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS total_tokens
 FROM w WHERE n = {WIDTH}
@@ -24,7 +26,8 @@ FROM w WHERE n = {WIDTH}
 
 
 def tumbling_out(t):
-    return t.select("run", "window_id", "last_step", r6("mean_loss").alias("mean_loss"), as_long("tokens").alias("tokens"),
+    return t.select("run", "window_id", "last_step", r6("mean_loss").alias("mean_loss"),
+                    r6("instant_loss").alias("instant_loss"), as_long("tokens").alias("tokens"),
                     r6("seconds").alias("seconds"), r6("tokens_per_sec").alias("tokens_per_sec"),
                     as_long("total_tokens").alias("total_tokens"))
 

@@ -9,6 +9,9 @@ back and the line ends in ``}``.
 
 from __future__ import annotations
 
+import warnings
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,7 +42,13 @@ def parse_pair_lines(lines: DataFrame, col: str = "value") -> DataFrame:
 
 def _lines(spark: SparkSession, path: str, stream: bool) -> DataFrame:
     reader = spark.readStream if stream else spark.read
-    return reader.option("lineSep", "\n").text(path)
+    try:
+        return reader.option("lineSep", "\n").text(path)
+    except AnalysisException as e:
+        if stream or "PATH_NOT_FOUND" not in str(e):
+            raise
+        warnings.warn(f"pair file {path} not found; no pairs read")
+        return spark.createDataFrame([], "value string")
 
 
 def pairs_from_lines(lines: DataFrame) -> DataFrame:

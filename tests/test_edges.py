@@ -85,3 +85,16 @@ def test_tokenize_without_broadcast_matches(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert a == b
     assert any(t == (2,) for _, _, t in a)          # blank lines give [BOS] only
+
+
+def test_best_record_sink(spark):
+    from lodestar.operators.metrics import best_so_far, write_best_record
+    from lodestar.session import scratch_path
+
+    df = spark.createDataFrame([(0, 1, 0.2), (0, 2, 0.1), (0, 3, 0.5), (1, 1, -0.1), (1, 2, 0.3)],
+                               "run long, step long, score double")
+    imp = best_so_far(df)
+    assert sorted((r.run, r.step) for r in imp.collect()) == [(0, 1), (0, 3), (1, 2)]
+    path = scratch_path(spark, "best")
+    write_best_record(imp, path)
+    assert sorted(tuple(r) for r in spark.read.parquet(path).collect()) == [(0, 3, 0.5), (1, 2, 0.3)]

@@ -75,3 +75,13 @@ def test_decode_lenient(spark):
     df = spark.createDataFrame([(bytearray(b"ab\xc3!\xffcd"),), (bytearray("é".encode()),)], "b binary")
     got = [r.s for r in df.select(T.decode_lenient("b").alias("s")).collect()]
     assert got == [b"ab\xc3!\xffcd".decode("utf-8", errors="ignore"), "é"]
+
+
+def test_missing_jsonl_is_empty_with_warning(spark):
+    import warnings as w
+
+    with w.catch_warnings(record=True) as caught:
+        w.simplefilter("always")
+        df = read_pairs_jsonl(spark, "/nonexistent/lodestar/pairs.jsonl")
+    assert df.count() == 0 and df.columns == ["query", "positive", "rank"]
+    assert any("not found" in str(c.message) for c in caught)
