@@ -61,11 +61,18 @@ def retrieve(queries: DataFrame, corpus: DataFrame, k: int = 10, method: str = "
     if n_q <= limit:
         pairs = corpus.join(F.broadcast(queries), "task")
     else:
+        # Both sides large: hash blocks on both, each corpus block meets each
+        # query block of its task once; replication is |C|·nqb + |Q|·ncb.
         n_c = corpus.count()
-        ncb = max(1, min(shuffle_partitions(spark), math.ceil(n_c / corpus_block_rows)))
-        c = corpus.withColumn("_cb", F.pmod(F.xxhash64("did"), F.lit(ncb)))
-        q = queries.withColumn("_cb", F.explode(F.sequence(F.lit(0), F.lit(ncb - 1)))).withColumn("_cb", F.col("_cb").cast("long"))
-        pairs = c.join(q, ["task", "_cb"])
+        ncb = max(1, math.ceil(n_c / corpus_block_rows))
+        nqb = max(1, math.ceil(n_q / query_block_rows))
+        c = (corpus.withColumn("_cb", F.pmod(F.xxhash64("did"), F.lit(ncb)))
+             .withColumn("_qb", F.explode(F.sequence(F.lit(0), F.lit(nqb - 1))))
+             .withColumn("_qb", F.col("_qb").cast("long")))
+        q = (queries.withColumn("_qb", F.pmod(F.xxhash64("qid"), F.lit(nqb)))
+             .withColumn("_cb", F.explode(F.sequence(F.lit(0), F.lit(ncb - 1))))
+             .withColumn("_cb", F.col("_cb").cast("long")))
+        pairs = c.join(q, ["task", "_cb", "_qb"])
     scored = pairs.select("task", "qid", "did", dot("qv", "dv").alias("score"))
     return _rank_top_k(scored, k)
 

@@ -17,7 +17,7 @@ def _hits(df):
 def test_three_physical_forms_agree(spark):
     q, c, _ = fx.retrieval_sets(spark, SF_SMALL)
     a = _hits(rt.retrieve(q, c, 10))
-    b = _hits(rt.retrieve(q, c, 10, broadcast_rows=0, corpus_block_rows=50))
+    b = _hits(rt.retrieve(q, c, 10, broadcast_rows=0, corpus_block_rows=50, query_block_rows=9))
     d = _hits(rt.retrieve(q, c, 10, method="blocks", corpus_block_rows=60, query_block_rows=7))
     assert a == b
     assert a.keys() == d.keys()
