@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestar.functions.vectors import dot
+from lodestar.functions.vectors import dot, l2_normalize
 from lodestar.session import broadcast_row_limit, ship_package, shuffle_partitions
 
 HITS_SCHEMA = "task string, qid long, did long, score double"
@@ -47,11 +47,17 @@ def _vector_bytes(df: DataFrame, col: str) -> int:
 
 def retrieve(queries: DataFrame, corpus: DataFrame, k: int = 10, method: str = "native",
              corpus_block_rows: int = 50_000, query_block_rows: int = 20_000,
-             broadcast_rows: int | None = None) -> DataFrame:
-    """Top-k corpus documents per query by dot product (vectors already normalised).
+             broadcast_rows: int | None = None, similarity: str = "dot") -> DataFrame:
+    """Top-k corpus documents per query by dot product, or by cosine with
+    ``similarity="cosine"`` (both sides L2-normalised first, once per vector).
 
     Ties are broken by ascending ``did``.  Returns (task, qid, did, score, rank).
     """
+    if similarity == "cosine":
+        queries = queries.withColumn("qv", l2_normalize("qv"))
+        corpus = corpus.withColumn("dv", l2_normalize("dv"))
+    elif similarity != "dot":
+        raise ValueError(f"unknown similarity {similarity}")
     if method == "blocks":
         return retrieve_blocks(queries, corpus, k, corpus_block_rows, query_block_rows)
     spark = queries.sparkSession

@@ -45,3 +45,12 @@ def test_macro_average_counts_missing_tasks(spark):
     s = rt.macro_average(scores, tasks=["a", "b", "c"]).first()
     assert s.total_tasks == 3 and s.valid_tasks == 2
     assert abs(s.avg_ndcg_at_5 - 0.625) < 1e-12     # b takes its test split first
+
+
+def test_cosine_equals_dot_on_unit_vectors(spark):
+    q, c, _ = fx.retrieval_sets(spark, SF_SMALL)
+    a = _hits(rt.retrieve(q, c, 5))
+    scaled = c.withColumn("dv", F.transform("dv", lambda x: x * 3.0))
+    b = _hits(rt.retrieve(q, scaled, 5, similarity="cosine"))
+    assert a.keys() == b.keys()
+    assert all(a[k][0] == b[k][0] and abs(a[k][1] - b[k][1]) < 1e-6 for k in a)

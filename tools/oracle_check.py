@@ -46,13 +46,20 @@ def main():
     ap.add_argument("--sf", default="/root/testdata/sf0.01")
     ap.add_argument("keys", nargs="*")
     ap.add_argument("--show", action="store_true")
+    ap.add_argument("--plain", action="store_true", help="plain SparkSession with Spark defaults")
     args = ap.parse_args()
 
     import duckdb
     from lodestar.session import get_session
     from lodestar.plans.registry import load_all
 
-    spark = get_session("local[8]", shuffle_partitions=8)
+    if args.plain:
+        from pyspark.sql import SparkSession
+
+        spark = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").getOrCreate()
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        spark = get_session("local[8]", shuffle_partitions=8)
     queries, oracle = load_all()
     con = duckdb.connect()
     for t in TABLES:
