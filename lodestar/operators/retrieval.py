@@ -122,7 +122,6 @@ def retrieve_blocks(queries: DataFrame, corpus: DataFrame, k: int = 10,
          .withColumn("_cb", F.explode(F.sequence(F.lit(0), F.lit(ncb - 1)))).withColumn("_cb", F.col("_cb").cast("long")))
     keys = ["task", "_cb", "_qb"]
     cand = c.groupBy(*keys).cogroup(q.groupBy(*keys)).applyInPandas(_block_scorer(k), HITS_SCHEMA)
-    del spark
     return _rank_top_k(cand, k)
 
 

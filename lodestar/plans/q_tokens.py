@@ -216,12 +216,8 @@ SELECT version, pos, role, array_to_string(t, ' ') AS tokens,
 """)
 def arr_role_splice(spark, sf_dir):
     t = x8(spark, sf_dir).select("version", "pos", AR.parse_ids("token_line").alias("ids"))
-    return TK_splice(t).select("version", "pos", "role", _s("tokens").alias("tokens"), as_long("eos_pos").alias("eos_pos"))
-
-
-def TK_splice(t):
-    from lodestar.operators.distill import splice_roles
-    return splice_roles(t, "ids")
+    return D.splice_roles(t, "ids").select("version", "pos", "role", _s("tokens").alias("tokens"),
+                                           as_long("eos_pos").alias("eos_pos"))
 
 
 @query("stats_token_budget", o.with_ctes(o.X3, VOCAB, X8) + f"""

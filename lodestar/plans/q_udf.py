@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lodestar.functions.arrays import truncate  # noqa: F401
 from lodestar.operators import encode as EN
 from lodestar.operators import pooling as PL
 from lodestar.plans import fixtures as fx

@@ -37,20 +37,6 @@ def as_long(c) -> Column:
     return c.cast("bigint")
 
 
-def normalize_types(df: DataFrame) -> DataFrame:
-    """int/short/byte -> bigint, float -> double (matching the oracle's types)."""
-    cols = []
-    for f in df.schema.fields:
-        t = f.dataType.simpleString()
-        if t in ("int", "smallint", "tinyint"):
-            cols.append(F.col(f.name).cast("bigint").alias(f.name))
-        elif t == "float":
-            cols.append(F.col(f.name).cast("double").alias(f.name))
-        else:
-            cols.append(F.col(f.name))
-    return df.select(*cols)
-
-
 def load_all():
     """Import every query module so that they register themselves."""
     from lodestar.plans import (  # noqa: F401
