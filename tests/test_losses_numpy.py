@@ -36,16 +36,16 @@ def _np_losses(Q, Dm, tau, kind, beta=1.0, margin=0.95, k=4):
         mean = imp.sum(1, keepdims=True) / ((1 - np.eye(n)).sum(1, keepdims=True) + EPS)
         s = (ne * imp / (mean + EPS)).sum(1)
         return -np.log(pe / (pe + s + EPS))
-    valid = (L >= pos[:, None] * margin) * (1 - np.eye(n))
-    sel = np.zeros_like(valid)
-    avail = valid.copy()
-    for _ in range(k):
-        eff = L * avail + (-1e9) * (1 - avail)
-        step = (eff == eff.max(1, keepdims=True)) * avail
-        sel = np.maximum(sel, step)
-        avail = avail * (1 - step)
-    s = (np.exp(L - m) * sel).sum(1)
-    return -np.log(pe / (pe + s + EPS))
+    out = np.empty(n)
+    for i in range(n):
+        # Eligible negatives of row i, then those whose score is one of the
+        # k largest distinct eligible scores.
+        elig = [j for j in range(n) if j != i and L[i, j] >= pos[i] * margin]
+        top = sorted({L[i, j] for j in elig}, reverse=True)[:k]
+        chosen = [j for j in elig if L[i, j] in top]
+        s = sum(np.exp(L[i, j] - m[i, 0]) for j in chosen)
+        out[i] = -np.log(pe[i] / (pe[i] + s + EPS))
+    return out
 
 
 def test_three_losses_match_numpy(spark):
