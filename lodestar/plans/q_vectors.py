@@ -22,22 +22,31 @@ SELECT pos, CAST(dim AS BIGINT) AS dim, round(value, 6) AS value FROM (
 """
 
 
-_NORM8 = f"list_transform(CAST(list_slice(qv, 1, 8) AS DOUBLE[]), lambda x: x / {o.norm_sql('list_slice(qv, 1, 8)')})"
+# The sum of a query and a document vector is not unit-norm, so normalising it is not a no-op.
+_SUM = "list_transform(generate_series(1, len(qv)), lambda i: qv[i]::DOUBLE + dv[i]::DOUBLE)"
+_X5S = "x5s AS (SELECT pos, " + _SUM + " AS sv FROM x5)"
+_NORM = f"list_transform(sv, lambda x: x / {o.norm_sql('sv')})"
+TRUNC_DIMS = 32
 
 
-@query("vec_truncate", o.with_ctes(o.X5) + _long_sql("CAST(list_slice(qv, 1, 8) AS DOUBLE[])"))
+def _summed(spark, sf_dir):
+    x = fx.vector_pairs(spark, sf_dir)
+    return x.select("pos", F.zip_with(V.to_double("qv"), V.to_double("dv"), lambda a, b: a + b).alias("sv"))
+
+
+@query("vec_truncate", o.with_ctes(o.X5) + _long_sql(f"CAST(list_slice(qv, 1, {TRUNC_DIMS}) AS DOUBLE[])"))
 def vec_truncate(spark, sf_dir):
-    return _long_form(fx.vector_pairs(spark, sf_dir), V.truncate_dims("qv", 8))
+    return _long_form(fx.vector_pairs(spark, sf_dir), V.truncate_dims("qv", TRUNC_DIMS))
 
 
-@query("vec_l2_normalize", o.with_ctes(o.X5) + _long_sql(_NORM8))
+@query("vec_l2_normalize", o.with_ctes(o.X5, _X5S) + _long_sql(_NORM).replace("FROM x5))", "FROM x5s))"))
 def vec_l2_normalize(spark, sf_dir):
-    return _long_form(fx.vector_pairs(spark, sf_dir), V.l2_normalize(V.truncate_dims("qv", 8)))
+    return _long_form(_summed(spark, sf_dir), V.l2_normalize("sv"))
 
 
-@query("vec_cast", o.with_ctes(o.X5) + _long_sql(f"CAST(CAST({_NORM8} AS FLOAT[]) AS DOUBLE[])"))
+@query("vec_cast", o.with_ctes(o.X5, _X5S) + _long_sql(f"CAST(CAST({_NORM} AS FLOAT[]) AS DOUBLE[])").replace("FROM x5))", "FROM x5s))"))
 def vec_cast(spark, sf_dir):
-    return _long_form(fx.vector_pairs(spark, sf_dir), V.to_float(V.l2_normalize(V.truncate_dims("qv", 8))))
+    return _long_form(_summed(spark, sf_dir), V.to_float(V.l2_normalize("sv")))
 
 
 @query("vec_dot_logit", o.with_ctes(o.X5) + f"""
@@ -48,15 +57,14 @@ def vec_dot_logit(spark, sf_dir):
     return x.select("pos", r6(V.dot_logit("qv", "dv", 0.05)).alias("logit"))
 
 
-_Q16, _D16 = "list_slice(qv, 1, 16)", "list_slice(dv, 1, 16)"
-
-
-@query("vec_cosine", o.with_ctes(o.X5) + f"""
-SELECT pos, round({o.dot_sql(_Q16, _D16)} / ({o.norm_sql(_Q16)} * {o.norm_sql(_D16)}), 6) AS cosine FROM x5
+@query("vec_cosine", o.with_ctes(o.X5, _X5S) + f"""
+SELECT x5.pos, round({o.dot_sql('qv', 'sv')} / ({o.norm_sql('qv')} * {o.norm_sql('sv')}), 6) AS cosine
+FROM x5 JOIN x5s USING (pos)
 """)
 def vec_cosine(spark, sf_dir):
     x = fx.vector_pairs(spark, sf_dir)
-    return x.select("pos", r6(V.cosine(V.truncate_dims("qv", 16), V.truncate_dims("dv", 16))).alias("cosine"))
+    sv = F.zip_with(V.to_double("qv"), V.to_double("dv"), lambda a, b: a + b)
+    return x.select("pos", r6(V.cosine("qv", sv)).alias("cosine"))
 
 
 @query("vec_l1", o.with_ctes(o.X5) + """
