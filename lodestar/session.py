@@ -96,24 +96,30 @@ def ship_package(spark: SparkSession) -> None:
     mapInPandas) pickle references to this package; the package is zipped and
     registered with ``addPyFile``, which copies it to every executor.
     """
+    import io
     import zipfile
 
+    from pyarrow import fs as pafs
+
     sc = spark.sparkContext
     key = sc.applicationId
     if key in _SHIPPED:
         return
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
-    root = checkpoint_root(spark)
-    local = root[len("file:"):] if root.startswith("file:") else root
-    base = local if ("://" not in local and os.path.isdir(local)) else None
-    out_dir = tempfile.mkdtemp(prefix="lodestar-py-", dir=base)
-    zpath = os.path.join(out_dir, "lodestar.zip")
-    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
         for cur, dirs, files in os.walk(pkg_dir):
             dirs[:] = [d for d in dirs if d != "__pycache__"]
             for f in files:
                 if f.endswith(".py"):
                     full = os.path.join(cur, f)
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
-    sc.addPyFile(zpath)
+    # Written into the shared checkpoint folder; addPyFile copies it to executors.
+    target = f"{scratch_path(spark, 'pyfiles')}/lodestar.zip"
+    uri = target if "://" in target else "file://" + os.path.abspath(target.replace("file:", "", 1))
+    filesystem, path = pafs.FileSystem.from_uri(uri)
+    filesystem.create_dir(path.rsplit("/", 1)[0], recursive=True)
+    with filesystem.open_output_stream(path) as out:
+        out.write(buf.getvalue())
+    sc.addPyFile(target if "://" in target else path)
     _SHIPPED.add(key)
