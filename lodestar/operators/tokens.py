@@ -50,13 +50,16 @@ def build_vocab(df: DataFrame, text: str, max_size: int | None = None, reserved=
 
 
 def tokenize(df: DataFrame, keys, text: str, vocab: DataFrame, unk: int = AR.UNK_ID,
-             add_bos: bool = True, out: str = "tokens", keep_input: bool = True) -> DataFrame:
+             add_bos: bool = True, out: str = "tokens", keep_input: bool = True,
+             long_form: bool = False) -> DataFrame:
     """Add ``out`` = [BOS] + vocabulary ids of the words of ``text`` (UNK for misses).
 
     The word rows of one text sit in one partition after the explode, so the
     partial ``collect_list`` turns them into one id array per text before the
     only shuffle; with ``keep_input=False`` the result is just (keys, out) and
-    no join back to the input is needed.
+    no join back to the input is needed.  ``long_form=True`` skips the regroup
+    and returns (keys, tok_pos, token_id) rows — BOS at 0 — so a single huge
+    text is never gathered into one task.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     spark = df.sparkSession
@@ -72,6 +75,14 @@ def tokenize(df: DataFrame, keys, text: str, vocab: DataFrame, unk: int = AR.UNK
         # empty text must not be shuffled (all nulls meet in one partition).
         j = (ex.filter(F.col("token").isNotNull()).join(v, "token", "left")
              .unionByName(ex.filter(F.col("token").isNull()).withColumn("_tid", F.lit(None).cast("int"))))
+    if long_form:
+        shift = 1 if add_bos else 0
+        words = j.filter(F.col("_i").isNotNull()).select(
+            *keys, (F.col("_i") + shift).alias("tok_pos"), F.coalesce("_tid", F.lit(unk)).alias("token_id"))
+        if not add_bos:
+            return words
+        bos = df.select(*keys, F.lit(0).alias("tok_pos"), F.lit(AR.BOS_ID).alias("token_id"))
+        return words.unionByName(bos)
     item = F.when(F.col("_i").isNotNull(), F.struct(F.col("_i"), F.coalesce("_tid", F.lit(unk)).alias("t")))
     g = j.groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("_s"))
     ids = F.transform("_s", lambda s: s["t"])

@@ -98,3 +98,18 @@ def test_best_record_sink(spark):
     path = scratch_path(spark, "best")
     write_best_record(imp, path)
     assert sorted(tuple(r) for r in spark.read.parquet(path).collect()) == [(0, 3, 0.5), (1, 2, 0.3)]
+
+
+def test_tokenize_long_form_equals_arrays(spark):
+    from lodestar.operators import tokens as TK
+    from lodestar.plans import fixtures as fx
+
+    x3 = fx.lines(spark, SF_SMALL)
+    v = TK.build_vocab(x3, "line", max_size=300)
+    arr = {(r.version, r.pos): list(r.tokens)
+           for r in TK.tokenize(x3, ["version", "pos"], "line", v, keep_input=False).collect()}
+    rows = TK.tokenize(x3, ["version", "pos"], "line", v, long_form=True).collect()
+    longf = {}
+    for r in rows:
+        longf.setdefault((r.version, r.pos), []).append((r.tok_pos, r.token_id))
+    assert arr == {k: [t for _, t in sorted(v)] for k, v in longf.items()}
