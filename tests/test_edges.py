@@ -113,3 +113,20 @@ def test_tokenize_long_form_equals_arrays(spark):
     for r in rows:
         longf.setdefault((r.version, r.pos), []).append((r.tok_pos, r.token_id))
     assert arr == {k: [t for _, t in sorted(v)] for k, v in longf.items()}
+
+
+def test_batch_sink_layout_and_roundtrip(spark):
+    import os
+
+    from lodestar.session import scratch_path
+    from lodestar.sinks.batches import read_batches, write_batches
+
+    df = spark.range(0, 200).select(F.col("id").alias("pos"), (F.col("id") / 16).cast("long").alias("batch_id"),
+                                    F.array(F.col("id").cast("int")).alias("input_ids"))
+    path = scratch_path(spark, "test-batches")
+    write_batches(df, path, batches_per_bucket=4)
+    buckets = sorted(d for d in os.listdir(path) if d.startswith("bucket="))
+    assert buckets == [f"bucket={i}" for i in range(4)]          # 13 batches / 4 per bucket
+    back = read_batches(spark, path).select("pos", "batch_id", "input_ids")
+    assert sorted(tuple(r[:2]) + (tuple(r[2]),) for r in back.collect()) == \
+        sorted(tuple(r[:2]) + (tuple(r[2]),) for r in df.collect())
