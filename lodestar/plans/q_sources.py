@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lodestar.functions import text as T
-from lodestar.operators.pairs import clean_pairs, pairs_from_hits
+from lodestar.operators.pairs import pairs_from_hits
 from lodestar.plans import fixtures as fx
 from lodestar.plans import oracle as o
 from lodestar.plans.q_tokens import VOCAB, X8, x8

@@ -2,8 +2,6 @@
 
 import json
 
-from pyspark.sql import functions as F
-
 from lodestar.functions import text as T
 from lodestar.plans import fixtures as fx
 from lodestar.session import scratch_path
