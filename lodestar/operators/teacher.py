@@ -1,4 +1,4 @@
-"""Distillation data: positional alignment, dimension checks and the distill loss."""
+"""Teacher-vector data: positional alignment, dimension checks and the distillation loss."""
 
 from __future__ import annotations
 

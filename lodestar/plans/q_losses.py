@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lodestar.functions import vectors as V
 from lodestar.operators import contrastive as C
-from lodestar.operators import distill as D
+from lodestar.operators import teacher as D
 from lodestar.operators.order import micro_split
 from lodestar.plans import fixtures as fx
 from lodestar.plans import oracle as o

@@ -8,7 +8,7 @@ from lodestar.functions import arrays as AR
 from lodestar.operators import augment as A
 from lodestar.operators import order as OR
 from lodestar.operators import tokens as TK
-from lodestar.operators.distill import splice_roles
+from lodestar.operators.teacher import splice_roles
 from lodestar.operators.pairs import valid_pairs
 from lodestar.plans import fixtures as fx
 from lodestar.plans import oracle as o

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lodestar.functions import arrays as AR
 from lodestar.functions import text as T
 from lodestar.functions import vectors as V
-from lodestar.operators import distill as D
+from lodestar.operators import teacher as D
 from lodestar.operators import tokens as TK
 from lodestar.operators.pairs import valid_pairs
 from lodestar.plans import fixtures as fx

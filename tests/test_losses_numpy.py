@@ -5,7 +5,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from lodestar.operators import contrastive as C
-from lodestar.operators import distill as D
+from lodestar.operators import teacher as D
 from lodestar.plans import fixtures as fx
 from tests.conftest import SF_SMALL
 
