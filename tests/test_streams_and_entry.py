@@ -39,3 +39,17 @@ def test_entry_smoke(spark):
     assert df.columns == ["task", "split", "metric", "k", "score"]
     assert df.count() > 0
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_stream_metrics_equals_batch(spark):
+    x9 = fx.metric_log(spark, SF_SMALL)
+    src = scratch_path(spark, "test-x9m")
+    x9.write.parquet(src)
+    root = scratch_path(spark, "test-metrics")
+    S.stream_metrics(spark, src, f"{root}/out", f"{root}/ck", x9.schema,
+                     max_files_per_trigger=S.files_per_trigger(spark, src), state_partitions=4)
+    got = sorted((r.run, r.window_id, r.n, round(r.mean_loss, 9), r.tokens)
+                 for r in spark.read.parquet(f"{root}/out").collect())
+    b = (x9.groupBy("run", F.floor((F.col("step") - 1) / 10).cast("bigint").alias("window_id"))
+         .agg(F.count(F.lit(1)).alias("n"), F.avg("loss").alias("mean_loss"), F.sum("tokens").alias("tokens")))
+    assert got == sorted((r.run, r.window_id, r.n, round(r.mean_loss, 9), r.tokens) for r in b.collect())
