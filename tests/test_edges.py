@@ -148,3 +148,19 @@ def test_read_lines_keeps_file_order_across_splits(spark):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert got == [r.line for r in x3.orderBy("pos").collect()]
+
+
+def test_encoder_plugin_contract(spark):
+    import pytest as _pt
+
+    from lodestar.operators.encode import HashingEncoder, encode_texts
+
+    df = spark.createDataFrame([(1, "a b c"), (2, "one two three four five six")], "id long, text string")
+    f = HashingEncoder.factory(16)
+    mean = {r.id: r.embedding for r in encode_texts(df, "text", F.lit("query"), f, pooling="mean").collect()}
+    assert all(abs(sum(x * x for x in v) - 1.0) < 1e-5 for v in mean.values())
+    eos = {r.id: r.embedding for r in encode_texts(df, "text", F.lit("query"), f, pooling="eos", max_length=4).collect()}
+    assert eos[1] is None                           # "<bos> <unused0> a b": no EOS left at length 4
+    assert eos[2] is None
+    with _pt.raises(ValueError):
+        encode_texts(df, "text", F.lit("query"), f, pooling="max")
