@@ -164,3 +164,16 @@ def test_encoder_plugin_contract(spark):
     assert eos[2] is None
     with _pt.raises(ValueError):
         encode_texts(df, "text", F.lit("query"), f, pooling="max")
+
+
+def test_sample_rounds_cap_and_seed_advance(spark):
+    from lodestar.sources.sample import sample_pairs
+
+    df = spark.range(0, 5000).withColumnRenamed("id", "key")
+    s = sample_pairs(df, "key", p=0.05, seed=42, rounds=4, cap=100)
+    per = {r["round"]: r["count"] for r in s.groupBy("round").count().collect()}
+    assert set(per) == {0, 1, 2, 3} and all(v == 100 for v in per.values())   # ~250 drawn, capped at 100
+    keys = {r: {x.key for x in s.filter(F.col("round") == r).collect()} for r in range(4)}
+    assert len(keys[0] & keys[1]) < 50                                          # a new seed each round
+    again = sample_pairs(df.repartition(7), "key", p=0.05, seed=42, rounds=4, cap=100)
+    assert sorted(tuple(r) for r in again.collect()) == sorted(tuple(r) for r in s.collect())
