@@ -177,3 +177,14 @@ def test_sample_rounds_cap_and_seed_advance(spark):
     assert len(keys[0] & keys[1]) < 50                                          # a new seed each round
     again = sample_pairs(df.repartition(7), "key", p=0.05, seed=42, rounds=4, cap=100)
     assert sorted(tuple(r) for r in again.collect()) == sorted(tuple(r) for r in s.collect())
+
+
+def test_alignment_reports_missing_version(spark):
+    from lodestar.operators.teacher import check_alignment
+
+    toks = spark.createDataFrame([("v6", 0), ("v6", 1), ("v7", 0)], "version string, pos long")
+    qv = spark.createDataFrame([("v6", 0), ("v6", 1), ("v7", 0)], "version string, pos long")
+    dv = spark.createDataFrame([("v6", 0), ("v6", 1)], "version string, pos long")   # no v7 at all
+    got = {r.version: (r.n_tokens, r.n_query, r.n_doc, r.ok)
+           for r in check_alignment({"tokens": toks, "query": qv, "doc": dv}).collect()}
+    assert got == {"v6": (2, 2, 2, True), "v7": (1, 1, 0, False)}
