@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -48,7 +49,7 @@ def text_slices(batch: pa.RecordBatch, col: str) -> Iterator[tuple[pa.RecordBatc
     if not batch.num_rows:
         return
     arr = batch.column(batch.schema.get_field_index(col))
-    lens = pa.compute.fill_null(pa.compute.binary_length(arr), 0).to_numpy(zero_copy_only=False)
+    lens = pc.fill_null(pc.binary_length(arr), 0).to_numpy(zero_copy_only=False)
     part = np.cumsum(lens) // SLICE_BYTES
     cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
     for a, b in zip(cuts, cuts[1:]):
