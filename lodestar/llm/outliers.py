@@ -44,7 +44,7 @@ MIN_WORDS = 50
 #: Share of rows that an estimate rests on, steps, smallest group, tail probability beyond which a row is an outlier.
 ALPHA, STEPS, MIN_ROWS, TAIL = 0.75, 6, 60, 1e-6
 #: Standard deviations below which no statistic goes: log length, and three angles.
-FLOORS = (0.08, 0.08, 0.12, 0.12)
+FLOORS = (0.08, 0.09, 0.16, 0.16)
 BINS_PER_OCTAVE = 8
 D = 4
 _X = [f"x{i}" for i in range(D)]
