@@ -20,5 +20,5 @@ def query(name: str, sql: str | None = None):
 
 
 def load_all():
-    from lodestar.llm import q_decontam, q_language, q_neardup, q_quality, q_secrets, q_tokenize, q_warc  # noqa: F401
+    from lodestar.llm import q_decontam, q_language, q_neardup, q_quality, q_scoring, q_secrets, q_tokenize, q_warc  # noqa: F401
     return QUERIES, ORACLE

@@ -293,16 +293,22 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
             .select("a", "b"))
 
 
+def text_hash(text):
+    """What tells rows of one doc_id apart; null and empty texts are the same."""
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+
+
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4,
          num: int = 85, den: int = 100) -> tuple[DataFrame, DataFrame]:
     """(per document, links).
 
-    Per document, one row each: doc_id, n_shingles, cls (null: no shingles) and
-    component_id, the least doc_id it reaches.  Links: pairs (a, b) of classes
+    Per document, one row each: doc_id, text_hash, n_shingles, cls (null: no
+    shingles) and component_id, the least doc_id it reaches.  Links: pairs (a, b) of classes
     above the threshold that were compared; they span every component.
     """
     d = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    named = land(map_texts(d, "text", ["doc_id"], "n_shingles bigint, cls bigint", _sets(width)), "sets")
+    hashed = d.withColumn("text_hash", text_hash(F.col("text")))
+    named = land(map_texts(hashed, "text", ["doc_id", "text_hash"], "n_shingles bigint, cls bigint", _sets(width)), "sets")
 
     entries = (map_texts(d.select("text"), "text", [], "cls bigint, sigs array<bigint>", _entries(width, num, den))
                .filter(F.col("cls").isNotNull()).select("cls", F.explode("sigs").alias("sig")))

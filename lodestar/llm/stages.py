@@ -1,5 +1,83 @@
-"""Stages of the corpus pipeline, each a function (spark, docs, sf_dir) -> DataFrame."""
+"""Stages of the corpus pipeline, each a function (spark, docs, sf_dir) -> DataFrame.
+
+All but the last return the columns of ``docs``, whatever they are; extra columns pass
+through untouched and may have any name.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lodestar.llm import bpe_tree, byte_cnn, decontam, secrets, signature_tree
+from lodestar.llm.common import id_text, read_table
+from lodestar.session import scratch_path, ship_package
+
+#: Probability below which no language is certain enough; with four languages a coin of four sides gives 0.25.
+MIN_LANGUAGE_SCORE = 0.4
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents without a letter or text, and those that fit no learned language."""
+    ship_package(spark)
+    net = byte_cnn.fit(docs, F.lit(True))
+    known = byte_cnn.predict(docs, net, lang_out="__lang", score_out="__score")
+    return known.filter((F.col("__lang") != byte_cnn.UNKNOWN) & (F.col("__score") >= MIN_LANGUAGE_SCORE)).select(
+        *[F.col(f"`{c}`") for c in docs.columns])
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each group of near-duplicates: that with the smallest doc_id.
+
+    Of repeated rows one stays; documents without words are no duplicates and all stay.
+    """
+    ship_package(spark)
+    per_doc, _ = signature_tree.join(docs)
+    chosen = (per_doc.filter(F.col("cls").isNotNull() & F.col("doc_id").eqNullSafe(F.col("component_id")))
+              .groupBy("component_id").agg(F.min_by(F.struct("doc_id", "text_hash"), "text_hash").alias("c"))
+              .select(id_text("c.doc_id").alias("__id"), F.col("c.text_hash").alias("__hash")))
+    lone = per_doc.filter(F.col("cls").isNull()).select(
+        id_text().alias("__id"), F.col("text_hash").alias("__hash")).distinct()
+    keyed = docs.withColumn("__id", id_text()).withColumn("__hash", signature_tree.text_hash(F.col("text")))
+    one = keyed.join(chosen, ["__id", "__hash"], "left_semi").dropDuplicates(["__id", "__hash"])
+    # a document without words is told by its hash; those are few different texts
+    return one.unionByName(keyed.join(lone, ["__id", "__hash"], "left_semi")).drop("__id", "__hash")
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that hold a window of a benchmark item."""
+    ship_package(spark)
+    return decontam.remove_documents(docs, read_table(spark, sf_dir, "benchmark"))
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replace every secret by a mark; n_chars follows the text where the column is there."""
+    ship_package(spark)
+    out = secrets.redact_documents(docs, scratch_path(spark, "secret-ledger"))
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        new = F.char_length("text").cast(kind)
+        out = out.withColumn("n_chars", F.when(F.col("text").contains("[SECRET]"), new).otherwise(F.col("n_chars")))
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of every text and the text that they decode to.
+
+    Adds token_ids (little-endian unsigned 32-bit integers), n_tokens and decoded; columns of these
+    names are replaced.
+    """
+    ship_package(spark)
+    file = public_tokenizers.path("word_bpe_49k.json")
+    new = {"token_ids", "n_tokens", "decoded"}
+    keep = [c for c in docs.columns if c not in new]
+    ids = bpe_tree.encode(docs.select(*[F.col(f"`{c}`") for c in keep], F.col("text").alias("__encode")), file,
+                          text_col="__encode", out="token_ids", keep=keep)
+    ids = ids.withColumn("n_tokens", bpe_tree.n_ids(F.col("token_ids")))
+    return bpe_tree.decode(ids.withColumn("__ids", F.col("token_ids")), file, ids_col="__ids",
+                           keep=[*keep, "token_ids", "n_tokens"])
+
+
+STAGES = [("language_id", language_id), ("near_duplicates", near_duplicates), ("decontaminate", decontaminate),
+          ("redact_secrets", redact_secrets), ("tokenize", tokenize)]
