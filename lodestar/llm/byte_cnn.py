@@ -107,7 +107,9 @@ class Net:
                               / (np.sqrt(v[k] / (1 - 0.999 ** step)) + 1e-7)).astype(np.float32)
 
     def predict(self, texts: list) -> tuple[list[str], list[float]]:
-        raw = [t.encode() if t and self.langs and _letter.search(t) else b"" for t in texts]
+        if not self.langs:
+            return [UNKNOWN] * len(texts), [0.0] * len(texts)
+        raw = [t.encode() if t and _letter.search(t) else b"" for t in texts]
         n = np.array([-(-len(b) // WINDOW) for b in raw], np.int64)
         buf = np.frombuffer(b"".join(b.ljust(k * WINDOW, b"\0") for b, k in zip(raw, n.tolist())), np.uint8)
         p = self.probabilities(buf.reshape(-1, WINDOW))
@@ -115,7 +117,7 @@ class Net:
         owner = np.repeat(np.arange(len(raw)), n)
         size = np.array(list(map(len, raw)), np.int64)
         weight = np.minimum(WINDOW, size[owner] - WINDOW * (np.arange(len(owner)) - (ends - n)[owner]))
-        total = np.zeros((len(raw), max(1, len(self.langs))))
+        total = np.zeros((len(raw), len(self.langs)))
         np.add.at(total, owner, p * weight[:, None])
         total /= np.maximum(size, 1)[:, None]
         best = total.argmax(1)
