@@ -59,14 +59,6 @@ def mask_to_eos(tokens, eos: int = EOS_ID) -> Column:
     return F.transform(F.array_repeat(e, F.size(t)), lambda ee, i: F.when(i <= ee, 1).otherwise(0))
 
 
-def splice_role(tokens, prefix, eos: int = EOS_ID) -> Column:
-    """Drop the first id (BOS), prepend ``prefix`` ids, append EOS."""
-    t = _c(tokens)
-    rest = F.when(F.size(t) > 1, F.slice(t, 2, F.greatest(F.size(t) - 1, F.lit(1)))).otherwise(
-        F.array().cast("array<int>"))
-    return F.concat(F.array(*[F.lit(p) for p in prefix]), rest, F.array(F.lit(eos)))
-
-
 def parse_ids(line) -> Column:
     """Whitespace-separated integers of a token line; blank line gives []."""
     from lodestar.functions.text import split_words

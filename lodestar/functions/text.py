@@ -94,8 +94,3 @@ def prompt(text, role, layout: str = "prefix") -> Column:
 def decode_lenient(col) -> Column:
     """UTF-8 bytes to text, dropping malformed sequences (``errors='ignore'``)."""
     return F.replace(F.make_valid_utf8(_c(col).cast("string")), F.lit("�"), F.lit(""))
-
-
-def reverse_chars(col) -> Column:
-    """Code-point reversal (Python ``s[::-1]``)."""
-    return F.reverse(_c(col))

@@ -24,27 +24,30 @@ from pyspark.sql import functions as F
 from lodestar.functions.vectors import dot_logit
 
 EPS = 1e-8
-MAX_GROUP_ROWS = 4096
 
 
 def in_batch_pairs(df: DataFrame, q: str = "qv", d: str = "dv", group="batch_id", idx: str = "pos",
-                   tau: float = 0.05, max_group_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
+                   tau: float = 0.05, tile: int | None = None) -> DataFrame:
     """All query x document pairs inside each group: (group..., qi, di, logit = q·d/tau).
 
-    A group of n rows yields n^2 pairs, so groups must be bounded (batches from
-    ``batch_fixed`` / ``micro_split`` are).  With ``max_group_rows`` set, the
-    largest group is measured first (one pass over the key columns) and an
-    oversized group raises instead of producing a quadratic blow-up.
+    A group of n rows yields n^2 pairs.  Batches from ``batch_fixed`` or ``micro_split`` are
+    bounded, and one join on the group serves them.  For groups of any size give ``tile``:
+    queries and documents of a group are then dealt into tiles of about that many
+    rows and each pair of tiles is joined by itself, with the same result.
     """
-    g = [group] if isinstance(group, str) else list(group)
-    if max_group_rows is not None:
-        largest = df.groupBy(*g).count().agg(F.max("count")).first()[0] or 0
-        if largest > max_group_rows:
-            raise ValueError(f"group of {largest} rows exceeds max_group_rows={max_group_rows}; "
-                             "split it with micro_split first")
+    g = _g(group)
     qs = df.select(*g, F.col(idx).alias("qi"), F.col(q).alias("_q"))
     ds = df.select(*g, F.col(idx).alias("di"), F.col(d).alias("_d"))
-    return qs.join(ds, g).select(*g, "qi", "di", dot_logit("_q", "_d", tau).alias("logit"))
+    keys = g
+    if tile is not None:
+        tiles = df.groupBy(*g).agg(F.ceil(F.count(F.lit(1)) / tile).cast("int").alias("_n"))
+        every = F.explode(F.sequence(F.lit(0), F.col("_n") - 1))
+        qs = qs.join(tiles, g).withColumn("_qt", F.pmod(F.xxhash64("qi"), "_n").cast("int")).withColumn(
+            "_dt", every).drop("_n")
+        ds = ds.join(tiles, g).withColumn("_dt", F.pmod(F.xxhash64("di"), "_n").cast("int")).withColumn(
+            "_qt", every).drop("_n")
+        keys = [*g, "_qt", "_dt"]
+    return qs.join(ds, keys).select(*g, "qi", "di", dot_logit("_q", "_d", tau).alias("logit"))
 
 
 def _g(group):

@@ -1,6 +1,11 @@
-"""Plug-in tokenizers and text encoders, applied through Arrow-batched pandas UDFs.
+"""Text encoders and plug-in tokenizers.
 
-A plug-in is given as a *factory* (a picklable zero-argument callable).  Each
+``hash_encode`` is the offline default encoder, in DataFrame expressions: every
+token has a fixed vector of small integers drawn from its md5, and a text's
+vector is pooled from its tokens' vectors in whole numbers, so the result is the same
+on any partitioning.
+
+Plug-ins are applied through Arrow-batched pandas UDFs.  A plug-in is given as a *factory* (a picklable zero-argument callable).  Each
 Python worker builds it once and keeps it for every later batch, as a model
 server would keep weights loaded.  Two offline defaults ship here:
 
@@ -15,20 +20,25 @@ server would keep weights loaded.  Two offline defaults ship here:
 from __future__ import annotations
 
 import functools
+import hashlib
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
+from lodestar.functions.text import split_words
 from lodestar.functions.vectors import l2_normalize, truncate_dims
-from lodestar.session import ship_package
+from lodestar.session import qualified, ship_package
 from lodestar.operators.tokens import SPECIAL_PATTERN
 
 _SPECIAL = re.compile(SPECIAL_PATTERN)
+#: Plug-in objects that a Python worker keeps.
+MAX_PLUGINS = 8
 _CACHE: dict = {}
 
 # Prompt markers (as in functions.text).
@@ -36,11 +46,16 @@ _MARK = {"query": "<unused0>", "document": "<unused1>"}
 
 
 def _cached(factory):
-    key = repr(factory)
-    obj = _CACHE.get(key)
-    if obj is None:
-        obj = _CACHE[key] = factory()
-    return obj
+    """The object that ``factory`` makes, once per worker.
+
+    The key is the pickled factory, not its repr: that of a closure is an address, which Python uses again.
+    """
+    key = hashlib.sha256(cloudpickle.dumps(factory)).digest()
+    if key not in _CACHE:
+        while len(_CACHE) >= MAX_PLUGINS:
+            _CACHE.pop(next(iter(_CACHE)))
+        _CACHE[key] = factory()
+    return _CACHE[key]
 
 
 def _words(text: str) -> list[str]:
@@ -56,14 +71,17 @@ class VocabTokenizer:
         import pyarrow.parquet as pq
         from pyarrow import fs as pafs
 
-        uri = path if "://" in path else "file://" + path
+        uri = re.sub("^file:/+", "file:///", path) if ":/" in path else "file://" + path
         filesystem, root = pafs.FileSystem.from_uri(uri)
         t = pq.read_table(root, filesystem=filesystem, columns=["token", "id"])
         return cls(dict(zip(t.column("token").to_pylist(), t.column("id").to_pylist())))
 
     @staticmethod
     def factory(path: str):
-        return functools.partial(VocabTokenizer.load, path)
+        """``path`` is resolved on the driver, by the session's default filesystem."""
+        from pyspark.sql import SparkSession
+
+        return functools.partial(VocabTokenizer.load, qualified(SparkSession.getActiveSession(), path))
 
     def encode(self, text: str) -> list[int]:
         m = self.mapping
@@ -98,39 +116,87 @@ class HashingEncoder:
     def factory(dim: int = 64, seed: int = 0):
         return functools.partial(HashingEncoder, dim, seed)
 
-    def hidden_states(self, text: str, role: str | None, max_length: int):
+    def tokens(self, text: str, role: str | None, max_length: int | None) -> list[str]:
+        """The framed words; a limit cuts words but keeps the closing ``<eos>``."""
+        mark = _MARK.get(role or "")
+        toks = ["<bos>"] + _words(f"{mark}{text}<eos>" if mark else f"{text}<eos>")
+        if max_length is not None and len(toks) > max_length:
+            toks = toks[:max_length - 1] + ["<eos>"]
+        return toks
+
+    def encode(self, texts, roles, pooling: str = "mean", max_length: int | None = None, normalize: bool = True):
+        """Vectors of a batch of texts (None for a null text): one table lookup for all tokens."""
         import xxhash
 
-        mark = _MARK.get(role or "")
-        framed = f"{mark}{text}<eos>" if mark else text
-        toks = (["<bos>"] + _words(framed))[:max_length]
-        ids = np.fromiter((xxhash.xxh64_intdigest(t) & self.mask for t in toks), dtype=np.int64, count=len(toks))
-        return toks, self.table[ids]
-
-    def encode(self, texts, roles, pooling: str = "mean", max_length: int = 256, normalize: bool = True):
-        out = []
-        for text, role in zip(texts, roles):
-            if text is None:
-                out.append(None)
-                continue
-            toks, H = self.hidden_states(text, role, max_length)
-            eos = max((i for i, t in enumerate(toks) if t == "<eos>"), default=None)
-            if pooling == "mean":
-                # mask = 1 through the last EOS, 0 after it (all 0 without an EOS)
-                v = H[: eos + 1].sum(axis=0) / (eos + 1) if eos is not None else np.zeros(self.dim)
-            else:
-                v = None if eos is None else H[eos]
-            if v is not None and normalize:
-                n = float(np.linalg.norm(v))
-                v = v / n if n > 0 else None
-            out.append(None if v is None else v.astype(np.float32))
+        toks = [None if t is None else self.tokens(t, r, max_length) for t, r in zip(texts, roles)]
+        size = np.array([len(t or ()) for t in toks], np.int64)
+        ids = np.fromiter((xxhash.xxh64_intdigest(w) & self.mask for t in toks if t for w in t), np.int64, size.sum())
+        full = np.flatnonzero(size)
+        ends = np.cumsum(size[full])
+        if not len(full):
+            return [None] * len(toks)
+        if pooling == "mean":  # every token up to the last <eos>, which closes the text
+            v = np.add.reduceat(self.table[ids], ends - size[full], axis=0) / size[full][:, None]
+        else:
+            v = self.table[ids[ends - 1]]
+        if normalize:
+            v = v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
+        out: list = [None] * len(toks)
+        for k, x in zip(full.tolist(), v.astype(np.float32)):
+            out[k] = x
         return out
 
 
-def encode_texts(df: DataFrame, text: str, role, encoder_factory, pooling: str = "mean", max_length: int = 256,
-                 normalize: bool = True, batch_size: int = 64, out: str = "embedding") -> DataFrame:
-    """Add ``out`` = encoder vectors of ``text`` (role: column or literal), computed
-    ``batch_size`` texts at a time inside Arrow batches."""
+#: Dimensions of the default encoder: one 16-bit draw each, eight to an md5.
+HASH_DIMS = 16
+
+
+def hash_encode(df: DataFrame, keys, text: str, role, pooling: str = "mean", max_length: int | None = None,
+                normalize: bool = True, dims: int = HASH_DIMS, seed: int = 0, out: str = "embedding") -> DataFrame:
+    """(keys, ``out`` array<double>, ``reason``): the default encoder in DataFrame expressions.
+
+    A text is framed as ``<bos>``, the role's mark, its words, ``<eos>``.  Mean pooling
+    averages the vectors of all tokens; EOS pooling takes the running state at the
+    ``<eos>``, the sum of all vectors so far, token i counting 1 + i mod 7 times.  No length limit by
+    default; with ``max_length`` words are cut and ``<eos>`` stays the last token.
+
+    Equal tokens of a text are summed before the vectors are drawn, and sums are whole
+    numbers.  ``keys`` must tell rows apart.  A null text has a null vector and the reason
+    ``null_text``; every other text has a vector and a null reason.
+    """
+    if pooling not in ("mean", "eos"):
+        raise ValueError(f"Invalid pooling method: {pooling}")
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    role_c: Column = F.col(role) if isinstance(role, str) else role
+    mark = F.when(role_c == "query", F.array(F.lit(_MARK["query"]))).when(
+        role_c == "document", F.array(F.lit(_MARK["document"]))).otherwise(F.array().cast("array<string>"))
+    eos = F.array(F.lit("<eos>"))
+    toks = F.concat(F.array(F.lit("<bos>")), mark, split_words(F.coalesce(F.col(text), F.lit(""))))
+    if max_length is not None:
+        toks = F.slice(toks, 1, max_length - 1)
+    weight = F.lit(1) if pooling == "mean" else 1 + F.pmod(F.col("_i"), F.lit(7))
+    words = (df.select(*keys, F.posexplode(F.concat(toks, eos)).alias("_i", "_t"), F.col(text).isNull().alias("_null"))
+             .groupBy(*keys, "_t", "_null").agg(F.sum(weight).cast("bigint").alias("_w"), F.count(F.lit(1)).alias("_c")))
+    for b in range(-(-dims // 8)):
+        words = words.withColumn(f"_h{b}", F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit(f"vector{b}"), F.col("_t"))))
+    draw = [F.col("_w") * (F.conv(F.substring(f"_h{i // 8}", 4 * (i % 8) + 1, 4), 16, 10).cast("bigint") - 32768)
+            for i in range(dims)]
+    sums = words.groupBy(*keys, "_null").agg(F.sum("_c").alias("_n"), *[F.sum(x).alias(f"_s{i}") for i, x in
+                                                                        enumerate(draw)])
+    div = F.col("_n") * 32768.0 if pooling == "mean" else F.lit(32768.0)
+    values = [F.col(f"_s{i}") / div for i in range(dims)]
+    if normalize:
+        sums = sums.withColumn("_norm", F.sqrt(sum((F.col(f"_s{i}").cast("double") * F.col(f"_s{i}")
+                                                    for i in range(dims)), F.lit(0.0))))
+        values = [F.when(F.col("_norm") > 0, F.col(f"_s{i}") / F.col("_norm")).otherwise(F.lit(0.0)) for i in range(dims)]
+    return sums.select(*keys, F.when(~F.col("_null"), F.array(*values)).alias(out),
+                       F.when(F.col("_null"), F.lit("null_text")).alias("reason"))
+
+
+def encode_texts(df: DataFrame, text: str, role, encoder_factory, pooling: str = "mean",
+                 max_length: int | None = None, normalize: bool = True, batch_size: int = 64, out: str = "embedding") -> DataFrame:
+    """Add ``out`` = vectors of ``text`` (role: column or literal) from a plug-in encoder, computed
+    ``batch_size`` texts at a time inside Arrow batches.  Only a null text has a null vector."""
     if pooling not in ("mean", "eos"):
         raise ValueError(f"Invalid pooling method: {pooling}")
     ship_package(df.sparkSession)

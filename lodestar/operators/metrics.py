@@ -14,7 +14,7 @@ def token_budget(df: DataFrame, token_line: str, budget: int, epochs: int, by: s
     """Tokens per version and in total (rollup), steps per epoch = tokens div budget,
     total steps = that x epochs, warm-up = max(1, int(0.1 x total))."""
     t = (df.rollup(by).agg(F.sum(F.size(split_words(token_line))).cast("bigint").alias("n_tokens")))
-    steps = F.floor(F.col("n_tokens") / budget).cast("bigint")
+    steps = F.expr(f"n_tokens div {budget}")
     t = t.withColumn("steps_per_epoch", steps).withColumn("total_steps", steps * epochs)
     return t.withColumn("warmup_steps", F.greatest(F.lit(1), (F.lit(0.1) * F.col("total_steps")).cast("bigint")))
 
@@ -32,7 +32,7 @@ def step_windows(df: DataFrame, width: int = 10, run: str = "run", step: str = "
     mean loss (the distillation log), the loss at the window's last step (the
     contrastive trainer logs that instant value), tokens, seconds, tokens/s
     (0 when no time passed) and the running token total."""
-    w = F.floor((F.col(step) - 1) / width).cast("bigint")
+    w = F.expr(f"(`{step}` - 1) div {width}")
     agg = (df.withColumn("window_id", w).groupBy(run, "window_id").agg(
         F.count(F.lit(1)).alias("_n"), F.max(step).alias("last_step"), F.avg("loss").alias("mean_loss"),
         F.max_by("loss", step).alias("instant_loss"),

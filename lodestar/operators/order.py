@@ -29,6 +29,12 @@ def _cols(keys) -> list[Column]:
     return [F.col(k) if isinstance(k, str) else k for k in keys]
 
 
+def _small(offsets: DataFrame, gcols) -> DataFrame:
+    """Broadcast hint for an offset table that has one row per partition; with groups the number
+    of rows grows with the groups, and Spark decides by its size."""
+    return offsets if gcols else F.broadcast(offsets)
+
+
 def with_positions(df: DataFrame, order_by, pos: str = "pos", group_by=(),
                    partitions: int | None = None) -> DataFrame:
     """Add ``pos``: 0-based dense rank of each row in ``order_by`` order.
@@ -54,8 +60,7 @@ def with_positions(df: DataFrame, order_by, pos: str = "pos", group_by=(),
                                                F.min("_loc").alias("_first"))
     w = Window.partitionBy(*gcols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0)))
-    out = (tagged.join(F.broadcast(offsets.select("_pid", *gcols, "_off", "_first")),
-                       ["_pid", *gcols])
+    out = (tagged.join(_small(offsets.select("_pid", *gcols, "_off", "_first"), gcols), ["_pid", *gcols])
            .withColumn(pos, (F.col("_off") + F.col("_loc") - F.col("_first")).cast("bigint"))
            .drop("_mid", "_pid", "_loc", "_off", "_first"))
     return out
@@ -71,7 +76,7 @@ def global_from_group_positions(df: DataFrame, group: str, pos: str, out: str =
     counts = df.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy(group).rowsBetween(Window.unboundedPreceding, -1)  # one row per group
     offs = counts.withColumn("_goff", F.coalesce(F.sum("_n").over(w), F.lit(0))).select(group, "_goff")
-    return (df.join(F.broadcast(offs), group)
+    return (df.join(offs, group)
             .withColumn(out, (F.col("_goff") + F.col(pos)).cast("bigint")).drop("_goff"))
 
 
@@ -84,7 +89,7 @@ def shuffle(df: DataFrame, key, seed: int = 42, pos: str = "pos") -> DataFrame:
 
 def batch_fixed(df: DataFrame, pos: str, size: int, drop_remainder: bool = False) -> DataFrame:
     """``batch_id = pos div size``, ``slot = pos mod size``; the tail batch is kept."""
-    out = (df.withColumn("batch_id", F.floor(F.col(pos) / size).cast("bigint"))
+    out = (df.withColumn("batch_id", F.expr(f"`{pos}` div {size}"))
            .withColumn("slot", F.pmod(F.col(pos), F.lit(size)).cast("bigint")))
     if drop_remainder:
         n = df.agg(F.count(F.lit(1))).first()[0]
@@ -108,7 +113,7 @@ def batch_epochs(df: DataFrame, pos: str, size: int, epochs: int, n_rows: int |
             "_skey", hash_key(seed, "epoch", F.col("epoch"), F.col(reshuffle_key)))
         rep = with_positions(rep, ["_skey", reshuffle_key], pos=pos, group_by=["epoch"]).drop("_skey")
     rep = rep.withColumn("gpos", F.col("epoch") * F.lit(n_rows) + F.col(pos))
-    return (rep.withColumn("batch_id", F.floor(F.col("gpos") / size).cast("bigint"))
+    return (rep.withColumn("batch_id", F.expr(f"gpos div {size}"))
             .withColumn("slot", F.pmod(F.col("gpos"), F.lit(size)).cast("bigint")))
 
 
@@ -121,9 +126,8 @@ def micro_split(df: DataFrame, g: int, batch_id: str = "batch_id", slot: str = "
     holding n; otherwise it is counted with a window over the batch.
     """
     n = F.col(batch_rows) if batch_rows else F.count(F.lit(1)).over(Window.partitionBy(batch_id))
-    m = F.floor(n / g)
-    out = df.withColumn("_m", m).filter(F.col("_m") > 0)
-    out = out.withColumn("micro_id", F.floor(F.col(slot) / F.col("_m")).cast("bigint"))
+    out = df.withColumn("_n", n).withColumn("_m", F.expr(f"_n div {g}")).drop("_n").filter(F.col("_m") > 0)
+    out = out.withColumn("micro_id", F.expr(f"`{slot}` div _m"))
     return out.filter(F.col("micro_id") < g).drop("_m")
 
 
@@ -153,7 +157,7 @@ def running_agg(df: DataFrame, order_by, value: str, group_by=(), how: str = "su
     totals = t.groupBy("_pid", *gcols).agg(fn(value).alias("_tot"))
     wp = Window.partitionBy(*gcols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     prior = totals.withColumn("_prior", fn("_tot").over(wp)).select("_pid", *gcols, "_prior")
-    j = local.join(F.broadcast(prior), ["_pid", *gcols])
+    j = local.join(_small(prior, gcols), ["_pid", *gcols])
     if how == "sum":
         val = F.when(F.col("_local").isNull() & F.col("_prior").isNull(), F.lit(None)).otherwise(
             F.coalesce("_local", F.lit(0)) + F.coalesce("_prior", F.lit(0)))

@@ -13,13 +13,6 @@ def valid_pairs(df: DataFrame, left: str = "query", right: str = "positive") ->
     return df.filter(T.is_truthy(left) & T.is_truthy(right))
 
 
-def clean_pairs(df: DataFrame, query: str = "query", positive: str = "positive", rank: str = "rank") -> DataFrame:
-    """(query, positive, rank int) from raw pairs: validity filter, then rank default."""
-    return (valid_pairs(df, query, positive)
-            .select(F.col(query).alias("query"), F.col(positive).alias("positive"),
-                    T.rank_or_default(rank).alias("rank")))
-
-
 def pairs_from_hits(df: DataFrame) -> DataFrame:
     """Index hits (query, title, snippet, rank) to raw pairs (query, positive, rank)."""
     return df.withColumn("positive", T.compose_document("title", "snippet"))

@@ -11,9 +11,19 @@ from lodestar.functions import vectors as V
 
 
 def align(*dfs: DataFrame, on=("version", "pos")) -> DataFrame:
-    """Equi-join sources row by row on their position keys (inner)."""
+    """Join sources row by row on their position keys.
+
+    Every position must be in every source: one that is missing somewhere raises an error,
+    since a dropped row would shift what belongs together.
+    """
     keys = list(on)
-    return reduce(lambda a, b: a.join(b, keys), dfs)
+    marked = [d.withColumn(f"_has{i}", F.lit(True)) for i, d in enumerate(dfs)]
+    j = reduce(lambda a, b: a.join(b, keys, "full"), marked)
+    everywhere = reduce(lambda a, b: a & b, [F.col(f"_has{i}").isNotNull() for i in range(len(dfs))])
+    where = F.concat_ws(" ", *[F.col(k).cast("string") for k in keys])
+    first = F.when(everywhere, F.col(keys[0])).otherwise(
+        F.raise_error(F.concat(F.lit("sources do not align at "), where)))
+    return j.withColumn(keys[0], first).drop(*[f"_has{i}" for i in range(len(dfs))])
 
 
 def check_alignment(named: dict, by: str = "version") -> DataFrame:

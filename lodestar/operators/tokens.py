@@ -21,6 +21,8 @@ from lodestar.session import broadcast_row_limit, ship_package
 # Reserved vocabulary entries (token text, id).
 RESERVED = [("<pad>", 0), ("<eos>", 1), ("<bos>", 2), ("<unk>", 3),
             ("<mask>", 4), ("<sep>", 5), ("<unused0>", 6), ("<unused1>", 7)]
+#: Most frequent words that are broadcast when the vocabulary is not.
+HOT_WORDS = 4096
 SPECIAL_PATTERN = "(" + "|".join(t for t, _ in RESERVED) + ")"
 
 
@@ -71,10 +73,17 @@ def tokenize(df: DataFrame, keys, text: str, vocab: DataFrame, unk: int = AR.UNK
     if small:
         j = ex.join(F.broadcast(v), "token", "left")
     else:
-        # Shuffle join on the word (AQE splits a hot word); the null word of an
-        # empty text must not be shuffled (all nulls meet in one partition).
-        j = (ex.filter(F.col("token").isNotNull()).join(v, "token", "left")
-             .unionByName(ex.filter(F.col("token").isNull()).withColumn("_tid", F.lit(None).cast("int"))))
+        # Too large to broadcast: the HOT_WORDS most frequent words (lowest ids) are broadcast, the
+        # others joined on the word.  Rows that need no join partner get a spread key of their own,
+        # so neither a frequent word nor the null word of empty texts meets in one partition.
+        hot = v.filter(F.col("_tid") < len(RESERVED) + HOT_WORDS)
+        rest = v.filter(F.col("_tid") >= len(RESERVED) + HOT_WORDS).select(
+            F.col("token").alias("_key"), F.col("_tid").alias("_rest"))
+        done = F.col("_tid").isNotNull() | F.col("token").isNull()
+        spread = F.concat(F.lit("\u0000"), F.xxhash64(*[F.col(k) for k in keys], "_i").cast("string"))
+        j = (ex.join(F.broadcast(hot), "token", "left")
+             .withColumn("_key", F.when(done, spread).otherwise(F.col("token")))
+             .join(rest, "_key", "left").withColumn("_tid", F.coalesce("_tid", "_rest")).drop("_key", "_rest"))
     if long_form:
         shift = 1 if add_bos else 0
         words = j.filter(F.col("_i").isNotNull()).select(
@@ -118,7 +127,7 @@ def pack_token_budget(df: DataFrame, pos: str, length: str, budget: int, buffer:
     One ``applyInPandas`` call per buffer: a group never exceeds ``buffer`` rows.
     """
     ship_package(df.sparkSession)
-    t = df.withColumn("buffer_id", F.floor(F.col(pos) / buffer).cast("long"))
+    t = df.withColumn("buffer_id", F.expr(f"`{pos}` div {buffer}"))
     schema = "buffer_id long, _p long, _local long"
 
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:

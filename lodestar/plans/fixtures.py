@@ -21,8 +21,8 @@ X1_EMPTY_DOC_MOD, X1_EMPTY_DOC_RES = 19, 4
 X1_EMPTY_QUERY_MOD, X1_EMPTY_QUERY_RES = 23, 6
 X5_BATCH = 32
 X6_BLOCK = 50
+X1_TURNS = 1_000_000  # pair_id = conv_id * X1_TURNS + turn
 X8_EDGE_LINES = ["", "   ", "a", "\U0001F600x", "\u00a0pad\u00a0"]
-VOCAB_SIZE = 2000
 VERSIONS = ("v6", "v7", "v8")
 
 
@@ -41,7 +41,7 @@ def raw_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = conv.filter(F.col("role") == "assistant").select(
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("document"))
     p = u.join(a, ["conv_id", "turn"])
-    pid = F.col("conv_id") * 100 + F.col("turn")
+    pid = F.col("conv_id").cast("bigint") * X1_TURNS + F.col("turn")
     r = F.pmod(pid, F.lit(X1_RANK_MOD))
     rank = (F.when(r == X1_NULL_RANK, F.lit(None).cast("string"))
             .when(r == X1_RANK_ZERO, F.lit("0"))
@@ -130,16 +130,25 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return x.repartition(n, "version", "pos").checkpoint(eager=True)
 
 
+def line_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts whose words are those of the X3 lines (a line feed separates words like any space),
+    without line positions: all that a vocabulary or a word count needs."""
+    d = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("line"))
+    version = F.concat(F.lit("v"), (F.lit(6) + F.pmod("doc_id", F.lit(3))).cast("string"))
+    edge = spark.createDataFrame([("v6", "\n".join(X8_EDGE_LINES))], "version string, line string")
+    return d.select(version.alias("version"), "line").unionByName(edge)
+
+
 def vector_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Even vec_id = query, odd = document; pos = vec_id div 2; batches of 32."""
     e = table(spark, sf_dir, "embeddings")
     q = e.filter(F.pmod("vec_id", F.lit(2)) == 0).select(
-        F.floor(F.col("vec_id") / 2).cast("long").alias("pos"), F.col("embedding").alias("qv"))
+        F.expr("vec_id div 2").alias("pos"), F.col("embedding").alias("qv"))
     dd = e.filter(F.pmod("vec_id", F.lit(2)) == 1).select(
-        F.floor(F.col("vec_id") / 2).cast("long").alias("pos"), F.col("embedding").alias("dv"))
+        F.expr("vec_id div 2").alias("pos"), F.col("embedding").alias("dv"))
     x = q.join(dd, "pos")
     rank = F.lit(1) + F.pmod("pos", F.lit(5))
-    return x.select("pos", F.floor(F.col("pos") / X5_BATCH).cast("long").alias("batch_id"), "qv", "dv",
+    return x.select("pos", F.expr(f"pos div {X5_BATCH}").alias("batch_id"), "qv", "dv",
                     rank.cast("int").alias("rank"), rank_weight(rank).alias("weight"))
 
 
@@ -149,7 +158,7 @@ def retrieval_sets(spark: SparkSession, sf_dir: str):
     sits in the same block of 50 vec_ids, so qrels grow linearly with the data."""
     e = table(spark, sf_dir, "embeddings")
     base = e.select("vec_id", F.concat(F.lit("t"), F.pmod("vec_id", F.lit(3)).cast("string")).alias("task"),
-                    "embedding", "label", F.floor(F.col("vec_id") / X6_BLOCK).cast("long").alias("blk"))
+                    "embedding", "label", F.expr(f"vec_id div {X6_BLOCK}").alias("blk"))
     is_q = F.pmod("vec_id", F.lit(10)) == 0
     queries = base.filter(is_q).select("task", F.col("vec_id").alias("qid"), F.col("embedding").alias("qv"),
                                        F.col("label").alias("ql"), "blk")
@@ -164,7 +173,7 @@ def hidden_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Embeddings in groups of 5 tokens; id = vec_id div 5, tok_pos = vec_id % 5.
     mask is 0 when vec_id % 7 = 3, and 0 for every token of group 7."""
     e = table(spark, sf_dir, "embeddings")
-    gid = F.floor(F.col("vec_id") / 5).cast("long")
+    gid = F.expr("vec_id div 5")
     mask = F.when((F.pmod("vec_id", F.lit(7)) == 3) | (gid == 7), 0).otherwise(1)
     return e.select(gid.alias("id"), F.pmod("vec_id", F.lit(5)).cast("int").alias("tok_pos"),
                     F.col("embedding").cast("array<double>").alias("hidden"), mask.alias("mask"),

@@ -65,7 +65,7 @@ x1 AS (
            WHEN {fx.X1_NULL_RANK} THEN NULL WHEN {fx.X1_RANK_ZERO} THEN '0' WHEN {fx.X1_RANK_NEG} THEN '-1'
            WHEN {fx.X1_RANK_FLOAT} THEN '2.9' WHEN {fx.X1_RANK_TEXT} THEN 'x'
            ELSE CAST(1 + pid % 5 AS VARCHAR) END AS rank
-  FROM (SELECT u.conv_id * 100 + u.turn AS pid, u.text AS query, a.text AS document
+  FROM (SELECT u.conv_id::BIGINT * {fx.X1_TURNS} + u.turn AS pid, u.text AS query, a.text AS document
         FROM conversations u JOIN conversations a
           ON a.conv_id = u.conv_id AND a.turn = u.turn + 1
         WHERE u.role = 'user' AND a.role = 'assistant'))

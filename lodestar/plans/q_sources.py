@@ -81,6 +81,19 @@ def src_random_sample_rounds(spark, sf_dir):
     return p.select("round", "doc_id", "query", "positive", as_long(T.rank_or_default("rank")).alias("rank"))
 
 
+@query("src_random_sample", o.with_ctes(o.X2) + f"""
+, s AS (SELECT x2.*, r.range AS round FROM x2, range({ROUNDS}) r WHERE {_U_ROUND.replace('round', 'r.range')} < {P_SAMPLE})
+SELECT round, doc_id, query, nullif(concat_ws(chr(10), nullif(title, ''), nullif(snippet, '')), '') AS positive,
+       CAST({o.rank_default_sql('rank')} AS BIGINT) AS rank
+FROM s WHERE query <> '' AND nullif(concat_ws(chr(10), nullif(title, ''), nullif(snippet, '')), '') <> ''
+""")
+def src_random_sample(spark, sf_dir):
+    """The rounds without a cap: every row drawn."""
+    p = pairs_from_hits(sample_pairs(fx.hits(spark, sf_dir), "doc_id", P_SAMPLE, SEED, ROUNDS))
+    p = p.filter(T.is_truthy("query") & T.is_truthy("positive"))
+    return p.select("round", "doc_id", "query", "positive", as_long(T.rank_or_default("rank")).alias("rank"))
+
+
 def land_versions(spark, df, col, name):
     root = scratch_path(spark, name)
     paths = {}
@@ -113,7 +126,7 @@ SELECT pos, CAST(len(qv) AS BIGINT) AS dims, round(qv[1]::DOUBLE, 6) AS first, r
 def src_npz_vectors(spark, sf_dir):
     x5 = fx.vector_pairs(spark, sf_dir)
     path = scratch_path(spark, "npz")
-    write_npz(x5, path, "qv", rows_per_file=100).collect()  # one row per written file
+    write_npz(x5, path, "qv", rows_per_file=100).write.parquet(f"{path}-files")  # one row per written file
     t = read_npz(spark, path)
     return t.select("pos", as_long(F.size("embedding")).alias("dims"), r6(F.get("embedding", 0)).alias("first"),
                     r6(F.element_at("embedding", -1)).alias("last"))

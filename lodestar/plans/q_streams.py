@@ -5,10 +5,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lodestar.operators.encode import HashingEncoder
 from lodestar.plans import fixtures as fx
 from lodestar.plans import oracle as o
 from lodestar.plans.q_sources import land_jsonl
+from lodestar.plans.q_udf import encoder_sql
 from lodestar.plans.registry import as_long, query, r6
 from lodestar.session import scratch_path
 from lodestar.streaming import streams as S
@@ -37,7 +37,7 @@ def stream_batches(spark, sf_dir):
     out, ck = _paths(spark, "stream-batches")
     src = land_jsonl(spark, sf_dir)
     S.stream_batches(spark, src, out, ck, size=16, max_files_per_trigger=S.files_per_trigger(spark, src, "text"))
-    return spark.read.parquet(out).select("stream_batch_id", "batch_id", "slot", "query")
+    return spark.read.parquet(out).select(as_long("stream_batch_id").alias("stream_batch_id"), "batch_id", "slot", "query")
 
 
 def _land_x9(spark, sf_dir):
@@ -54,9 +54,8 @@ SELECT run, step, round(score, 6) AS score FROM (
 def stream_best(spark, sf_dir):
     src, schema = _land_x9(spark, sf_dir)
     out, ck = _paths(spark, "stream-best")
-    S.stream_best(spark, src, out, ck, schema, max_files_per_trigger=S.files_per_trigger(spark, src),
-                  state_partitions=8)
-    t = spark.read.parquet(out)
+    S.stream_best(spark, src, out, ck, schema, max_files_per_trigger=S.files_per_trigger(spark, src))
+    t = S.read_latest(spark, out)
     return t.select("run", "step", r6("score").alias("score"))
 
 
@@ -67,19 +66,19 @@ SELECT run, (step - 1) // 10 AS window_id, count(*) AS n, round(avg(loss), 6) AS
 def stream_metrics(spark, sf_dir):
     src, schema = _land_x9(spark, sf_dir)
     out, ck = _paths(spark, "stream-metrics")
-    S.stream_metrics(spark, src, out, ck, schema, max_files_per_trigger=S.files_per_trigger(spark, src),
-                     state_partitions=8)
-    t = spark.read.parquet(out)
+    S.stream_metrics(spark, src, out, ck, schema, max_files_per_trigger=S.files_per_trigger(spark, src))
+    t = S.read_latest(spark, out)
     return t.select("run", "window_id", "n", r6("mean_loss").alias("mean_loss"), as_long("tokens").alias("tokens"))
 
 
-@query("stream_embed")
+@query("stream_embed", "WITH src AS (SELECT doc_id, 'document' AS role, text FROM documents),"
+       + encoder_sql("src", "doc_id", "mean") + "SELECT doc_id, CAST(dim AS BIGINT) AS dim, value FROM enc")
 def stream_embed(spark, sf_dir):
     src = scratch_path(spark, "docs-in")
     d = fx.table(spark, sf_dir, "documents").select("doc_id", "text")
-    d.repartition(4).write.mode("overwrite").parquet(src)
+    d.repartition("doc_id").write.mode("overwrite").parquet(src)
     out, ck = _paths(spark, "stream-embed")
-    S.stream_embed(spark, src, out, ck, "doc_id long, text string", HashingEncoder.factory(64),
+    S.stream_embed(spark, src, out, ck, "doc_id long, text string", "doc_id",
                    max_files_per_trigger=S.files_per_trigger(spark, src))
-    t = spark.read.parquet(out)
-    return t.select("doc_id", as_long(F.size("embedding")).alias("dims"))
+    t = spark.read.parquet(out).select("doc_id", F.posexplode("embedding").alias("dim", "value"))
+    return t.select("doc_id", as_long("dim").alias("dim"), r6("value").alias("value"))

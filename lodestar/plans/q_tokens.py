@@ -10,6 +10,7 @@ from lodestar.functions import text as T
 from lodestar.functions import vectors as V
 from lodestar.operators import teacher as D
 from lodestar.operators import tokens as TK
+from lodestar.operators.order import batch_fixed, with_positions
 from lodestar.operators.pairs import valid_pairs
 from lodestar.plans import fixtures as fx
 from lodestar.plans import oracle as o
@@ -17,9 +18,9 @@ from lodestar.plans.registry import as_long, query, r6
 from lodestar.session import scratch_path
 from lodestar.sinks.batches import read_batches, write_batches
 
-MAX_LEN = 64
-TRUNC = 24
-PAIR_BATCH = 1000  # pair_id // 1000 (about ten conversations per batch)
+MAX_LEN = 256  # the loader's default
+TRUNC = 24  # what arr_truncate cuts to
+PAIR_BATCH = 32  # pairs in a batch
 BUDGET, EPOCHS = 512, 3
 
 _RES = ", ".join(f"({o.sql_str(t)}, {i})" for t, i in TK.RESERVED)
@@ -29,7 +30,7 @@ VOCAB = f"""
 vocab AS (
   SELECT token, CAST(7 + row_number() OVER (ORDER BY n DESC, token) AS INTEGER) AS id FROM (
     SELECT token, count(*) AS n FROM (SELECT unnest({o.words_sql('line')}) AS token FROM x3)
-    WHERE token NOT IN ({_RES_IN}) GROUP BY token ORDER BY n DESC, token LIMIT {fx.VOCAB_SIZE})
+    WHERE token NOT IN ({_RES_IN}) GROUP BY token)
   UNION ALL SELECT * FROM (VALUES {_RES}) r(token, id))
 """
 
@@ -62,9 +63,9 @@ x8 AS (SELECT version, pos, CASE WHEN len({o.words_sql('line')}) = 0 THEN '' ELS
 """)
 
 
-def vocab(spark, sf_dir, x3=None):
-    x3 = x3 if x3 is not None else fx.lines(spark, sf_dir)
-    return TK.build_vocab(x3, "line", max_size=fx.VOCAB_SIZE)
+def vocab(spark, sf_dir):
+    """All words of the documents; no line positions are needed for it."""
+    return TK.build_vocab(fx.line_words(spark, sf_dir), "line")
 
 
 def x4_texts(spark, sf_dir):
@@ -83,7 +84,7 @@ def x4(spark, sf_dir):
 def x8(spark, sf_dir, x3=None):
     """X8 token lines: '2 id id ...' per X3 line, '' for a line without words."""
     x3 = x3 if x3 is not None else fx.lines(spark, sf_dir)
-    t = TK.tokenize(x3, ["version", "pos"], "line", vocab(spark, sf_dir, x3), keep_input=False)
+    t = TK.tokenize(x3, ["version", "pos"], "line", vocab(spark, sf_dir), keep_input=False)
     # [BOS] alone means the line holds no word: it is written as a blank line.
     return t.select("version", "pos", F.when(F.size("tokens") == 1, F.lit(""))
                     .otherwise(F.array_join("tokens", " ")).alias("token_line"))
@@ -114,43 +115,52 @@ def arr_truncate(spark, sf_dir):
 
 @query("arr_last_eos", o.with_ctes(o.X1, o.X3, VOCAB, X4) + f"""
 SELECT pair_id, role, CAST(CASE WHEN list_contains(t, 1) THEN len(t) - list_position(list_reverse(t), 1) END AS BIGINT) AS eos_pos
-FROM (SELECT pair_id, role, list_slice(tokens, 1, {TRUNC}) AS t FROM x4)
+FROM (SELECT pair_id, role, tokens AS t FROM x4)
 """)
 def arr_last_eos(spark, sf_dir):
     t = x4(spark, sf_dir)
-    return t.select("pair_id", "role", as_long(AR.last_eos(AR.truncate("tokens", TRUNC))).alias("eos_pos"))
+    return t.select("pair_id", "role", as_long(AR.last_eos("tokens")).alias("eos_pos"))
 
 
 @query("arr_mask_to_eos", o.with_ctes(o.X1, o.X3, VOCAB, X4) + f"""
 SELECT pair_id, role, array_to_string(list_transform(generate_series(0, len(t) - 1),
          lambda i: CASE WHEN i <= coalesce(CASE WHEN list_contains(t, 1) THEN len(t) - list_position(list_reverse(t), 1) END, -1)
                         THEN 1 ELSE 0 END), ' ') AS mask
-FROM (SELECT pair_id, role, list_slice(tokens, 1, {TRUNC}) AS t FROM x4)
+FROM (SELECT pair_id, role, tokens AS t FROM x4)
 """)
 def arr_mask_to_eos(spark, sf_dir):
     t = x4(spark, sf_dir)
-    return t.select("pair_id", "role", _s(AR.mask_to_eos(AR.truncate("tokens", TRUNC))).alias("mask"))
+    return t.select("pair_id", "role", _s(AR.mask_to_eos("tokens")).alias("mask"))
 
 
-_PADDED = f"""
-x4b AS (SELECT *, pair_id // {PAIR_BATCH} AS batch_id, list_slice(tokens, 1, {MAX_LEN}) AS tr FROM x4),
+_BATCHED = f"""
+x4k AS (SELECT pair_id, (row_number() OVER (ORDER BY pair_id) - 1) // {PAIR_BATCH} AS batch_id
+        FROM x1 WHERE query <> '' AND document <> ''),
+x4b AS (SELECT x4.*, batch_id, list_slice(tokens, 1, {MAX_LEN}) AS tr FROM x4 JOIN x4k USING (pair_id))
+"""
+_PADDED = _BATCHED + """,
 x4p AS (SELECT *, list_concat(tr, list_transform(generate_series(1, blen - len(tr)), lambda i: 0)) AS ids
         FROM (SELECT *, max(len(tr)) OVER (PARTITION BY batch_id, role) AS blen FROM x4b))
 """
 
 
+def x4_batched(spark, sf_dir):
+    """X4 with the batch of its pair: PAIR_BATCH pairs in a row by pair_id, whatever the ids are."""
+    pairs = valid_pairs(fx.raw_pairs(spark, sf_dir).withColumnRenamed("document", "positive")).select("pair_id")
+    batches = batch_fixed(with_positions(pairs, ["pair_id"]), "pos", PAIR_BATCH).select("pair_id", "batch_id")
+    return x4(spark, sf_dir).join(batches, "pair_id")
+
+
 def padded(spark, sf_dir):
-    t = x4(spark, sf_dir).withColumn("batch_id", F.floor(F.col("pair_id") / PAIR_BATCH).cast("long"))
-    return TK.pad_to_batch(t, "tokens", "batch_id", MAX_LEN, by=["role"])
+    return TK.pad_to_batch(x4_batched(spark, sf_dir), "tokens", "batch_id", MAX_LEN, by=["role"])
 
 
-@query("agg_batch_maxlen", o.with_ctes(o.X1, o.X3, VOCAB, X4) + f"""
-SELECT pair_id // {PAIR_BATCH} AS batch_id, role, CAST(least(max(len(tokens)), {MAX_LEN}) AS BIGINT) AS max_len
-FROM x4 GROUP BY ALL
+@query("agg_batch_maxlen", o.with_ctes(o.X1, o.X3, VOCAB, X4, _BATCHED) + f"""
+SELECT batch_id, role, CAST(least(max(len(tokens)), {MAX_LEN}) AS BIGINT) AS max_len
+FROM x4b GROUP BY ALL
 """)
 def agg_batch_maxlen(spark, sf_dir):
-    t = x4(spark, sf_dir).withColumn("batch_id", F.floor(F.col("pair_id") / PAIR_BATCH).cast("long"))
-    return TK.batch_max_length(t, "batch_id", "tokens", MAX_LEN, by=["role"]).select(
+    return TK.batch_max_length(x4_batched(spark, sf_dir), "batch_id", "tokens", MAX_LEN, by=["role"]).select(
         "batch_id", "role", as_long("max_len").alias("max_len"))
 
 
@@ -175,13 +185,13 @@ def arr_mask_special(spark, sf_dir):
 @query("stats_batch_tokens", o.with_ctes(o.X1, o.X3, VOCAB, X4, _PADDED) + f"""
 SELECT batch_id,
        CAST(sum(list_reduce(list_concat([0], {_MASK_SQL}), lambda a, b: a + b)) AS BIGINT) AS mask_tokens,
-       CAST(sum(CASE WHEN list_contains(ids, 1) THEN len(ids) - list_position(list_reverse(ids), 1) END) AS BIGINT) AS eos_tokens
+       CAST(sum(CASE WHEN list_contains(tokens, 1) THEN len(tokens) - list_position(list_reverse(tokens), 1) END) AS BIGINT) AS eos_tokens
 FROM x4p GROUP BY batch_id
 """)
 def stats_batch_tokens(spark, sf_dir):
     from lodestar.operators.metrics import batch_tokens
     t = padded(spark, sf_dir).withColumn("attention_mask", AR.mask_special("input_ids")) \
-        .withColumn("eos_pos", AR.last_eos("input_ids"))
+        .withColumn("eos_pos", AR.last_eos("tokens"))  # of the uncut text
     return batch_tokens(t, "batch_id")
 
 
@@ -194,8 +204,7 @@ def sink_training_batches(spark, sf_dir):
     x1 = fx.raw_pairs(spark, sf_dir).select("pair_id", T.rank_weight(T.rank_or_default("rank")).alias("weight"))
     t = padded(spark, sf_dir).join(x1, "pair_id").withColumn("attention_mask", AR.mask_special("input_ids"))
     path = scratch_path(spark, "batches")
-    write_batches(t.select("pair_id", "role", "batch_id", "input_ids", "attention_mask", "weight"), path,
-                  batches_per_bucket=4)
+    write_batches(t.select("pair_id", "role", "batch_id", "input_ids", "attention_mask", "weight"), path)
     back = read_batches(spark, path)
     return back.select("pair_id", "role", "batch_id", _s("input_ids").alias("input_ids"),
                        _s("attention_mask").alias("attention_mask"), r6("weight").alias("weight"))
@@ -228,7 +237,11 @@ FROM (SELECT version, CAST(sum(len(list_filter(string_split(token_line, ' '), la
 """)
 def stats_token_budget(spark, sf_dir):
     from lodestar.operators.metrics import token_budget
-    return token_budget(x8(spark, sf_dir), "token_line", BUDGET, EPOCHS)
+    # a token line is [BOS] and one id per word, or blank: BOS stands for each line with a word
+    lines = fx.line_words(spark, sf_dir).select("version", F.explode(F.split("line", "\n", -1)).alias("line"))
+    words = F.concat_ws(" ", F.lit("2"), "line")
+    return token_budget(lines.filter(F.size(T.split_words("line")) > 0).withColumn("line", words),
+                        "line", BUDGET, EPOCHS)
 
 
 def _vectors(spark, sf_dir, x3, shift: int, name: str):

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lodestar.operators import encode as EN
 from lodestar.operators import pooling as PL
+from lodestar.functions import vectors as V
 from lodestar.plans import fixtures as fx
 from lodestar.plans import oracle as o
 from lodestar.plans.q_tokens import VOCAB, X4, vocab
@@ -49,24 +50,46 @@ def udf_tokenize(spark, sf_dir):
     return t.select("pair_id", "role", F.array_join(tok(F.col("text")), " ").alias("tokens"))
 
 
-ENC_DIM = 64
+DIMS, KEPT = EN.HASH_DIMS, 8
 
 
-@query("encode_texts")
+def encoder_sql(src: str, keys: str, pooling: str, dims: int = DIMS) -> str:
+    """CTE ``enc`` = (keys, dim, value) of the default encoder over ``src`` (keys, role, text)."""
+    k = ", ".join(f"t.{x.strip()}" for x in keys.split(","))
+    draws = ", ".join(f"CAST('0x' || substr(h{i // 8}, {4 * (i % 8) + 1}, 4) AS BIGINT) - 32768" for i in range(DIMS))
+    hashes = ", ".join(f"md5('0|vector{b}|' || tok) AS h{b}" for b in range(-(-DIMS // 8)))
+    weight = "1" if pooling == "mean" else "1 + i % 7"
+    words = o.words_sql("coalesce(text, '')")
+    return f"""
+enc_t AS (SELECT *, list_concat(['<bos>', CASE role WHEN 'query' THEN '<unused0>' ELSE '<unused1>' END],
+                                {words}, ['<eos>']) AS toks FROM {src}),
+enc_x AS (SELECT {keys}, unnest(toks) AS tok, unnest(range(len(toks))) AS i FROM enc_t),
+enc_w AS (SELECT {keys}, tok, sum({weight})::BIGINT AS w FROM enc_x GROUP BY ALL),
+enc_d AS (SELECT {keys}, w, [{draws}] AS v FROM (SELECT *, {hashes} FROM enc_w)),
+enc_l AS (SELECT {keys}, unnest(range({DIMS})) AS dim, unnest(v) * w AS x FROM enc_d),
+enc_s AS (SELECT {keys}, dim, sum(x)::BIGINT AS s FROM enc_l WHERE dim < {dims} GROUP BY ALL),
+enc AS (SELECT {keys}, dim, round(s / sqrt(sum(s::DOUBLE * s) OVER (PARTITION BY {keys})), 6) AS value FROM enc_s)
+"""
+
+
+@query("encode_texts", "WITH src AS (SELECT doc_id, 'document' AS role, text FROM documents),"
+       + encoder_sql("src", "doc_id", "mean") + "SELECT doc_id, CAST(dim AS BIGINT) AS dim, value FROM enc")
 def encode_texts(spark, sf_dir):
-    """Documents through the default hashing encoder, mean pooling, normalised."""
+    """Whole documents through the default encoder, mean pooling, normalised."""
     d = fx.table(spark, sf_dir, "documents").select("doc_id", "text")
-    t = EN.encode_texts(d, "text", F.lit("document"), EN.HashingEncoder.factory(ENC_DIM), pooling="mean",
-                        max_length=256)
-    return t.select("doc_id", as_long(F.size("embedding")).alias("dims"),
-                    r6(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x)).alias("sq_norm"))
+    t = EN.hash_encode(d, "doc_id", "text", F.lit("document"))
+    return t.select("doc_id", F.posexplode("embedding").alias("dim", "value")).select(
+        "doc_id", as_long("dim").alias("dim"), r6("value").alias("value"))
 
 
-@query("attach_embeddings")
+@query("attach_embeddings", """WITH src AS (
+  SELECT item_id AS id, 'query' AS role, text FROM benchmark UNION ALL SELECT doc_id, 'document', text FROM documents),"""
+       + encoder_sql("src", "id, role", "eos", KEPT) + "SELECT id, role, CAST(dim AS BIGINT) AS dim, value FROM enc")
 def attach_embeddings(spark, sf_dir):
-    """Benchmark items (queries, EOS pooling) and documents, teacher vectors cut to 32 dims."""
+    """Benchmark items (queries) and documents, EOS pooling, teacher vectors cut to the first dimensions."""
     b = fx.table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("id"), "text", F.lit("query").alias("role"))
     d = fx.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text", F.lit("document").alias("role"))
-    t = EN.attach_embeddings(b.unionByName(d), "text", EN.HashingEncoder.factory(ENC_DIM), dims=32,
-                             role="role", pooling="eos")
-    return t.select("id", "role", as_long(F.size("embedding")).alias("dims"))
+    t = EN.hash_encode(b.unionByName(d), ["id", "role"], "text", "role", pooling="eos", normalize=False)
+    t = t.select("id", "role", V.l2_normalize(V.truncate_dims("embedding", KEPT)).alias("embedding"))
+    return t.select("id", "role", F.posexplode("embedding").alias("dim", "value")).select(
+        "id", "role", as_long("dim").alias("dim"), r6("value").alias("value"))

@@ -25,6 +25,8 @@ _LOCAL_DEFAULTS = {
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Checkpoint files go once their DataFrame is no longer referenced.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -59,7 +61,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if current:
         return current.rstrip("/")
-    # Unset: only happens in local tests and benches.
+    if not sc.master.startswith("local[") and sc.master != "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    # Unset, and driver and executors are one process: tests and benches.
     root = tempfile.mkdtemp(prefix="lodestar-ckpt-", dir="/tmp")
     sc.setCheckpointDir(root)
     return root
@@ -76,16 +80,35 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 def broadcast_row_limit(spark: SparkSession, row_bytes: int) -> int:
     """Rows that fit under the session's broadcast threshold at ``row_bytes`` each."""
-    thr = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    try:
-        thr_b = int(str(thr).lower().rstrip("b"))
-    except ValueError:
-        thr_b = 10 * 1024 * 1024
+    thr = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760"))
+    if thr.startswith("-"):
+        return 0
+    thr_b = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(thr)
     if thr_b <= 0:
         return 0
     return max(1, thr_b // max(1, row_bytes))
 
 
+def _hadoop_path(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with its scheme; one without a scheme belongs to the default filesystem."""
+    p, fs = _hadoop_path(spark, path)
+    return p.makeQualified(fs.getUri(), fs.getWorkingDirectory()).toString()
+
+
+def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
+    p, fs = _hadoop_path(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(data)
+    finally:
+        out.close()
+
+
 _SHIPPED: set = set()
 
 
@@ -99,8 +122,6 @@ def ship_package(spark: SparkSession) -> None:
     import io
     import zipfile
 
-    from pyarrow import fs as pafs
-
     sc = spark.sparkContext
     key = sc.applicationId
     if key in _SHIPPED:
@@ -114,12 +135,8 @@ def ship_package(spark: SparkSession) -> None:
                 if f.endswith(".py"):
                     full = os.path.join(cur, f)
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
-    # Written into the shared checkpoint folder; addPyFile copies it to executors.
+    # Written into the shared checkpoint folder through Hadoop; addPyFile copies it to executors.
     target = f"{scratch_path(spark, 'pyfiles')}/lodestar.zip"
-    uri = target if "://" in target else "file://" + os.path.abspath(target.replace("file:", "", 1))
-    filesystem, path = pafs.FileSystem.from_uri(uri)
-    filesystem.create_dir(path.rsplit("/", 1)[0], recursive=True)
-    with filesystem.open_output_stream(path) as out:
-        out.write(buf.getvalue())
-    sc.addPyFile(target if "://" in target else path)
+    write_bytes(spark, target, buf.getvalue())
+    sc.addPyFile(qualified(spark, target))
     _SHIPPED.add(key)

@@ -1,16 +1,20 @@
-"""Training-batch sink: long-form batches as Parquet, bucketed to bound file count."""
+"""Training-batch sink: long-form batches as Parquet files in batch order."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from lodestar.session import shuffle_partitions
 
-def write_batches(df: DataFrame, path: str, batches_per_bucket: int = 64, batch_id: str = "batch_id") -> None:
-    """Write rows partitioned by ``bucket = batch_id div batches_per_bucket``;
-    rows of one bucket are clustered first so each bucket is written by few tasks."""
-    t = df.withColumn("bucket", F.floor(F.col(batch_id) / batches_per_bucket).cast("long"))
-    t.repartition("bucket").sortWithinPartitions(batch_id).write.mode("overwrite").partitionBy("bucket").parquet(path)
+
+def write_batches(df: DataFrame, path: str, files: int | None = None, batch_id: str = "batch_id") -> None:
+    """Write rows in ``files`` ranges of ``batch_id`` (the session's shuffle partitions by default).
+
+    The number of files and folders is that of the ranges, however many batches there are; Parquet
+    statistics let a reader of some batches skip the other files.
+    """
+    (df.repartitionByRange(files or shuffle_partitions(df.sparkSession), batch_id)
+     .sortWithinPartitions(batch_id).write.mode("overwrite").parquet(path))
 
 
 def read_batches(spark: SparkSession, path: str) -> DataFrame:

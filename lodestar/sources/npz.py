@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestar.session import ship_package
+from lodestar.session import qualified, ship_package
 
 _NAME = re.compile(r"vectors-(\d+)\.npz$")
 
@@ -25,7 +25,8 @@ _NAME = re.compile(r"vectors-(\d+)\.npz$")
 def write_npz(df: DataFrame, path: str, vec: str, pos: str = "pos", rows_per_file: int = 100_000) -> DataFrame:
     """Write ``vec`` as 2-D float32 ``embeddings`` arrays, one file per chunk of
     ``rows_per_file`` consecutive positions.  Returns (chunk, start, n) per file."""
-    uri = path if "://" in path else "file://" + os.path.abspath(path.replace("file:", "", 1))
+    uri = qualified(df.sparkSession, path)
+    uri = uri.replace("file:/", "file:///", 1) if re.match("file:/[^/]", uri) else uri
 
     def write_chunk(pdf: pd.DataFrame) -> pd.DataFrame:
         from pyarrow import fs as pafs
@@ -45,7 +46,7 @@ def write_npz(df: DataFrame, path: str, vec: str, pos: str = "pos", rows_per_fil
         return pd.DataFrame({"chunk": [int(pdf["_chunk"].iloc[0])], "start": [start], "n": [len(pdf)]})
 
     ship_package(df.sparkSession)
-    t = df.select(pos, vec).withColumn("_chunk", F.floor(F.col(pos) / rows_per_file).cast("long"))
+    t = df.select(pos, vec).withColumn("_chunk", F.expr(f"`{pos}` div {rows_per_file}"))
     return t.groupBy("_chunk").applyInPandas(write_chunk, "chunk long, start long, n long")
 
 

@@ -1,7 +1,8 @@
 """Structured Streaming forms of the pair, batch, embedding, best-score and
 metric-window operators.  Each runs with ``trigger(availableNow=True)`` over a
 file source, with its checkpoint in the shared folder, so a restart resumes
-where it stopped and a re-run over the same files yields the same result.
+where it stopped.  Jobs that write in ``foreachBatch`` give every epoch a folder of its own in
+overwrite mode, so a micro-batch that is replayed after a failure replaces what it had written.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestar.functions import text as T
+from lodestar.operators.encode import hash_encode
 from lodestar.operators.order import batch_fixed, with_positions
 from lodestar.sources.jsonl import read_pairs_jsonl
 
@@ -55,24 +57,26 @@ def stream_batches(spark: SparkSession, in_path: str, out_path: str, checkpoint:
     pairs = pairs_from_lines(p)
 
     def per_batch(df: DataFrame, epoch_id: int) -> None:
+        # equal rows get the same key; which of them comes first does not show
         keyed = df.withColumn("_k", F.md5(F.concat_ws("\u0001", "query", "positive", F.col("rank").cast("string"))))
         pos = with_positions(keyed, ["_k"], pos="pos")
-        b = batch_fixed(pos, "pos", size).withColumn("stream_batch_id", F.lit(epoch_id).cast("bigint"))
-        b.drop("_k").write.mode("append").parquet(out_path)
+        b = batch_fixed(pos, "pos", size)
+        b.drop("_k").write.mode("overwrite").parquet(f"{out_path}/stream_batch_id={epoch_id}")
 
     _run(pairs.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint))
 
 
-def stream_embed(spark: SparkSession, in_path: str, out_path: str, checkpoint: str, schema,
-                 encoder_factory, text: str = "text", role="document", pooling: str = "mean",
-                 max_files_per_trigger: int = 4) -> None:
-    """Parquet rows -> (rows, embedding) appended as Parquet."""
-    from lodestar.operators.encode import encode_texts
+def stream_embed(spark: SparkSession, in_path: str, out_path: str, checkpoint: str, schema, keys,
+                 text: str = "text", role="document", pooling: str = "mean", max_files_per_trigger: int = 4) -> None:
+    """Parquet rows -> (keys, embedding, reason) of the default encoder, a folder per epoch."""
     src = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger).parquet(in_path)
     role_c = F.lit(role) if role in ("query", "document") else F.col(role)
-    out = encode_texts(src, text, role_c, encoder_factory, pooling=pooling)
-    _run(out.writeStream.format("parquet").option("path", out_path)
-         .option("checkpointLocation", checkpoint).outputMode("append"))
+
+    def per_batch(df: DataFrame, epoch_id: int) -> None:
+        hash_encode(df, keys, text, role_c, pooling=pooling).write.mode("overwrite").parquet(
+            f"{out_path}/epoch={epoch_id}")
+
+    _run(src.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint))
 
 
 def files_per_trigger(spark: SparkSession, path: str, fmt: str = "parquet", batches: int = 4) -> int:
@@ -82,13 +86,21 @@ def files_per_trigger(spark: SparkSession, path: str, fmt: str = "parquet", batc
 
 
 def _complete_to_parquet(agg: DataFrame, out_path: str, checkpoint: str, state_partitions: int | None) -> None:
-    def overwrite(df: DataFrame, epoch_id: int) -> None:
-        df.write.mode("overwrite").parquet(out_path)
+    """Each epoch's whole result in its own folder; ``read_latest`` reads the newest complete one."""
+    def write(df: DataFrame, epoch_id: int) -> None:
+        df.write.mode("overwrite").parquet(f"{out_path}/epoch-{epoch_id:012d}")
 
-    _run(agg.writeStream.outputMode("complete").foreachBatch(overwrite).option("checkpointLocation", checkpoint),
+    _run(agg.writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", checkpoint),
          spark=agg.sparkSession, state_partitions=state_partitions)
 
 
+def read_latest(spark: SparkSession, out_path: str) -> DataFrame:
+    """The result of the last epoch whose write was committed."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{out_path}/epoch-*/_SUCCESS")
+    found = p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p)
+    return spark.read.parquet(max(f.getPath().getParent().toString() for f in found))
+
+
 def stream_best(spark: SparkSession, in_path: str, out_path: str, checkpoint: str, schema,
                 run: str = "run", step: str = "step", score: str = "score", max_files_per_trigger: int = 4,
                 state_partitions: int | None = None) -> None:
@@ -104,7 +116,7 @@ def stream_metrics(spark: SparkSession, in_path: str, out_path: str, checkpoint:
                    state_partitions: int | None = None) -> None:
     """Windows of ``width`` steps per run on a stream (complete mode: bounded runs)."""
     src = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger).parquet(in_path)
-    w = F.floor((F.col(step) - 1) / width).cast("bigint")
+    w = F.expr(f"(`{step}` - 1) div {width}")
     agg = src.groupBy(run, w.alias("window_id")).agg(
         F.count(F.lit(1)).alias("n"), F.avg("loss").alias("mean_loss"), F.sum("tokens").alias("tokens"))
     _complete_to_parquet(agg, out_path, checkpoint, state_partitions)

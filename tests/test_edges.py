@@ -63,11 +63,11 @@ def test_truncation_can_drop_eos(spark):
     assert r.e is None and r.m == [0, 0, 0] and r.e2 == 4 and r.s == [0, 1, 1, 1, 0]
 
 
-def test_oversized_group_is_refused(spark):
-    df = spark.range(0, 20).select(F.lit(0).alias("batch_id"), F.col("id").alias("pos"),
-                                   F.array(F.lit(1.0)).alias("qv"), F.array(F.lit(1.0)).alias("dv"))
-    with pytest.raises(ValueError):
-        C.in_batch_pairs(df, max_group_rows=10)
+def test_tiles_give_the_same_pairs(spark):
+    df = spark.range(0, 70).select(F.pmod("id", F.lit(2)).alias("batch_id"), F.col("id").alias("pos"),
+                                   F.array(F.col("id").cast("double")).alias("qv"), F.array(F.lit(2.0)).alias("dv"))
+    plain = sorted(map(tuple, C.in_batch_pairs(df).collect()))
+    assert len(plain) == 2 * 35 * 35 and sorted(map(tuple, C.in_batch_pairs(df, tile=8).collect())) == plain
 
 
 def test_tokenize_without_broadcast_matches(spark):
@@ -121,12 +121,11 @@ def test_batch_sink_layout_and_roundtrip(spark):
     from lodestar.session import scratch_path
     from lodestar.sinks.batches import read_batches, write_batches
 
-    df = spark.range(0, 200).select(F.col("id").alias("pos"), (F.col("id") / 16).cast("long").alias("batch_id"),
-                                    F.array(F.col("id").cast("int")).alias("input_ids"))
+    df = spark.range(0, 2000).select(F.col("id").alias("pos"), F.expr("id div 16").alias("batch_id"),
+                                     F.array(F.col("id").cast("int")).alias("input_ids"))
     path = scratch_path(spark, "test-batches")
-    write_batches(df, path, batches_per_bucket=4)
-    buckets = sorted(d for d in os.listdir(path) if d.startswith("bucket="))
-    assert buckets == [f"bucket={i}" for i in range(4)]          # 13 batches / 4 per bucket
+    write_batches(df, path, files=4)
+    assert len([f for f in os.listdir(path) if f.endswith(".parquet")]) <= 4     # 125 batches
     back = read_batches(spark, path).select("pos", "batch_id", "input_ids")
     assert sorted(tuple(r[:2]) + (tuple(r[2]),) for r in back.collect()) == \
         sorted(tuple(r[:2]) + (tuple(r[2]),) for r in df.collect())
@@ -160,8 +159,10 @@ def test_encoder_plugin_contract(spark):
     mean = {r.id: r.embedding for r in encode_texts(df, "text", F.lit("query"), f, pooling="mean").collect()}
     assert all(abs(sum(x * x for x in v) - 1.0) < 1e-5 for v in mean.values())
     eos = {r.id: r.embedding for r in encode_texts(df, "text", F.lit("query"), f, pooling="eos", max_length=4).collect()}
-    assert eos[1] is None                           # "<bos> <unused0> a b": no EOS left at length 4
-    assert eos[2] is None
+    assert eos[1] == eos[2] and eos[1] is not None   # a limit keeps <eos> as the last token
+    long = spark.createDataFrame([(1, "w " * 5000), (2, ""), (3, None)], "id long, text string")
+    got = {r.id: r.embedding for r in encode_texts(long, "text", F.lit("document"), f).collect()}
+    assert got[1] is not None and got[2] is not None and got[3] is None
     with _pt.raises(ValueError):
         encode_texts(df, "text", F.lit("query"), f, pooling="max")
 
@@ -188,3 +189,64 @@ def test_alignment_reports_missing_version(spark):
     got = {r.version: (r.n_tokens, r.n_query, r.n_doc, r.ok)
            for r in check_alignment({"tokens": toks, "query": qv, "doc": dv}).collect()}
     assert got == {"v6": (2, 2, 2, True), "v7": (1, 1, 0, False)}
+
+
+def test_plugin_cache_tells_closures_apart():
+    from lodestar.operators import encode as EN
+
+    for k in range(40):
+        assert EN._cached(lambda k=k: ("made", k)) == ("made", k)
+    assert len(EN._CACHE) <= EN.MAX_PLUGINS
+
+
+def test_no_document_is_without_a_vector(spark):
+    from lodestar.operators.encode import hash_encode
+
+    d = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
+    extra = spark.createDataFrame([(-1, None), (-2, ""), (-3, "word " * 3000)], "doc_id long, text string")
+    rows = {r.doc_id: r for r in hash_encode(d.unionByName(extra), "doc_id", "text", F.lit("document")).collect()}
+    assert len(rows) == d.count() + 3
+    assert rows[-1].embedding is None and rows[-1].reason == "null_text"
+    for i, r in rows.items():
+        if i != -1:
+            assert abs(sum(x * x for x in r.embedding) - 1) < 1e-9 and r.reason is None
+    cut = {r.doc_id: r.embedding for r in hash_encode(extra, "doc_id", "text", F.lit("document"), max_length=5).collect()}
+    assert cut[-3] is not None and cut[-3] != rows[-3].embedding
+
+
+def test_alignment_fails_on_a_missing_position(spark):
+    from pyspark.errors import PySparkException
+
+    from lodestar.operators.teacher import align
+
+    a = spark.createDataFrame([("v6", 0, 1), ("v6", 1, 2)], "version string, pos long, x int")
+    b = spark.createDataFrame([("v6", 0, 3), ("v6", 1, 4)], "version string, pos long, y int")
+    assert align(a, b).count() == 2
+    with pytest.raises(PySparkException):
+        align(a, b.filter("pos = 0")).collect()
+
+
+def test_broadcast_threshold_is_read_like_spark_reads_it(spark):
+    from lodestar.session import broadcast_row_limit
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for text, rows in (("1KB", 1), ("2m", 2048), ("-1", 0), ("4096", 4), ("1g", 1 << 20)):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", text)
+            assert broadcast_row_limit(spark, 1024) == rows
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_replayed_epoch_is_written_once(spark):
+    """The write of an epoch done twice, as after a failure, leaves one copy."""
+    from lodestar.session import scratch_path
+    from lodestar.streaming import streams as S
+
+    root = scratch_path(spark, "replay")
+    spark.createDataFrame([("{\"query\": \"q%d\", \"document\": \"d\"}" % k,) for k in range(9)], "value string") \
+        .coalesce(1).write.text(f"{root}/in")
+    for run in range(2):  # a new checkpoint makes the second run replay epoch 0
+        S.stream_batches(spark, f"{root}/in", f"{root}/out", f"{root}/ck{run}", size=4)
+    rows = spark.read.parquet(f"{root}/out").collect()
+    assert len(rows) == 9 and sorted(r.query for r in rows) == [f"q{k}" for k in range(9)]

@@ -27,7 +27,7 @@ def test_stream_best_equals_batch(spark):
     x9.write.parquet(src)
     root = scratch_path(spark, "test-best")
     S.stream_best(spark, src, f"{root}/out", f"{root}/ck", x9.schema, max_files_per_trigger=1)
-    got = {r.run: (r.step, r.score) for r in spark.read.parquet(f"{root}/out").collect()}
+    got = {r.run: (r.step, r.score) for r in S.read_latest(spark, f"{root}/out").collect()}
     last = best_so_far(x9).groupBy("run").agg(F.max_by(F.struct("step", "score"), "step").alias("b")).collect()
     assert got == {r.run: (r.b.step, r.b.score) for r in last}
 
@@ -49,7 +49,7 @@ def test_stream_metrics_equals_batch(spark):
     S.stream_metrics(spark, src, f"{root}/out", f"{root}/ck", x9.schema,
                      max_files_per_trigger=S.files_per_trigger(spark, src), state_partitions=4)
     got = sorted((r.run, r.window_id, r.n, round(r.mean_loss, 9), r.tokens)
-                 for r in spark.read.parquet(f"{root}/out").collect())
+                 for r in S.read_latest(spark, f"{root}/out").collect())
     b = (x9.groupBy("run", F.floor((F.col("step") - 1) / 10).cast("bigint").alias("window_id"))
          .agg(F.count(F.lit(1)).alias("n"), F.avg("loss").alias("mean_loss"), F.sum("tokens").alias("tokens")))
     assert got == sorted((r.run, r.window_id, r.n, round(r.mean_loss, 9), r.tokens) for r in b.collect())
