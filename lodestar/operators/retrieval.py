@@ -5,27 +5,19 @@ Schemas
 queries: (task, qid, qv array)   corpus: (task, did, dv array)
 qrels:   (task, qid, did, rel)   hits:   (task, qid, did, score, rank)
 
-Two physical forms of the same top-k:
-
-* ``native`` — Spark expressions.  Small query sets (checked by count against
-  the broadcast threshold) are broadcast and the corpus is never shuffled;
-  otherwise the corpus is split into hash blocks and the query set is
-  replicated once per block, so no join key is the bare ``task`` (a task
-  holding a third of all rows would otherwise land in one task).  The
-  ``row_number() <= k`` filter is planned by Spark as a partial
-  WindowGroupLimit before the exchange, so only k candidates per query and
-  partition are shuffled.
-* ``blocks`` — the same blocks scored with one numpy matmul per
-  (task, corpus block, query block) group through ``cogroup.applyInPandas``,
-  keeping k candidates per query per group.
+The corpus stays where it is: queries travel, in slices of a size checked
+against the broadcast threshold, as matrices per task, and every corpus task
+scores its rows against a slice with one matrix product per Arrow batch.  It
+keeps the k best of each query as it goes, so k rows per query and corpus
+partition are shuffled to be merged, and no scored pair is ever sorted or stored.
+Candidates are chosen a hair below the k-th score and scored again as left
+folds, so results do not depend on how a matrix product adds up.
 """
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -45,84 +37,88 @@ def _vector_bytes(df: DataFrame, col: str) -> int:
     return 64 + 8 * int(first["d"] if first and first["d"] else 1)
 
 
-def retrieve(queries: DataFrame, corpus: DataFrame, k: int = 10, method: str = "native",
-             corpus_block_rows: int = 50_000, query_block_rows: int = 20_000,
-             broadcast_rows: int | None = None, similarity: str = "dot") -> DataFrame:
+def retrieve(queries: DataFrame, corpus: DataFrame, k: int = 10, slice_rows: int | None = None,
+             similarity: str = "dot") -> DataFrame:
     """Top-k corpus documents per query by dot product, or by cosine with
     ``similarity="cosine"`` (both sides L2-normalised first, once per vector).
 
     Ties are broken by ascending ``did``.  Returns (task, qid, did, score, rank).
+    ``slice_rows`` bounds the queries sent at a time (default: what the session's broadcast
+    threshold allows); the corpus is read once per slice.
     """
     if similarity == "cosine":
         queries = queries.withColumn("qv", l2_normalize("qv"))
         corpus = corpus.withColumn("dv", l2_normalize("dv"))
     elif similarity != "dot":
         raise ValueError(f"unknown similarity {similarity}")
-    if method == "blocks":
-        return retrieve_blocks(queries, corpus, k, corpus_block_rows, query_block_rows)
-    spark = queries.sparkSession
-    n_q = queries.count()
-    limit = broadcast_rows if broadcast_rows is not None else broadcast_row_limit(
-        spark, _vector_bytes(queries, "qv") if n_q else 64)
-    if n_q <= limit:
-        pairs = corpus.join(F.broadcast(queries), "task")
-    else:
-        # Both sides large: hash blocks on both, each corpus block meets each
-        # query block of its task once; replication is |C|·nqb + |Q|·ncb.
-        n_c = corpus.count()
-        ncb = max(1, math.ceil(n_c / corpus_block_rows))
-        nqb = max(1, math.ceil(n_q / query_block_rows))
-        c = (corpus.withColumn("_cb", F.pmod(F.xxhash64("did"), F.lit(ncb)))
-             .withColumn("_qb", F.explode(F.sequence(F.lit(0), F.lit(nqb - 1))))
-             .withColumn("_qb", F.col("_qb").cast("long")))
-        q = (queries.withColumn("_qb", F.pmod(F.xxhash64("qid"), F.lit(nqb)))
-             .withColumn("_cb", F.explode(F.sequence(F.lit(0), F.lit(ncb - 1))))
-             .withColumn("_cb", F.col("_cb").cast("long")))
-        pairs = c.join(q, ["task", "_cb", "_qb"])
-    scored = pairs.select("task", "qid", "did", dot("qv", "dv").alias("score"))
-    return _rank_top_k(scored, k)
-
-
-def _block_scorer(k: int):
-    def score(cdf: pd.DataFrame, qdf: pd.DataFrame) -> pd.DataFrame:
-        if cdf.empty or qdf.empty:  # a block with no partner rows on one side
-            return pd.DataFrame({"task": pd.Series([], dtype=object), "qid": pd.Series([], dtype="int64"),
-                                 "did": pd.Series([], dtype="int64"), "score": pd.Series([], dtype="float64")})
-        C = np.stack(cdf["dv"].to_numpy()).astype(np.float64)
-        Q = np.stack(qdf["qv"].to_numpy()).astype(np.float64)
-        S = Q @ C.T  # (nq, nc)
-        dids = cdf["did"].to_numpy()
-        kk = min(k, S.shape[1])
-        # Candidate set: k best by score with ties resolved by smaller did.
-        order = np.lexsort((np.broadcast_to(dids, S.shape), -S), axis=1)[:, :kk]
-        rows = np.repeat(np.arange(S.shape[0]), kk)
-        cols = order.reshape(-1)
-        return pd.DataFrame({
-            "task": np.repeat(qdf["task"].to_numpy(), kk),
-            "qid": np.repeat(qdf["qid"].to_numpy(), kk),
-            "did": dids[cols],
-            "score": S[rows, cols],
-        })
-    return score
-
-
-def retrieve_blocks(queries: DataFrame, corpus: DataFrame, k: int = 10,
-                    corpus_block_rows: int = 50_000, query_block_rows: int = 20_000) -> DataFrame:
-    """Block form of :func:`retrieve`: numpy matmul per (task, corpus block, query block)."""
     spark = queries.sparkSession
     ship_package(spark)
-    n_q, n_c = queries.count(), corpus.count()
-    ncb = max(1, math.ceil(n_c / corpus_block_rows))
-    nqb = max(1, math.ceil(n_q / query_block_rows))
-    c = (corpus.select("task", "did", "dv")
-         .withColumn("_cb", F.pmod(F.xxhash64("did"), F.lit(ncb)))
-         .withColumn("_qb", F.explode(F.sequence(F.lit(0), F.lit(nqb - 1)))).withColumn("_qb", F.col("_qb").cast("long")))
-    q = (queries.select("task", "qid", "qv")
-         .withColumn("_qb", F.pmod(F.xxhash64("qid"), F.lit(nqb)))
-         .withColumn("_cb", F.explode(F.sequence(F.lit(0), F.lit(ncb - 1)))).withColumn("_cb", F.col("_cb").cast("long")))
-    keys = ["task", "_cb", "_qb"]
-    cand = c.groupBy(*keys).cogroup(q.groupBy(*keys)).applyInPandas(_block_scorer(k), HITS_SCHEMA)
-    return _rank_top_k(cand, k)
+    n_q = queries.count()
+    if slice_rows is None:
+        slice_rows = max(256, broadcast_row_limit(spark, _vector_bytes(queries, "qv") if n_q else 64))
+    slices = max(1, -(-n_q // slice_rows))
+    found = None
+    for s in range(slices):
+        part = queries.select("task", "qid", F.col("qv").cast("array<double>").alias("qv")).filter(
+            F.pmod(F.xxhash64("qid"), F.lit(slices)) == s).toArrow()
+        shared = spark.sparkContext.broadcast(_matrices(part))
+        hits = corpus.select("task", F.col("did").cast("long").alias("did"), F.col("dv").cast("array<double>").alias("dv")
+                             ).mapInArrow(_scorer(shared, k), HITS_SCHEMA)
+        found = hits if found is None else found.unionByName(hits)
+    return _rank_top_k(found, k)
+
+
+def _rows(column) -> np.ndarray:
+    """A list column as a matrix."""
+    flat = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return flat.flatten().to_numpy(zero_copy_only=False).reshape(len(flat), -1)
+
+
+def _matrices(queries: pa.Table) -> dict:
+    """task -> (qids, matrix)."""
+    if not queries.num_rows:
+        return {}
+    task, qid, vec = np.array(queries["task"].to_pylist(), object), queries["qid"].to_numpy(), _rows(queries["qv"])
+    return {t: (qid[task == t], vec[task == t]) for t in set(task.tolist())}
+
+
+def _best(row, did, score, k):
+    """The k best of each row, ties to the smaller did."""
+    order = np.lexsort((did, -score, row))
+    row, did, score = row[order], did[order], score[order]
+    first = np.searchsorted(row, row, side="left")
+    keep = np.arange(len(row)) - first < k
+    return row[keep], did[keep], score[keep]
+
+
+def _scorer(shared, k: int, query_rows: int = 512):
+    def run(batches):
+        held: dict = {}
+        for batch in batches:
+            tasks = np.array(batch.column(0).to_pylist(), object)
+            dids, vecs = batch.column(1).to_numpy(), None
+            for t in set(tasks.tolist()) & set(shared.value):
+                vecs = _rows(batch.column(2)) if vecs is None else vecs
+                at = tasks == t
+                c, cd = vecs[at], dids[at]
+                qs = shared.value[t][1]
+                new = [held[t]] if t in held else []
+                for a in range(0, len(qs), query_rows):
+                    q = qs[a:a + query_rows]
+                    s = q @ c.T
+                    kk = min(k, s.shape[1])
+                    low = np.partition(s, -kk, axis=1)[:, -kk]
+                    r, j = np.nonzero(s >= (low - 1e-9 * (1 + np.abs(low)))[:, None])
+                    for b in range(0, len(r), 1 << 15):
+                        rb, jb = r[b:b + (1 << 15)], j[b:b + (1 << 15)]
+                        exact = np.cumsum(q[rb] * c[jb], axis=1)[:, -1]
+                        new.append((rb + a, cd[jb], exact))
+                held[t] = _best(*(np.concatenate(x) for x in zip(*new)), k)
+        for t, (row, did, score) in held.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([t] * len(row), pa.string()), pa.array(shared.value[t][0][row], pa.int64()),
+                 pa.array(did, pa.int64()), pa.array(score, pa.float64())], ["task", "qid", "did", "score"])
+    return run
 
 
 # ---------------------------------------------------------------------------

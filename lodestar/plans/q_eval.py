@@ -16,7 +16,7 @@ REQUESTED_TASKS = ("t0", "t1", "t2", "t9")
 
 def hits_and_qrels(spark, sf_dir, method="native"):
     queries, corpus, qrels = fx.retrieval_sets(spark, sf_dir)
-    return rt.retrieve(queries, corpus, k=max(KS), method=method), qrels
+    return rt.retrieve(queries, corpus, k=max(KS)), qrels
 
 
 @query("retrieve_topk", o.with_ctes(o.X6, o.X6_HITS) + """
