@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lodestar.llm.bpe_tree import byte_symbols
 from lodestar.llm.common import map_texts, text_slices
 from lodestar.llm.wordcache import WordCache
 from lodestar.session import scratch_path, shuffle_partitions
@@ -48,14 +49,15 @@ class LibraryEncoder:
 
     A chunk is white space and the characters up to the next.  A byte-level
     pre-tokenizer never joins a non-space with a following space, so the ids of
-    a text are those of its chunks in turn, and chunks in a row can be encoded as one string.
+    a text are those of its chunks in turn.
     """
 
     _chunk = re.compile(r"\s*\S+|\s+")
+    _marks = ".,;:!?\"#$%&*|<>()[]{}=+/-"
     _odd = re.compile("[\x1c-\x1f]")  # white space to re, not to the library
 
     def __init__(self, raw: bytes, end_id: int | None):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.lib = Tokenizer.from_str(raw.decode())
         self.lib.no_truncation()
@@ -68,8 +70,14 @@ class LibraryEncoder:
         for t, i in vocab.items():
             self.bytes_of[i] = len(t)  # byte-level: one character per byte
         self.by_chunk = type(self.lib.pre_tokenizer).__name__ == "ByteLevel" and self.lib.normalizer is None
+        if self.by_chunk:
+            self.signs = dict(enumerate(byte_symbols())) | {10: " "}
+            self.words = Tokenizer(self.lib.model)
+            self.words.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         self.end = b"" if end_id is None else np.array([end_id], self.dtype).tobytes()
-        self.cache = WordCache(self._encode_chunks)
+        # words are dear and chunks cheap to make anew
+        self.bodies = WordCache(self._encode_bodies, 500_000)
+        self.cache = WordCache(self._encode_chunks, 150_000)
 
     def _pack(self, enc) -> bytes:
         return np.array(enc.ids, self.dtype).tobytes()
@@ -78,24 +86,44 @@ class LibraryEncoder:
         return [self._pack(e) for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _encode_chunks(self, chunks: list[str]) -> list[bytes]:
-        out: list = [None] * len(chunks)
-        runs, alone = [], []
-        for k, c in enumerate(chunks):
-            easy = c[0].isspace() and not c[-1].isspace() and not any(a in c for a in self.added)
-            (runs if easy else alone).append(k)
-        for a in range(0, len(runs), 1000):
-            ks = runs[a:a + 1000]
-            ids = np.array(self.lib.encode_batch_fast(["".join(chunks[k] for k in ks)],
-                                                      add_special_tokens=False)[0].ids, self.dtype)
-            ends = np.cumsum([len(chunks[k].encode()) for k in ks])
-            cuts = np.searchsorted(np.cumsum(self.bytes_of[ids]), ends) + 1
-            raw, w, at = ids.tobytes(), self.dtype.itemsize, 0
-            for k, b in zip(ks, cuts.tolist()):
-                out[k] = raw[at * w:b * w]
-                at = b
-        for k, ids in zip(alone, self._plain([chunks[k] for k in alone])):
-            out[k] = ids
-        return out
+        """A line feed before a word and marks after it are cut off: no token spans a letter and
+        one of them, and words without them are far fewer."""
+        heads, bodies, tails = [], [], []
+        for c in chunks:
+            body, head = c.rstrip(self._marks), ""
+            if not body or not body[-1].isalpha():
+                body = c
+            tail = c[len(body):]
+            if body[0] == "\n" and body[1:].isalpha():
+                head, body = "\n", body[1:]
+            heads.append(head)
+            bodies.append(body)
+            tails.append(tail)
+        known = self.bodies.table([bodies])
+        ends = list({*heads, *tails})
+        ends = dict(zip(ends, self._plain(ends)))
+        return [ends[h] + known[b] + ends[t] for h, b, t in zip(heads, bodies, tails)]
+
+    def _encode_bodies(self, chunks: list[str]) -> list[bytes]:
+        """Words of Latin letters, with or without a space before, are one pre-token each and go
+        straight to the library's model; everything else takes the library's full way."""
+        words = [c for c in chunks if (c[1:] if c[0] == " " else c).isalpha() and max(c) < "\u0250"]
+        out: dict = {}
+        for a in range(0, len(words), 2000):
+            part = words[a:a + 2000]
+            text = "\n".join(part)
+            if not text.isascii():
+                text = text.encode().decode("latin-1")
+            size = np.fromiter(map(len, text.split("\n")), np.int64, len(part))
+            ids = np.array(self.words.encode_batch_fast([text.translate(self.signs)], add_special_tokens=False)[0].ids,
+                           self.dtype)
+            cuts = (self.dtype.itemsize * (np.searchsorted(np.cumsum(self.bytes_of[ids]), np.cumsum(size)) + 1)
+                    ).tolist()
+            raw = ids.tobytes()
+            out.update(zip(part, [raw[i:j] for i, j in zip([0, *cuts], cuts)]))
+        rest = [c for c in chunks if c not in out]
+        out.update(zip(rest, self._plain(rest)))
+        return [out[c] for c in chunks]
 
     def encode(self, texts: list) -> list[bytes]:
         texts = [t or "" for t in texts]

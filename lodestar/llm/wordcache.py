@@ -8,8 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-#: Entries that a worker's cache may hold, and the longest word that enters it; about 100 MB at most.
-LIMIT, LONGEST = 400_000, 256
+#: Entries that a worker's cache may hold, and the longest word that enters it; about 60 MB at most.
+LIMIT, LONGEST = 250_000, 256
 
 
 class WordCache:
@@ -21,10 +21,10 @@ class WordCache:
         if len(self.known) > self.limit:
             self.known = {}
         todo = list(set().union(*lists).difference(self.known))
-        found = dict(zip(todo, self.compute(todo)))
-        long = {w for w in todo if len(w) > LONGEST}
-        if not long:
-            self.known.update(found)
+        values = self.compute(todo)
+        if max(map(len, todo), default=0) <= LONGEST:
+            self.known.update(zip(todo, values))
             return self.known
-        self.known.update((w, v) for w, v in found.items() if w not in long)
+        found = dict(zip(todo, values))
+        self.known.update((w, v) for w, v in found.items() if len(w) <= LONGEST)
         return {**self.known, **found}
