@@ -54,34 +54,33 @@ def _g(group):
     return [group] if isinstance(group, str) else list(group)
 
 
+def _both_lse(pairs: DataFrame, g) -> DataFrame:
+    """The diagonal rows (qi = di) with the log-sum-exp of their row and of their column.
+
+    Both are windows over one frame of pairs, so the pairs are made once.
+    """
+    row, col = Window.partitionBy(*g, "qi"), Window.partitionBy(*g, "di")
+    t = (pairs.withColumn("_mr", F.max("logit").over(row)).withColumn("_mc", F.max("logit").over(col))
+         .withColumn("lse_row", F.col("_mr") + F.log(F.sum(F.exp(F.col("logit") - F.col("_mr"))).over(row)))
+         .withColumn("lse_col", F.col("_mc") + F.log(F.sum(F.exp(F.col("logit") - F.col("_mc"))).over(col))))
+    return t.filter(F.col("qi") == F.col("di"))
+
+
 def log_sum_exp(pairs: DataFrame, group="batch_id") -> DataFrame:
     """Max-shifted log-sum-exp per row (axis 'row', idx = qi) and per column
     (axis 'col', idx = di): (group..., axis, idx, lse)."""
     g = _g(group)
-    out = []
-    for axis, key in (("row", "qi"), ("col", "di")):
-        m = F.max("logit").over(Window.partitionBy(*g, key))
-        t = pairs.withColumn("_m", m)
-        out.append(t.groupBy(*g, key).agg(
-            (F.max("_m") + F.log(F.sum(F.exp(F.col("logit") - F.col("_m"))))).alias("lse"))
-            .select(*g, F.lit(axis).alias("axis"), F.col(key).alias("idx"), "lse"))
-    return out[0].unionByName(out[1])
+    both = F.array(F.struct(F.lit("row").alias("axis"), F.col("qi").alias("idx"), F.col("lse_row").alias("lse")),
+                   F.struct(F.lit("col").alias("axis"), F.col("di").alias("idx"), F.col("lse_col").alias("lse")))
+    return _both_lse(pairs, g).select(*g, F.explode(both).alias("_x")).select(*g, "_x.*")
 
 
 def infonce(pairs: DataFrame, group="batch_id") -> DataFrame:
     """Symmetric InfoNCE per example: (group..., qi, loss)."""
     g = _g(group)
-    rm = F.max("logit").over(Window.partitionBy(*g, "qi"))
-    row = (pairs.withColumn("_m", rm).groupBy(*g, "qi").agg(
-        (F.max("_m") + F.log(F.sum(F.exp(F.col("logit") - F.col("_m"))))).alias("lse_row"),
-        F.max(F.when(F.col("qi") == F.col("di"), F.col("logit"))).alias("pos")))
-    cm = F.max("logit").over(Window.partitionBy(*g, "di"))
-    col = (pairs.withColumn("_m", cm).groupBy(*g, "di").agg(
-        (F.max("_m") + F.log(F.sum(F.exp(F.col("logit") - F.col("_m"))))).alias("lse_col"))
-        .withColumnRenamed("di", "qi"))
-    j = row.join(col, g + ["qi"])
-    loss = F.lit(0.5) * ((F.col("lse_row") - F.col("pos")) + (F.col("lse_col") - F.col("pos")))
-    return j.select(*g, "qi", loss.alias("loss"))
+    pos = F.col("logit")
+    loss = F.lit(0.5) * ((F.col("lse_row") - pos) + (F.col("lse_col") - pos))
+    return _both_lse(pairs, g).select(*g, "qi", loss.alias("loss"))
 
 
 def _row_stats(pairs: DataFrame, g) -> DataFrame:
@@ -128,6 +127,16 @@ def hard_negative(pairs: DataFrame, beta: float = 1.0, group="batch_id") -> Data
     return agg.select(*g, "qi", loss.alias("loss"))
 
 
+def _allowed(method: str, margin: float):
+    """Whether a pair is a negative that the mining rule lets through; needs _pos."""
+    neg = F.col("qi") != F.col("di")
+    if method == "perc_pos":
+        return neg & (F.col("logit") >= F.col("_pos") * F.lit(float(margin)))
+    if method == "margin_pos":
+        return neg & (F.col("logit") >= F.col("_pos") - F.lit(float(margin)))
+    return neg
+
+
 def eligible(pairs: DataFrame, method: str = "perc_pos", margin: float = 0.95, group="batch_id") -> DataFrame:
     """Negatives allowed by the mining rule: (group..., qi, di, logit).
 
@@ -137,14 +146,7 @@ def eligible(pairs: DataFrame, method: str = "perc_pos", margin: float = 0.95, g
     g = _g(group)
     t = pairs.withColumn("_pos", F.max(F.when(F.col("qi") == F.col("di"), F.col("logit")))
                          .over(Window.partitionBy(*g, "qi")))
-    neg = F.col("qi") != F.col("di")
-    if method == "perc_pos":
-        cond = neg & (F.col("logit") >= F.col("_pos") * F.lit(float(margin)))
-    elif method == "margin_pos":
-        cond = neg & (F.col("logit") >= F.col("_pos") - F.lit(float(margin)))
-    else:
-        cond = neg
-    return t.filter(cond).select(*g, "qi", "di", "logit")
+    return t.filter(_allowed(method, margin)).select(*g, "qi", "di", "logit")
 
 
 def hard_negatives(cands: DataFrame, k: int | None = 4, group="batch_id") -> DataFrame:
@@ -160,11 +162,16 @@ def ntxent(pairs: DataFrame, method: str = "perc_pos", margin: float = 0.95, k:
            group="batch_id") -> DataFrame:
     """NT-Xent with mined negatives: -ln(p / (p + Σ_selected exp(l - max) + eps))."""
     g = _g(group)
-    sel = hard_negatives(eligible(pairs, method, margin, g), k, g).select(*g, "qi", "di", F.lit(1).alias("_sel"))
-    t = _row_stats(pairs, g).join(sel, g + ["qi", "di"], "left")
+    # one frame: a pair that the rule does not let through ranks last, after all that it does
+    t = _row_stats(pairs, g).withColumn("_cand", F.when(_allowed(method, margin), F.col("logit")))
+    chosen = F.col("_cand").isNotNull()
+    if k is not None and k > 0:
+        w = Window.partitionBy(*g, "qi").orderBy(F.col("_cand").desc_nulls_last())
+        t = t.withColumn("_dr", F.dense_rank().over(w))
+        chosen = chosen & (F.col("_dr") <= k)
     agg = t.groupBy(*g, "qi").agg(
         F.max(F.exp(F.col("_pos") - F.col("_m"))).alias("_p"),
-        F.coalesce(F.sum(F.when(F.col("_sel") == 1, F.col("_e"))), F.lit(0.0)).alias("_neg"))
+        F.coalesce(F.sum(F.when(chosen, F.col("_e"))), F.lit(0.0)).alias("_neg"))
     loss = -F.log(F.col("_p") / (F.col("_p") + F.col("_neg") + F.lit(EPS)))
     return agg.select(*g, "qi", loss.alias("loss"))
 
