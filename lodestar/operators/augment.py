@@ -37,8 +37,14 @@ def repeat_random(line, seed, *keys) -> Column:
 
 
 def _shuffle_join(parts: Column, sep: str, seed, salt: str, *keys) -> Column:
-    keyed = F.transform(parts, lambda p, i: F.struct(hash_key(seed, salt, *keys, i).alias("h"),
-                                                     i.alias("i"), p.alias("p")))
+    """The parts in a seeded random order.  One md5 gives the draws of four parts."""
+    n = F.size(parts)
+    hashes = F.transform(F.sequence(F.lit(0), F.floor(F.greatest(n - 1, F.lit(0)) / 4).cast("int")),
+                         lambda b: hash_key(seed, salt, *keys, b))
+    draws = F.slice(F.flatten(F.transform(hashes, lambda h: F.array(*[F.substring(h, 8 * k + 1, 8) for k in range(4)]))),
+                    F.lit(1), n)
+    keyed = F.transform(F.zip_with(draws, parts, lambda d, p: F.struct(d.alias("d"), p.alias("p"))),
+                        lambda s, i: F.struct(s["d"].alias("h"), i.alias("i"), s["p"].alias("p")))
     return F.array_join(F.transform(F.array_sort(keyed), lambda s: s["p"]), sep)
 
 
@@ -62,11 +68,11 @@ def reverse_half(line) -> Column:
 def reverse_word(line, seed, *keys) -> Column:
     """Pick a word; replace every occurrence of it (as a substring) by its reverse."""
     s = _c(line)
-    words = split_words(s)
-    n = F.size(words)
-    idx = F.floor(uniform(seed, "word", *keys) * n).cast("int")
-    w = F.element_at(words, idx + 1)
-    return F.when(n == 0, s).otherwise(F.replace(s, w, F.reverse(w)))
+    pick = uniform(seed, "word", *keys)
+    # transform over the one split hands it to a lambda, so that it is made once
+    picked = F.transform(F.array(split_words(s)), lambda ws: F.get(ws, F.floor(pick * F.size(ws)).cast("int")))
+    out = F.transform(picked, lambda w: F.coalesce(F.replace(s, w, F.reverse(w)), s))
+    return F.get(out, 0)
 
 
 def assign_role(seed, *keys) -> Column:

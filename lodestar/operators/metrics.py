@@ -3,7 +3,7 @@ improvement and best-so-far tracking."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestar.functions.text import split_words
@@ -64,3 +64,36 @@ def write_best_record(improvements: DataFrame, path: str, run: str = "run", step
     best = improvements.groupBy(run).agg(F.max_by(F.struct(step, score), step).alias("_b"))
     best.select(run, F.col(f"_b.{step}").alias(step), F.col(f"_b.{score}").alias(f"best_{score}")) \
         .write.mode("overwrite").parquet(path)
+
+
+def _versions(spark: SparkSession, path: str) -> list[str]:
+    """Committed version folders of a best-record table, oldest first."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/version-*/_SUCCESS")
+    found = p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p)
+    return sorted(f.getPath().getParent().toString() for f in found or [])
+
+
+def read_best_record(spark: SparkSession, path: str) -> DataFrame | None:
+    """The newest version of a best-record table; None before the first one."""
+    found = _versions(spark, path)
+    return spark.read.parquet(found[-1]) if found else None
+
+
+def update_best_record(df: DataFrame, path: str, run: str = "run", step: str = "step", score: str = "score",
+                       initial: float = 0.0) -> None:
+    """Compare new scores with the stored best of each run and write the next version of the table.
+
+    A run's record changes only for a strictly higher score, its first step taking it; versions are
+    folders of their own, so a reader sees the old table until the new one is committed.
+    """
+    spark = df.sparkSession
+    old = read_best_record(spark, path)
+    best = f"best_{score}"
+    new = (df.filter(F.col(score) > initial).groupBy(run)
+           .agg(F.max_by(F.struct(F.col(step), F.col(score).alias(best)), F.struct(F.col(score), -F.col(step))).alias("_b"))
+           .select(run, F.col(f"_b.{step}").alias(step), F.col(f"_b.{best}").alias(best)))
+    n = len(_versions(spark, path))
+    if old is not None:
+        both = old.withColumn("_age", F.lit(0)).unionByName(new.withColumn("_age", F.lit(-1)))
+        new = both.groupBy(run).agg(F.max_by(F.struct(step, best), F.struct(best, "_age")).alias("_b")).select(run, "_b.*")
+    new.write.mode("overwrite").parquet(f"{path}/version-{n:06d}")

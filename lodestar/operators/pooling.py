@@ -1,8 +1,8 @@
 """Pooling of token hidden states into one vector per sequence.
 
 Input is the long form (id, tok_pos, hidden array, mask) — one row per token.
-A sequence is one group of at most ``max_length`` rows, so collecting it is
-bounded; the element-wise sums run as a left fold in token order.
+Sums run per (sequence, dimension) with map-side partial sums, so a sequence of
+any length is never gathered; only its dimensions are.
 """
 
 from __future__ import annotations
@@ -16,14 +16,12 @@ from lodestar.functions.vectors import l2_normalize
 def pool_mean(df: DataFrame, id: str = "id", tok_pos: str = "tok_pos", hidden: str = "hidden",
               mask: str = "mask", normalize: bool = False, out: str = "embedding") -> DataFrame:
     """Masked mean Σ h·m / max(Σ m, 1); an all-zero mask gives the zero vector."""
-    items = F.array_sort(F.collect_list(F.struct(F.col(tok_pos).alias("p"),
-                                                 F.col(hidden).cast("array<double>").alias("h"),
-                                                 F.col(mask).cast("double").alias("m"))))
-    g = df.groupBy(id).agg(items.alias("_s"))
-    zero = F.array_repeat(F.lit(0.0), F.size(F.get(F.col("_s"), 0)["h"]))
-    summed = F.aggregate("_s", zero, lambda acc, s: F.zip_with(acc, s["h"], lambda a, x: a + x * s["m"]))
-    den = F.greatest(F.aggregate("_s", F.lit(0.0), lambda a, s: a + s["m"]), F.lit(1.0))
-    vec = F.zip_with(summed, F.array_repeat(den, F.size(summed)), lambda x, d: x / d)
+    t = df.select(id, F.col(mask).cast("double").alias("_m"),
+                  F.posexplode(F.col(hidden).cast("array<double>")).alias("_d", "_x"))
+    sums = t.groupBy(id, "_d").agg(F.sum(F.col("_x") * F.col("_m")).alias("_s"), F.sum("_m").alias("_n"))
+    value = F.col("_s") / F.greatest(F.col("_n"), F.lit(1.0))
+    g = sums.groupBy(id).agg(F.array_sort(F.collect_list(F.struct("_d", value.alias("v")))).alias("_v"))
+    vec = F.transform("_v", lambda x: x["v"])
     if normalize:
         vec = l2_normalize(vec)
     return g.select(id, vec.alias(out))

@@ -44,6 +44,18 @@ def batch_epochs(spark, sf_dir):
     return t.select("epoch", "pair_id", "gpos", "batch_id", "slot")
 
 
+@query("batch_epochs_reshuffle", o.with_ctes(o.X1, _VALID) + f"""
+SELECT epoch, pair_id, epoch * n + p AS gpos, (epoch * n + p) // {B} AS batch_id, (epoch * n + p) % {B} AS slot
+FROM (SELECT *, row_number() OVER (PARTITION BY epoch ORDER BY k, pair_id) - 1 AS p FROM (
+  SELECT e.epoch, pair_id, n, {o.hash_sql(42, 'epoch', 'e.epoch', 'pair_id')} AS k
+  FROM (SELECT *, count(*) OVER () AS n FROM xv) CROSS JOIN (SELECT range AS epoch FROM range({EPOCHS})) e))
+""")
+def batch_epochs_reshuffle(spark, sf_dir):
+    """Every epoch in an order of its own, as a fresh stream per epoch gives."""
+    t = OR.batch_epochs(positioned_pairs(spark, sf_dir), "pos", B, EPOCHS, reshuffle_key="pair_id")
+    return t.select("epoch", "pair_id", "gpos", "batch_id", "slot")
+
+
 def distill_samples(spark, sf_dir):
     """Distillation samples: each token line in one randomly drawn role, shuffled."""
     from lodestar.plans.q_tokens import x8

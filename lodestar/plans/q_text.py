@@ -117,7 +117,7 @@ def _rc(x: str) -> str:
 
 
 def _shuffle_sql(parts: str, sep: str, salt: str) -> str:
-    h = o.hash_sql(SEED, salt, "version", "pos", "i - 1")
+    h = f"substr({o.hash_sql(SEED, salt, 'version', 'pos', '(i - 1) // 4')}, CAST(8 * ((i - 1) % 4) + 1 AS BIGINT), 8)"
     return (f"array_to_string(list_transform(list_sort(list_transform(generate_series(1, len({parts})), "
             f"lambda i: {{'h': {h}, 'i': i - 1, 'p': {parts}[i]}})), lambda s: s.p), '{sep}')")
 
