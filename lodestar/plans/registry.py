@@ -40,5 +40,5 @@ def as_long(c) -> Column:
 def load_all():
     """Import every query module so that they register themselves."""
     from lodestar.plans import (  # noqa: F401
-        q_eval, q_vectors, q_text, q_tokens, q_order, q_losses, q_metrics, q_sources, q_streams, q_udf)
+        q_eval, q_vectors, q_text, q_tokens, q_order, q_losses, q_metrics, q_sources, q_streams, q_udf, q_pipelines)
     return QUERIES, ORACLE
