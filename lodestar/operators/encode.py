@@ -183,13 +183,14 @@ def hash_encode(df: DataFrame, keys, text: str, role, pooling: str = "mean", max
             for i in range(dims)]
     sums = words.groupBy(*keys, "_null").agg(F.sum("_c").alias("_n"), *[F.sum(x).alias(f"_s{i}") for i, x in
                                                                         enumerate(draw)])
-    div = F.col("_n") * 32768.0 if pooling == "mean" else F.lit(32768.0)
-    values = [F.col(f"_s{i}") / div for i in range(dims)]
+    vec = F.array(*[F.col(f"_s{i}").cast("double") for i in range(dims)])
     if normalize:
-        sums = sums.withColumn("_norm", F.sqrt(sum((F.col(f"_s{i}").cast("double") * F.col(f"_s{i}")
-                                                    for i in range(dims)), F.lit(0.0))))
-        values = [F.when(F.col("_norm") > 0, F.col(f"_s{i}") / F.col("_norm")).otherwise(F.lit(0.0)) for i in range(dims)]
-    return sums.select(*keys, F.when(~F.col("_null"), F.array(*values)).alias(out),
+        div = F.sqrt(F.aggregate(vec, F.lit(0.0), lambda acc, x: acc + x * x))
+    else:
+        div = F.col("_n") * 32768.0 if pooling == "mean" else F.lit(32768.0)
+    # the divisor is made once per row and handed to the lambda element by element
+    values = F.zip_with(vec, F.array_repeat(div, dims), lambda x, n: F.when(n > 0, x / n).otherwise(F.lit(0.0)))
+    return sums.select(*keys, F.when(~F.col("_null"), values).alias(out),
                        F.when(F.col("_null"), F.lit("null_text")).alias("reason"))
 
 
