@@ -12,6 +12,7 @@ from lodestar.operators.teacher import splice_roles
 from lodestar.operators.pairs import valid_pairs
 from lodestar.plans import fixtures as fx
 from lodestar.plans import oracle as o
+from lodestar.plans.q_tokens import VOCAB, X8
 from lodestar.plans.registry import as_long, query
 
 B, EPOCHS = 16, 3
@@ -60,13 +61,32 @@ def distill_samples(spark, sf_dir):
     """Distillation samples: each token line in one randomly drawn role, shuffled."""
     from lodestar.plans.q_tokens import x8
     t = x8(spark, sf_dir).select("version", "pos", AR.parse_ids("token_line").alias("ids"))
-    both = splice_roles(t, "ids")
-    role = A.assign_role(42, F.col("version"), F.col("pos"))
-    one = both.filter(F.col("role") == role).withColumn("line_id", F.concat_ws(":", "version", F.col("pos").cast("string")))
+    drawn = t.withColumn("drawn", A.assign_role(42, F.col("version"), F.col("pos")))
+    one = splice_roles(drawn, "ids").filter(F.col("role") == F.col("drawn")).drop("drawn").withColumn("line_id", F.concat_ws(":", "version", F.col("pos").cast("string")))
     return OR.shuffle(one.drop("pos"), "line_id", 42, pos="spos")
 
 
-@query("batch_token_budget")
+_PACK_SQL = o.with_ctes(o.X3, VOCAB, X8).replace("WITH ", "WITH RECURSIVE ", 1) + f"""
+, pk_l AS (
+  SELECT version || ':' || pos AS line_id, CASE WHEN {o.u_sql(42, 'role', 'version', 'pos')} < 0.5 THEN 'query' ELSE 'document' END AS role,
+         greatest(len(list_filter(string_split(token_line, ' '), lambda x: x <> '')) - 1, 0) + 3 AS n_tok FROM x8),
+pk_s AS (SELECT *, row_number() OVER (ORDER BY {o.hash_sql(42, 'shuffle', 'line_id')}, line_id) - 1 AS spos FROM pk_l),
+pk_b AS (SELECT *, spos // {BUFFER} AS buffer_id,
+                row_number() OVER (PARTITION BY spos // {BUFFER} ORDER BY n_tok, spos) AS rn FROM pk_s),
+pk_r AS (
+  SELECT buffer_id, rn, spos, 0 AS cur, 1 AS cnt, n_tok AS mx FROM pk_b WHERE rn = 1
+  UNION ALL
+  SELECT b.buffer_id, b.rn, b.spos, CASE WHEN (r.cnt + 1) * greatest(r.mx, b.n_tok) > {BUDGET} THEN r.cur + 1 ELSE r.cur END,
+         CASE WHEN (r.cnt + 1) * greatest(r.mx, b.n_tok) > {BUDGET} THEN 1 ELSE r.cnt + 1 END,
+         CASE WHEN (r.cnt + 1) * greatest(r.mx, b.n_tok) > {BUDGET} THEN b.n_tok ELSE greatest(r.mx, b.n_tok) END
+  FROM pk_r r JOIN pk_b b ON b.buffer_id = r.buffer_id AND b.rn = r.rn + 1)
+SELECT line_id, role, b.spos, CAST(n_tok AS BIGINT) AS n_tok, b.buffer_id, b.buffer_id || '-' || cur AS batch_id,
+       md5('42|pack|' || b.buffer_id || '|' || cur) AS batch_key
+FROM pk_b b JOIN pk_r r ON r.buffer_id = b.buffer_id AND r.rn = b.rn
+"""
+
+
+@query("batch_token_budget", _PACK_SQL)
 def batch_token_budget(spark, sf_dir):
     s = distill_samples(spark, sf_dir).withColumn("n_tok", F.size("tokens"))
     t = TK.pack_token_budget(s, "spos", "n_tok", BUDGET, BUFFER)
