@@ -33,7 +33,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestar.llm.common import land, map_texts
@@ -101,40 +101,37 @@ def _share(a: str, b: str):
     return F.asin(F.sqrt(F.least(F.lit(1.0), F.col(a) / F.greatest(F.col(b), F.lit(1)))))
 
 
-_PARAMS = "grp string, " + ", ".join(f"m{i} double" for i in range(D)) + ", " + ", ".join(
-    f"p{i}{j} double" for i, j in _PAIRS)
+_LOWER = [(i, j) for i in range(D) for j in range(i + 1)]
+_PARAMS = [f"m{i}" for i in range(D)] + [f"l{i}{j}" for i, j in _LOWER]
 
 
-def _estimates(batches):
-    """Means and cross moments of groups -> centres and inverse covariances."""
-    for b in batches:
-        rows = b.to_pylist()
-        out = []
-        for r in rows:
-            mean = np.array([r[f"s{i}"] for i in range(D)]) / r["n"]
-            cov = np.zeros((D, D))
-            for i, j in _PAIRS:
-                cov[i, j] = cov[j, i] = r[f"q{i}{j}"] / r["n"] - mean[i] * mean[j]
-            inv = np.linalg.inv(cov + np.diag(np.square(FLOORS)))
-            out.append([r["grp"], *mean.tolist(), *(float(inv[i, j]) for i, j in _PAIRS)])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, pa.string() if k == 0 else pa.float64())
-             for k, c in enumerate(zip(*out) if out else [[]] * (1 + D + len(_PAIRS)))],
-            ["grp", *(f"m{i}" for i in range(D)), *(f"p{i}{j}" for i, j in _PAIRS)])
+def _estimates(sums: DataFrame) -> DataFrame:
+    """Row counts, sums and cross products of groups -> centres and Cholesky factors of the covariances."""
+    out = sums.select("grp", *[(F.col(f"s{i}") / F.col("n")).alias(f"m{i}") for i in range(D)],
+                      *[(F.col(f"q{i}{j}") / F.col("n")).alias(f"q{i}{j}") for i, j in _PAIRS])
+    for i, j in _LOWER:
+        rest = F.col(f"q{j}{i}") - F.col(f"m{i}") * F.col(f"m{j}")
+        if i == j:
+            rest = F.greatest(rest, F.lit(0.0)) + FLOORS[i] ** 2
+        rest = sum((-F.col(f"l{i}{k}") * F.col(f"l{j}{k}") for k in range(j)), rest)
+        # the floor keeps pivots positive; the bound only guards against rounding
+        out = out.withColumn(f"l{i}{j}", F.sqrt(F.greatest(rest, F.lit(1e-9))) if i == j else rest / F.col(f"l{j}{j}"))
+    return out.select("grp", *_PARAMS)
 
 
 def _distance(rows: DataFrame, params: DataFrame) -> DataFrame:
     """``rows`` with d2; null where the group has no estimate."""
-    d2 = sum(((1 if i == j else 2) * F.col(f"p{i}{j}") * (F.col(f"x{i}") - F.col(f"m{i}"))
-              * (F.col(f"x{j}") - F.col(f"m{j}")) for i, j in _PAIRS), F.lit(0.0))
-    return rows.join(params, "grp", "left").withColumn("d2", F.greatest(d2, F.lit(0.0))).drop(
-        *[c.split()[0] for c in _PARAMS.split(", ")[1:]])
+    out = rows.join(params, "grp", "left")
+    for i in range(D):
+        z = F.col(f"x{i}") - F.col(f"m{i}")
+        z = sum((-F.col(f"l{i}{k}") * F.col(f"z{k}") for k in range(i)), z)
+        out = out.withColumn(f"z{i}", z / F.col(f"l{i}{i}"))
+    d2 = sum((F.col(f"z{i}") * F.col(f"z{i}") for i in range(D)), F.lit(0.0))
+    return out.withColumn("d2", d2).drop(*_PARAMS, *[f"z{i}" for i in range(D)])
 
 
 def _bins(rows: DataFrame) -> DataFrame:
     """Sums per (group, bin of the distance) with running row counts."""
-    from pyspark.sql import Window
-
     width = F.floor(F.log2(F.col("d2") + 2.0 ** -16) * BINS_PER_OCTAVE)
     binned = rows.withColumn("bin", width).groupBy("grp", "bin").agg(
         F.count(F.lit(1)).alias("n"), *[F.sum(x).alias(f"s{i}") for i, x in enumerate(_X)],
@@ -167,14 +164,14 @@ def judge(stats: DataFrame, lang_col: str = "lang", source_col: str = "source",
     mad = (good.join(enough, "grp").groupBy("grp", *[f"med{i}" for i in range(D)]).agg(*[
         F.percentile(F.round(F.abs(F.col(c) - F.col(f"med{i}")), 2), 0.5).alias(f"mad{i}") for i, c in enumerate(_X)]))
     params = land(mad.select("grp", *[F.col(f"med{i}").alias(f"m{i}") for i in range(D)], *[
-        (F.lit(0.0) if i != j else 1 / (F.pow(1.4826 * F.col(f"mad{i}"), F.lit(2.0)) + FLOORS[i] ** 2)).alias(f"p{i}{j}")
-        for i, j in _PAIRS]), "outlier-start")
+        (F.lit(0.0) if i != j else F.sqrt(F.pow(1.4826 * F.col(f"mad{i}"), F.lit(2.0)) + FLOORS[i] ** 2)
+         ).alias(f"l{i}{j}") for i, j in _LOWER]), "outlier-start")
     for k in range(steps):
         near = _bins(_distance(good, params).filter(F.col("d2").isNotNull())).filter(
             F.col("upto") - F.col("n") < F.ceil(alpha * F.col("all")))
         sums = near.groupBy("grp").agg(F.sum("n").alias("n"), *[F.sum(f"s{i}").alias(f"s{i}") for i in range(D)],
                                        *[F.sum(f"q{i}{j}").alias(f"q{i}{j}") for i, j in _PAIRS])
-        params = land(sums.mapInArrow(_estimates, _PARAMS), f"outlier-step{k}")
+        params = land(_estimates(sums), f"outlier-step{k}")
     # the half-way distance against that of a chi-square: trimmed covariances are too small
     half = _bins(_distance(good, params).filter(F.col("d2").isNotNull())).filter(
         F.col("upto") >= 0.5 * F.col("all")).groupBy("grp").agg(F.min("bin").alias("bin"))

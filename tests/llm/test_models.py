@@ -106,9 +106,18 @@ def test_outliers_are_rejected_and_ordinary_rows_kept(spark):
     assert all(got[i] for i, *_ in rows) and not any(got[i] for i, *_ in junk)
 
 
-def test_estimate_resists_a_third_of_outliers(spark):
-    """Centre of the concentrated estimate against numpy's over the ordinary rows."""
+def test_estimate_and_distance_equal_numpy(spark):
     assert abs(outliers.chi2_cutoff(0.5) - 3.3567) < 1e-3 and abs(outliers.chi2_cutoff(0.05) - 9.4877) < 1e-3
+    x = np.random.default_rng(0).normal(size=(200, 4)) @ np.array(
+        [[1, 0, 0, 0], [0.5, 1, 0, 0], [0.2, -0.3, 1, 0], [0, 0.1, 0.4, 0.5]]).T
+    rows = spark.createDataFrame([("g", *map(float, r)) for r in x], "grp string, x0 double, x1 double, x2 double, x3 double")
+    sums = rows.groupBy("grp").agg(outliers.F.count("x0").alias("n"), *[
+        outliers.F.sum(f"x{i}").alias(f"s{i}") for i in range(4)], *[
+        outliers.F.sum(outliers.F.col(f"x{i}") * outliers.F.col(f"x{j}")).alias(f"q{i}{j}") for i, j in outliers._PAIRS])
+    got = sorted(r["d2"] for r in outliers._distance(rows, outliers._estimates(sums)).collect())
+    d = x - x.mean(0)
+    inv = np.linalg.inv(d.T @ d / len(x) + np.diag(np.square(outliers.FLOORS)))
+    assert np.allclose(got, sorted(np.einsum("ij,jk,ik->i", d, inv, d)))
 
 
 def brute_scores(rows):
