@@ -24,11 +24,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.llm.common import land, lower_ascii
+from lodestar.llm.common import land, lower_ascii, sent
 
 # Fixed value: what separates words (ASCII other than letters and digits; A-Z are gone by then).
 SEPARATORS = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
-#: Windows up to which their hashes are sent with the plan: 8 bytes each, so at most 1.6 MB.
+#: Windows up to which their hashes are sent with the plan (8 bytes each, so at most 1.6 MB), and
+#: contaminated documents up to which their 64-character keys are broadcast.
 MAX_SET = 200_000
 
 
@@ -117,11 +118,11 @@ def remove_documents(docs: DataFrame, benchmark: DataFrame, n: int = 10, max_rat
     A document without words has no hit and stays.
     """
     per_doc, _ = scan(docs, benchmark, n, id_col, text_col)
-    bad = per_doc.filter(F.col("n_hit") > max_ratio * F.col("n_words")).select("key").distinct()
+    bad = land(per_doc.filter(F.col("n_hit") > max_ratio * F.col("n_words")).select("key").distinct(), "contaminated")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     key = F.sha2(F.concat_ws("|", F.coalesce(F.col(id_col).cast("string"), F.lit("null")), text), 256)
     return (docs.withColumn("__decontam_key", key)
-            .join(bad.withColumnRenamed("key", "__decontam_key"), "__decontam_key", "left_anti")
+            .join(sent(bad.withColumnRenamed("key", "__decontam_key"), MAX_SET), "__decontam_key", "left_anti")
             .drop("__decontam_key"))
 
 

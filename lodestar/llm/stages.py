@@ -11,11 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestar.llm import bpe_tree, byte_cnn, decontam, secrets, signature_tree
-from lodestar.llm.common import id_text, read_table
+from lodestar.llm.common import id_text, land, read_table, sent
 from lodestar.session import scratch_path, ship_package
 
 #: Probability below which no language is certain enough; with four languages a coin of four sides gives 0.25.
 MIN_LANGUAGE_SCORE = 0.4
+#: Rows of (id, text hash) up to which a list of documents to drop is broadcast, some 50 MB as a join table.
+KEYS_SENT = 1 << 20
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,15 +36,22 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """
     ship_package(spark)
     per_doc, _ = signature_tree.join(docs)
-    chosen = (per_doc.filter(F.col("cls").isNotNull() & F.col("doc_id").eqNullSafe(F.col("component_id")))
-              .groupBy("component_id").agg(F.min_by(F.struct("doc_id", "text_hash"), "text_hash").alias("c"))
-              .select(id_text("c.doc_id").alias("__id"), F.col("c.text_hash").alias("__hash")))
-    lone = per_doc.filter(F.col("cls").isNull()).select(
-        id_text().alias("__id"), F.col("text_hash").alias("__hash")).distinct()
-    keyed = docs.withColumn("__id", id_text()).withColumn("__hash", signature_tree.text_hash(F.col("text")))
-    one = keyed.join(chosen, ["__id", "__hash"], "left_semi").dropDuplicates(["__id", "__hash"])
-    # a document without words is told by its hash; those are few different texts
-    return one.unionByName(keyed.join(lone, ["__id", "__hash"], "left_semi")).drop("__id", "__hash")
+    words = per_doc.filter(F.col("cls").isNotNull())
+    key = [id_text().alias("__id"), F.col("text_hash").alias("__hash")]
+    chosen = (words.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("component_id")
+              .agg(F.min_by(F.struct("doc_id", "text_hash"), "text_hash").alias("c"))
+              .select(id_text("c.doc_id").alias("__id"), F.col("c.text_hash").alias("__hash")).distinct())
+    rows = land(words.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).join(
+        chosen.withColumn("stays", F.lit(True)), ["__id", "__hash"], "left"), "near-duplicate-rows")
+    gone = land(rows.filter(F.col("stays").isNull()).select("__id", "__hash"), "near-duplicates-gone")
+    repeated = land(rows.filter(F.col("stays") & (F.col("n") > 1)).select("__id", "__hash"), "repeated-rows")
+    left = docs.withColumn("__id", id_text()).withColumn("__hash", signature_tree.text_hash(F.col("text"))).join(
+        sent(gone, KEYS_SENT), ["__id", "__hash"], "left_anti")
+    if repeated.isEmpty():
+        return left.drop("__id", "__hash")
+    few = sent(repeated, KEYS_SENT)
+    one = left.join(few, ["__id", "__hash"], "left_semi").dropDuplicates(["__id", "__hash"])
+    return left.join(few, ["__id", "__hash"], "left_anti").unionByName(one).drop("__id", "__hash")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -72,11 +81,9 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     file = public_tokenizers.path("word_bpe_49k.json")
     new = {"token_ids", "n_tokens", "decoded"}
     keep = [c for c in docs.columns if c not in new]
-    ids = bpe_tree.encode(docs.select(*[F.col(f"`{c}`") for c in keep], F.col("text").alias("__encode")), file,
-                          text_col="__encode", out="token_ids", keep=keep)
-    ids = ids.withColumn("n_tokens", bpe_tree.n_ids(F.col("token_ids")))
-    return bpe_tree.decode(ids.withColumn("__ids", F.col("token_ids")), file, ids_col="__ids",
-                           keep=[*keep, "token_ids", "n_tokens"])
+    both = bpe_tree.round_trip(docs.select(*[F.col(f"`{c}`") for c in keep], F.col("text").alias("__encode")), file,
+                               text_col="__encode", ids_out="token_ids", keep=keep)
+    return both.withColumn("n_tokens", bpe_tree.n_ids(F.col("token_ids")))
 
 
 STAGES = [("language_id", language_id), ("near_duplicates", near_duplicates), ("decontaminate", decontaminate),
