@@ -106,7 +106,7 @@ class Bpe:
         self.joiner = " " if spec.get("decoder") is None else None
         self.split = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
         self.words = WordCache(self._merge_words)
-        self.chunks = WordCache(self._encode_chunks)
+        self.chunks = WordCache(self._encode_chunks, 120_000)
 
     # -- merges -----------------------------------------------------------------------------
     def _ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -287,5 +287,22 @@ def decode(docs: DataFrame, tokenizer_path: str, ids_col: str = "ids", out: str
     return map_texts(docs, ids_col, docs.columns if keep is None else keep, f"`{out}` string", make)
 
 
+def round_trip(docs: DataFrame, tokenizer_path: str, text_col: str = "text", ids_out: str = "ids",
+               out: str = "decoded", keep: list[str] | None = None) -> DataFrame:
+    """``encode`` and ``decode`` in one pass: the ids of each text, and the text that those ids give."""
+    raw = docs.sparkSession.sparkContext.broadcast(_file(tokenizer_path))
+
+    def make():
+        bpe = load(raw.value)
+
+        def run(texts):
+            ids = bpe.encode(texts)
+            return [pa.array(ids, pa.binary()), pa.array(bpe.decode(ids), pa.string())]
+        return run
+
+    return map_texts(docs, text_col, docs.columns if keep is None else keep,
+                     f"`{ids_out}` binary, `{out}` string", make)
+
+
 def n_ids(packed: Column) -> Column:
     return (F.octet_length(packed) / 4).cast("bigint")

@@ -14,7 +14,7 @@ from pyspark.sql.types import StructType
 from lodestar.session import scratch_path
 
 #: Text bytes that one call of a batch function sees at most (a single longer text comes alone).
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 
 # The ASCII letters.
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -44,6 +44,11 @@ def land(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def sent(keys: DataFrame, most: int) -> DataFrame:
+    """A stored key table, hinted for broadcast if it has at most ``most`` rows; else Spark shuffles."""
+    return F.broadcast(keys) if keys.count() <= most else keys
+
+
 def text_slices(batch: pa.RecordBatch, col: str) -> Iterator[tuple[pa.RecordBatch, list]]:
     """Cut a batch into runs of rows with about SLICE_BYTES of text; yields (rows, texts)."""
     if not batch.num_rows:

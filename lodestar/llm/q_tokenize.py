@@ -29,8 +29,6 @@ def op2_token_files(spark, sf_dir):
 @query("op8_bpe_roundtrip")
 def op8_bpe_roundtrip(spark, sf_dir):
     file = public_tokenizers.path("word_bpe_49k.json")
-    ids = bpe_tree.encode(read_table(spark, sf_dir, "documents"), file, keep=["doc_id"])
-    facts = ids.select("doc_id", "ids", bpe_tree.n_ids(F.col("ids")).alias("n_tokens"),
-                       F.sha2("ids", 256).alias("ids_sha256"))
-    text = bpe_tree.decode(facts, file, keep=["doc_id", "n_tokens", "ids_sha256"])
-    return text.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+    both = bpe_tree.round_trip(read_table(spark, sf_dir, "documents"), file, keep=["doc_id"])
+    return both.select("doc_id", bpe_tree.n_ids(F.col("ids")).alias("n_tokens"),
+                       F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
