@@ -13,7 +13,7 @@ from pyspark.sql.types import StructType
 
 from lodestar.session import scratch_path
 
-#: Text bytes that one call of a batch function sees at most (a single longer text comes alone).
+#: Text bytes that one call of a batch function sees at most by default (a single longer text comes alone).
 SLICE_BYTES = 2 << 20
 
 # The ASCII letters.
@@ -49,13 +49,13 @@ def sent(keys: DataFrame, most: int) -> DataFrame:
     return F.broadcast(keys) if keys.count() <= most else keys
 
 
-def text_slices(batch: pa.RecordBatch, col: str) -> Iterator[tuple[pa.RecordBatch, list]]:
-    """Cut a batch into runs of rows with about SLICE_BYTES of text; yields (rows, texts)."""
+def text_slices(batch: pa.RecordBatch, col: str, size: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, list]]:
+    """Cut a batch into runs of rows with about ``size`` bytes of text; yields (rows, texts)."""
     if not batch.num_rows:
         return
     arr = batch.column(batch.schema.get_field_index(col))
     lens = pc.fill_null(pc.binary_length(arr), 0).to_numpy(zero_copy_only=False)
-    part = np.cumsum(lens) // SLICE_BYTES
+    part = np.cumsum(lens) // size
     cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
     for a, b in zip(cuts, cuts[1:]):
         if b > a:
@@ -64,7 +64,8 @@ def text_slices(batch: pa.RecordBatch, col: str) -> Iterator[tuple[pa.RecordBatc
 
 
 def map_texts(df: DataFrame, col: str, keep: list[str], schema: StructType | str,
-              make: Callable[[], Callable[[list], list[pa.Array]]]) -> DataFrame:
+              make: Callable[[], Callable[[list], list[pa.Array]]],
+              slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """Apply a batch function to a text column, one output row per input row.
 
     ``make()`` runs once per task and returns ``fn(texts) -> arrays`` for the
@@ -86,7 +87,7 @@ def map_texts(df: DataFrame, col: str, keep: list[str], schema: StructType | str
     def run(batches):
         fn = make()
         for batch in batches:
-            for rows, texts in text_slices(batch, "__text"):
+            for rows, texts in text_slices(batch, "__text", slice_bytes):
                 cols = [rows.column(i) for i in range(len(keep))] + list(fn(texts))
                 yield pa.RecordBatch.from_arrays(
                     [c if c.type == f.type else c.cast(f.type) for c, f in zip(cols, arrow)], schema=arrow)

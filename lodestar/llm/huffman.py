@@ -36,6 +36,8 @@ from lodestar.session import scratch_path, shuffle_partitions
 
 #: Longest code in bits (a code table of 2**20 entries), ids per checkpoint, ids per block.
 MAX_BITS, SEGMENT, BLOCK = 20, 256, 65_536
+#: Text that is cut into chunks at a time: more of it repeats words within the slice.
+ENCODE_BYTES = 8 << 20
 #: Ids that are decoded side by side at most, beside a single larger block.
 DECODE_IDS = 1 << 21
 
@@ -255,7 +257,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int |
 
     staged = scratch_path(spark, "llm-token-ids")
     (map_texts(docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text")),
-               "text", ["doc_id"], "ids binary", make_encode)
+               "text", ["doc_id"], "ids binary", make_encode, slice_bytes=ENCODE_BYTES)
      .write.option("compression", "zstd").parquet(staged))
     ids = spark.read.schema("doc_id bigint, ids binary").parquet(staged)
 
