@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -44,6 +45,22 @@ def land(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Steps:
+    """Tables that an operator lands on its way; ``drop`` deletes them once nothing reads them any more."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.path = spark, scratch_path(spark, f"llm-{name}")
+
+    def land(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{self.path}/{name}-{uuid.uuid4().hex[:8]}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self) -> None:
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def sent(keys: DataFrame, most: int) -> DataFrame:
     """A stored key table, hinted for broadcast if it has at most ``most`` rows; else Spark shuffles."""
     return F.broadcast(keys) if keys.count() <= most else keys

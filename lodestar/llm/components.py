@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lodestar.llm.common import land
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, land=land) -> DataFrame:
     """(node, root) for every node of a table (a, b): root is the least node of its component.
 
     Each round lets every node hand its larger neighbours, then its smaller

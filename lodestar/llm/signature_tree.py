@@ -12,9 +12,9 @@ groups agree by chance: ``SLACK`` spare groups make up for them, and a set with
 groups than that enters those too.  No pair above the threshold shares no bucket.
 Buckets with the same members are one.
 
-*First links.*  Each member of a bucket is compared with the bucket's least
-class on the full sets.  This joins nearly all copies that differ a little, in
-one comparison each.
+*First links.*  Each class is compared on the full sets with the least of the first
+classes of its buckets; that joins nearly all copies that differ a little, in one comparison each.
+Members and first classes of a bucket that are still apart are compared next.
 
 *Trees.*  What is left is buckets with three or more members in more than one
 component.  Their members are leaves of a signature tree: a node holds the OR of its token
@@ -37,12 +37,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.llm.common import land, map_texts
+from lodestar.llm.common import Steps, land, map_texts
 from lodestar.llm.components import components
 
 SLACK = 3
-#: Bits of a token bitmap, children of a tree node, members of a tile, node pairs looked at together.
+#: Least bits of a token bitmap, children of a tree node, members of a tile, node pairs looked at together.
 BITS, FANOUT, TILE, FRONT = 2048, 8, 2048, 1 << 16
+#: Ids that a broadcast bit filter may mark, and its 64-bit words (some 20 MB as a join table).
+FILTER_IDS, FILTER_WORDS = 1 << 20, 1 << 18
+#: Pairs (two longs each) that are broadcast, some 30 MB as a join table.
+PAIRS_SENT = 1 << 20
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
 _CLASSES_SEEN = 500_000
 
@@ -123,11 +127,23 @@ def _fingerprint(s: np.ndarray) -> int | None:
 
 
 def _bitmap(s: np.ndarray) -> bytes:
-    bits = np.zeros(BITS, np.uint8)
-    bits[(s % np.uint64(BITS)).astype(np.int64)] = 1
+    """A power of two of bits, at least ``BITS`` and twice the set, so that it is never crowded."""
+    n = max(BITS, 1 << (2 * len(s) - 1).bit_length())
+    bits = np.zeros(n, np.uint8)
+    bits[(s & np.uint64(n - 1)).astype(np.int64)] = 1
     return np.packbits(bits).tobytes()
 
 
+def _matrix(bitmaps: list[bytes], width: int | None = None) -> np.ndarray:
+    """Bitmaps as rows of 64-bit words, longer ones folded to the shortest (a bit's place is a remainder)."""
+    width = width or min(map(len, bitmaps))
+    out = np.empty((len(bitmaps), width // 8), np.uint64)
+    for k, b in enumerate(bitmaps):
+        x = np.frombuffer(b, np.uint64)
+        out[k] = x if len(b) == width else np.bitwise_or.reduce(x.reshape(-1, width // 8), 0)
+    return out
+
+
 def _sets(width: int):
     def make():
         shingle = Shingler(width)
@@ -253,7 +269,7 @@ def _tree_pairs(num: int, den: int):
         size = group["n"].to_numpy()
         comp = group["comp"].to_numpy()
         tile, ti, tj = (group[c].to_numpy() for c in ("tile", "ti", "tj"))
-        bits = np.frombuffer(b"".join(group["bitmap"].to_pylist()), np.uint64).reshape(len(ids), -1)
+        bits = _matrix(group["bitmap"].to_pylist())
 
         def tree(k):
             at = tile == k
@@ -285,12 +301,82 @@ def _tree_pairs(num: int, den: int):
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs whose full sets reach the threshold."""
+    """The pairs (a stored table) whose full sets reach the threshold.
+
+    Sets are large and pairs narrow: up to ``PAIRS_SENT`` pairs are broadcast, so that a set moves once for
+    each pair that it is the second of and once if it is a first; more pairs are joined by shuffles.
+    """
     a = sets.select(F.col("cls").alias("a"), F.col("n").alias("na"), F.col("shingles").alias("sa"))
     b = sets.select(F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("shingles").alias("sb"))
-    both = F.size(F.array_intersect("sa", "sb"))
-    return (pairs.join(a, "a").join(b, "b").filter((den + num) * both >= num * (F.col("na") + F.col("nb")))
-            .select("a", "b"))
+    if pairs.count() <= PAIRS_SENT:
+        both = b.join(F.broadcast(pairs), "b").join(a.join(F.broadcast(pairs.select("a").distinct()), "a"), "a")
+    else:
+        both = pairs.join(a, "a").join(b, "b")
+    common = F.size(F.array_intersect("sa", "sb"))
+    return (both.filter((den + num) * common >= num * (F.col("na") + F.col("nb"))).select("a", "b").distinct())
+
+
+def _possible(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs (a stored table) that their bitmaps allow to reach the threshold; only those move full sets."""
+    def common(batch):
+        na, nb = (batch[c].to_numpy() for c in ("na", "nb"))
+        most = np.zeros(len(na), np.int64)
+        a, b = batch["ma"].to_pylist(), batch["mb"].to_pylist()
+        width = np.fromiter((min(len(x), len(y)) for x, y in zip(a, b)), np.int64, len(a))
+        for w in set(width.tolist()):
+            at = np.flatnonzero(width == w)
+            for part in np.array_split(at, 1 + len(at) * w // (1 << 24)):
+                x, y = (_matrix([m[k] for k in part.tolist()], w) for m in (a, b))
+                most[part] = np.minimum(na[part] - np.bitwise_count(x & ~y).sum(1, dtype=np.int64),
+                                        nb[part] - np.bitwise_count(y & ~x).sum(1, dtype=np.int64))
+        return (den + num) * most >= num * (na + nb)
+
+    def run(batches):
+        for batch in batches:
+            ok = pa.array(common(batch))
+            yield pa.RecordBatch.from_arrays([batch["a"].filter(ok), batch["b"].filter(ok)], ["a", "b"])
+
+    facts = sets.select("cls", "n", "bitmap")
+    a, b = facts.toDF("a", "na", "ma"), facts.toDF("b", "nb", "mb")
+    if pairs.count() <= PAIRS_SENT:
+        both = b.join(F.broadcast(pairs), "b").join(a.join(F.broadcast(pairs.select("a").distinct()), "a"), "a")
+    else:
+        both = pairs.join(a, "a").join(b, "b")
+    return both.select("a", "b", "na", "nb", "ma", "mb").mapInArrow(run, "a bigint, b bigint")
+
+
+def _apart(pairs: DataFrame, comp: DataFrame) -> DataFrame:
+    """The pairs that are not in one component yet."""
+    ca, cb = (comp.select(F.col("node").alias(x), F.col("root").alias(f"r{x}")) for x in ("a", "b"))
+    return pairs.join(ca, "a", "left").join(cb, "b", "left").filter(
+        F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")
+
+
+def _sets_of(named: DataFrame, member: DataFrame, docs: DataFrame, width: int, step: Steps) -> DataFrame:
+    """(cls, n, shingles, bitmap) of the classes in ``member``; some further classes may be among them.
+
+    One document of each class is wanted.  Up to ``FILTER_IDS`` of them are marked in a
+    bit filter, a table of at most ``FILTER_WORDS`` words that is broadcast, so that no
+    text is shuffled; beyond that a join picks them.
+    """
+    ids = step.land(named.join(member.select("cls").distinct(), "cls", "left_semi").groupBy("cls")
+               .agg(F.min(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("id")).select("id").distinct(),
+               "set-ids")
+    texts = docs.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), "text")
+    n = ids.count()
+    if n <= FILTER_IDS:
+        words = 1 << max(4, min(FILTER_WORDS, n // 4 + 1).bit_length())
+
+        def marked(df):
+            h = F.xxhash64("id")
+            return df.withColumn("w", F.pmod(h, F.lit(words))).withColumn(
+                "bit", F.expr("shiftleft(1L, cast(pmod(shiftrightunsigned(xxhash64(id), 32), 64) as int))"))
+        bits = marked(ids).groupBy("w").agg(F.bit_or("bit").alias("bits"))
+        texts = marked(texts).join(F.broadcast(bits), "w").filter(F.col("bits").bitwiseAND(F.col("bit")) != 0)
+    else:
+        texts = texts.join(ids, "id", "left_semi")
+    return map_texts(texts, "text", [], "cls bigint, n bigint, shingles array<bigint>, bitmap binary",
+                     _full_sets(width)).filter(F.col("cls").isNotNull())
 
 
 def text_hash(text):
@@ -321,42 +407,45 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width:
                       F.sum(F.xxhash64("cls").cast("decimal(38,0)")).over(w).alias("all"))
               .filter(F.col("m") > 1)
               .select(F.xxhash64("m", "first", "all").alias("bucket"), "m", "first", "cls").distinct())
-    member = land(member, "buckets")
+    step = Steps(docs.sparkSession, "neardup")
+    member = step.land(member, "buckets")
+
+    sets = step.land(_sets_of(named, member, d, width, step), "full-sets")
 
-    used = member.select("cls").distinct()
-    ids = (named.join(used, "cls", "left_semi").groupBy("cls").agg(F.min("doc_id").alias("doc_id"))
-           .select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("__id")).distinct())
-    texts = (d.withColumn("__id", F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-             .join(ids, "__id", "left_semi"))
-    sets = land(map_texts(texts, "text", [], "cls bigint, n bigint, shingles array<bigint>, bitmap binary",
-                          _full_sets(width)).filter(F.col("cls").isNotNull())
-                .join(used, "cls", "left_semi").dropDuplicates(["cls"]), "full-sets")
+    def linked(pairs):
+        return step.land(_verified(step.land(_possible(pairs, sets, num, den).distinct(), "possible-pairs"),
+                                   sets, num, den), "links")
 
+    # each class against the least of its buckets' first classes; then the first classes still apart
     first = member.filter(F.col("cls") != F.col("first")).select(F.col("first").alias("a"), F.col("cls").alias("b"))
-    links = land(_verified(first.distinct(), sets, num, den), "first-links")
+    one = step.land(first.groupBy("b").agg(F.min("a").alias("a")), "first-pairs")
+    links = linked(one)
+    apart = _apart(first.distinct().join(one, ["a", "b"], "left_anti"), components(links, step.land))
+    links = links.unionByName(linked(step.land(apart, "other-pairs")))
 
-    comp = components(links)
+    comp = components(links, step.land)
     rest = member.filter(F.col("m") > 2).join(
         comp.select(F.col("node").alias("cls"), F.col("root").alias("comp")), "cls", "left").withColumn(
         "comp", F.coalesce("comp", "cls"))
     mixed = rest.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter(
         F.col("lo") != F.col("hi")).select("bucket")
     tiles = F.ceil(F.col("m") / TILE).cast("int")
-    rows = (rest.join(mixed, "bucket", "left_semi").join(sets.select("cls", "n", "bitmap"), "cls")
+    rows = (rest.join(mixed, "bucket", "left_semi").join(sets.select("cls", "n", "bitmap").distinct(), "cls")
             .withColumn("tile", F.pmod(F.xxhash64("cls"), tiles).cast("int"))
             .withColumn("o", F.explode(F.sequence(F.lit(0), tiles - 1)))
             .select("bucket", F.least("tile", "o").alias("ti"), F.greatest("tile", "o").alias("tj"), "tile", "cls",
                     "n", "comp", "bitmap"))
     rows = rows.repartition("bucket", "ti", "tj").sortWithinPartitions("bucket", "ti", "tj")
-    more = land(rows.mapInArrow(_tree_pairs(num, den), "a bigint, b bigint").distinct(), "tree-pairs")
-    links = links.unionByName(land(_verified(more, sets, num, den), "tree-links"))
+    more = step.land(rows.mapInArrow(_tree_pairs(num, den), "a bigint, b bigint").distinct(), "tree-pairs")
+    links = land(links.unionByName(linked(more)), "near-duplicate-links")
 
-    comp = land(components(links), "components")
+    comp = components(links, step.land)
     least = named.filter(F.col("cls").isNotNull()).groupBy("cls").agg(F.min("doc_id").alias("least"))
     rooted = least.join(comp.select(F.col("node").alias("cls"), "root"), "cls", "left").withColumn(
         "root", F.coalesce("root", "cls"))
     of_root = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     by_class = land(rooted.join(of_root, "root").select("cls", "component_id"), "class-components")
+    step.drop()  # what is returned reads the sets' names, the class table and the links only
     none = named.filter(F.col("cls").isNull()).withColumn("component_id", F.col("doc_id"))
     out = named.filter(F.col("cls").isNotNull()).join(by_class, "cls", "left").select(*named.columns, "component_id")
     return out.unionByName(none), links
