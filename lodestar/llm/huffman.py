@@ -88,10 +88,17 @@ class LibraryEncoder:
         return [self._pack(e) for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _encode_chunks(self, chunks: list[str]) -> list[bytes]:
-        """A line feed before a word and marks after it are cut off: no token spans a letter and
-        one of them, and words without them are far fewer."""
+        """A line feed before a word and marks after it are cut off: no token of the model spans a letter
+        and one of them, and words without them are far fewer.  Added tokens do, so a chunk that holds
+        one goes whole through the library."""
+        text = " ".join(chunks)
+        here = [a for a in self.added if a in text]  # mostly none
+        whole = list({c for c in chunks if any(a in c for a in here)}) if here else []
+        whole = dict(zip(whole, self._plain(whole)))
         heads, bodies, tails = [], [], []
         for c in chunks:
+            if whole and c in whole:
+                continue
             body, head = c.rstrip(self._marks), ""
             if not body or not body[-1].isalpha():
                 body = c
@@ -104,7 +111,8 @@ class LibraryEncoder:
         known = self.bodies.table([bodies])
         ends = list({*heads, *tails})
         ends = dict(zip(ends, self._plain(ends)))
-        return [ends[h] + known[b] + ends[t] for h, b, t in zip(heads, bodies, tails)]
+        cut = (ends[h] + known[b] + ends[t] for h, b, t in zip(heads, bodies, tails))
+        return [whole[c] if c in whole else next(cut) for c in chunks] if whole else list(cut)
 
     def _encode_bodies(self, chunks: list[str]) -> list[bytes]:
         """Words of Latin letters, with or without a space before, are one pre-token each and go

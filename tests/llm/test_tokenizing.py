@@ -88,6 +88,19 @@ def test_op2_awkward_rows_and_round_trip(spark, tmp_path, monkeypatch):
     assert ids[4] == lib.encode(rows[4][1], add_special_tokens=False).ids and ids[1] == []
 
 
+def test_op2_added_tokens_stay_whole(spark, tmp_path):
+    texts = ["<|endoftext|>", "x <|endoftext|>", "<|endoftext|>.", "foo <|endoftext|> bar", "\n<|endoftext|>", "x\n<|endoftext|>!)",
+             "a<|endoftext|><|endoftext|>", "\n\n <|endoftext|>  \n", "<|endoftext", "plain. <|endoftext|>, plain."]
+    rows = [(k, t, None, None) for k, t in enumerate(texts)]
+    lib = library("byte_bpe_50k.json")
+    assert sorted(tuple(r) for r in q_tokenize.op2_token_files(spark, folder(spark, tmp_path, rows)).collect()
+                  ) == want_files(rows, lib)
+    with open(public_tokenizers.path("byte_bpe_50k.json"), "rb") as f:
+        own = huffman.LibraryEncoder(f.read(), None)
+    assert [np.frombuffer(b, own.dtype).tolist() for b in own.encode(texts)] == [
+        lib.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_op2_empty_table(spark, tmp_path):
     assert q_tokenize.op2_token_files(spark, folder(spark, tmp_path, [])).count() == 0
 
