@@ -389,7 +389,8 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width:
     """(per document, links).
 
     Per document, one row each: doc_id, text_hash, n_shingles, cls (null: no
-    shingles) and component_id, the least doc_id it reaches.  Links: pairs (a, b) of classes
+    shingles), component_id, the least doc_id it reaches, and root, the least class it reaches.  Only
+    root names a component: ids may be null or shared by unlinked texts.  Links: pairs (a, b) of classes
     above the threshold that were compared; they span every component.
     """
     d = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -444,8 +445,10 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width:
     rooted = least.join(comp.select(F.col("node").alias("cls"), "root"), "cls", "left").withColumn(
         "root", F.coalesce("root", "cls"))
     of_root = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_class = land(rooted.join(of_root, "root").select("cls", "component_id"), "class-components")
+    by_class = land(rooted.join(of_root, "root").select("cls", "component_id", "root"), "class-components")
     step.drop()  # what is returned reads the sets' names, the class table and the links only
-    none = named.filter(F.col("cls").isNull()).withColumn("component_id", F.col("doc_id"))
-    out = named.filter(F.col("cls").isNotNull()).join(by_class, "cls", "left").select(*named.columns, "component_id")
+    none = named.filter(F.col("cls").isNull()).withColumn("component_id", F.col("doc_id")).withColumn(
+        "root", F.lit(None).cast("bigint"))
+    out = named.filter(F.col("cls").isNotNull()).join(by_class, "cls", "left").select(
+        *named.columns, "component_id", "root")
     return out.unionByName(none), links

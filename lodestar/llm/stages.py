@@ -32,14 +32,15 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of near-duplicates: that with the smallest doc_id.
 
-    Of repeated rows one stays; documents without words are no duplicates and all stay.
+    A null doc_id is larger than all others; equal ids go by the text's hash.  Texts that are not linked all
+    stay, whatever their ids.  Of repeated rows one stays; documents without words are no duplicates and all stay.
     """
     ship_package(spark)
     per_doc, _ = signature_tree.join(docs)
     words = per_doc.filter(F.col("cls").isNotNull())
     key = [id_text().alias("__id"), F.col("text_hash").alias("__hash")]
-    chosen = (words.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("component_id")
-              .agg(F.min_by(F.struct("doc_id", "text_hash"), "text_hash").alias("c"))
+    chosen = (words.groupBy("root")
+              .agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("c"))
               .select(id_text("c.doc_id").alias("__id"), F.col("c.text_hash").alias("__hash")).distinct())
     rows = land(words.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).join(
         chosen.withColumn("stays", F.lit(True)), ["__id", "__hash"], "left"), "near-duplicate-rows")

@@ -75,6 +75,20 @@ def test_near_duplicates_keep_one_of_repeated_rows_and_all_empty(spark):
     assert shingles(None) == frozenset()
 
 
+def test_near_duplicates_keep_unlinked_texts_with_null_or_shared_ids(spark):
+    long = " ".join(f"w{k}" for k in range(60))
+    rows = [(i, t, None, None) for i, t in [
+        (None, "q r s t u"), (None, "one two three four five six"), (5, "a b c d e"), (5, "k l m n o p"),
+        (7, long), (None, long + " x"), (None, "v " + long),  # linked: 7 stays
+        (None, "y " + long.replace("w", "z")), (None, long.replace("w", "z")),  # linked, no id: one stays
+        (5, "h " + long.replace("w", "u")), (4, long.replace("w", "u"))]]  # linked: 4 stays
+    out = {(r["doc_id"], r["text"]) for r in stages.near_duplicates(spark, documents(spark, rows), "").collect()}
+    keep = {r[:2] for r in rows}
+    keep -= {(None, long + " x"), (None, "v " + long), (5, "h " + long.replace("w", "u"))}
+    pair = {r[:2] for r in rows[7:9]}
+    assert len(out & pair) == 1 and out - pair == keep - pair
+
+
 def test_stages_on_an_empty_table(spark, tmp_path):
     d = folder(spark, tmp_path, [])
     docs = documents(spark, [])
