@@ -17,8 +17,14 @@ put in narrow bins of their distance under the present estimate, and each
 (group, bin) gives counts, sums and cross products (combined on the map side, so
 a group with a third of all rows is no single task).  The bins up to the one
 that holds the h-th smallest distance make the next estimate.  Steps start from
-medians and median deviations; a floor on every variance keeps the
-determinant positive where a statistic hardly varies.
+medians and median deviations; a floor of the size of the rounding on every
+variance keeps the determinant positive where a statistic does not vary.
+
+A statistic of a short text is a noisy one: to the covariance of its group each
+row adds the sampling variance of its own statistics, cv**2 / words for the log of
+a mean length and 1 / (4 trials) for the angle of a share, with the words as trials
+of symbols, the lines as those of repeated lines and a third of the words (a
+window is three) as those of repeated windows.
 
 Groups of fewer than ``min_rows`` eligible rows are judged together as one
 group; if that one is too small, none of its rows is rejected.  Rows that fail
@@ -42,12 +48,15 @@ from lodestar.llm.common import land, map_texts
 SYMBOLS, BLANKS = "#*$%&|<>", " \t\r\x0b\x0c"
 MIN_WORDS = 50
 #: Share of rows that an estimate rests on, steps, smallest group, tail probability beyond which a row is an outlier.
-ALPHA, STEPS, MIN_ROWS, TAIL = 0.75, 6, 60, 1e-6
-#: Standard deviations below which no statistic goes: log length, and three angles.
-FLOORS = (0.08, 0.09, 0.16, 0.16)
+ALPHA, STEPS, MIN_ROWS, TAIL = 0.75, 6, 60, 1e-3
+#: Standard deviations below which no statistic goes, some roundings: log length, and three angles.
+FLOORS = (0.001, 0.001, 0.001, 0.001)
+#: Coefficient of variation of word lengths within a text.
+LENGTH_CV = 0.6
 BINS_PER_OCTAVE = 8
 D = 4
 _X = [f"x{i}" for i in range(D)]
+_V = [f"v{i}" for i in range(D)]
 _PAIRS = [(i, j) for i in range(D) for j in range(i, D)]
 
 
@@ -119,9 +128,19 @@ def _estimates(sums: DataFrame) -> DataFrame:
     return out.select("grp", *_PARAMS)
 
 
-def _distance(rows: DataFrame, params: DataFrame) -> DataFrame:
-    """``rows`` with d2; null where the group has no estimate."""
-    out = rows.join(params, "grp", "left")
+def _distance(rows: DataFrame, params: DataFrame, how: str = "left") -> DataFrame:
+    """``rows`` with d2; null where the group has no estimate, or without those rows (``how`` inner: a filter
+    on d2 would be pushed below and copy every factor many times).  Sampling variances of the rows, if there, count."""
+    out = rows.join(params, "grp", how)
+    if set(_V) <= set(rows.columns):  # the factor of the group's covariance plus the row's own variances
+        for i, j in _LOWER:
+            c = sum((F.col(f"l{i}{k}") * F.col(f"l{j}{k}") for k in range(j + 1)), F.lit(0.0))
+            out = out.withColumn(f"c{i}{j}", c + F.col(f"v{i}") if i == j else c)
+        out = out.drop(*[f"l{i}{j}" for i, j in _LOWER])
+        for i, j in _LOWER:
+            rest = sum((-F.col(f"l{i}{k}") * F.col(f"l{j}{k}") for k in range(j)), F.col(f"c{i}{j}"))
+            out = out.withColumn(f"l{i}{j}", F.sqrt(F.greatest(rest, F.lit(1e-9))) if i == j else rest / F.col(f"l{j}{j}"))
+        out = out.drop(*[f"c{i}{j}" for i, j in _LOWER])
     for i in range(D):
         z = F.col(f"x{i}") - F.col(f"m{i}")
         z = sum((-F.col(f"l{i}{k}") * F.col(f"z{k}") for k in range(i)), z)
@@ -147,17 +166,20 @@ def judge(stats: DataFrame, lang_col: str = "lang", source_col: str = "source",
     null = F.lit("\u0000")
     x = [F.log(F.col("word_chars") / F.greatest(F.col("n_words"), F.lit(1)) + 1e-9),
          _share("n_symbols", "word_chars"), _share("n_dup_lines", "n_lines"), _share("n_repeat_words", "n_words")]
+    # a row that the base rule lets through has words; lines are at least one
+    words = F.greatest(F.col("n_words"), F.lit(1))
+    noise = [LENGTH_CV ** 2 / words, 0.25 / words, 0.25 / F.greatest(F.col("n_lines"), F.lit(1)), 0.75 / words]
     cols = stats.columns
     rows = land(stats.select(
         *[F.col(f"`{c}`").alias(f"c_{i}") for i, c in enumerate(cols)], base.alias("base_failed"),
         F.to_json(F.array(F.coalesce(F.col(f"`{lang_col}`").cast("string"), null),
                           F.coalesce(F.col(f"`{source_col}`").cast("string"), null))).alias("own"),
-        *[F.round(c, 4).alias(n) for c, n in zip(x, _X)]), "outlier-stats")
+        *[F.round(c, 4).alias(n) for c, n in zip(x, _X)], *[c.alias(n) for c, n in zip(noise, _V)]), "outlier-stats")
     good = rows.filter(~F.col("base_failed"))
     sizes = good.groupBy("own").count()
     own = sizes.filter(F.col("count") >= min_rows).select("own", F.col("own").alias("grp"))
     rows = rows.join(land(own, "outlier-groups"), "own", "left").withColumn("grp", F.coalesce("grp", F.lit("(rest)")))
-    good = rows.filter(~F.col("base_failed")).select("grp", *_X)
+    good = rows.filter(~F.col("base_failed")).select("grp", *_X, *_V)
     enough = good.groupBy("grp").agg(F.count(F.lit(1)).alias("n"), *[
         F.percentile(F.round(c, 2), 0.5).alias(f"med{i}") for i, c in enumerate(_X)]).filter(F.col("n") >= min_rows)
     # rounding bounds the number of different values that an exact percentile keeps
@@ -167,13 +189,13 @@ def judge(stats: DataFrame, lang_col: str = "lang", source_col: str = "source",
         (F.lit(0.0) if i != j else F.sqrt(F.pow(1.4826 * F.col(f"mad{i}"), F.lit(2.0)) + FLOORS[i] ** 2)
          ).alias(f"l{i}{j}") for i, j in _LOWER]), "outlier-start")
     for k in range(steps):
-        near = _bins(_distance(good, params).filter(F.col("d2").isNotNull())).filter(
+        near = _bins(_distance(good, params, "inner")).filter(
             F.col("upto") - F.col("n") < F.ceil(alpha * F.col("all")))
         sums = near.groupBy("grp").agg(F.sum("n").alias("n"), *[F.sum(f"s{i}").alias(f"s{i}") for i in range(D)],
                                        *[F.sum(f"q{i}{j}").alias(f"q{i}{j}") for i, j in _PAIRS])
         params = land(_estimates(sums), f"outlier-step{k}")
     # the half-way distance against that of a chi-square: trimmed covariances are too small
-    half = _bins(_distance(good, params).filter(F.col("d2").isNotNull())).filter(
+    half = _bins(_distance(good, params, "inner")).filter(
         F.col("upto") >= 0.5 * F.col("all")).groupBy("grp").agg(F.min("bin").alias("bin"))
     scale = half.select("grp", F.greatest(F.lit(1.0), F.pow(F.lit(2.0), (F.col("bin") + 1) / BINS_PER_OCTAVE)
                                           / chi2_cutoff(0.5)).alias("scale"))

@@ -106,6 +106,40 @@ def test_outliers_are_rejected_and_ordinary_rows_kept(spark):
     assert all(got[i] for i, *_ in rows) and not any(got[i] for i, *_ in junk)
 
 
+def test_moderate_junk_is_rejected_beside_clean_rows(spark):
+    rng = random.Random(2)
+    vocab = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 9))) for _ in range(3000)]
+
+    def plain(n):
+        return [rng.choice(vocab) for _ in range(n)]
+
+    def lined(words):
+        return "\n".join(" ".join(words[i:i + 10]) for i in range(0, len(words), 10))
+
+    def symbols(n):  # 15% of the word characters
+        t = plain(n)
+        for _ in range(round(sum(map(len, t)) * 0.15 / 0.85)):
+            k = rng.randrange(n)
+            t[k] += "#"
+        return lined(t)
+
+    def lines(n):  # half of the lines repeat an earlier one; windows are kept under half by long other lines
+        a = [" ".join(plain(3)) for _ in range(n // 10)]
+        return "\n".join(x for y in a for x in (y, y)) + " " + " ".join(plain(n))
+
+    def windows(n):  # 45% of the words in windows that occur twice, no line twice
+        k = round(n * 0.225)
+        part, rest = plain(k), plain(n - 2 * k)
+        return " ".join(part + rest[:len(rest) // 2] + part + rest[len(rest) // 2:])
+    rows = [(k, lined(plain(rng.randint(60, 900))), "en", "a") for k in range(600)]
+    junk = [(1000 + k, (symbols, lines, windows)[k % 3](rng.randint(100, 300)), "en", "a") for k in range(45)]
+    stats = outliers.text_stats(documents(spark, rows + junk), ["doc_id", "lang", "source"])
+    got = {r["doc_id"]: r for r in outliers.judge(stats).collect()}
+    assert not any(got[i]["base_failed"] for i, *_ in junk)
+    assert sum(got[i]["kept"] for i, *_ in rows) >= 0.99 * len(rows)
+    assert [i for i, *_ in junk if got[i]["kept"]] == []
+
+
 def test_estimate_and_distance_equal_numpy(spark):
     assert abs(outliers.chi2_cutoff(0.5) - 3.3567) < 1e-3 and abs(outliers.chi2_cutoff(0.05) - 9.4877) < 1e-3
     x = np.random.default_rng(0).normal(size=(200, 4)) @ np.array(
