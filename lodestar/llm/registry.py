@@ -20,5 +20,6 @@ def query(name: str, sql: str | None = None):
 
 
 def load_all():
-    from lodestar.llm import q_decontam, q_language, q_neardup, q_quality, q_scoring, q_secrets, q_tokenize, q_warc  # noqa: F401
+    from lodestar.llm import (q_conversations, q_decontam, q_divergence, q_labels, q_language, q_neardup, q_quality,  # noqa: F401
+                              q_scoring, q_secrets, q_tokenize, q_warc)
     return QUERIES, ORACLE

@@ -102,5 +102,5 @@ def test_entry_lists_all_queries():
 
     names = entry.queries()
     assert "pipeline" in names
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert len([k for k in names if k.startswith(f"op{n}_")]) == 1
