@@ -6,7 +6,8 @@ transformed statistics
 
 * log of the mean word length,
 * asin(sqrt(.)) of the shares of symbols among word characters, of repeated
-  lines among lines, and of words in repeated 3-word windows,
+  lines among lines, and of words in repeated 3-word windows, the last two less what
+  the text's length leads to expect,
 
 estimates centre and covariance of each (language, source) by the minimum
 covariance determinant and rejects rows whose squared Mahalanobis distance
@@ -23,8 +24,14 @@ variance keeps the determinant positive where a statistic does not vary.
 A statistic of a short text is a noisy one: to the covariance of its group each
 row adds the sampling variance of its own statistics, cv**2 / words for the log of
 a mean length and 1 / (4 trials) for the angle of a share, with the words as trials
-of symbols, the lines as those of repeated lines and a third of the words (a
-window is three) as those of repeated windows.
+of symbols, the lines as those of repeated lines and a sixth of the words (two
+windows of three words are the least that repeats) as those of repeated windows.
+
+A long text repeats itself by chance: any two of its windows, or lines, may be equal,
+so the expected share is a rate times the length.  The rate is a language's weighted median
+of share / length over its rows, long texts weighing by the square of their length, since they alone
+tell it.  Rates differ between texts: their spread above the median, on a log scale, adds
+to a row's own variance.
 
 Groups of fewer than ``min_rows`` eligible rows are judged together as one
 group; if that one is too small, none of its rows is rejected.  Rows that fail
@@ -54,6 +61,8 @@ FLOORS = (0.001, 0.001, 0.001, 0.001)
 #: Coefficient of variation of word lengths within a text.
 LENGTH_CV = 0.6
 BINS_PER_OCTAVE = 8
+#: Bin of rows without a repetition, below all others.
+_NEVER = -100_000
 D = 4
 _X = [f"x{i}" for i in range(D)]
 _V = [f"v{i}" for i in range(D)]
@@ -159,6 +168,30 @@ def _bins(rows: DataFrame) -> DataFrame:
     return binned.withColumn("upto", F.sum("n").over(w.orderBy("bin"))).withColumn("all", F.sum("n").over(w))
 
 
+def _chance(rows: DataFrame, count: str, size: str, out: str) -> DataFrame:
+    """(tongue, ``out``_rate, ``out``_spread): the share that repeats by chance per unit of length, and its log spread.
+
+    A row's rate is count / size**2; rows weigh size**2.  Rates are put in narrow bins, so the weighted
+    quantiles are running sums over some hundred bins of a language, whatever its rows.
+    """
+    weight = F.pow(F.col(size).cast("double"), F.lit(2.0))
+    place = F.when(F.col(count) > 0, F.floor(F.log2(F.col(count) / weight) * BINS_PER_OCTAVE)).otherwise(F.lit(_NEVER))
+    w = Window.partitionBy("tongue")
+    bins = (rows.filter(F.col(size) > 0).groupBy("tongue", place.alias("bin")).agg(F.sum(weight).alias("w"))
+            .withColumn("upto", F.sum("w").over(w.orderBy("bin"))).withColumn("all", F.sum("w").over(w)))
+    at = bins.groupBy("tongue").agg(*[F.min(F.when(F.col("upto") >= q * F.col("all"), F.col("bin"))).alias(n)
+                                      for n, q in (("mid", 0.5), ("high", 0.84))])
+    return at.select("tongue", F.when(F.col("mid") > _NEVER, F.pow(F.lit(2.0), (F.col("mid") + 0.5) / BINS_PER_OCTAVE))
+                     .otherwise(0.0).alias(f"{out}_rate"),
+                     ((F.col("high") - F.col("mid")) * math.log(2) / BINS_PER_OCTAVE).alias(f"{out}_spread"))
+
+
+def _expected(rate: str, spread: str, size: str):
+    """The angle that chance leads to expect at a length, and the variance that differing rates give it."""
+    angle = F.asin(F.sqrt(F.least(F.lit(0.5), F.coalesce(F.col(rate), F.lit(0.0)) * F.col(size))))
+    return angle, F.pow(0.5 * angle * F.coalesce(F.col(spread), F.lit(0.0)), F.lit(2.0))
+
+
 def judge(stats: DataFrame, lang_col: str = "lang", source_col: str = "source", alpha: float = ALPHA,
           steps: int = STEPS, min_rows: int = MIN_ROWS, tail: float = TAIL) -> DataFrame:
     """Add base_failed, distance (null where not estimated) and kept to a table of ``text_stats``."""
@@ -168,13 +201,22 @@ def judge(stats: DataFrame, lang_col: str = "lang", source_col: str = "source",
          _share("n_symbols", "word_chars"), _share("n_dup_lines", "n_lines"), _share("n_repeat_words", "n_words")]
     # a row that the base rule lets through has words; lines are at least one
     words = F.greatest(F.col("n_words"), F.lit(1))
-    noise = [LENGTH_CV ** 2 / words, 0.25 / words, 0.25 / F.greatest(F.col("n_lines"), F.lit(1)), 0.75 / words]
+    noise = [LENGTH_CV ** 2 / words, 0.25 / words, 0.25 / F.greatest(F.col("n_lines"), F.lit(1)), 1.5 / words]
     cols = stats.columns
+    tongue = F.coalesce(F.col(f"`{lang_col}`").cast("string"), null)
     rows = land(stats.select(
         *[F.col(f"`{c}`").alias(f"c_{i}") for i, c in enumerate(cols)], base.alias("base_failed"),
-        F.to_json(F.array(F.coalesce(F.col(f"`{lang_col}`").cast("string"), null),
-                          F.coalesce(F.col(f"`{source_col}`").cast("string"), null))).alias("own"),
-        *[F.round(c, 4).alias(n) for c, n in zip(x, _X)], *[c.alias(n) for c, n in zip(noise, _V)]), "outlier-stats")
+        F.to_json(F.array(tongue, F.coalesce(F.col(f"`{source_col}`").cast("string"), null))).alias("own"),
+        tongue.alias("tongue"), F.col("n_lines").alias("lines"), F.col("n_words").alias("words"),
+        F.col("n_dup_lines").alias("again_lines"), F.col("n_repeat_words").alias("again_words"),
+        *[c.alias(n) for c, n in zip(x, _X)], *[c.alias(n) for c, n in zip(noise, _V)]), "outlier-stats")
+    good = rows.filter(~F.col("base_failed"))
+    for k, size, count in ((2, "lines", "again_lines"), (3, "words", "again_words")):
+        rows = rows.join(land(_chance(good, count, size, size), f"outlier-chance-{size}"), "tongue", "left")
+        angle, spread = _expected(f"{size}_rate", f"{size}_spread", size)
+        rows = rows.withColumn(_V[k], F.col(_V[k]) + spread).withColumn(_X[k], F.col(_X[k]) - angle)
+    rows = land(rows.select(*[f"c_{i}" for i in range(len(cols))], "base_failed", "own",
+                            *[F.round(x, 4).alias(x) for x in _X], *_V), "outlier-rows")
     good = rows.filter(~F.col("base_failed"))
     sizes = good.groupBy("own").count()
     own = sizes.filter(F.col("count") >= min_rows).select("own", F.col("own").alias("grp"))

@@ -194,3 +194,100 @@ def test_class_probabilities_sum_to_one_and_learn():
     table = net.log10_table()
     assert np.allclose((10 ** table).sum(1), 1)
     assert table[1 * 12 + 2].argmax() == 3 and table[4 * 12 + 5].argmax() == 6
+
+
+def numpy_judge(stats, tail=outliers.TAIL):
+    """The whole rule over rows (lang, source, words, chars, symbols, dup lines, repeat words, lines): kept per row."""
+    lang, source = [r[0] for r in stats], [r[1] for r in stats]
+    n, chars, sym, dup, rep, lines = np.array([r[2:] for r in stats], float).T
+    failed_ = (n < 50) | (100 * rep > 50 * n)
+    one = np.maximum
+
+    def angle(a, b):
+        return np.arcsin(np.sqrt(np.minimum(1, a / one(b, 1))))
+    x = np.stack([np.log(chars / one(n, 1) + 1e-9), angle(sym, chars), angle(dup, lines), angle(rep, n)], 1)
+    v = np.stack([outliers.LENGTH_CV ** 2 / one(n, 1), .25 / one(n, 1), .25 / one(lines, 1), 1.5 / one(n, 1)], 1)
+    per = outliers.BINS_PER_OCTAVE
+    for k, size, count in ((2, lines, dup), (3, n, rep)):
+        for t in set(lang):
+            at = np.array([a == t for a in lang])
+            use = at & ~failed_ & (size > 0)
+            if not use.any():
+                continue
+            with np.errstate(divide="ignore"):
+                bins = np.where(count > 0, np.floor(np.log2(count / one(size, 1) ** 2) * per), outliers._NEVER)[use]
+            order = np.argsort(bins, kind="stable")
+            w = np.cumsum((size[use] ** 2)[order])
+            mid, high = (bins[order][np.searchsorted(w, q * w[-1])] for q in (.5, .84))
+            rate = 2 ** ((mid + .5) / per) if mid > outliers._NEVER else 0
+            mu = np.arcsin(np.sqrt(np.minimum(.5, rate * size)))
+            v[at, k] += (.5 * mu * (high - mid) * math.log(2) / per)[at] ** 2
+            x[at, k] -= mu[at]
+    x = np.round(x, 4)
+    own = list(zip(lang, source))
+    size = Counter(o for o, f in zip(own, failed_) if not f)
+    grp = [o if size[o] >= outliers.MIN_ROWS else None for o in own]
+    kept, cut, d = ~failed_, outliers.chi2_cutoff(tail), outliers.D
+
+    def dist(x, v, m, cov):
+        return np.array([(a - m) @ np.linalg.solve(cov + np.diag(b), a - m) for a, b in zip(x, v)])
+
+    def bin_of(d2):
+        return np.floor(np.log2(d2 + 2.0 ** -16) * per)
+    floor = np.diag(np.square(outliers.FLOORS))
+    for g in set(grp):
+        at = np.array([a == g for a in grp])
+        good = at & ~failed_
+        if good.sum() < outliers.MIN_ROWS:
+            continue
+        xs, vs = x[good], v[good]
+        m = np.median(np.round(xs, 2), 0)
+        cov = np.diag((1.4826 * np.median(np.round(np.abs(xs - m), 2), 0)) ** 2) + floor
+        for _ in range(outliers.STEPS):
+            b = bin_of(dist(xs, vs, m, cov))
+            below = np.array([(b < k).sum() for k in b])
+            use = xs[below < np.ceil(outliers.ALPHA * len(xs))]
+            m = use.mean(0)
+            cov = (use.T @ use) / len(use) - np.outer(m, m) + floor
+        b = np.sort(bin_of(dist(xs, vs, m, cov)))
+        half = min(k for k in b if (b <= k).sum() >= .5 * len(b))
+        scale = max(1, 2 ** ((half + 1) / per) / outliers.chi2_cutoff(.5))
+        kept[at] &= np.sqrt(dist(x[at], v[at], m, cov) / scale) <= math.sqrt(cut)
+    return kept
+
+
+STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
+
+
+def test_outlier_rule_equals_numpy(spark):
+    docs = spark.read.parquet(f"{SF_MID}/documents.parquet")
+    rows = outliers.judge(outliers.text_stats(docs, ["doc_id", "lang", "source"])).orderBy("doc_id").collect()
+    want = numpy_judge([(r["lang"], r["source"], *[r[c] for c in STATS]) for r in rows])
+    assert 20 < (~want).sum() and [r["kept"] for r in rows] == want.tolist()
+
+
+def test_long_clean_texts_are_kept(spark):
+    """Texts of up to 20,000 words repeat themselves by chance; only junk of any length goes."""
+    rng = np.random.default_rng(4)
+    vocab = np.array(["".join(rng.choice(list("abcdefgh"), rng.integers(2, 9))) for _ in range(800)])
+    p = 1 / np.arange(4, len(vocab) + 4)
+    p /= p.sum()
+
+    def plain(n):
+        w = rng.choice(vocab, n, p=p)
+        ends = np.cumsum(rng.integers(4, 80, n // 4 + 1))
+        return "\n".join(" ".join(x) for x in np.split(w, ends[ends < n]))
+    short = [(k, plain(int(rng.integers(60, 900))), "en", "a") for k in range(500)]
+    long = [(1000 + k, plain(n), "en", "a") for k, n in enumerate([3000, 3500, 4000, 5000, 6000, 8000, 10_000, 12_000, 16_000, 20_000])]
+
+    def windows(n):
+        part, rest = plain(int(n * 0.2)), plain(int(n * 0.6))
+        return f"{part} {rest} {part}"
+    junk = [(2000 + k, windows(n), "en", "a") for k, n in enumerate([200, 400, 1000, 3000, 8000])]
+    junk += [(3000 + k, plain(n).replace(" ", "### "), "en", "a") for k, n in enumerate([100, 1000, 6000])]
+    stats = outliers.text_stats(documents(spark, short + long + junk), ["doc_id", "lang", "source"])
+    got = {r["doc_id"]: r for r in outliers.judge(stats).collect()}
+    assert max(got[i]["n_repeat_words"] for i, *_ in long) > 500
+    assert [i for i, *_ in long if not got[i]["kept"]] == []
+    assert sum(got[i]["kept"] for i, *_ in short) >= 0.98 * len(short)
+    assert [i for i, *_ in junk if got[i]["kept"]] == []
