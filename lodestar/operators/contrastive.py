@@ -14,6 +14,9 @@ Losses (per example, one row per (group, qi)):
   imp = (neg_exp + eps)^beta normalised to mean 1 over the row
 * ``ntxent``    NT-Xent over the positive and mined negatives (eligibility by
   ``perc_pos`` / ``margin_pos``, then top-k *distinct* scores via dense_rank)
+
+Mining compares scores as whole multiples of 1 / POINT, so scores that differ in their last bits only are
+equal, on any engine and in any order of addition.
 """
 
 from __future__ import annotations
@@ -24,6 +27,12 @@ from pyspark.sql import functions as F
 from lodestar.functions.vectors import dot_logit
 
 EPS = 1e-8
+#: Scores are compared as whole multiples of 1 / POINT.
+POINT = 1_000_000
+
+
+def _fixed(score):
+    return F.round(score * F.lit(float(POINT))).cast("bigint")
 
 
 def in_batch_pairs(df: DataFrame, q: str = "qv", d: str = "dv", group="batch_id", idx: str = "pos",
@@ -130,10 +139,11 @@ def hard_negative(pairs: DataFrame, beta: float = 1.0, group="batch_id") -> Data
 def _allowed(method: str, margin: float):
     """Whether a pair is a negative that the mining rule lets through; needs _pos."""
     neg = F.col("qi") != F.col("di")
+    score, pos, m = _fixed(F.col("logit")), _fixed(F.col("_pos")), F.lit(round(margin * POINT)).cast("bigint")
     if method == "perc_pos":
-        return neg & (F.col("logit") >= F.col("_pos") * F.lit(float(margin)))
+        return neg & (score * POINT >= pos * m)
     if method == "margin_pos":
-        return neg & (F.col("logit") >= F.col("_pos") - F.lit(float(margin)))
+        return neg & (score >= pos - m)
     return neg
 
 
@@ -154,7 +164,7 @@ def hard_negatives(cands: DataFrame, k: int | None = 4, group="batch_id") -> Dat
     g = _g(group)
     if k is None or k <= 0:
         return cands
-    w = Window.partitionBy(*g, "qi").orderBy(F.col("logit").desc())
+    w = Window.partitionBy(*g, "qi").orderBy(_fixed(F.col("logit")).desc())
     return cands.withColumn("_dr", F.dense_rank().over(w)).filter(F.col("_dr") <= k).drop("_dr")
 
 
@@ -163,7 +173,7 @@ def ntxent(pairs: DataFrame, method: str = "perc_pos", margin: float = 0.95, k:
     """NT-Xent with mined negatives: -ln(p / (p + Σ_selected exp(l - max) + eps))."""
     g = _g(group)
     # one frame: a pair that the rule does not let through ranks last, after all that it does
-    t = _row_stats(pairs, g).withColumn("_cand", F.when(_allowed(method, margin), F.col("logit")))
+    t = _row_stats(pairs, g).withColumn("_cand", F.when(_allowed(method, margin), _fixed(F.col("logit"))))
     chosen = F.col("_cand").isNotNull()
     if k is not None and k > 0:
         w = Window.partitionBy(*g, "qi").orderBy(F.col("_cand").desc_nulls_last())

@@ -1,13 +1,13 @@
 """Text encoders and plug-in tokenizers.
 
-``hash_encode`` is the offline default encoder, in DataFrame expressions: every
-token has a fixed vector of small integers drawn from its md5, and a text's
-vector is pooled from its tokens' vectors in whole numbers, so the result is the same
-on any partitioning.
+The offline default encoder gives every token a fixed vector of small integers drawn from
+its md5 and pools a text's vector from its tokens' vectors in whole numbers, so the result is the
+same on any partitioning.  It comes in two forms with equal results: ``hash_encode`` in DataFrame
+expressions, and ``DrawEncoder`` as a plug-in, which shuffles nothing.
 
-Plug-ins are applied through Arrow-batched pandas UDFs.  A plug-in is given as a *factory* (a picklable zero-argument callable).  Each
+Plug-ins are applied by ``predict_batch_udf``, in batches of a fixed number of texts.  A plug-in is given as a *factory* (a picklable zero-argument callable).  Each
 Python worker builds it once and keeps it for every later batch, as a model
-server would keep weights loaded.  Two offline defaults ship here:
+server would keep weights loaded.  Besides ``DrawEncoder`` two ship here:
 
 * ``VocabTokenizer`` — the vocabulary tokenizer of ``operators.tokens`` as a
   plug-in (vocabulary landed as Parquet, read once per worker);
@@ -27,9 +27,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
+from pyspark.ml.functions import predict_batch_udf
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import ArrayType, DoubleType, FloatType
 
 from lodestar.functions.text import split_words
 from lodestar.functions.vectors import l2_normalize, truncate_dims
@@ -148,7 +150,54 @@ class HashingEncoder:
 
 
 #: Dimensions of the default encoder: one 16-bit draw each, eight to an md5.
-HASH_DIMS = 16
+HASH_DIMS = 64
+
+
+class DrawEncoder:
+    """The default encoder as a model object: framing, draws and pooling as in ``hash_encode``.
+
+    Draws of tokens are kept, up to ``keep`` of them (some 50 MB at 64 dimensions).
+    """
+
+    def __init__(self, dim: int = HASH_DIMS, seed: int = 0, keep: int = 1 << 16):
+        self.dim, self.seed, self.keep, self.draws = dim, seed, keep, {}
+
+    @staticmethod
+    def factory(dim: int = HASH_DIMS, seed: int = 0):
+        return functools.partial(DrawEncoder, dim, seed)
+
+    def draw(self, token: str) -> np.ndarray:
+        v = self.draws.get(token)
+        if v is None:
+            raw = b"".join(hashlib.md5(f"{self.seed}|vector{b}|{token}".encode()).digest() for b in range(-(-self.dim // 8)))
+            v = np.frombuffer(raw, ">u2")[:self.dim].astype(np.float64) - 32768.0
+            if len(self.draws) >= self.keep:
+                self.draws = {}
+            self.draws[token] = v
+        return v
+
+    def encode(self, texts, roles, pooling: str = "mean", max_length: int | None = None, normalize: bool = True):
+        """One vector per text."""
+        out = []
+        for text, role in zip(texts, roles):
+            mark = _MARK.get(role or "")
+            toks = ["<bos>", *([mark] if mark else []), *text.split()]
+            if max_length is not None:
+                toks = toks[:max_length - 1]
+            weight: dict = {}
+            for i, t in enumerate([*toks, "<eos>"]):
+                weight[t] = weight.get(t, 0) + (1 if pooling == "mean" else 1 + i % 7)
+            # whole numbers far below 2**53: exact in any order
+            v = np.zeros(self.dim)
+            for t, w in weight.items():
+                v += w * self.draw(t)
+            if normalize:
+                n = np.sqrt((v * v).sum())
+                v = v / n if n > 0 else v
+            else:
+                v = v / ((len(toks) + 1) * 32768.0 if pooling == "mean" else 32768.0)
+            out.append(v)
+        return out
 
 
 def hash_encode(df: DataFrame, keys, text: str, role, pooling: str = "mean", max_length: int | None = None,
@@ -195,29 +244,31 @@ def hash_encode(df: DataFrame, keys, text: str, role, pooling: str = "mean", max
 
 
 def encode_texts(df: DataFrame, text: str, role, encoder_factory, pooling: str = "mean",
-                 max_length: int | None = None, normalize: bool = True, batch_size: int = 64, out: str = "embedding") -> DataFrame:
-    """Add ``out`` = vectors of ``text`` (role: column or literal) from a plug-in encoder, computed
-    ``batch_size`` texts at a time inside Arrow batches.  Only a null text has a null vector."""
+                 max_length: int | None = None, normalize: bool = True, batch_size: int = 64, out: str = "embedding",
+                 element: str = "float") -> DataFrame:
+    """Add ``out`` = vectors of ``text`` (role: column or literal) from a plug-in encoder, which sees
+    ``batch_size`` texts at a time.  Only a null text has a null vector."""
     if pooling not in ("mean", "eos"):
         raise ValueError(f"Invalid pooling method: {pooling}")
     ship_package(df.sparkSession)
     role_c: Column = F.col(role) if isinstance(role, str) else role
 
-    @pandas_udf("array<float>")
-    def enc(it: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    def model():
         e = _cached(encoder_factory)
-        for texts, roles in it:
-            res = []
-            for i in range(0, len(texts), batch_size):
-                res.extend(e.encode(texts.iloc[i:i + batch_size].tolist(), roles.iloc[i:i + batch_size].tolist(),
-                                    pooling, max_length, normalize))
-            yield pd.Series(res)
 
-    return df.withColumn(out, enc(F.col(text), role_c))
+        def predict(texts: np.ndarray, roles: np.ndarray) -> np.ndarray:
+            return np.stack(e.encode(texts.tolist(), roles.tolist(), pooling, max_length, normalize))
+        return predict
+
+    enc = predict_batch_udf(model, return_type=ArrayType(DoubleType() if element == "double" else FloatType()), batch_size=batch_size)
+    vec = enc(F.coalesce(F.col(text), F.lit("")), F.coalesce(role_c, F.lit("")))
+    return df.withColumn(out, F.when(F.col(text).isNotNull(), vec))
 
 
 def attach_embeddings(df: DataFrame, text: str, encoder_factory, dims: int, role="role",
-                      pooling: str = "mean", batch_size: int = 64, out: str = "embedding") -> DataFrame:
+                      pooling: str = "mean", batch_size: int = 64, out: str = "embedding",
+                      element: str = "float") -> DataFrame:
     """Teacher vectors for samples: encode, keep the first ``dims`` dimensions, re-normalise."""
-    t = encode_texts(df, text, role, encoder_factory, pooling=pooling, batch_size=batch_size, out="_full")
-    return t.withColumn(out, l2_normalize(truncate_dims("_full", dims)).cast("array<float>")).drop("_full")
+    t = encode_texts(df, text, role, encoder_factory, pooling=pooling, normalize=False, batch_size=batch_size,
+                     out="_full", element=element)
+    return t.withColumn(out, l2_normalize(truncate_dims("_full", dims)).cast(f"array<{element}>")).drop("_full")

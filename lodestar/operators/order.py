@@ -16,11 +16,18 @@ sampling, so a hot key range is split over many tasks.
 
 from __future__ import annotations
 
+import pickle
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from lodestar.functions.random import hash_key
-from lodestar.session import checkpoint_root, shuffle_partitions
+from lodestar.session import checkpoint_root, shuffle_partitions, ship_package
 
 _LOW33 = (1 << 33) - 1
 
@@ -135,32 +142,120 @@ def running_agg(df: DataFrame, order_by, value: str, group_by=(), how: str = "su
                 inclusive: bool = True, out: str | None = None, partitions: int | None = None) -> DataFrame:
     """Running sum or max of ``value`` in ``order_by`` order within each group.
 
-    A group may hold a third of all rows, so no window runs over a whole group:
-    rows are range-partitioned on (group, order) and checkpointed; each range
-    partition computes its local running value (window over (partition, group)),
-    and the totals of earlier partitions of the same group (a table of at most
-    partitions x groups rows) are broadcast and combined in.
-    ``inclusive=False`` gives the value over strictly earlier rows.
+    Rows are range-partitioned on (group, order), sorted and checkpointed.  A first pass over the sorted
+    partitions gives one row per partition: its first and last group with their totals.  Folded in
+    order, these say what a partition's first group has gathered before it, which is all
+    that a second pass needs to scan its rows from top to bottom.  No row moves after the
+    checkpoint, a group may hold any share of the rows, and only one row per partition reaches the driver.
+
+    Nulls are skipped; the result is null until a group's first value.  ``inclusive=False`` gives the
+    value over strictly earlier rows.
     """
     spark = df.sparkSession
     checkpoint_root(spark)
+    ship_package(spark)
     n = partitions or shuffle_partitions(spark)
     out = out or f"running_{how}_{value}"
     gcols = list(group_by)
     keys = _cols(gcols) + _cols(order_by)
     fixed = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys).checkpoint(eager=True)
-    t = fixed.withColumn("_pid", F.spark_partition_id())
-    fn = F.sum if how == "sum" else F.max
-    hi = 0 if inclusive else -1
-    w = Window.partitionBy("_pid", *gcols).orderBy(*_cols(order_by)).rowsBetween(Window.unboundedPreceding, hi)
-    local = t.withColumn("_local", fn(value).over(w))
-    totals = t.groupBy("_pid", *gcols).agg(fn(value).alias("_tot"))
-    wp = Window.partitionBy(*gcols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    prior = totals.withColumn("_prior", fn("_tot").over(wp)).select("_pid", *gcols, "_prior")
-    j = local.join(_small(prior, gcols), ["_pid", *gcols])
-    if how == "sum":
-        val = F.when(F.col("_local").isNull() & F.col("_prior").isNull(), F.lit(None)).otherwise(
-            F.coalesce("_local", F.lit(0)) + F.coalesce("_prior", F.lit(0)))
-    else:
-        val = F.greatest("_local", "_prior")
-    return j.withColumn(out, val).drop("_pid", "_local", "_prior")
+    kind = df.select((F.sum if how == "sum" else F.max)(value).alias(out)).schema[0].dataType
+    narrow = fixed.select(F.spark_partition_id().alias("_pid"), *gcols, F.col(value).cast(kind).alias("_v"))
+    edges = narrow.mapInArrow(_edges(gcols, how), "edge binary").collect()  # one row per partition
+    before, group, total = {}, None, None
+    for pid, first, first_total, last, last_total in sorted(
+            (pickle.loads(r["edge"]) for r in edges), key=lambda e: e[0]):
+        carried = total if group == (first,) else None
+        before[pid] = carried
+        total = _fold(carried, last_total, how) if first == last else last_total
+        group = (last,)
+    t = fixed.withColumn(out, F.lit(None).cast(kind)).withColumn("_pid", F.spark_partition_id()).withColumn(
+        "_v", F.col(value).cast(kind))
+    schema = StructType(t.schema.fields[:-2])
+    return t.mapInArrow(_scan(gcols, how, inclusive, out, before, to_arrow_schema(schema)), schema)
+
+
+def _fold(a, b, how: str):
+    """Sum or maximum of two values, either of which may be missing."""
+    if a is None or b is None:
+        return b if a is None else a
+    return a + b if how == "sum" else max(a, b)
+
+
+def _segments(batch: pa.RecordBatch, gcols: list[str]):
+    """(group, start, end) of the runs of equal groups in a batch."""
+    change = np.zeros(batch.num_rows, bool)
+    for g in gcols:
+        codes = batch.column(g).dictionary_encode("encode").indices.to_numpy(zero_copy_only=False)
+        change[1:] |= codes[1:] != codes[:-1]
+    cuts = [0, *np.flatnonzero(change).tolist(), batch.num_rows]
+    for a, b in zip(cuts, cuts[1:]):
+        yield tuple(batch.column(g)[a].as_py() for g in gcols), a, b
+
+
+def _total(column: pa.Array, how: str):
+    return (pc.sum if how == "sum" else pc.max)(column).as_py()
+
+
+def _edges(gcols, how):
+    """One pickled row per partition: number, first group and its total, last group and its total."""
+    def run(batches):
+        pid = first = last = None
+        first_total = total = None
+        for batch in batches:
+            for group, a, b in _segments(batch, gcols) if batch.num_rows else ():
+                pid = batch.column("_pid")[0].as_py()
+                part = _total(batch.column("_v").slice(a, b - a), how)
+                if last is None:
+                    first = last = group
+                    total = part
+                elif group == last:
+                    total = _fold(total, part, how)
+                else:
+                    last, total = group, part
+                if group == first:
+                    first_total = total
+        if last is not None:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([pickle.dumps((pid, first, first_total, last, total))], pa.binary())], ["edge"])
+    return run
+
+
+def _running(column: pa.Array, start, how: str, inclusive: bool) -> tuple[list, object]:
+    """Running values of one run of rows, from ``start``, and the value after it."""
+    v = column if column.null_count else column.to_numpy(zero_copy_only=False)
+    if column.null_count or v.dtype == object:
+        got, at = [], start
+        for x in column.to_pylist():
+            before, at = at, _fold(at, x, how)
+            got.append(at if inclusive else before)
+        return got, at
+    if start is not None:
+        v = np.concatenate([np.array([start], v.dtype), v])
+    run = np.cumsum(v) if how == "sum" else np.maximum.accumulate(v)
+    end = run[-1].item()
+    if inclusive:
+        return (run if start is None else run[1:]).tolist(), end
+    return ([None, *run[:-1].tolist()] if start is None else run[:-1].tolist()), end
+
+
+def _scan(gcols, how, inclusive, out, before, schema):
+    def run(batches):
+        at = group = None
+        begun = False
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            values: list = []
+            for g, a, b in _segments(batch, gcols):
+                if not begun:
+                    at, begun = before.get(batch.column("_pid")[0].as_py()), True
+                elif g != group:
+                    at = None
+                group = g
+                got, at = _running(batch.column("_v").slice(a, b - a), at, how, inclusive)
+                values += got
+            cols = [pa.array(values, f.type) if f.name == out else batch.column(f.name) for f in schema]
+            yield pa.RecordBatch.from_arrays(
+                [c if c.type == f.type else c.cast(f.type) for c, f in zip(cols, schema)], schema=schema)
+    return run

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodestar.functions import arrays as AR
 from lodestar.functions import vectors as V
 
 
@@ -65,16 +66,25 @@ def distill_loss(pred: DataFrame, target: DataFrame, on="pos", group="batch_id",
          (F.sum("_l1") / (F.count(F.lit(1)) * F.max("_d")))).alias("loss"))
 
 
+def _spliced(prefix, ids):
+    """Ids without their BOS between a role's prefix and EOS."""
+    body = F.when(F.size(ids) > 1, F.slice(ids, F.lit(2), F.greatest(F.size(ids) - 1, F.lit(1))))
+    return F.concat(prefix, F.coalesce(body, F.array().cast("array<int>")), F.array(F.lit(AR.EOS_ID)))
+
+
+def role_tokens(ids, role, prefixes=None):
+    """The variant of a token line in a role that is already drawn."""
+    prefixes = prefixes or {"query": AR.QUERY_PREFIX, "document": AR.DOC_PREFIX}
+    prefix = F.coalesce(*[F.when(role == r, F.array(*[F.lit(i) for i in p])) for r, p in prefixes.items()])
+    return _spliced(prefix, ids)
+
+
 def splice_roles(df: DataFrame, tokens: str, prefixes=None) -> DataFrame:
     """Both role variants of each token line: drop BOS, prepend the role prefix,
     append EOS; adds (role, tokens, eos_pos)."""
-    from lodestar.functions import arrays as AR
-
     prefixes = prefixes or {"query": AR.QUERY_PREFIX, "document": AR.DOC_PREFIX}
     roles = F.explode(F.array(*[F.struct(F.lit(r).alias("role"), F.array(*[F.lit(i) for i in p]).alias("prefix"))
                                 for r, p in prefixes.items()]))
     t = df.select("*", roles.alias("_r"))
-    spliced = F.concat(t["_r"]["prefix"], F.when(F.size(tokens) > 1, F.slice(tokens, 2, F.greatest(F.size(tokens) - 1, F.lit(1))))
-                       .otherwise(F.array().cast("array<int>")), F.array(F.lit(AR.EOS_ID)))
-    t = t.withColumn("role", t["_r"]["role"]).withColumn("tokens", spliced).drop("_r")
+    t = t.withColumn("role", t["_r"]["role"]).withColumn("tokens", _spliced(t["_r"]["prefix"], F.col(tokens))).drop("_r")
     return t.withColumn("eos_pos", AR.last_eos("tokens"))

@@ -20,7 +20,7 @@ X1_RANK_MOD = 17
 X1_EMPTY_DOC_MOD, X1_EMPTY_DOC_RES = 19, 4
 X1_EMPTY_QUERY_MOD, X1_EMPTY_QUERY_RES = 23, 6
 X5_BATCH = 32
-X6_BLOCK = 50
+X1J_CHUNKS = 32  # files of the ordered X1j
 X1_TURNS = 1_000_000  # pair_id = conv_id * X1_TURNS + turn
 X8_EDGE_LINES = ["", "   ", "a", "\U0001F600x", "\u00a0pad\u00a0"]
 VERSIONS = ("v6", "v7", "v8")
@@ -73,9 +73,9 @@ X1J_EXTRA_LINES = [
 ]
 
 
-def pairs_jsonl_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """X1j: one JSON object per line from X1 (rank as a JSON number when numeric,
-    absent when null), plus the hostile lines above."""
+def pairs_jsonl_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X1j: (part, at, value), one JSON object per line from X1 (rank as a JSON number when numeric,
+    absent when null) in order of pair_id, then the hostile lines above."""
     x1 = raw_pairs(spark, sf_dir)
     base = F.to_json(F.struct("query", "document"))
     numeric = F.col("rank").rlike(r"^-?[0-9]+(\.[0-9]+)?$")
@@ -83,11 +83,16 @@ def pairs_jsonl_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = F.when(F.col("rank").isNull(), base).otherwise(
         F.concat(F.expr("substring(to_json(struct(query, document)), 1, length(to_json(struct(query, document))) - 1)"),
                  F.lit(',"rank":'), rank_json, F.lit("}")))
-    lines = x1.select(line.alias("value"))
-    extra = spark.createDataFrame([(v,) for v, _ in X1J_EXTRA_LINES], "value string")
+    lines = x1.select(F.lit(0).alias("part"), F.col("pair_id").alias("at"), line.alias("value"))
+    extra = spark.createDataFrame([(1, i, v) for i, (v, _) in enumerate(X1J_EXTRA_LINES)], "part int, at long, value string")
     return lines.unionByName(extra)
 
 
+def pairs_jsonl_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of X1j in any order."""
+    return pairs_jsonl_in_order(spark, sf_dir).select("value")
+
+
 def hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Index hits (doc_id, query, title, snippet, rank) from documents."""
     d = table(spark, sf_dir, "documents")
@@ -152,21 +157,29 @@ def vector_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
                     rank.cast("int").alias("rank"), rank_weight(rank).alias("weight"))
 
 
+def vector_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X5 and two more batches: -1 has one pair, -2 six pairs of the first positions where each two share
+    their document (tied scores); positions go on downwards, rank 1."""
+    x = vector_pairs(spark, sf_dir)
+    one = x.filter("pos = 0").withColumn("batch_id", F.lit(-1).cast("bigint"))
+    twos = x.filter("pos < 6").drop("dv").join(
+        x.filter("pos < 6 and pos % 2 = 0").select(F.col("pos").alias("_even"), "dv"),
+        F.col("pos") - F.pmod("pos", F.lit(2)) == F.col("_even")).drop("_even").withColumn("batch_id", F.lit(-2).cast("bigint"))
+    edges = one.unionByName(twos).withColumn("pos", F.col("batch_id") * X5_BATCH + F.col("pos")).withColumn(
+        "rank", F.lit(1)).withColumn("weight", rank_weight(F.lit(1)))
+    return x.unionByName(edges)
+
+
 def retrieval_sets(spark: SparkSession, sf_dir: str):
-    """(queries, corpus, qrels).  task = 't' + vec_id % 3; every tenth vector
-    is a query; a document is relevant (rel 1) when it has the query's label and
-    sits in the same block of 50 vec_ids, so qrels grow linearly with the data."""
+    """(queries, corpus), both with their class.  task = 't' + vec_id % 3; every tenth vector
+    is a query; a document is relevant (rel 1) when it has the query's label."""
     e = table(spark, sf_dir, "embeddings")
     base = e.select("vec_id", F.concat(F.lit("t"), F.pmod("vec_id", F.lit(3)).cast("string")).alias("task"),
-                    "embedding", "label", F.expr(f"vec_id div {X6_BLOCK}").alias("blk"))
+                    "embedding", F.col("label").alias("class"))
     is_q = F.pmod("vec_id", F.lit(10)) == 0
-    queries = base.filter(is_q).select("task", F.col("vec_id").alias("qid"), F.col("embedding").alias("qv"),
-                                       F.col("label").alias("ql"), "blk")
-    corpus = base.filter(~is_q).select("task", F.col("vec_id").alias("did"), F.col("embedding").alias("dv"),
-                                       F.col("label").alias("dl"), "blk")
-    qrels = (queries.join(corpus, ["task", "blk"]).filter(F.col("ql") == F.col("dl"))
-             .select("task", "qid", "did", F.lit(1).alias("rel")))
-    return (queries.select("task", "qid", "qv"), corpus.select("task", "did", "dv"), qrels)
+    queries = base.filter(is_q).select("task", F.col("vec_id").alias("qid"), F.col("embedding").alias("qv"), "class")
+    corpus = base.filter(~is_q).select("task", F.col("vec_id").alias("did"), F.col("embedding").alias("dv"), "class")
+    return queries, corpus
 
 
 def hidden_states(spark: SparkSession, sf_dir: str) -> DataFrame:

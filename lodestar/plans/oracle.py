@@ -107,15 +107,23 @@ x5 AS (
   JOIN (SELECT vec_id // 2 AS pos, embedding AS dv FROM embeddings WHERE vec_id % 2 = 1) d USING (pos))
 """
 
-X6 = f"""
+#: X5 with its one-pair batch and its batch of tied scores, under the name x5.
+X5_BATCHES = X5.replace("x5 AS (", "x5_all AS (", 1).rstrip() + f""",
+x5_edges AS (
+  SELECT -1 AS batch_id, pos, qv, dv FROM x5_all WHERE pos = 0
+  UNION ALL SELECT -2, a.pos, a.qv, b.dv FROM x5_all a JOIN x5_all b ON b.pos = a.pos - a.pos % 2 WHERE a.pos < 6),
+x5 AS (SELECT * FROM x5_all UNION ALL
+  SELECT batch_id * {fx.X5_BATCH} + pos, batch_id, qv, dv, 1, {rank_weight_sql('1')} FROM x5_edges)
+"""
+
+X6 = """
 x6_base AS (
-  SELECT vec_id, 't' || CAST(vec_id % 3 AS VARCHAR) AS task, embedding, label, vec_id // {fx.X6_BLOCK} AS blk
-  FROM embeddings),
-x6_q AS (SELECT task, vec_id AS qid, embedding AS qv, label AS ql, blk FROM x6_base WHERE vec_id % 10 = 0),
-x6_c AS (SELECT task, vec_id AS did, embedding AS dv, label AS dl, blk FROM x6_base WHERE vec_id % 10 <> 0),
+  SELECT vec_id, 't' || CAST(vec_id % 3 AS VARCHAR) AS task, embedding, label FROM embeddings),
+x6_q AS (SELECT task, vec_id AS qid, embedding AS qv, label AS ql FROM x6_base WHERE vec_id % 10 = 0),
+x6_c AS (SELECT task, vec_id AS did, embedding AS dv, label AS dl FROM x6_base WHERE vec_id % 10 <> 0),
 x6_qrels AS (
   SELECT q.task, q.qid, c.did, 1 AS rel FROM x6_q q JOIN x6_c c
-    ON q.task = c.task AND q.blk = c.blk AND q.ql = c.dl)
+    ON q.task = c.task AND q.ql = c.dl)
 """
 
 X6_HITS = f"""

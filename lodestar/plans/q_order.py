@@ -8,7 +8,7 @@ from lodestar.functions import arrays as AR
 from lodestar.operators import augment as A
 from lodestar.operators import order as OR
 from lodestar.operators import tokens as TK
-from lodestar.operators.teacher import splice_roles
+from lodestar.operators.teacher import role_tokens
 from lodestar.operators.pairs import valid_pairs
 from lodestar.plans import fixtures as fx
 from lodestar.plans import oracle as o
@@ -58,12 +58,13 @@ def batch_epochs_reshuffle(spark, sf_dir):
 
 
 def distill_samples(spark, sf_dir):
-    """Distillation samples: each token line in one randomly drawn role, shuffled."""
+    """Distillation samples in shuffled order: the role of a token line is drawn first, and only the line's ids are
+    shuffled; ``tokens`` are spliced afterwards."""
     from lodestar.plans.q_tokens import x8
-    t = x8(spark, sf_dir).select("version", "pos", AR.parse_ids("token_line").alias("ids"))
-    drawn = t.withColumn("drawn", A.assign_role(42, F.col("version"), F.col("pos")))
-    one = splice_roles(drawn, "ids").filter(F.col("role") == F.col("drawn")).drop("drawn").withColumn("line_id", F.concat_ws(":", "version", F.col("pos").cast("string")))
-    return OR.shuffle(one.drop("pos"), "line_id", 42, pos="spos")
+    t = x8(spark, sf_dir).select(
+        F.concat_ws(":", "version", F.col("pos").cast("string")).alias("line_id"),
+        A.assign_role(42, F.col("version"), F.col("pos")).alias("role"), AR.parse_ids("token_line").alias("ids"))
+    return OR.shuffle(t, "line_id", 42, pos="spos").withColumn("tokens", role_tokens(F.col("ids"), F.col("role")))
 
 
 _PACK_SQL = o.with_ctes(o.X3, VOCAB, X8).replace("WITH ", "WITH RECURSIVE ", 1) + f"""

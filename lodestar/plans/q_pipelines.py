@@ -16,9 +16,11 @@ from lodestar.plans import oracle as o
 from lodestar.plans.q_sources import _EXTRA_OK, land_jsonl
 from lodestar.plans.q_tokens import _MASK_SQL, VOCAB, X8, _tok_sql, _vec_sql, _vectors, vocab, x8
 from lodestar.plans.registry import as_long, query, r6
+from lodestar.session import scratch_path
+from lodestar.sinks.samples import read_samples, write_samples
 from lodestar.sources.jsonl import read_pairs_jsonl
 
-BATCH, MAX_LEN, KEPT = 16, 256, 8
+BATCH, MAX_LEN, KEPT = 16, 256, 64
 
 _PAIRS = f"""
 jp AS (SELECT query, document AS positive, CAST({o.rank_default_sql('rank')} AS BIGINT) AS rank
@@ -71,15 +73,17 @@ FROM t
 """)
 def pipeline_distill_samples(spark, sf_dir):
     """Token lines and both teachers aligned by position, one drawn role each: tokens, that role's
-    vector cut to its first dimensions, and the position of the closing <eos>."""
+    whole vector, and the position of the closing <eos>; written as a version and read back against its manifest."""
     x3 = fx.lines(spark, sf_dir)
     toks = x8(spark, sf_dir, x3).select("version", "pos", AR.parse_ids("token_line").alias("ids"))
     rows = D.align(toks, _vectors(spark, sf_dir, x3, 0, "qv"), _vectors(spark, sf_dir, x3, 1, "dv"))
-    role = A.assign_role(42, F.col("version"), F.col("pos"))
-    rows = rows.withColumn("drawn", role).select(
-        "version", "pos", "ids", "drawn", F.when(F.col("drawn") == "query", F.col("qv")).otherwise(F.col("dv")).alias("v"))
-    one = D.splice_roles(rows, "ids").filter(F.col("role") == F.col("drawn"))
-    vec = V.l2_normalize(V.truncate_dims("v", KEPT))
-    text = F.array_join(F.transform(vec, lambda x: F.format_string("%.4f", F.round(x.cast("double"), 4) + F.lit(0.0))), " ")
-    return one.select("version", F.col("pos").alias("idx"), "role", F.array_join("tokens", " ").alias("tokenized"),
-                      as_long("eos_pos").alias("eos_pos"), text.alias("embedding"))
+    drawn = A.assign_role(42, F.col("version"), F.col("pos"))
+    one = rows.withColumn("role", drawn).select(
+        "version", "pos", "role", D.role_tokens(F.col("ids"), F.col("role")).alias("tokens"),
+        V.l2_normalize(V.truncate_dims(F.when(F.col("role") == "query", F.col("qv")).otherwise(F.col("dv")), KEPT)).alias("vector"))
+    path = scratch_path(spark, "samples")
+    write_samples(one.withColumn("eos_pos", AR.last_eos("tokens")), path)
+    text = F.array_join(F.transform("vector", lambda x: F.format_string("%.4f", F.round(x.cast("double"), 4) + F.lit(0.0))), " ")
+    return read_samples(spark, path).select(
+        "version", F.col("pos").alias("idx"), "role", F.array_join("tokens", " ").alias("tokenized"),
+        as_long("eos_pos").alias("eos_pos"), text.alias("embedding"))

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lodestar.functions import text as T
+from lodestar.operators.order import with_positions
 from lodestar.operators.pairs import pairs_from_hits
 from lodestar.plans import fixtures as fx
 from lodestar.plans import oracle as o
@@ -27,6 +28,32 @@ def land_jsonl(spark, sf_dir) -> str:
     return path
 
 
+def land_jsonl_chunks(spark, sf_dir) -> str:
+    """X1j in order: line ``pos`` of n goes to the file of folder ``chunk=<pos * X1J_CHUNKS div n>``, five digits."""
+    path = scratch_path(spark, "pairs-jsonl-chunks")
+    t = with_positions(fx.pairs_jsonl_in_order(spark, sf_dir), ["part", "at"])
+    n = t.agg(F.count(F.lit(1)).alias("n"))
+    t = t.join(F.broadcast(n)).select(F.lpad(F.expr(f"pos * {fx.X1J_CHUNKS} div n").cast("string"), 5, "0").alias("chunk"), "pos", "value")
+    (t.repartition("chunk").sortWithinPartitions("chunk", "pos").select("chunk", "value")
+     .write.partitionBy("chunk").option("lineSep", "\n").text(path))
+    return path
+
+
+#: SQL of the ordered lines: pair lines by pair_id, then the fixed ones, with (query, positive, rank) of good lines.
+_REASONS = ", ".join(f"({i}, {'NULL' if r in (None, 'ok') else o.sql_str(r)}, {r == 'ok'}, {r is None})"
+                     for i, (_, r) in enumerate(fx.X1J_EXTRA_LINES))
+X1J_LINES = f"""
+x1j_extra AS (SELECT * FROM (VALUES {_REASONS}) t(i, reason, good, blank)),
+x1j AS (SELECT *, row_number() OVER (ORDER BY part, i) - 1 AS line, count(*) OVER () AS n FROM (
+  SELECT 0 AS part, pair_id AS i, query, document AS positive, CAST({o.rank_default_sql('rank')} AS BIGINT) AS rank,
+    CASE WHEN query = '' THEN 'missing_query' WHEN document = '' THEN 'missing_document' END AS reason, false AS blank
+  FROM x1
+  UNION ALL SELECT 1, e.i, g.query, g.positive, g.rank, e.reason, e.blank FROM x1j_extra e
+  LEFT JOIN (SELECT *, row_number() OVER (ORDER BY i) AS k FROM x1j_extra WHERE good) ok ON ok.i = e.i
+  LEFT JOIN (VALUES (1, 'q4', 'd4', 1), (2, 'q6', 'd6', 2)) g(k, query, positive, rank) ON g.k = ok.k))
+"""
+
+
 _EXTRA_OK = " UNION ALL ".join(
     f"SELECT {o.sql_str(q)} AS query, {o.sql_str(d)} AS positive, CAST({r} AS BIGINT) AS rank"
     for q, d, r in (("q4", "d4", 1), ("q6", "d6", 2)))
@@ -60,6 +87,17 @@ def src_pairs_rejects(spark, sf_dir):
     return t.groupBy("reason").agg(F.count(F.lit(1)).alias("n_lines"))
 
 
+@query("src_pairs_reject_lines", o.with_ctes(o.X1, X1J_LINES) + f"""
+SELECT CAST(chunk AS BIGINT) AS chunk, CAST(row_number AS BIGINT) AS line_no, reason FROM (
+  SELECT reason, chunk, row_number() OVER (PARTITION BY chunk ORDER BY line) AS row_number
+  FROM (SELECT *, line * {fx.X1J_CHUNKS} // n AS chunk FROM x1j)) WHERE reason IS NOT NULL
+""")
+def src_pairs_reject_lines(spark, sf_dir):
+    """Rejects by file and line number."""
+    t = read_pair_rejects(spark, land_jsonl_chunks(spark, sf_dir))
+    return t.select(F.regexp_extract("file", r"chunk=(\d+)", 1).cast("bigint").alias("chunk"), "line_no", "reason")
+
+
 _U_ROUND = f"(CAST(('0x' || substr(md5(concat_ws('|', CAST({SEED} + round AS VARCHAR), 'sample', CAST(doc_id AS VARCHAR))), 1, 8)) AS BIGINT) / 4294967296.0::DOUBLE)"
 
 

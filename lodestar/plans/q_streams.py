@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lodestar.plans import fixtures as fx
 from lodestar.plans import oracle as o
-from lodestar.plans.q_sources import land_jsonl
+from lodestar.plans.q_sources import X1J_LINES, land_jsonl, land_jsonl_chunks
 from lodestar.plans.q_udf import encoder_sql
 from lodestar.plans.registry import as_long, query, r6
 from lodestar.session import scratch_path
@@ -32,12 +32,16 @@ def stream_pairs(spark, sf_dir):
     return t.select("query_text", "doc_text", as_long("rank").alias("rank"), r6("weight").alias("weight"))
 
 
-@query("stream_batches")
+@query("stream_batches", o.with_ctes(o.X1, X1J_LINES) + """
+SELECT pos, pos // 16 AS batch_id, pos % 16 AS slot, query, positive, rank FROM (
+  SELECT query, positive, rank, row_number() OVER (ORDER BY line) - 1 AS pos FROM x1j WHERE reason IS NULL AND NOT blank)
+""")
 def stream_batches(spark, sf_dir):
     out, ck = _paths(spark, "stream-batches")
-    src = land_jsonl(spark, sf_dir)
+    src = land_jsonl_chunks(spark, sf_dir)
+    S.touch_in_order(spark, src)
     S.stream_batches(spark, src, out, ck, size=16, max_files_per_trigger=S.files_per_trigger(spark, src, "text"))
-    return spark.read.parquet(out).select(as_long("stream_batch_id").alias("stream_batch_id"), "batch_id", "slot", "query")
+    return S.read_batches(spark, out).select("pos", "batch_id", "slot", "query", "positive", as_long("rank").alias("rank"))
 
 
 def _land_x9(spark, sf_dir):

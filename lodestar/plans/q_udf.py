@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from lodestar.operators import encode as EN
 from lodestar.operators import pooling as PL
-from lodestar.functions import vectors as V
 from lodestar.plans import fixtures as fx
 from lodestar.plans import oracle as o
 from lodestar.plans.q_tokens import VOCAB, X4, vocab
@@ -50,7 +49,7 @@ def udf_tokenize(spark, sf_dir):
     return t.select("pair_id", "role", F.array_join(tok(F.col("text")), " ").alias("tokens"))
 
 
-DIMS, KEPT = EN.HASH_DIMS, 8
+DIMS, KEPT = EN.HASH_DIMS, 32
 
 
 def encoder_sql(src: str, keys: str, pooling: str, dims: int = DIMS) -> str:
@@ -68,7 +67,8 @@ enc_w AS (SELECT {keys}, tok, sum({weight})::BIGINT AS w FROM enc_x GROUP BY ALL
 enc_d AS (SELECT {keys}, w, [{draws}] AS v FROM (SELECT *, {hashes} FROM enc_w)),
 enc_l AS (SELECT {keys}, unnest(range({DIMS})) AS dim, unnest(v) * w AS x FROM enc_d),
 enc_s AS (SELECT {keys}, dim, sum(x)::BIGINT AS s FROM enc_l WHERE dim < {dims} GROUP BY ALL),
-enc AS (SELECT {keys}, dim, round(s / sqrt(sum(s::DOUBLE * s) OVER (PARTITION BY {keys})), 6) AS value FROM enc_s)
+enc_raw AS (SELECT {keys}, dim, s / sqrt(sum(s::DOUBLE * s) OVER (PARTITION BY {keys})) AS raw FROM enc_s),
+enc AS (SELECT {keys}, dim, round(raw, 6) AS value FROM enc_raw)
 """
 
 
@@ -82,6 +82,16 @@ def encode_texts(spark, sf_dir):
         "doc_id", as_long("dim").alias("dim"), r6("value").alias("value"))
 
 
+@query("encode_batched", "WITH src AS (SELECT doc_id, 'document' AS role, text FROM documents),"
+       + encoder_sql("src", "doc_id", "eos") + "SELECT doc_id, CAST(dim AS BIGINT) AS dim, value FROM enc")
+def encode_batched(spark, sf_dir):
+    """Whole documents through a plug-in encoder, 64 at a time, EOS pooling, normalised."""
+    d = fx.table(spark, sf_dir, "documents").select("doc_id", "text")
+    t = EN.encode_texts(d, "text", F.lit("document"), EN.DrawEncoder.factory(), pooling="eos", element="double")
+    return t.select("doc_id", F.posexplode("embedding").alias("dim", "value")).select(
+        "doc_id", as_long("dim").alias("dim"), r6("value").alias("value"))
+
+
 @query("attach_embeddings", """WITH src AS (
   SELECT item_id AS id, 'query' AS role, text FROM benchmark UNION ALL SELECT doc_id, 'document', text FROM documents),"""
        + encoder_sql("src", "id, role", "eos", KEPT) + "SELECT id, role, CAST(dim AS BIGINT) AS dim, value FROM enc")
@@ -89,7 +99,6 @@ def attach_embeddings(spark, sf_dir):
     """Benchmark items (queries) and documents, EOS pooling, teacher vectors cut to the first dimensions."""
     b = fx.table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("id"), "text", F.lit("query").alias("role"))
     d = fx.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text", F.lit("document").alias("role"))
-    t = EN.hash_encode(b.unionByName(d), ["id", "role"], "text", "role", pooling="eos", normalize=False)
-    t = t.select("id", "role", V.l2_normalize(V.truncate_dims("embedding", KEPT)).alias("embedding"))
+    t = EN.attach_embeddings(b.unionByName(d), "text", EN.DrawEncoder.factory(), KEPT, pooling="eos", element="double")
     return t.select("id", "role", F.posexplode("embedding").alias("dim", "value")).select(
         "id", "role", as_long("dim").alias("dim"), r6("value").alias("value"))

@@ -7,13 +7,16 @@ overwrite mode, so a micro-batch that is replayed after a failure replaces what
 
 from __future__ import annotations
 
+import re
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestar.functions import text as T
-from lodestar.operators.encode import hash_encode
+from lodestar.operators.encode import DrawEncoder, encode_texts
 from lodestar.operators.order import batch_fixed, with_positions
-from lodestar.sources.jsonl import read_pairs_jsonl
+from lodestar.sources.jsonl import pairs_from_lines, read_pairs_jsonl
 
 
 def _run(writer, timeout_s: int | None = None, spark: SparkSession | None = None,
@@ -47,33 +50,94 @@ def stream_pairs(spark: SparkSession, in_path: str, out_path: str, checkpoint: s
          .option("checkpointLocation", checkpoint).outputMode("append"))
 
 
+def _committed_before(spark: SparkSession, folder: str, epoch_id: int | None = None) -> str | None:
+    """The newest committed epoch folder, or the newest one before an epoch."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/epoch-*/next/_SUCCESS")
+    found = p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p) or []
+    paths = [f.getPath().getParent().getParent().toString() for f in found]
+    return max((x for x in paths if epoch_id is None or int(x.rsplit("-", 1)[1]) < epoch_id), default=None)
+
+
+_BATCHED = "query string, positive string, rank int, pos bigint, batch_id bigint, slot bigint"
+
+
 def stream_batches(spark: SparkSession, in_path: str, out_path: str, checkpoint: str, size: int = 16,
                    max_files_per_trigger: int = 4) -> None:
-    """Fixed-size batches per micro-batch (the tail is flushed at each trigger):
-    rows get (stream_batch_id, batch_id, slot)."""
-    p = (spark.readStream.option("lineSep", "\n").option("maxFilesPerTrigger", max_files_per_trigger)
-         .text(in_path))
-    from lodestar.sources.jsonl import pairs_from_lines
-    pairs = pairs_from_lines(p)
+    """Fixed-size batches that go on across triggers: batch_id = pos div size over all rows so far.
+
+    Rows come in order of arrival: by trigger, then by file name and line.  A trigger emits the batches that its
+    rows complete.  The rows of the batch still open, fewer than ``size``, and the next position are carried
+    to the next trigger in a table with a folder per epoch; an epoch is committed once its ``next`` is
+    written, begins from the newest epoch committed before it, and when replayed replaces what it had
+    written.  ``read_batches`` reads the result, the open batch as the last one.
+    """
+    p = (spark.readStream.option("lineSep", "\n").option("maxFilesPerTrigger", max_files_per_trigger).text(in_path)
+         .select("value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block")))
+    pairs = pairs_from_lines(p, keep=["_file", "_block"])
 
     def per_batch(df: DataFrame, epoch_id: int) -> None:
-        # equal rows get the same key; which of them comes first does not show
-        keyed = df.withColumn("_k", F.md5(F.concat_ws("\u0001", "query", "positive", F.col("rank").cast("string"))))
-        pos = with_positions(keyed, ["_k"], pos="pos")
-        b = batch_fixed(pos, "pos", size)
-        b.drop("_k").write.mode("overwrite").parquet(f"{out_path}/stream_batch_id={epoch_id}")
+        last = _committed_before(spark, out_path, epoch_id)
+        start = spark.read.parquet(f"{last}/next").first()["next"] if last else 0
+        # rows of a split are consecutive in their partition
+        numbered = df.withColumn("_row", F.monotonically_increasing_id())
+        rows = with_positions(numbered, ["_file", "_block", "_row"]).select(
+            "query", "positive", F.col("rank").cast("int").alias("rank"), (F.col("pos") + start).alias("pos"))
+        if last:
+            rows = rows.unionByName(_carried(spark, last))
+        upto = start + df.count()
+        epoch = f"{out_path}/epoch-{epoch_id:012d}"
+        batch_fixed(rows, "pos", size).withColumn("open", (F.col("pos") >= upto - upto % size).cast("int")).write.mode(
+            "overwrite").partitionBy("open").parquet(f"{epoch}/rows")
+        spark.range(1).select(F.lit(upto).cast("bigint").alias("next")).write.mode("overwrite").parquet(f"{epoch}/next")
 
     _run(pairs.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint))
 
 
+def _carried(spark: SparkSession, epoch: str) -> DataFrame:
+    """Rows of the batch that an epoch left open."""
+    return (spark.read.schema(f"{_BATCHED}, open int").parquet(f"{epoch}/rows").filter(F.col("open") == 1)
+            .select("query", "positive", "rank", "pos"))
+
+
+def read_batches(spark: SparkSession, out_path: str) -> DataFrame:
+    """(query, positive, rank, pos, batch_id, slot) of all committed epochs; rows of the open batch come last."""
+    last = _committed_before(spark, out_path)
+    if last is None:
+        return spark.createDataFrame([], _BATCHED)
+    upto = int(last.rsplit("-", 1)[1])
+    said = F.col("_metadata.file_path")  # each epoch is a table of its own: its number and open are read from the path
+    rows = (spark.read.schema(_BATCHED).option("recursiveFileLookup", "true").parquet(f"{out_path}/epoch-*/rows")
+            .withColumn("_epoch", F.regexp_extract(said, r"epoch-(\d+)", 1).cast("bigint"))
+            .withColumn("open", F.regexp_extract(said, r"open=(\d)", 1).cast("int")))
+    # an open row is part of the result only in the newest epoch: later ones carry it on
+    return rows.filter((F.col("_epoch") <= upto) & ((F.col("open") == 0) | (F.col("_epoch") == upto))).drop("_epoch", "open")
+
+
+def touch_in_order(spark: SparkSession, path: str) -> None:
+    """Give the files below a folder modification times in order of their names, a second apart: a file stream
+    takes files by that time."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    it, files = fs.listFiles(p, True), []
+    while it.hasNext():
+        f = it.next().getPath()
+        if not f.getName().startswith(("_", ".")):
+            files.append(f)
+    files.sort(key=lambda f: [int(x) if x.isdigit() else x for x in re.split(r"(\d+)", f.toString())])
+    now = int(time.time()) * 1000
+    for i, f in enumerate(files):
+        fs.setTimes(f, now - 1000 * (len(files) - i), -1)
+
+
 def stream_embed(spark: SparkSession, in_path: str, out_path: str, checkpoint: str, schema, keys,
                  text: str = "text", role="document", pooling: str = "mean", max_files_per_trigger: int = 4) -> None:
-    """Parquet rows -> (keys, embedding, reason) of the default encoder, a folder per epoch."""
+    """Parquet rows -> (keys, embedding) of the default encoder, a folder per epoch; rows stay in their tasks."""
     src = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger).parquet(in_path)
     role_c = F.lit(role) if role in ("query", "document") else F.col(role)
 
     def per_batch(df: DataFrame, epoch_id: int) -> None:
-        hash_encode(df, keys, text, role_c, pooling=pooling).write.mode("overwrite").parquet(
+        vec = encode_texts(df, text, role_c, DrawEncoder.factory(), pooling=pooling, element="double")
+        vec.select(*([keys] if isinstance(keys, str) else keys), "embedding").write.mode("overwrite").parquet(
             f"{out_path}/epoch={epoch_id}")
 
     _run(src.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint))

@@ -1,4 +1,4 @@
-"""Exact retrieval: any number of query slices agrees with all pairs;
+"""Exact retrieval: any number of tiles agrees with all pairs; judgments by class equal listed pairs;
 NDCG against a direct computation."""
 
 import math
@@ -15,8 +15,8 @@ def _hits(df):
     return {(r.task, r.qid, r.rank): (r.did, round(r.score, 9)) for r in df.collect()}
 
 
-def test_slices_agree_with_all_pairs(spark):
-    q, c, _ = fx.retrieval_sets(spark, SF_SMALL)
+def test_tiles_agree_with_all_pairs(spark):
+    q, c = fx.retrieval_sets(spark, SF_SMALL)
     twins = c.limit(40).withColumn("did", F.col("did") + 1_000_000)   # equal scores: the smaller did goes first
     c = c.unionByName(twins)
     from lodestar.functions.vectors import dot
@@ -24,17 +24,42 @@ def test_slices_agree_with_all_pairs(spark):
     want = _hits(q.join(c, "task").select("task", "qid", "did", dot("qv", "dv").alias("score"))
                  .withColumn("rank", F.row_number().over(w)).filter("rank <= 10"))
     assert _hits(rt.retrieve(q, c, 10)) == want
-    assert _hits(rt.retrieve(q, c.repartition(7), 10, slice_rows=5)) == want
-
-
-def test_no_sort_of_scored_pairs(spark):
-    q, c, _ = fx.retrieval_sets(spark, SF_SMALL)
+    assert _hits(rt.retrieve(q, c.repartition(7), 10, tile_bytes=8 * 64 * 5)) == want
+    assert _hits(rt.retrieve(q.repartition(3), c, 10, tile_bytes=8 * 64 * 40)) == want
+
+
+def test_rounded_scores_tie(spark):
+    q = spark.createDataFrame([("t", 1, [1.0, 1e-13])], "task string, qid long, qv array<double>")
+    c = spark.createDataFrame([("t", d, [0.5, x]) for d, x in ((3, 1.0), (2, 0.0), (1, -1.0), (4, 900.0))],
+                              "task string, did long, dv array<double>")
+    assert [r.did for r in rt.retrieve(q, c, 4).orderBy("rank").collect()] == [4, 3, 2, 1]
+    assert [r.did for r in rt.retrieve(q, c, 4, decimals=9).orderBy("rank").collect()] == [1, 2, 3, 4]
+
+
+def test_class_judgments_equal_listed_pairs(spark):
+    q, c = fx.retrieval_sets(spark, SF_SMALL)
+    hits = rt.retrieve(q, c, 10)
+    pairs = (q.select("task", "qid", "class").join(c.select("task", "did", "class"), ["task", "class"])
+             .select("task", "qid", "did", F.lit(1).alias("rel")))
+    by_class = rt.ClassJudgments(q, c)
+    for f in (rt.ndcg, rt.rank_metrics):
+        a, b = ({(r.task, r.qid): [round(x, 12) for x in r[2:]] for r in f(hits, j).collect()} for j in (pairs, by_class))
+        assert a == b and len(a) > 20
+    n = {r.task: r.n for r in by_class.count_by_task().collect()}
+    assert n == {r.task: r["count"] for r in pairs.groupBy("task").count().collect()}
+
+
+def test_scored_pairs_are_not_listed_and_queries_stay_on_executors(spark, monkeypatch):
+    q, c = fx.retrieval_sets(spark, SF_SMALL)
+    kind = type(q)
+    for action in ("toArrow", "collect", "toPandas", "count", "first", "toLocalIterator"):
+        monkeypatch.setattr(kind, action, lambda *a, **k: (_ for _ in ()).throw(AssertionError("driver action")))
     plan = rt.retrieve(q, c, 10)._jdf.queryExecution().executedPlan().toString()
-    assert "Join" not in plan and "MapInArrow" in plan
+    assert "FlatMapCoGroupsInArrow" in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
 def test_retrieval_of_empty_sets(spark):
-    q, c, _ = fx.retrieval_sets(spark, SF_SMALL)
+    q, c = fx.retrieval_sets(spark, SF_SMALL)
     assert rt.retrieve(q.limit(0), c, 3).count() == 0
     assert rt.retrieve(q, c.limit(0), 3).count() == 0
 
@@ -63,7 +88,7 @@ def test_macro_average_counts_missing_tasks(spark):
 
 
 def test_cosine_equals_dot_on_unit_vectors(spark):
-    q, c, _ = fx.retrieval_sets(spark, SF_SMALL)
+    q, c = fx.retrieval_sets(spark, SF_SMALL)
     a = _hits(rt.retrieve(q, c, 5))
     scaled = c.withColumn("dv", F.transform("dv", lambda x: x * 3.0))
     b = _hits(rt.retrieve(q, scaled, 5, similarity="cosine"))

@@ -53,3 +53,56 @@ def test_stream_metrics_equals_batch(spark):
     b = (x9.groupBy("run", F.floor((F.col("step") - 1) / 10).cast("bigint").alias("window_id"))
          .agg(F.count(F.lit(1)).alias("n"), F.avg("loss").alias("mean_loss"), F.sum("tokens").alias("tokens")))
     assert got == sorted((r.run, r.window_id, r.n, round(r.mean_loss, 9), r.tokens) for r in b.collect())
+
+
+def _pair_files(path, sizes, start=0):
+    """Files of that many pairs each, a bad line in front of every one; names in order."""
+    import json
+    import os
+
+    os.makedirs(path, exist_ok=True)
+    at = start
+    for k, n in enumerate(sizes):
+        with open(f"{path}/part-{start:05d}-{k:03d}.jsonl", "w") as f:
+            f.write("not json\n\n")
+            for i in range(at, at + n):
+                f.write(json.dumps({"query": f"q{i}", "document": f"d{i}", "rank": 1 + i % 3}) + "\n")
+        at += n
+    return at
+
+
+def _batches(spark, out):
+    return sorted((r.pos, r.batch_id, r.slot, r.query) for r in S.read_batches(spark, out).collect())
+
+
+def test_stream_batches_go_on_across_triggers_and_restarts(spark, tmp_path):
+    src, out, ck = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "ck")
+    n = _pair_files(src, [3, 9, 1, 0, 7, 21])
+    S.touch_in_order(spark, src)
+    S.stream_batches(spark, src, out, ck, size=8, max_files_per_trigger=1)
+    want = [(i, i // 8, i % 8, f"q{i}") for i in range(n)]
+    assert n % 8 and _batches(spark, out) == want
+    # restart between triggers: new files join the batch left open
+    n = _pair_files(src, [2, 5], start=n)
+    S.stream_batches(spark, src, out, ck, size=8, max_files_per_trigger=1)
+    want = [(i, i // 8, i % 8, f"q{i}") for i in range(n)]
+    assert _batches(spark, out) == want
+
+
+def test_stream_batches_replayed_epoch_replaces_its_rows(spark, tmp_path):
+    import shutil
+
+    src, out, ck = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "ck")
+    n = _pair_files(src, [5, 6, 4])
+    S.touch_in_order(spark, src)
+    S.stream_batches(spark, src, out, ck, size=4, max_files_per_trigger=1)
+    want = _batches(spark, out)
+    # the job died after the last epoch had written its rows and before the stream committed it
+    shutil.rmtree(f"{out}/epoch-000000000002/next")
+    for name in ("2", ".2.crc"):
+        import os
+        if os.path.exists(f"{ck}/commits/{name}"):
+            os.remove(f"{ck}/commits/{name}")
+    assert len(_batches(spark, out)) == 11  # a reader sees the committed epochs only
+    S.stream_batches(spark, src, out, ck, size=4, max_files_per_trigger=1)
+    assert n == 15 and _batches(spark, out) == want
