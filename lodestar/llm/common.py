@@ -80,6 +80,17 @@ def text_slices(batch: pa.RecordBatch, col: str, size: int = SLICE_BYTES) -> Ite
             yield rows, rows.column(rows.schema.get_field_index(col)).to_pylist()
 
 
+def fresh(taken, *names: str) -> list[str]:
+    """The names, each lengthened until neither ``taken`` (columns, whatever their case) nor another one has it."""
+    seen, out = {c.lower() for c in taken}, []
+    for n in names:
+        while n.lower() in seen:
+            n += "_"
+        seen.add(n.lower())
+        out.append(n)
+    return out
+
+
 def map_texts(df: DataFrame, col: str, keep: list[str], schema: StructType | str,
               make: Callable[[], Callable[[list], list[pa.Array]]],
               slice_bytes: int = SLICE_BYTES) -> DataFrame:
@@ -87,7 +98,8 @@ def map_texts(df: DataFrame, col: str, keep: list[str], schema: StructType | str
 
     ``make()`` runs once per task and returns ``fn(texts) -> arrays`` for the
     fields of ``schema``; the columns ``keep`` are passed through unchanged in
-    front.  An input column that carries a name of ``schema`` is not kept.
+    front.  An input column that carries a name of ``schema`` is not kept.  A text column that is kept
+    is sent to the task once.
     """
     import pyspark.sql.types as T
 
@@ -96,7 +108,9 @@ def map_texts(df: DataFrame, col: str, keep: list[str], schema: StructType | str
     keep = [k for k in keep if k not in names]
     kept_fields = [df.schema[k] for k in keep]
     out = StructType(kept_fields + list(new))
-    src = df.select(*[F.col(f"`{k}`") for k in keep], F.col(f"`{col}`").alias("__text"))
+    text = col if col in keep else fresh(keep, "text")[0]
+    extra = [] if col in keep else [F.col(f"`{col}`").alias(text)]
+    src = df.select(*[F.col(f"`{k}`") for k in keep], *extra)
     from pyspark.sql.pandas.types import to_arrow_schema
 
     arrow = to_arrow_schema(out)
@@ -104,7 +118,7 @@ def map_texts(df: DataFrame, col: str, keep: list[str], schema: StructType | str
     def run(batches):
         fn = make()
         for batch in batches:
-            for rows, texts in text_slices(batch, "__text", slice_bytes):
+            for rows, texts in text_slices(batch, text, slice_bytes):
                 cols = [rows.column(i) for i in range(len(keep))] + list(fn(texts))
                 yield pa.RecordBatch.from_arrays(
                     [c if c.type == f.type else c.cast(f.type) for c, f in zip(cols, arrow)], schema=arrow)

@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.llm.common import land, lower_ascii, sent
+from lodestar.llm.common import fresh, land, lower_ascii, sent
 
 # Fixed value: what separates words (ASCII other than letters and digits; A-Z are gone by then).
 SEPARATORS = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
@@ -121,9 +121,8 @@ def remove_documents(docs: DataFrame, benchmark: DataFrame, n: int = 10, max_rat
     bad = land(per_doc.filter(F.col("n_hit") > max_ratio * F.col("n_words")).select("key").distinct(), "contaminated")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     key = F.sha2(F.concat_ws("|", F.coalesce(F.col(id_col).cast("string"), F.lit("null")), text), 256)
-    return (docs.withColumn("__decontam_key", key)
-            .join(sent(bad.withColumnRenamed("key", "__decontam_key"), MAX_SET), "__decontam_key", "left_anti")
-            .drop("__decontam_key"))
+    own = fresh(docs.columns, "text_key")[0]
+    return docs.withColumn(own, key).join(sent(bad.withColumnRenamed("key", own), MAX_SET), own, "left_anti").drop(own)
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, n: int = 10, id_col: str = "doc_id",

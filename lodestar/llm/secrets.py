@@ -25,6 +25,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lodestar.llm.common import fresh
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -124,9 +126,10 @@ def findings_by_path(versions: DataFrame, ledger_path: str, text_col: str = "tex
     # two runs that scanned at the same time may both have appended a blob
     led = seen.groupBy("blob").agg(F.first("findings").alias(out))
     cols = [c for c in versions.columns if c != out]
-    return (versions.withColumn("__blob", blob_of(F.col(text_col)))
-            .join(led.select(F.col("blob").alias("__blob"), F.col(out)), "__blob", "left")
-            .select(*[F.col(f"`{c}`") for c in cols if c != "__blob"], out))
+    own, got = fresh([*cols, out], "blob", "findings")
+    return (versions.select(*[F.col(f"`{c}`") for c in cols], blob_of(F.col(text_col)).alias(own))
+            .join(led.select(F.col("blob").alias(own), F.col(out).alias(got)), own, "left")
+            .select(*[F.col(f"`{c}`") for c in cols], F.col(got).alias(out)))
 
 
 def spans_text(findings: Column, kinds=None) -> Column:
@@ -159,7 +162,7 @@ def redact_documents(docs: DataFrame, ledger_path: str, text_col: str = "text",
                      mark: str = "[SECRET]") -> DataFrame:
     """``docs`` scanned through the ledger, with the found spans replaced; all rows and columns stay."""
     scan(docs, ledger_path, text_col, rules)
-    found = findings_by_path(docs, ledger_path, text_col, rules, out="__findings")
+    own = fresh(docs.columns, "findings")[0]
+    found = findings_by_path(docs, ledger_path, text_col, rules, out=own)
     text = F.col(text_col)
-    return (found.withColumn(text_col, F.when(text.isNotNull(), redact(text, F.col("__findings"), mark)))
-            .drop("__findings"))
+    return found.withColumn(text_col, F.when(text.isNotNull(), redact(text, F.col(own), mark))).drop(own)

@@ -21,8 +21,9 @@ component.  Their members are leaves of a signature tree: a node holds the OR of
 bitmaps, its size range and the component if all its leaves share one.  A
 traversal of the tree against itself drops node pairs whose largest possible
 overlap is below what their least sizes need, and pairs within one component,
-which need no further link.  Surviving leaf pairs are compared on the full sets.
-A large bucket is cut into tiles; every pair of tiles is a task of its own.
+which need no further link.  Surviving leaf pairs are compared on the full sets where they lie, and a
+link makes its two components one at once, so the comparisons that it spares are not made and fewer links than
+members leave.  A large bucket is cut into tiles; every pair of tiles is a task of its own.
 
 Defined cases: a null text, or one without words, has the empty set and is
 linked with nothing; repeated rows get the same result each; a null doc_id is
@@ -42,7 +43,9 @@ from lodestar.llm.components import components
 
 SLACK = 3
 #: Least bits of a token bitmap, children of a tree node, members of a tile, node pairs looked at together.
-BITS, FANOUT, TILE, FRONT = 2048, 8, 2048, 1 << 16
+BITS, FANOUT, TILE, FRONT = 2048, 8, 4096, 1 << 16
+#: Shingles of a tile's members together, some 16 MB.
+TILE_ITEMS = 1 << 21
 #: Ids that a broadcast bit filter may mark, and its 64-bit words (some 20 MB as a join table).
 FILTER_IDS, FILTER_WORDS = 1 << 20, 1 << 18
 #: Pairs (two longs each) that are broadcast, some 30 MB as a join table.
@@ -262,26 +265,68 @@ def traverse(p: Tree, q: Tree, num: int, den: int):
         stack.append((level - 1, a[good], b[good]))
 
 
-def _tree_pairs(num: int, den: int):
-    """Candidate pairs of each (bucket, tile pair) in a partition sorted by those."""
+class Forest:
+    """Union-find over rows."""
+
+    def __init__(self, labels: np.ndarray):
+        first: dict = {}
+        self.up = [first.setdefault(c, k) for k, c in enumerate(labels.tolist())]
+
+    def find(self, k: int) -> int:
+        up = self.up
+        while up[k] != k:
+            up[k] = k = up[up[k]]
+        return k
+
+    def join(self, a: int, b: int) -> None:
+        self.up[self.find(a)] = self.find(b)
+
+
+def _overlap(a: np.ndarray, b: np.ndarray) -> int:
+    """Common elements of two sorted sets."""
+    if len(a) > len(b):
+        a, b = b, a
+    at = np.searchsorted(b, a)
+    at[at == len(b)] = 0
+    return int((b[at] == a).sum())
+
+
+def _tree_links(num: int, den: int):
+    """Links of each (bucket, tile pair) in a partition sorted by those, found on the full sets.
+
+    Components that a link joins are one from then on, and pairs within a component are not compared, so a
+    tile pair gives fewer links than it has members, whatever the number of its pairs.
+    """
     def pairs_of(group: pa.Table):
         ids = group["cls"].to_numpy()
         size = group["n"].to_numpy()
         comp = group["comp"].to_numpy()
         tile, ti, tj = (group[c].to_numpy() for c in ("tile", "ti", "tj"))
+        if not (np.any(tile == ti[0]) and np.any(tile == tj[0])):
+            return
         bits = _matrix(group["bitmap"].to_pylist())
+        lists = group["shingles"].combine_chunks()
+        flat = lists.flatten().to_numpy().view(np.uint64)
+        ends = np.cumsum(lists.value_lengths().to_numpy())
+        forest, found = Forest(comp), []
+
+        def leaf(k):
+            return flat[ends[k] - size[k]:ends[k]]
 
         def tree(k):
-            at = tile == k
-            return Tree(ids[at], size[at], bits[at], comp[at])
-        if not (np.any(tile == ti[0]) and np.any(tile == tj[0])):
-            return
+            at = np.flatnonzero(tile == k)
+            return Tree(at, size[at], bits[at], comp[at])
         p = tree(ti[0])
         q = p if ti[0] == tj[0] else tree(tj[0])
         for i, j in traverse(p, q, num, den):
-            if len(i):
-                a, b = p.ids[i], q.ids[j]
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+            for a, b in zip(p.ids[i].tolist(), q.ids[j].tolist()):
+                if forest.find(a) != forest.find(b) and (den + num) * _overlap(leaf(a), leaf(b)) >= num * (
+                        size[a] + size[b]):
+                    forest.join(a, b)
+                    found.append((a, b))
+        if found:
+            a, b = ids[np.array(found).T]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
     def run(batches):
         held = None
@@ -430,15 +475,19 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width:
         "comp", F.coalesce("comp", "cls"))
     mixed = rest.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter(
         F.col("lo") != F.col("hi")).select("bucket")
-    tiles = F.ceil(F.col("m") / TILE).cast("int")
-    rows = (rest.join(mixed, "bucket", "left_semi").join(sets.select("cls", "n", "bitmap").distinct(), "cls")
-            .withColumn("tile", F.pmod(F.xxhash64("cls"), tiles).cast("int"))
-            .withColumn("o", F.explode(F.sequence(F.lit(0), tiles - 1)))
-            .select("bucket", F.least("tile", "o").alias("ti"), F.greatest("tile", "o").alias("tj"), "tile", "cls",
-                    "n", "comp", "bitmap"))
+    rest = step.land(rest.join(mixed, "bucket", "left_semi"), "mixed-buckets")
+    whole = sets.join(rest.select("cls").distinct(), "cls", "left_semi").dropDuplicates(["cls"])
+    whole = step.land(whole.select("cls", "n", "shingles", "bitmap"), "mixed-sets")
+    # tiles by members and by shingles: sets of a bucket are of like sizes
+    tiles = rest.join(whole.select("cls", "n"), "cls").groupBy("bucket").agg(F.ceil(F.greatest(
+        F.count(F.lit(1)) / TILE, F.sum("n") / TILE_ITEMS)).cast("int").alias("tiles"))
+    rows = (rest.join(tiles, "bucket").withColumn("tile", F.pmod(F.xxhash64("cls"), F.col("tiles")).cast("int"))
+            .withColumn("o", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+            .select("bucket", F.least("tile", "o").alias("ti"), F.greatest("tile", "o").alias("tj"), "tile", "cls", "comp")
+            .join(whole, "cls"))
     rows = rows.repartition("bucket", "ti", "tj").sortWithinPartitions("bucket", "ti", "tj")
-    more = step.land(rows.mapInArrow(_tree_pairs(num, den), "a bigint, b bigint").distinct(), "tree-pairs")
-    links = land(links.unionByName(linked(more)), "near-duplicate-links")
+    more = step.land(rows.mapInArrow(_tree_links(num, den), "a bigint, b bigint").distinct(), "tree-links")
+    links = land(links.unionByName(more), "near-duplicate-links")
 
     comp = components(links, step.land)
     least = named.filter(F.col("cls").isNotNull()).groupBy("cls").agg(F.min("doc_id").alias("least"))

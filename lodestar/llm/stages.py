@@ -1,7 +1,7 @@
 """Stages of the corpus pipeline, each a function (spark, docs, sf_dir) -> DataFrame.
 
 All but the last return the columns of ``docs``, whatever they are; extra columns pass
-through untouched and may have any name.
+through untouched and may have any name: a stage gives its own columns names that ``docs`` lacks.
 """
 
 from __future__ import annotations
@@ -11,11 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestar.llm import bpe_tree, byte_cnn, decontam, secrets, signature_tree
-from lodestar.llm.common import id_text, land, read_table, sent
+from lodestar.llm.common import fresh, id_text, land, read_table, sent
 from lodestar.session import scratch_path, ship_package
 
 #: Probability below which no language is certain enough; with four languages a coin of four sides gives 0.25.
 MIN_LANGUAGE_SCORE = 0.4
+#: Words of a shingle and the similarity (of 100) from which texts are near-duplicates.
+NEAR = (5, 80, 100)
 #: Rows of (id, text hash) up to which a list of documents to drop is broadcast, some 50 MB as a join table.
 KEYS_SENT = 1 << 20
 
@@ -24,8 +26,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents without a letter or text, and those that fit no learned language."""
     ship_package(spark)
     net = byte_cnn.fit(docs, F.lit(True))
-    known = byte_cnn.predict(docs, net, lang_out="__lang", score_out="__score")
-    return known.filter((F.col("__lang") != byte_cnn.UNKNOWN) & (F.col("__score") >= MIN_LANGUAGE_SCORE)).select(
+    lang, score = fresh(docs.columns, "lang_pred", "score")
+    known = byte_cnn.predict(docs, net, lang_out=lang, score_out=score)
+    return known.filter((F.col(lang) != byte_cnn.UNKNOWN) & (F.col(score) >= MIN_LANGUAGE_SCORE)).select(
         *[F.col(f"`{c}`") for c in docs.columns])
 
 
@@ -36,23 +39,24 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     stay, whatever their ids.  Of repeated rows one stays; documents without words are no duplicates and all stay.
     """
     ship_package(spark)
-    per_doc, _ = signature_tree.join(docs)
+    per_doc, _ = signature_tree.join(docs, width=NEAR[0], num=NEAR[1], den=NEAR[2])
     words = per_doc.filter(F.col("cls").isNotNull())
-    key = [id_text().alias("__id"), F.col("text_hash").alias("__hash")]
+    own = fresh(docs.columns, "id_text", "text_hash")
+    key = [id_text().alias(own[0]), F.col("text_hash").alias(own[1])]
     chosen = (words.groupBy("root")
               .agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("c"))
-              .select(id_text("c.doc_id").alias("__id"), F.col("c.text_hash").alias("__hash")).distinct())
+              .select(id_text("c.doc_id").alias(own[0]), F.col("c.text_hash").alias(own[1])).distinct())
     rows = land(words.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).join(
-        chosen.withColumn("stays", F.lit(True)), ["__id", "__hash"], "left"), "near-duplicate-rows")
-    gone = land(rows.filter(F.col("stays").isNull()).select("__id", "__hash"), "near-duplicates-gone")
-    repeated = land(rows.filter(F.col("stays") & (F.col("n") > 1)).select("__id", "__hash"), "repeated-rows")
-    left = docs.withColumn("__id", id_text()).withColumn("__hash", signature_tree.text_hash(F.col("text"))).join(
-        sent(gone, KEYS_SENT), ["__id", "__hash"], "left_anti")
+        chosen.withColumn("stays", F.lit(True)), own, "left"), "near-duplicate-rows")
+    gone = land(rows.filter(F.col("stays").isNull()).select(*own), "near-duplicates-gone")
+    repeated = land(rows.filter(F.col("stays") & (F.col("n") > 1)).select(*own), "repeated-rows")
+    left = docs.withColumn(own[0], id_text()).withColumn(own[1], signature_tree.text_hash(F.col("text"))).join(
+        sent(gone, KEYS_SENT), own, "left_anti")
     if repeated.isEmpty():
-        return left.drop("__id", "__hash")
+        return left.drop(*own)
     few = sent(repeated, KEYS_SENT)
-    one = left.join(few, ["__id", "__hash"], "left_semi").dropDuplicates(["__id", "__hash"])
-    return left.join(few, ["__id", "__hash"], "left_anti").unionByName(one).drop("__id", "__hash")
+    one = left.join(few, own, "left_semi").dropDuplicates(own)
+    return left.join(few, own, "left_anti").unionByName(one).drop(*own)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -82,8 +86,7 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     file = public_tokenizers.path("word_bpe_49k.json")
     new = {"token_ids", "n_tokens", "decoded"}
     keep = [c for c in docs.columns if c not in new]
-    both = bpe_tree.round_trip(docs.select(*[F.col(f"`{c}`") for c in keep], F.col("text").alias("__encode")), file,
-                               text_col="__encode", ids_out="token_ids", keep=keep)
+    both = bpe_tree.round_trip(docs, file, ids_out="token_ids", keep=keep)
     return both.withColumn("n_tokens", bpe_tree.n_ids(F.col("token_ids")))
 
 

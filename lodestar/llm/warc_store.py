@@ -8,7 +8,8 @@ tables back; the original record is header, payload (not for a revisit) and
 the closing blank lines.
 
 Defined cases: a null html is the empty payload; a null url leaves
-``WARC-Target-URI`` out; control characters and spaces in a url are percent-encoded; a null
+``WARC-Target-URI`` out; an empty url, or one with control characters or spaces, is percent-encoded as a whole
+and marked so, and reads back as it was; a null
 page_id leaves ``X-Page-ID`` out and such a record is a revisit whenever
 another record of that payload has an id.  Of equal payloads of at least
 ``min_bytes`` bytes the record(s) with the largest page_id are ``response``,
@@ -46,10 +47,14 @@ def _record_uuid(page: Column, key: Column) -> Column:
     return _uuid(F.concat_ws("|", F.coalesce(page.cast("string"), F.lit("-")), key).cast("binary"))
 
 
+def _odd_url(url: Column) -> Column:
+    """Whether a header cannot hold the url as it is: it is empty or has control characters or spaces."""
+    return (url == "") | F.regexp_like(url, F.lit("[\\x00-\\x20\\x7F]"))
+
+
 def _safe_url(url: Column) -> Column:
-    for ch, enc in ((" ", "%20"), ("\r", "%0D"), ("\n", "%0A"), ("\t", "%09")):
-        url = F.replace(url, F.lit(ch), F.lit(enc))
-    return F.regexp_replace(url, "[\\x00-\\x1F\\x7F]", "%00")
+    """The url, or where a header cannot hold it, all of it percent-encoded, each byte and the sign itself."""
+    return F.when(_odd_url(url), F.replace(F.url_encode(url), F.lit("+"), F.lit("%20"))).otherwise(url)
 
 
 def _field(name: str, value: Column) -> Column:
@@ -91,6 +96,7 @@ def write_archive(pages: DataFrame, path: str, id_col: str = "page_id", url_col:
                                           F.lit(">"))),
         _field("WARC-Date", F.lit(date)),
         _field("WARC-Target-URI", _safe_url(F.col("url"))),
+        _field("X-Target-URI-Encoded", F.when(_odd_url(F.col("url")), F.lit("yes"))),
         _field("WARC-Payload-Digest", F.concat(F.lit("sha1:"), base32_of_hex(F.col("sha1")))),
         _field("WARC-Profile", F.when(revisit, F.lit(REVISIT_PROFILE))),
         _field("WARC-Refers-To", F.when(revisit, F.concat(
@@ -112,7 +118,8 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
     """Reconstruct the records: fields parsed from the stored headers, facts of
     the stored payload, ``payload`` itself and ``record`` (the exact WARC bytes).
 
-    A payload that no longer matches its key raises an error.  ``payload_bytes``
+    A payload that no longer matches its key raises an error, and so does a record whose payload is
+    not there.  ``payload_bytes``
     and ``payload_digest`` are computed from the stored payload bytes before the
     join, so a reader that selects only those moves no payload.
     """
@@ -127,10 +134,15 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
         _get("X-Page-ID").cast("bigint").alias("page_id"),
         _get("WARC-Type").alias("record_type"),
         _get("X-Refers-To-Page-ID").cast("bigint").alias("refers_to"),
-        _get("WARC-Target-URI").alias("url"),
+        F.when(_get("X-Target-URI-Encoded").isNull(), _get("WARC-Target-URI"))
+        .otherwise(F.url_decode(F.coalesce(_get("WARC-Target-URI"), F.lit("")))).alias("url"),
         F.substring_index(_get("WARC-Payload-Digest"), ":", -1).alias("declared_digest"))
     tail = F.lit(CRLF * 2).cast("binary")
     none = F.lit("").cast("binary")
-    return recs.join(blobs, "blob", "left").withColumn(
+    lost = F.raise_error(F.concat(F.lit("no payload with digest "), F.col("blob")))
+    both = recs.join(blobs, "blob", "left")
+    both = both.withColumns({c: F.when(F.col("payload_bytes").isNull(), lost).otherwise(F.col(c))
+                             for c in ("payload", "payload_bytes", "payload_digest")})
+    return both.withColumn(
         "record", F.concat(F.col("header"), F.when(F.col("record_type") == "response", F.col("payload"))
                            .otherwise(none), tail))

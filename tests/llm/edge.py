@@ -24,11 +24,15 @@ ROWS = [
 ]
 SCHEMA = ("doc_id long, text string, lang string, source string, n_tokens string, kept int, start string, cls string, "
           "key string, blob int, n_words string, bin int, grp string, score string")
+#: Names that the stages and operators give columns of their own, and some that look internal.
+CLASHES = ["__text", "__findings", "__encode", "__lang", "__id", "__hash", "__blob", "__decontam_key", "lang_pred", "text_hash",
+           "id_text", "findings", "text_key", "own", "tongue"]
+SCHEMA += "".join(f", `{c}` string" for c in CLASHES)
 
 
 def documents(spark, rows=ROWS):
     """The rows with extra columns whose names clash with those the operators use."""
-    return spark.createDataFrame([(*r, "x", None, "x", "x", "x", 1, "x", 2, "x", "x") for r in rows], SCHEMA)
+    return spark.createDataFrame([(*r, "x", None, "x", "x", "x", 1, "x", 2, "x", "x", *CLASHES) for r in rows], SCHEMA)
 
 
 def folder(spark, tmp_path, rows=ROWS, benchmark=None, pages=None):

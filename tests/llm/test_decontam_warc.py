@@ -147,12 +147,32 @@ def test_min_bytes_and_damage(spark):
     warc_store.write_archive(pages.limit(1), bad)
     spark.createDataFrame([("0" * 64, b"damaged")], "blob string, payload binary").write.mode("append").parquet(
         f"{bad}/payloads")
-    with pytest.raises(PySparkException):
-        warc_store.read_archive(spark, bad).select("payload").union(
-            spark.read.parquet(f"{bad}/payloads").select("payload")).collect()
+    with pytest.raises(PySparkException, match="does not match its digest"):
         spark.createDataFrame([(b"h", "0" * 64)], "header binary, blob string").write.mode("append").parquet(
             f"{bad}/headers")
-        warc_store.read_archive(spark, bad).collect()
+        warc_store.read_archive(spark, bad).select("payload").collect()
+
+
+@pytest.mark.parametrize("column", ["payload_bytes", "payload_digest", "payload", "record"])
+def test_a_lost_payload_raises(spark, column):
+    path = scratch_path(spark, "t-warc")
+    warc_store.write_archive(spark.createDataFrame([(1, "u", "html")], "page_id long, url string, html string"), path)
+    spark.createDataFrame([(b"WARC/1.1\r\n\r\n", "a" * 64)], "header binary, blob string").write.mode("append").parquet(
+        f"{path}/headers")
+    with pytest.raises(PySparkException, match="no payload with digest"):
+        warc_store.read_archive(spark, path).select(column).collect()
+
+
+def test_urls_read_back_as_they_were(spark):
+    urls = ["http://a/\x01b", "http://a/\x02b", "http://a/%00b", "http://a/%01b", "http://a/ b", "http://a/%20b", "a+b", "a +b",
+            "http://ä/日本?x=1&y=%C3%A4", "\r\nX-Page-ID: 9", "", "http://plain/path", "\x7f", None, "yes", "%", " "]
+    pages = spark.createDataFrame([(k, u, "same") for k, u in enumerate(urls)], "page_id long, url string, html string")
+    path = scratch_path(spark, "t-warc")
+    warc_store.write_archive(pages, path)
+    rows = warc_store.read_archive(spark, path).collect()
+    assert {r["page_id"]: r["url"] for r in rows} == dict(enumerate(urls))
+    heads = {r["page_id"]: bytes(r["header"]).decode().split("\r\n") for r in rows}
+    assert "WARC-Target-URI: http://a/%20b" in heads[5] and all(not re.search("[\x00-\x1f\x7f]", x) for h in heads.values() for x in h)
 
 
 def test_empty_pages(spark, tmp_path):

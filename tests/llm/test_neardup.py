@@ -4,6 +4,7 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 
 from lodestar.llm import q_neardup, signature_tree
 from lodestar.llm.components import components
@@ -16,9 +17,9 @@ def shingles(text, k=4):
     return frozenset(tuple(w[i:i + k]) for i in range(max(1, len(w) - k + 1))) if w else frozenset()
 
 
-def brute(rows):
+def brute(rows, width=4, num=85):
     """doc_id -> least doc_id reachable; rows (doc_id, text) with distinct ids."""
-    sets = {i: shingles(t) for i, t in rows}
+    sets = {i: shingles(t, width) for i, t in rows}
     root = {i: i for i in sets}
 
     def find(x):
@@ -31,7 +32,7 @@ def brute(rows):
             a, b = sets[i], sets[j]
             if a and b:
                 both = len(a & b)
-                if 100 * both >= 85 * (len(a) + len(b) - both):
+                if 100 * both >= num * (len(a) + len(b) - both):
                     x, y = find(i), find(j)
                     root[max(x, y)] = min(x, y)
     return {i: (len(sets[i]), find(i)) for i in ids}
@@ -129,6 +130,59 @@ def test_tiles_give_the_same(spark, monkeypatch):
     assert got(per_doc) == brute(rows)
 
 
+def test_other_widths_and_thresholds(spark):
+    rows = families(11, n_bases=5, per=12)
+    per_doc, _ = signature_tree.join(spark.createDataFrame(rows, "doc_id long, text string"), width=5, num=80)
+    assert got(per_doc) == brute(rows, 5, 80)
+
+
+def tile(sets, comp, tiles=1):
+    """Rows of one bucket as a task of the tree join sees them, for each pair of tiles."""
+    ids = np.arange(len(sets)) + 1000
+    at = ids % tiles
+    for ti in range(tiles):
+        for tj in range(ti, tiles):
+            use = [k for k in range(len(sets)) if at[k] in (ti, tj)]
+            yield pa.RecordBatch.from_pydict({
+                "bucket": [1] * len(use), "ti": [ti] * len(use), "tj": [tj] * len(use), "tile": at[use].tolist(),
+                "cls": ids[use].tolist(), "comp": [comp[k] for k in use], "n": [len(sets[k]) for k in use],
+                "shingles": pa.array([sets[k].view(np.int64) for k in use], pa.list_(pa.int64())),
+                "bitmap": [signature_tree._bitmap(sets[k]) for k in use]})
+
+
+def test_a_tile_gives_fewer_links_than_members():
+    """Edits that overlap each other in pairs: the links stay below the members, and give the components of all pairs."""
+    rng = np.random.default_rng(8)
+    for n, tiles in ((60, 1), (240, 1), (240, 3)):
+        base = rng.integers(0, 1 << 62, 200).astype(np.uint64)
+        sets = []
+        for _ in range(n):
+            s = base.copy()
+            s[rng.choice(200, rng.integers(0, 22), replace=False)] = rng.integers(0, 1 << 62)
+            sets.append(np.unique(s))
+        links = []
+        for batch in tile(sets, [7, 7] + list(range(100, 98 + n)), tiles):
+            out = [(int(a) - 1000, int(b) - 1000) for r in signature_tree._tree_links(85, 100)([batch])
+                   for a, b in zip(r["a"].to_numpy(), r["b"].to_numpy())]
+            assert len(out) < batch.num_rows
+            links += out
+        root = list(range(n))
+
+        def find(x):
+            while root[x] != x:
+                x = root[x]
+            return x
+        for a, b in [(0, 1), *links]:
+            root[find(a)] = find(b)
+        for a in range(n):
+            for b in range(a):
+                i = len(np.intersect1d(sets[a], sets[b]))
+                if 185 * i >= 85 * (len(sets[a]) + len(sets[b])):
+                    assert find(a) == find(b)
+        for a, b in links:
+            assert 185 * len(np.intersect1d(sets[a], sets[b])) >= 85 * (len(sets[a]) + len(sets[b]))
+
+
 def test_awkward_rows(spark, tmp_path):
     d = folder(spark, tmp_path)
     rows = q_neardup.op4_ngram_jaccard_join(spark, d).collect()
