@@ -193,18 +193,18 @@ def hidden_states(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.pmod(gid, F.lit(5)).cast("int").alias("eos_pos"))
 
 
-def metric_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(run, step, loss, tokens, dt, task, score) from events.
+def metric_log(spark: SparkSession, sf_dir: str, timed: bool = False) -> DataFrame:
+    """(run, step, loss, tokens, dt, task, score) from events; ``timed`` adds their time as ``ts``.
 
     run = user_id % 4; step = 1 + rank of event_id within the run (range-
     partitioned positions, no per-run window).
     """
     ev = table(spark, sf_dir, "events")
-    x = ev.select(F.pmod("user_id", F.lit(4)).alias("run"), "event_id", "event_type", "value", "props")
+    x = ev.select(F.pmod("user_id", F.lit(4)).alias("run"), "event_id", "event_type", "value", "props", "ts")
     x = with_positions(x, ["event_id"], pos="_p", group_by=["run"])
     dt = F.when(F.pmod("event_id", F.lit(13)) == 0, F.lit(0.0)).otherwise(
         F.lit(0.25) * (F.lit(1) + F.pmod("event_id", F.lit(4))).cast("double"))
     return x.select(
         "run", (F.col("_p") + 1).alias("step"), F.col("value").alias("loss"),
         F.get_json_object("props", "$.k").cast("long").alias("tokens"), dt.alias("dt"),
-        F.col("event_type").alias("task"), (F.col("value") / 500.0).alias("score"))
+        F.col("event_type").alias("task"), (F.col("value") / 500.0).alias("score"), *(["ts"] if timed else []))

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from lodestar.plans import fixtures as fx
 from lodestar.plans import oracle as o
 from lodestar.plans.q_sources import X1J_LINES, land_jsonl, land_jsonl_chunks
+from lodestar.operators.order import running_agg
+from lodestar.plans.q_metrics import TUMBLING_SQL, WIDTH, tumbling_out
 from lodestar.plans.q_udf import encoder_sql
 from lodestar.plans.registry import as_long, query, r6
 from lodestar.session import scratch_path
@@ -75,6 +77,20 @@ def stream_metrics(spark, sf_dir):
     return t.select("run", "window_id", "n", r6("mean_loss").alias("mean_loss"), as_long("tokens").alias("tokens"))
 
 
+@query("stream_windows", TUMBLING_SQL)
+def stream_windows(spark, sf_dir):
+    """Metric windows appended as they complete, from a log in order of time; the running total is made on reading."""
+    src = scratch_path(spark, "x9-in-time")
+    x9 = fx.metric_log(spark, sf_dir, timed=True)
+    x9.repartitionByRange(8, "ts", "run", "step").sortWithinPartitions("ts").write.parquet(src)
+    S.touch_in_order(spark, src)
+    out, ck = _paths(spark, "stream-windows")
+    S.stream_windows(spark, src, out, ck, x9.schema, width=WIDTH, delay="10 days",
+                     max_files_per_trigger=S.files_per_trigger(spark, src))
+    t = spark.read.parquet(out)
+    return tumbling_out(running_agg(t, ["window_id"], "tokens", group_by=["run"], out="total_tokens"))
+
+
 @query("stream_embed", "WITH src AS (SELECT doc_id, 'document' AS role, text FROM documents),"
        + encoder_sql("src", "doc_id", "mean") + "SELECT doc_id, CAST(dim AS BIGINT) AS dim, value FROM enc")
 def stream_embed(spark, sf_dir):

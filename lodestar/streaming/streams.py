@@ -10,12 +10,15 @@ from __future__ import annotations
 import re
 import time
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupStateTimeout
 
 from lodestar.functions import text as T
 from lodestar.operators.encode import DrawEncoder, encode_texts
 from lodestar.operators.order import batch_fixed, with_positions
+from lodestar.session import ship_package
 from lodestar.sources.jsonl import pairs_from_lines, read_pairs_jsonl
 
 
@@ -184,3 +187,55 @@ def stream_metrics(spark: SparkSession, in_path: str, out_path: str, checkpoint:
     agg = src.groupBy(run, w.alias("window_id")).agg(
         F.count(F.lit(1)).alias("n"), F.avg("loss").alias("mean_loss"), F.sum("tokens").alias("tokens"))
     _complete_to_parquet(agg, out_path, checkpoint, state_partitions)
+
+
+_WINDOW = ("run bigint, window_id bigint, last_step bigint, mean_loss double, instant_loss double, tokens bigint, "
+           "seconds double, tokens_per_sec double")
+_OPEN = "n bigint, loss double, last_step bigint, instant_loss double, tokens bigint, seconds double"
+
+
+def _fold_window(width: int):
+    def fold(key, frames, state):
+        if state.hasTimedOut:  # its time has passed without all its steps
+            state.remove()
+            return
+        n, loss, last, instant, tokens, seconds = state.get if state.exists else (0, 0.0, -1, 0.0, 0, 0.0)
+        until = 0
+        for f in frames:
+            f = f.sort_values("step")
+            n, loss = n + len(f), loss + float(f["loss"].sum())
+            tokens, seconds = tokens + int(f["tokens"].sum()), seconds + float(f["dt"].sum())
+            if int(f["step"].iloc[-1]) > last:
+                last, instant = int(f["step"].iloc[-1]), float(f["loss"].iloc[-1])
+            until = max(until, int(f["until"].max()))
+        if n < width:
+            state.update((n, loss, last, instant, tokens, seconds))
+            state.setTimeoutTimestamp(max(until, state.getCurrentWatermarkMs() + 1))
+            return
+        if state.exists:
+            state.remove()
+        yield pd.DataFrame({"run": [key[0]], "window_id": [key[1]], "last_step": [last], "mean_loss": [loss / n],
+                            "instant_loss": [instant], "tokens": [tokens], "seconds": [seconds],
+                            "tokens_per_sec": [tokens / seconds if seconds > 0 else 0.0]})
+    return fold
+
+
+def stream_windows(spark: SparkSession, in_path: str, out_path: str, checkpoint: str, schema, width: int = 10,
+                   ts: str = "ts", delay: str = "1 hour", max_files_per_trigger: int = 4,
+                   state_partitions: int | None = None) -> None:
+    """Windows of ``width`` steps per run, appended once each when their last step arrives.
+
+    State is kept for open windows only: a complete one is emitted and forgotten, and one whose rows
+    are all older than the watermark (the newest ``ts`` less ``delay``) is dropped, so state does not grow with
+    the log.  Rows older than the watermark are late and left out, as a window they would complete is gone.
+    """
+    ship_package(spark)
+    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger).parquet(in_path)
+    rows = src.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay).select(
+        F.col("run").cast("bigint").alias("run"), F.expr(f"(step - 1) div {width}").cast("bigint").alias("window_id"),
+        F.col("step").cast("bigint").alias("step"), F.col("loss").cast("double").alias("loss"), "tokens", "dt", ts,
+        (F.unix_millis(ts) + 1).alias("until"))
+    out = rows.groupBy("run", "window_id").applyInPandasWithState(
+        _fold_window(width), _WINDOW, _OPEN, "append", GroupStateTimeout.EventTimeTimeout)
+    _run(out.writeStream.format("parquet").option("path", out_path).option("checkpointLocation", checkpoint)
+         .outputMode("append"), spark=spark, state_partitions=state_partitions)

@@ -248,5 +248,5 @@ def test_replayed_epoch_is_written_once(spark):
         .coalesce(1).write.text(f"{root}/in")
     for run in range(2):  # a new checkpoint makes the second run replay epoch 0
         S.stream_batches(spark, f"{root}/in", f"{root}/out", f"{root}/ck{run}", size=4)
-    rows = spark.read.parquet(f"{root}/out").collect()
+    rows = S.read_batches(spark, f"{root}/out").collect()
     assert len(rows) == 9 and sorted(r.query for r in rows) == [f"q{k}" for k in range(9)]

@@ -106,3 +106,33 @@ def test_stream_batches_replayed_epoch_replaces_its_rows(spark, tmp_path):
     assert len(_batches(spark, out)) == 11  # a reader sees the committed epochs only
     S.stream_batches(spark, src, out, ck, size=4, max_files_per_trigger=1)
     assert n == 15 and _batches(spark, out) == want
+
+
+def test_windows_are_appended_once_and_late_rows_left_out(spark, tmp_path):
+    import datetime as dt
+
+    t0 = dt.datetime(2024, 1, 1)
+    schema = "run long, step long, loss double, tokens long, dt double, ts timestamp"
+    files = [
+        [(0, 1, 1.0, 5, 0.5, 0), (1, 1, 9.0, 1, 0.0, 0), (1, 2, 7.0, 1, 0.0, 1)],   # run 1, window 0 is complete
+        [(0, 3, 2.0, 1, 1.0, 100), (0, 4, 4.0, 3, 1.0, 101)],                       # window 1 of run 0; window 0 expires
+        [(1, 3, 1.0, 1, 1.0, 300)],
+        [(0, 2, 8.0, 1, 1.0, 1), (1, 4, 3.0, 1, 1.0, 299)],                         # the first row is late
+    ]
+    src = str(tmp_path / "in")
+    for k, rows in enumerate(files):
+        spark.createDataFrame([(*r[:5], t0 + dt.timedelta(seconds=r[5])) for r in rows], schema).coalesce(1).write.parquet(
+            f"{src}/{k:02d}")
+    S.touch_in_order(spark, src)
+    flat = str(tmp_path / "flat")
+    import os
+    import shutil
+    os.makedirs(flat)
+    for k in range(len(files)):
+        part = next(f for f in os.listdir(f"{src}/{k:02d}") if f.endswith(".parquet"))
+        shutil.copy(f"{src}/{k:02d}/{part}", f"{flat}/part-{k:02d}.parquet")
+    S.touch_in_order(spark, flat)
+    S.stream_windows(spark, flat, str(tmp_path / "out"), str(tmp_path / "ck"), schema, width=2, delay="10 seconds",
+                     max_files_per_trigger=1, state_partitions=2)
+    got = sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).collect())
+    assert got == [(0, 1, 4, 3.0, 4.0, 4, 2.0, 2.0), (1, 0, 2, 8.0, 7.0, 2, 0.0, 0.0), (1, 1, 4, 2.0, 3.0, 2, 2.0, 1.0)]
