@@ -143,6 +143,5 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
     both = recs.join(blobs, "blob", "left")
     both = both.withColumns({c: F.when(F.col("payload_bytes").isNull(), lost).otherwise(F.col(c))
                              for c in ("payload", "payload_bytes", "payload_digest")})
-    return both.withColumn(
-        "record", F.concat(F.col("header"), F.when(F.col("record_type") == "response", F.col("payload"))
-                           .otherwise(none), tail))
+    whole = F.concat(F.col("header"), F.when(F.col("record_type") == "response", F.col("payload")).otherwise(none), tail)
+    return both.withColumn("record", F.when(F.col("payload_bytes") >= 0, whole))  # of a revisit too: it looks its payload up
