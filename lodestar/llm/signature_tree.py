@@ -17,13 +17,14 @@ classes of its buckets; that joins nearly all copies that differ a little, in on
 Members and first classes of a bucket that are still apart are compared next.
 
 *Trees.*  What is left is buckets with three or more members in more than one
-component.  Their members are leaves of a signature tree: a node holds the OR of its token
+component.  Such buckets that share a class go together, since a class is in a hundred of them and its set should travel
+once.  Their members are leaves of a signature tree: a node holds the OR of its token
 bitmaps, its size range and the component if all its leaves share one.  A
 traversal of the tree against itself drops node pairs whose largest possible
 overlap is below what their least sizes need, and pairs within one component,
 which need no further link.  Surviving leaf pairs are compared on the full sets where they lie, and a
 link makes its two components one at once, so the comparisons that it spares are not made and fewer links than
-members leave.  A large bucket is cut into tiles; every pair of tiles is a task of its own.
+members leave.  A large group is cut into tiles; every pair of tiles is a task of its own.
 
 Defined cases: a null text, or one without words, has the empty set and is
 linked with nothing; repeated rows get the same result each; a null doc_id is
@@ -473,18 +474,21 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width:
     rest = member.filter(F.col("m") > 2).join(
         comp.select(F.col("node").alias("cls"), F.col("root").alias("comp")), "cls", "left").withColumn(
         "comp", F.coalesce("comp", "cls"))
-    mixed = rest.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter(
-        F.col("lo") != F.col("hi")).select("bucket")
-    rest = step.land(rest.join(mixed, "bucket", "left_semi"), "mixed-buckets")
-    whole = sets.join(rest.select("cls").distinct(), "cls", "left_semi").dropDuplicates(["cls"])
-    whole = step.land(whole.select("cls", "n", "shingles", "bitmap"), "mixed-sets")
-    # tiles by members and by shingles: sets of a bucket are of like sizes
-    tiles = rest.join(whole.select("cls", "n"), "cls").groupBy("bucket").agg(F.ceil(F.greatest(
+    mixed = rest.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("cls").alias("lead")
+                                       ).filter(F.col("lo") != F.col("hi")).select("bucket", "lead")
+    rest = step.land(rest.join(mixed, "bucket").select("lead", "cls", "comp"), "mixed-buckets")
+    # a class is in many buckets: buckets that share one go together, so that its set is sent for all of them at once
+    together = components(rest.select(F.col("lead").alias("a"), F.col("cls").alias("b")), step.land)
+    members = rest.select("cls", "comp").distinct().join(
+        together.select(F.col("node").alias("cls"), F.col("root").alias("bucket")), "cls")
+    members = step.land(members.join(sets.dropDuplicates(["cls"]), "cls"), "mixed-members")
+    # tiles by members and by shingles
+    tiles = members.groupBy("bucket").agg(F.ceil(F.greatest(
         F.count(F.lit(1)) / TILE, F.sum("n") / TILE_ITEMS)).cast("int").alias("tiles"))
-    rows = (rest.join(tiles, "bucket").withColumn("tile", F.pmod(F.xxhash64("cls"), F.col("tiles")).cast("int"))
+    rows = (members.join(tiles, "bucket").withColumn("tile", F.pmod(F.xxhash64("cls"), F.col("tiles")).cast("int"))
             .withColumn("o", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-            .select("bucket", F.least("tile", "o").alias("ti"), F.greatest("tile", "o").alias("tj"), "tile", "cls", "comp")
-            .join(whole, "cls"))
+            .select("bucket", F.least("tile", "o").alias("ti"), F.greatest("tile", "o").alias("tj"), "tile", "cls", "comp",
+                    "n", "shingles", "bitmap"))
     rows = rows.repartition("bucket", "ti", "tj").sortWithinPartitions("bucket", "ti", "tj")
     more = step.land(rows.mapInArrow(_tree_links(num, den), "a bigint, b bigint").distinct(), "tree-links")
     links = land(links.unionByName(more), "near-duplicate-links")
