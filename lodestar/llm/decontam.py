@@ -9,8 +9,9 @@ document word inside any occurrence of a window is hit.
 probed in place, as 64-bit hashes, against the hash set of all benchmark
 windows, which travels inside the plan to every task; only positions that pass
 become rows, and those are verified by joining on the window's exact text.  The
-set is counted first: above ``max_set`` windows the positions are exploded and
-Spark joins them to the windows' hashes instead, with the same result.
+set is counted first: above ``max_set`` windows the positions are exploded with their hashes and
+Spark joins those to the windows' hashes; positions that meet one get their text and are verified
+in the same way, with the same result.
 
 Defined cases: a null text has no words; rows equal in id and text share their
 findings and each gives a row; equal items and windows shared by items count
@@ -91,12 +92,17 @@ def scan(docs: DataFrame, benchmark: DataFrame, n: int = 10, id_col: str = "doc_
                    "decontam-docs")
         pos = doc.filter(F.size("cand") > 0).select("key", F.explode("cand").alias("c")).select("key", "c.*")
     else:
+        # windows leave as (key, start, len, hash); only those that meet a benchmark window's hash get their text
         doc = land(base, "decontam-docs")
-        pos = doc.select("key", F.explode(F.concat(*[
+        known = grams.select("len", F.xxhash64(F.split("gram", " ")).alias("h")).distinct()
+        spots = doc.select("key", F.explode(F.concat(*[
             F.coalesce(_grams(F.col("w"), k, lambda i, g, k=k: F.struct(
-                i.alias("start"), F.lit(k).alias("len"), F.array_join(g, " ").alias("gram"))),
-                F.array().cast("array<struct<start:int,len:int,gram:string>>")) for k in lengths])).alias("c")
-        ).select("key", "c.*")
+                i.alias("start"), F.lit(k).alias("len"), F.xxhash64(g).alias("h"))),
+                F.array().cast("array<struct<start:int,len:int,h:bigint>>")) for k in lengths])).alias("c")
+        ).select("key", "c.*").join(known, ["len", "h"], "left_semi")
+        spots = land(spots.select("key", "start", "len").distinct(), "decontam-spots")
+        pos = spots.join(doc.dropDuplicates(["key"]).select("key", "w"), "key").select(
+            "key", "start", "len", F.array_join(F.slice("w", F.col("start") + 1, F.col("len")), " ").alias("gram"))
         doc = doc.select("id", "key", F.size("w").cast("bigint").alias("n_words"))
     hits = land(pos.join(grams, ["len", "gram"], "left_semi").select("key", "start", "len", "gram").distinct(),
                 "decontam-hits")

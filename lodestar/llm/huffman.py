@@ -47,16 +47,20 @@ _BLOCKS = ("part int, block int, start_in_part long, n long, bits binary, checkp
 
 # -- tokenizer ---------------------------------------------------------------------------------
 class LibraryEncoder:
-    """The tokenizers library over whole texts, each different chunk encoded once per worker.
+    """The tokenizers library over whole texts, each different piece encoded once per worker.
 
-    A chunk is white space and the characters up to the next.  A byte-level
-    pre-tokenizer never joins a non-space with a following space, so the ids of
-    a text are those of its chunks in turn.
+    A byte-level pre-tokenizer never joins a non-space with a following space, a line feed with a
+    following letter, or a letter with a following mark.  Texts are cut at such places, all texts of a slice
+    together in numpy; Arrow tells the different pieces apart, which alone are looked up or encoded,
+    and puts their ids in the order of the texts by one ``take``.  Texts that hold an added token, or white space
+    that the library and ASCII do not see alike, go whole through the library.
     """
 
-    _chunk = re.compile(r"\s*\S+|\s+")
-    _marks = ".,;:!?\"#$%&*|<>()[]{}=+/-"
-    _odd = re.compile("[\x1c-\x1f]")  # white space to re, not to the library
+    #: White space beyond ASCII, and ASCII separators that are white space to some.
+    _odd = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+    #: Kinds of bytes; 0xFF, which no text has, stands between texts.
+    _space, _letter, _mark = (np.isin(np.arange(256), np.frombuffer(x, np.uint8)) for x in (
+        b" \t\n\r\x0b\x0c\xff", b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", b".,;:!?\"#$%&*|<>()[]{}=+/-"))
 
     def __init__(self, raw: bytes, end_id: int | None):
         from tokenizers import Tokenizer, pre_tokenizers
@@ -77,9 +81,7 @@ class LibraryEncoder:
             self.words = Tokenizer(self.lib.model)
             self.words.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         self.end = b"" if end_id is None else np.array([end_id], self.dtype).tobytes()
-        # words are dear and chunks cheap to make anew
-        self.bodies = WordCache(self._encode_bodies, 500_000)
-        self.cache = WordCache(self._encode_chunks, 150_000)
+        self.pieces = WordCache(self._encode_pieces, 400_000)
 
     def _pack(self, enc) -> bytes:
         return np.array(enc.ids, self.dtype).tobytes()
@@ -87,38 +89,47 @@ class LibraryEncoder:
     def _plain(self, texts: list[str]) -> list[bytes]:
         return [self._pack(e) for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _encode_chunks(self, chunks: list[str]) -> list[bytes]:
-        """A line feed before a word and marks after it are cut off: no token of the model spans a letter
-        and one of them, and words without them are far fewer.  Added tokens do, so a chunk that holds
-        one goes whole through the library."""
-        text = " ".join(chunks)
-        here = [a for a in self.added if a in text]  # mostly none
-        whole = list({c for c in chunks if any(a in c for a in here)}) if here else []
-        whole = dict(zip(whole, self._plain(whole)))
-        heads, bodies, tails = [], [], []
-        for c in chunks:
-            if whole and c in whole:
-                continue
-            body, head = c.rstrip(self._marks), ""
-            if not body or not body[-1].isalpha():
-                body = c
-            tail = c[len(body):]
-            if body[0] == "\n" and body[1:].isalpha():
-                head, body = "\n", body[1:]
-            heads.append(head)
-            bodies.append(body)
-            tails.append(tail)
-        known = self.bodies.table([bodies])
-        ends = list({*heads, *tails})
-        ends = dict(zip(ends, self._plain(ends)))
-        cut = (ends[h] + known[b] + ends[t] for h, b, t in zip(heads, bodies, tails))
-        return [whole[c] if c in whole else next(cut) for c in chunks] if whole else list(cut)
-
-    def _encode_bodies(self, chunks: list[str]) -> list[bytes]:
+    def _cut(self, data: np.ndarray) -> np.ndarray:
+        """Starts of the pieces of texts that are joined, each followed by 0xFF."""
+        space, mark, gap = self._space[data], self._mark[data], data == 255
+        letter = self._letter[data]
+        start = np.zeros(len(data) + 1, bool)
+        start[0] = True
+        start[:-1] |= gap
+        start[1:] |= gap
+        start[1:-1] |= space[1:] & ~space[:-1]  # white space after other characters
+        # marks after a letter, if nothing but marks comes before the next white space
+        at = np.arange(len(data), dtype=np.int32)
+        other = np.minimum.accumulate(np.where(mark, np.int32(len(data)), at)[::-1])[::-1]  # the text ends with a gap
+        first = np.flatnonzero(mark[1:] & letter[:-1]) + 1
+        start[first[space[other[first]]]] = True
+        # a line feed between another character and a letter
+        feed = np.flatnonzero((data[1:-1] == 10) & ~space[:-2] & letter[2:]) + 1
+        start[feed + 1] = True
+        return np.flatnonzero(start)
+
+    def _encode_joined(self, texts: list[bytes]) -> list[bytes]:
+        if not texts:
+            return []
+        raw = b"\xff".join([*texts, b""])
+        starts = self._cut(np.frombuffer(raw, np.uint8)).astype(np.int32)
+        arr = pa.Array.from_buffers(pa.binary(), len(starts) - 1, [None, pa.py_buffer(starts), pa.py_buffer(raw)])
+        enc = arr.dictionary_encode()
+        words = [w.decode() if w != b"\xff" else "" for w in enc.dictionary.to_pylist()]
+        known = self.pieces.table([words])
+        ids = pa.array([known[w] for w in words], pa.binary()).take(enc.indices)
+        offsets = np.frombuffer(ids.buffers()[1], np.int32)[ids.offset:ids.offset + len(ids) + 1]
+        size = np.fromiter(map(len, texts), np.int64, len(texts))
+        ends = np.cumsum(size + 1)  # a text's pieces are those between its start and its gap
+        a, b = (offsets[np.searchsorted(starts, x)].tolist() for x in (ends - size - 1, ends - 1))
+        out = memoryview(ids.buffers()[2]) if ids.buffers()[2] is not None else memoryview(b"")
+        return [bytes(out[i:j]) for i, j in zip(a, b)]
+
+    def _encode_pieces(self, chunks: list[str]) -> list[bytes]:
         """Words of Latin letters, with or without a space before, are one pre-token each and go
         straight to the library's model; everything else takes the library's full way."""
-        words = [c for c in chunks if (c[1:] if c[0] == " " else c).isalpha() and max(c) < "\u0250"]
-        out: dict = {}
+        words = [c for c in chunks if (c[1:] if c[:1] == " " else c).isalpha() and max(c) < "\u0250"]
+        out: dict = {"": b""}
         for a in range(0, len(words), 2000):
             part = words[a:a + 2000]
             text = "\n".join(part)
@@ -139,11 +150,12 @@ class LibraryEncoder:
         texts = [t or "" for t in texts]
         if not self.by_chunk:
             return [ids + self.end for ids in self._plain(texts)]
-        odd = {k for k, t in enumerate(texts) if self._odd.search(t)}
-        cut = [[] if k in odd else self._chunk.findall(t) for k, t in enumerate(texts)]
-        get = self.cache.table(cut).__getitem__
+        whole = "\n".join(texts)
+        strange = [a for a in self.added if a in whole], self._odd.search(whole)  # mostly neither
+        odd = {k for k, t in enumerate(texts) if any(a in t for a in strange[0]) or self._odd.search(t)} if any(strange) else ()
+        plain = iter(self._encode_joined([t.encode() for k, t in enumerate(texts) if k not in odd]))
         rest = iter(self._plain([texts[k] for k in sorted(odd)]))
-        return [(next(rest) if k in odd else b"".join(map(get, c))) + self.end for k, c in enumerate(cut)]
+        return [next(rest if k in odd else plain) + self.end for k in range(len(texts))]
 
 
 @lru_cache(maxsize=2)

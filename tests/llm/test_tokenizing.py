@@ -189,3 +189,17 @@ def test_op1_op8_empty_table(spark, tmp_path):
     d = folder(spark, tmp_path, [])
     assert q_tokenize.op1_token_counts(spark, d).count() == 0
     assert q_tokenize.op8_bpe_roundtrip(spark, d).count() == 0
+
+
+def test_op2_pieces_equal_the_library_on_mixed_strings():
+    """Every kind of border between letters, marks, digits, white space and other scripts."""
+    rng = random.Random(0)
+    parts = ["a", "Word", " ", "  ", "\n", "\n\n", ".", ",", "!!", "'s", "don't", "é", "ß.", "…,", "日本", "1", "12,", "<|endoftext|>",
+             "\t", "\x1c", " ", "\r\n", "###", "x.y", "<", "|", "'", '"', "\xa0", "ŉ", "Ⅷ", "á", "\x00", "$", "\u0085"]
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 14))) for _ in range(20_000)] + ["", None, " ", "\n", ".", "a" * 70_000]
+    lib = library("byte_bpe_50k.json")
+    with open(public_tokenizers.path("byte_bpe_50k.json"), "rb") as f:
+        own = huffman.LibraryEncoder(f.read(), None)
+    want = [e.ids for e in lib.encode_batch([text_of(t) for t in texts], add_special_tokens=False)]
+    assert [np.frombuffer(b, own.dtype).tolist() for b in own.encode(texts)] == want
+    assert own.encode([]) == []
