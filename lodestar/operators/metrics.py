@@ -3,11 +3,15 @@ improvement and best-so-far tracking."""
 
 from __future__ import annotations
 
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestar.functions.text import split_words
 from lodestar.operators.order import running_agg
+from lodestar.session import write_bytes
 
 
 def token_budget(df: DataFrame, token_line: str, budget: int, epochs: int, by: str = "version") -> DataFrame:
@@ -66,34 +70,60 @@ def write_best_record(improvements: DataFrame, path: str, run: str = "run", step
         .write.mode("overwrite").parquet(path)
 
 
-def _versions(spark: SparkSession, path: str) -> list[str]:
-    """Committed version folders of a best-record table, oldest first."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/version-*/_SUCCESS")
-    found = p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p)
-    return sorted(f.getPath().getParent().toString() for f in found or [])
+def _newest(spark: SparkSession, path: str) -> tuple[int, str | None]:
+    """Number of committed versions of a best-record table, and the folder of the newest.
+
+    Version n is the folder that the file ``version-n`` names; whoever puts that file there has committed n.
+    """
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/version-*")
+    names = sorted(f.getPath().toString() for f in p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p) or [])
+    return len(names), f"{path}/{spark.read.text(names[-1]).first()['value']}" if names else None
+
+
+def _commit(spark: SparkSession, path: str, n: int, folder: str) -> bool:
+    """Make ``folder`` version n unless another writer has made one: a rename that does not replace a file."""
+    jvm = spark._jvm
+    write_bytes(spark, f"{path}/{folder}.name", folder.encode())
+    old, new = (jvm.org.apache.hadoop.fs.Path(f"{path}/{x}") for x in (f"{folder}.name", f"version-{n:06d}"))
+    conf = spark._jsc.hadoopConfiguration()
+    fs = old.getFileSystem(conf)
+    keep = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    try:
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), conf).rename(
+            fs.makeQualified(old), fs.makeQualified(new), keep)
+    except Py4JJavaError as e:
+        if "FileAlreadyExists" in e.java_exception.getClass().getName():
+            return False
+        raise
+    return True
 
 
 def read_best_record(spark: SparkSession, path: str) -> DataFrame | None:
     """The newest version of a best-record table; None before the first one."""
-    found = _versions(spark, path)
-    return spark.read.parquet(found[-1]) if found else None
+    _, newest = _newest(spark, path)
+    return spark.read.parquet(newest) if newest else None
 
 
 def update_best_record(df: DataFrame, path: str, run: str = "run", step: str = "step", score: str = "score",
                        initial: float = 0.0) -> None:
     """Compare new scores with the stored best of each run and write the next version of the table.
 
-    A run's record changes only for a strictly higher score, its first step taking it; versions are
-    folders of their own, so a reader sees the old table until the new one is committed.
+    A run's record changes only for a strictly higher score, its first step taking it.  A version is written to a
+    folder of its own and committed by putting the next version's file there; a writer that finds it taken
+    compares with the version that came first and tries the next, so no writer's record is lost.
     """
     spark = df.sparkSession
-    old = read_best_record(spark, path)
     best = f"best_{score}"
     new = (df.filter(F.col(score) > initial).groupBy(run)
            .agg(F.max_by(F.struct(F.col(step), F.col(score).alias(best)), F.struct(F.col(score), -F.col(step))).alias("_b"))
            .select(run, F.col(f"_b.{step}").alias(step), F.col(f"_b.{best}").alias(best)))
-    n = len(_versions(spark, path))
-    if old is not None:
-        both = old.withColumn("_age", F.lit(0)).unionByName(new.withColumn("_age", F.lit(-1)))
-        new = both.groupBy(run).agg(F.max_by(F.struct(step, best), F.struct(best, "_age")).alias("_b")).select(run, "_b.*")
-    new.write.mode("overwrite").parquet(f"{path}/version-{n:06d}")
+    while True:
+        n, newest = _newest(spark, path)
+        state = new
+        if newest is not None:
+            both = spark.read.parquet(newest).withColumn("_age", F.lit(0)).unionByName(new.withColumn("_age", F.lit(-1)))
+            state = both.groupBy(run).agg(F.max_by(F.struct(step, best), F.struct(best, "_age")).alias("_b")).select(run, "_b.*")
+        folder = f"state-{uuid.uuid4().hex}"
+        state.write.parquet(f"{path}/{folder}")
+        if _commit(spark, path, n, folder):
+            return

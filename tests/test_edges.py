@@ -250,3 +250,24 @@ def test_replayed_epoch_is_written_once(spark):
         S.stream_batches(spark, f"{root}/in", f"{root}/out", f"{root}/ck{run}", size=4)
     rows = S.read_batches(spark, f"{root}/out").collect()
     assert len(rows) == 9 and sorted(r.query for r in rows) == [f"q{k}" for k in range(9)]
+
+
+def test_two_writers_of_the_best_record_lose_nothing(spark, tmp_path, monkeypatch):
+    """A second writer commits while the first one has read the old version but not yet committed its own."""
+    from lodestar.operators import metrics as M
+
+    path, schema = str(tmp_path / "best"), "run long, step long, score double"
+    M.update_best_record(spark.createDataFrame([(0, 1, 0.1)], schema), path)
+    real, calls = M._commit, []
+
+    def commit(spark, path, n, folder):
+        calls.append(n)
+        if len(calls) == 1:
+            monkeypatch.setattr(M, "_commit", real)
+            M.update_best_record(spark.createDataFrame([(0, 2, 0.5), (1, 2, 0.7)], schema), path)
+            monkeypatch.setattr(M, "_commit", commit)
+        return real(spark, path, n, folder)
+    monkeypatch.setattr(M, "_commit", commit)
+    M.update_best_record(spark.createDataFrame([(0, 3, 0.4), (2, 3, 0.9)], schema), path)
+    assert calls == [1, 2]
+    assert sorted(tuple(r) for r in M.read_best_record(spark, path).collect()) == [(0, 2, 0.5), (1, 2, 0.7), (2, 3, 0.9)]

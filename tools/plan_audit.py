@@ -23,7 +23,7 @@ def audit(plan: str) -> dict:
         "broadcasts": sum("BroadcastExchange" in l for l in lines),
         "partial_topk": sum("WindowGroupLimit" in l and "Partial" in l for l in lines),
         "single_partition": len(single),
-        "python": sum(bool(re.search(r"ArrowEvalPython|FlatMapGroupsInPandas|FlatMapCoGroupsInPandas|MapInPandas|BatchEvalPython", l)) for l in lines),
+        "python": sum(bool(re.search(r"EvalPython|(FlatMap(Co)?GroupsIn|MapIn)(Pandas|Arrow)", l)) for l in lines),
         "scans": sum(("FileScan" in l or "Scan ExistingRDD" in l or "Scan parquet" in l) for l in lines),
         "keys": sorted({m.group(1) for l in shuffles for m in [re.search(r"partitioning\(([^,]+(?:, [^,]+)*?), \d+\)", l)] if m}),
     }
