@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.llm.common import Steps, land, map_texts
+from lodestar.llm.common import Steps, land, map_texts, sent
 from lodestar.llm.components import components
 
 SLACK = 3
@@ -299,6 +299,8 @@ def _tree_links(num: int, den: int):
     tile pair gives fewer links than it has members, whatever the number of its pairs.
     """
     def pairs_of(group: pa.Table):
+        # a class may have come more than once
+        group = group.take(pa.array(np.unique(group["cls"].to_numpy(), return_index=True)[1])).combine_chunks()
         ids = group["cls"].to_numpy()
         size = group["n"].to_numpy()
         comp = group["comp"].to_numpy()
@@ -481,11 +483,12 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width:
     together = components(rest.select(F.col("lead").alias("a"), F.col("cls").alias("b")), step.land)
     members = rest.select("cls", "comp").distinct().join(
         together.select(F.col("node").alias("cls"), F.col("root").alias("bucket")), "cls")
-    members = step.land(members.join(sets.dropDuplicates(["cls"]), "cls"), "mixed-members")
+    members = sent(step.land(members, "mixed-members"), PAIRS_SENT)  # three longs each
     # tiles by members and by shingles
-    tiles = members.groupBy("bucket").agg(F.ceil(F.greatest(
-        F.count(F.lit(1)) / TILE, F.sum("n") / TILE_ITEMS)).cast("int").alias("tiles"))
-    rows = (members.join(tiles, "bucket").withColumn("tile", F.pmod(F.xxhash64("cls"), F.col("tiles")).cast("int"))
+    tiles = step.land(sets.select("cls", "n").join(members, "cls").groupBy("bucket").agg(F.ceil(F.greatest(
+        F.count(F.lit(1)) / TILE, F.sum("n") / TILE_ITEMS)).cast("int").alias("tiles")), "tiles")
+    rows = (sets.join(members.join(tiles, "bucket"), "cls")  # the sets' one shuffle is that by tiles
+            .withColumn("tile", F.pmod(F.xxhash64("cls"), F.col("tiles")).cast("int"))
             .withColumn("o", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
             .select("bucket", F.least("tile", "o").alias("ti"), F.greatest("tile", "o").alias("tj"), "tile", "cls", "comp",
                     "n", "shingles", "bitmap"))
