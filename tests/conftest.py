@@ -13,7 +13,7 @@ SF_MID = "/root/testdata/sf0.01"
 def spark():
     from lodestar.session import get_session
 
-    s = get_session("local[4]", shuffle_partitions=8)
+    s = get_session("local[4]", shuffle_partitions=4)
     yield s
     s.stop()
 
