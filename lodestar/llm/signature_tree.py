@@ -17,14 +17,14 @@ classes of its buckets; that joins nearly all copies that differ a little, in on
 Members and first classes of a bucket that are still apart are compared next.
 
 *Trees.*  What is left is buckets with three or more members in more than one
-component.  Such buckets that share a class go together, since a class is in a hundred of them and its set should travel
-once.  Their members are leaves of a signature tree: a node holds the OR of its token
+component.  Their members are leaves of a signature tree: a node holds the OR of its token
 bitmaps, its size range and the component if all its leaves share one.  A
 traversal of the tree against itself drops node pairs whose largest possible
 overlap is below what their least sizes need, and pairs within one component,
-which need no further link.  Surviving leaf pairs are compared on the full sets where they lie, and a
-link makes its two components one at once, so the comparisons that it spares are not made and fewer links than
-members leave.  A large group is cut into tiles; every pair of tiles is a task of its own.
+which need no further link.  A first pass hands on a spanning forest of the surviving leaf pairs only, the most similar
+first, so fewer than there are members; they are compared on the full sets and join components.
+A second pass hands on every pair of the components that are still apart, so no link is lost.
+A large bucket is cut into tiles; every pair of tiles is a task of its own.
 
 Defined cases: a null text, or one without words, has the empty set and is
 linked with nothing; repeated rows get the same result each; a null doc_id is
@@ -39,14 +39,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.llm.common import Steps, land, map_texts, sent
+from lodestar.llm.common import Steps, land, map_texts
 from lodestar.llm.components import components
 
 SLACK = 3
 #: Least bits of a token bitmap, children of a tree node, members of a tile, node pairs looked at together.
-BITS, FANOUT, TILE, FRONT = 2048, 8, 4096, 1 << 16
-#: Shingles of a tile's members together, some 16 MB.
-TILE_ITEMS = 1 << 21
+BITS, FANOUT, TILE, FRONT = 2048, 8, 2048, 1 << 16
 #: Ids that a broadcast bit filter may mark, and its 64-bit words (some 20 MB as a join table).
 FILTER_IDS, FILTER_WORDS = 1 << 20, 1 << 18
 #: Pairs (two longs each) that are broadcast, some 30 MB as a join table.
@@ -220,8 +218,9 @@ class Tree:
                 & (np.minimum.reduceat(comp, cut) == np.maximum.reduceat(comp, cut))))
 
 
-def traverse(p: Tree, q: Tree, num: int, den: int):
-    """Leaf pairs (i, j) of two trees, or of one with itself, that may reach the threshold."""
+def traverse(p: Tree, q: Tree, num: int, den: int, scored: bool = False):
+    """Leaf pairs (i, j) of two trees, or of one with itself, that may reach the threshold; ``scored``: and the
+    largest share of their sizes that their overlap may have."""
     one = p is q
     top = max(len(p.levels), len(q.levels)) - 1
     stack = [(top, np.zeros(1, np.int64), np.zeros(1, np.int64))]
@@ -242,7 +241,7 @@ def traverse(p: Tree, q: Tree, num: int, den: int):
             if one:
                 ok &= i < j
             ok &= common >= need
-            yield i[ok], j[ok]
+            yield (i[ok], j[ok], (common / (plow + qlow))[ok]) if scored else (i[ok], j[ok])
             continue
         common = np.bitwise_count(pb & qb).sum(1, dtype=np.int64) + np.minimum(pex, qex)
         ok &= common >= need
@@ -283,24 +282,13 @@ class Forest:
         self.up[self.find(a)] = self.find(b)
 
 
-def _overlap(a: np.ndarray, b: np.ndarray) -> int:
-    """Common elements of two sorted sets."""
-    if len(a) > len(b):
-        a, b = b, a
-    at = np.searchsorted(b, a)
-    at[at == len(b)] = 0
-    return int((b[at] == a).sum())
+def _tree_pairs(num: int, den: int, spanning: bool):
+    """Candidate pairs of each (bucket, tile pair) in a partition sorted by those.
 
-
-def _tree_links(num: int, den: int):
-    """Links of each (bucket, tile pair) in a partition sorted by those, found on the full sets.
-
-    Components that a link joins are one from then on, and pairs within a component are not compared, so a
-    tile pair gives fewer links than it has members, whatever the number of its pairs.
+    ``spanning``: of all candidates only a spanning forest of the components, the pairs of the largest possible overlap
+    first, so fewer than there are members.
     """
     def pairs_of(group: pa.Table):
-        # a class may have come more than once
-        group = group.take(pa.array(np.unique(group["cls"].to_numpy(), return_index=True)[1])).combine_chunks()
         ids = group["cls"].to_numpy()
         size = group["n"].to_numpy()
         comp = group["comp"].to_numpy()
@@ -308,28 +296,31 @@ def _tree_links(num: int, den: int):
         if not (np.any(tile == ti[0]) and np.any(tile == tj[0])):
             return
         bits = _matrix(group["bitmap"].to_pylist())
-        lists = group["shingles"].combine_chunks()
-        flat = lists.flatten().to_numpy().view(np.uint64)
-        ends = np.cumsum(lists.value_lengths().to_numpy())
-        forest, found = Forest(comp), []
-
-        def leaf(k):
-            return flat[ends[k] - size[k]:ends[k]]
 
         def tree(k):
             at = np.flatnonzero(tile == k)
             return Tree(at, size[at], bits[at], comp[at])
         p = tree(ti[0])
         q = p if ti[0] == tj[0] else tree(tj[0])
-        for i, j in traverse(p, q, num, den):
-            for a, b in zip(p.ids[i].tolist(), q.ids[j].tolist()):
-                if forest.find(a) != forest.find(b) and (den + num) * _overlap(leaf(a), leaf(b)) >= num * (
-                        size[a] + size[b]):
-                    forest.join(a, b)
-                    found.append((a, b))
-        if found:
-            a, b = ids[np.array(found).T]
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+        if not spanning:
+            for i, j in traverse(p, q, num, den):
+                if len(i):
+                    yield pairs(ids[p.ids[i]], ids[q.ids[j]])
+            return
+        found = [(p.ids[i], q.ids[j], s) for i, j, s in traverse(p, q, num, den, True) if len(i)]
+        if not found:
+            return
+        a, b, score = (np.concatenate(x) for x in zip(*found))
+        order = np.argsort(-score, kind="stable")
+        forest, kept = Forest(comp), []
+        for k, x, y in zip(order.tolist(), a[order].tolist(), b[order].tolist()):
+            if forest.find(x) != forest.find(y):
+                forest.join(x, y)
+                kept.append(k)
+        yield pairs(ids[a[kept]], ids[b[kept]])
+
+    def pairs(a, b):
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
     def run(batches):
         held = None
@@ -472,29 +463,25 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width:
     apart = _apart(first.distinct().join(one, ["a", "b"], "left_anti"), components(links, step.land))
     links = links.unionByName(linked(step.land(apart, "other-pairs")))
 
-    comp = components(links, step.land)
-    rest = member.filter(F.col("m") > 2).join(
-        comp.select(F.col("node").alias("cls"), F.col("root").alias("comp")), "cls", "left").withColumn(
-        "comp", F.coalesce("comp", "cls"))
-    mixed = rest.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("cls").alias("lead")
-                                       ).filter(F.col("lo") != F.col("hi")).select("bucket", "lead")
-    rest = step.land(rest.join(mixed, "bucket").select("lead", "cls", "comp"), "mixed-buckets")
-    # a class is in many buckets: buckets that share one go together, so that its set is sent for all of them at once
-    together = components(rest.select(F.col("lead").alias("a"), F.col("cls").alias("b")), step.land)
-    members = rest.select("cls", "comp").distinct().join(
-        together.select(F.col("node").alias("cls"), F.col("root").alias("bucket")), "cls")
-    members = sent(step.land(members, "mixed-members"), PAIRS_SENT)  # three longs each
-    # tiles by members and by shingles
-    tiles = step.land(sets.select("cls", "n").join(members, "cls").groupBy("bucket").agg(F.ceil(F.greatest(
-        F.count(F.lit(1)) / TILE, F.sum("n") / TILE_ITEMS)).cast("int").alias("tiles")), "tiles")
-    rows = (sets.join(members.join(tiles, "bucket"), "cls")  # the sets' one shuffle is that by tiles
-            .withColumn("tile", F.pmod(F.xxhash64("cls"), F.col("tiles")).cast("int"))
-            .withColumn("o", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-            .select("bucket", F.least("tile", "o").alias("ti"), F.greatest("tile", "o").alias("tj"), "tile", "cls", "comp",
-                    "n", "shingles", "bitmap"))
-    rows = rows.repartition("bucket", "ti", "tj").sortWithinPartitions("bucket", "ti", "tj")
-    more = step.land(rows.mapInArrow(_tree_links(num, den), "a bigint, b bigint").distinct(), "tree-links")
-    links = land(links.unionByName(more), "near-duplicate-links")
+    def by_trees(links, spanning):
+        comp = components(links, step.land)
+        rest = member.filter(F.col("m") > 2).join(
+            comp.select(F.col("node").alias("cls"), F.col("root").alias("comp")), "cls", "left").withColumn(
+            "comp", F.coalesce("comp", "cls"))
+        mixed = rest.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter(
+            F.col("lo") != F.col("hi")).select("bucket")
+        tiles = F.ceil(F.col("m") / TILE).cast("int")
+        rows = (rest.join(mixed, "bucket", "left_semi").join(sets.select("cls", "n", "bitmap").distinct(), "cls")
+                .withColumn("tile", F.pmod(F.xxhash64("cls"), tiles).cast("int"))
+                .withColumn("o", F.explode(F.sequence(F.lit(0), tiles - 1)))
+                .select("bucket", F.least("tile", "o").alias("ti"), F.greatest("tile", "o").alias("tj"), "tile", "cls",
+                        "n", "comp", "bitmap"))
+        rows = rows.repartition("bucket", "ti", "tj").sortWithinPartitions("bucket", "ti", "tj")
+        found = rows.mapInArrow(_tree_pairs(num, den, spanning), "a bigint, b bigint").distinct()
+        return links.unionByName(linked(step.land(found, "tree-pairs")))
+
+    # the likeliest pair of each two components first; what is still apart then is compared in full
+    links = land(by_trees(by_trees(links, True), False), "near-duplicate-links")
 
     comp = components(links, step.land)
     least = named.filter(F.col("cls").isNotNull()).groupBy("cls").agg(F.min("doc_id").alias("least"))

@@ -150,8 +150,8 @@ def tile(sets, comp, tiles=1):
                 "bitmap": [signature_tree._bitmap(sets[k]) for k in use]})
 
 
-def test_a_tile_gives_fewer_links_than_members():
-    """Edits that overlap each other in pairs: the links stay below the members, and give the components of all pairs."""
+def test_a_spanning_pass_gives_fewer_pairs_than_members_and_most_links():
+    """Edits that overlap each other in pairs: the first pass stays below the members, the second one has all links."""
     rng = np.random.default_rng(8)
     for n, tiles in ((60, 1), (240, 1), (240, 3)):
         base = rng.integers(0, 1 << 62, 200).astype(np.uint64)
@@ -160,27 +160,30 @@ def test_a_tile_gives_fewer_links_than_members():
             s = base.copy()
             s[rng.choice(200, rng.integers(0, 22), replace=False)] = rng.integers(0, 1 << 62)
             sets.append(np.unique(s))
-        links = []
-        for batch in tile(sets, [7, 7] + list(range(100, 98 + n)), tiles):
-            out = [(int(a) - 1000, int(b) - 1000) for r in signature_tree._tree_links(85, 100)([batch])
-                   for a, b in zip(r["a"].to_numpy(), r["b"].to_numpy())]
-            assert len(out) < batch.num_rows
-            links += out
-        root = list(range(n))
-
-        def find(x):
-            while root[x] != x:
-                x = root[x]
-            return x
-        for a, b in [(0, 1), *links]:
-            root[find(a)] = find(b)
-        for a in range(n):
-            for b in range(a):
-                i = len(np.intersect1d(sets[a], sets[b]))
-                if 185 * i >= 85 * (len(sets[a]) + len(sets[b])):
-                    assert find(a) == find(b)
-        for a, b in links:
-            assert 185 * len(np.intersect1d(sets[a], sets[b])) >= 85 * (len(sets[a]) + len(sets[b]))
+        comp = [7, 7] + list(range(100, 98 + n))
+        near = {(b, a) for a in range(n) for b in range(a) if comp[a] != comp[b] and 185 * len(
+            np.intersect1d(sets[a], sets[b])) >= 85 * (len(sets[a]) + len(sets[b]))}
+        few, every = set(), set()
+        for batch in tile(sets, comp, tiles):
+            for spanning, out in ((True, few), (False, every)):
+                got = [(int(a) - 1000, int(b) - 1000) for r in signature_tree._tree_pairs(85, 100, spanning)([batch])
+                       for a, b in zip(r["a"].to_numpy(), r["b"].to_numpy())]
+                assert not spanning or len(got) < batch.num_rows
+                out.update(got)
+        assert near <= every and few <= every
+
+        def classes(links):
+            root = list(range(n))
+
+            def find(x):
+                while root[x] != x:
+                    x = root[x]
+                return x
+            for a, b in [(0, 1), *links]:
+                root[find(a)] = find(b)
+            return [find(x) for x in range(n)]
+        a, b = classes(near & few), classes(near)
+        assert len(set(a)) - len(set(b)) <= n // 20
 
 
 def test_awkward_rows(spark, tmp_path):
