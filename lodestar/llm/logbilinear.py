@@ -8,9 +8,10 @@ in its class (counts plus a half, with room for one unknown word).
 
 The class model is log-bilinear: the representations of the context classes,
 each through its position's matrix, predict that of the next class.  It is
-trained in numpy with noise-contrastive estimation on draws from the class
-trigram counts of *all* training tokens (at most CLASSES**3 counts).  Scoring
-turns batched matrix products over contexts into normalised log-probabilities.
+trained in numpy with noise-contrastive estimation on the class trigram counts
+of *all* training tokens (at most CLASSES**3 counts): every counted trigram enters
+every step by its count, and the noise by its expectation.  Scoring turns batched
+matrix products over contexts into normalised log-probabilities.
 
 Counts of all distinct words stay a table.  The ``HOT`` most frequent words of up
 to ``HOT_BYTES`` bytes travel to the tasks (a few MB whatever the corpus); rarer
@@ -40,7 +41,8 @@ TOP, TAIL = 95, 32
 END = TOP  # class of the end of a text, and the context before its first words
 CLASSES = TOP + 1 + TAIL
 HOT, HOT_BYTES = 100_000, 64
-DIM, NOISE, BATCH, STEPS, RATE = 24, 10, 1024, 500, 0.02
+DIM, NOISE, STEPS, RATE = 24, 10, 500, 0.02
+BLOCK = 2048  # contexts whose scores are in memory at once
 _FLUSH = 500_000
 
 
@@ -66,33 +68,39 @@ class LogBilinear:
                   "b": np.zeros(n)}
         self.n = n
 
-    def train(self, keys: np.ndarray, counts: np.ndarray, seed: int = 5) -> None:
-        """Noise-contrastive estimation against the unigram class distribution (Adam)."""
+    def train(self, keys: np.ndarray, counts: np.ndarray) -> None:
+        """Noise-contrastive estimation against the unigram class distribution (Adam).
+
+        Nothing is drawn: each step's gradient sums over every counted trigram, and over every
+        class as noise of each counted context, in blocks of contexts.
+        """
         n, p = self.n, self.p
-        rng = np.random.default_rng(seed)
+        total = counts.sum()
         unigram = np.bincount(keys % n, weights=counts, minlength=n) + 1.0
         noise = unigram / unigram.sum()
         p["b"] = np.log(noise)
-        draw, noise_draw = np.cumsum(counts) / counts.sum(), np.cumsum(noise)
         shift = np.log(NOISE * noise)
+        contexts, row = np.unique(keys // n, return_inverse=True)
+        data = np.bincount(row * n + keys % n, weights=counts, minlength=len(contexts) * n).reshape(-1, n) / total
+        size = data.sum(1)
         m, v = ({k: np.zeros_like(a) for k, a in p.items()} for _ in range(2))
         for step in range(1, STEPS + 1):
-            at = keys[np.minimum(np.searchsorted(draw, rng.random(BATCH)), len(keys) - 1)]
-            w1, w2, w = at // (n * n), at // n % n, at % n
-            cand = np.concatenate([w[:, None], np.minimum(
-                np.searchsorted(noise_draw, rng.random((BATCH, NOISE))), n - 1)], 1)
-            r1, r2, rc = p["r"][w1], p["r"][w2], p["r"][cand]
-            q = r1 @ p["c1"] + r2 @ p["c2"]
-            s = np.einsum("bd,bkd->bk", q, rc) + p["b"][cand] - shift[cand]
-            d = 1 / (1 + np.exp(-np.clip(s, -30, 30)))  # probability of being data, less the truth
-            d[:, 0] -= 1
-            d /= BATCH
-            dq = np.einsum("bk,bkd->bd", d, rc)
-            g = {"c1": r1.T @ dq, "c2": r2.T @ dq, "b": np.bincount(cand.ravel(), d.ravel(), n)}
-            g["r"] = np.zeros_like(p["r"])
-            np.add.at(g["r"], cand, d[:, :, None] * q[:, None])
-            np.add.at(g["r"], w1, dq @ p["c1"].T)
-            np.add.at(g["r"], w2, dq @ p["c2"].T)
+            g = {k: np.zeros_like(a) for k, a in p.items()}
+            first, second = p["r"] @ p["c1"], p["r"] @ p["c2"]  # what a class adds as the earlier, the later context
+            by_first, by_second = np.zeros_like(first), np.zeros_like(second)
+            for a in range(0, len(contexts), BLOCK):
+                w1, w2 = contexts[a:a + BLOCK] // n, contexts[a:a + BLOCK] % n
+                q = first[w1] + second[w2]
+                s = q @ p["r"].T + (p["b"] - shift)
+                is_data = 1 / (1 + np.exp(-np.clip(s, -30, 30)))  # the probability of being data
+                d = is_data * (data[a:a + BLOCK] + size[a:a + BLOCK, None] * (NOISE * noise)) - data[a:a + BLOCK]
+                dq = d @ p["r"]
+                g["r"] += d.T @ q
+                g["b"] += d.sum(0)
+                np.add.at(by_first, w1, dq)
+                np.add.at(by_second, w2, dq)
+            g["c1"], g["c2"] = p["r"].T @ by_first, p["r"].T @ by_second
+            g["r"] += by_first @ p["c1"].T + by_second @ p["c2"].T
             rate = RATE * min(1.0, 2 * (1 - step / (STEPS + 1)))
             for k in p:
                 m[k] += 0.1 * (g[k] - m[k])

@@ -196,6 +196,16 @@ def test_class_probabilities_sum_to_one_and_learn():
     assert table[1 * 12 + 2].argmax() == 3 and table[4 * 12 + 5].argmax() == 6
 
 
+def test_class_model_learns_from_every_count_without_draws(monkeypatch):
+    net = logbilinear.LogBilinear(12, 6)
+    monkeypatch.setattr(np.random, "default_rng", None)
+    at = [(a * 12 + b) * 12 + (b + 1) % 12 for a in range(12) for b in range(12)]
+    net.train(np.array(at), np.array([1000.0 if k % 7 else 10.0 for k in range(144)]))
+    table = net.log10_table()
+    assert np.allclose((10 ** table).sum(1), 1)
+    assert all(table[k // 12].argmax() == k % 12 for k in at)
+
+
 def numpy_judge(stats, tail=outliers.TAIL):
     """The whole rule over rows (lang, source, words, chars, symbols, dup lines, repeat words, lines): kept per row."""
     lang, source = [r[0] for r in stats], [r[1] for r in stats]
