@@ -83,7 +83,7 @@ def global_from_group_positions(df: DataFrame, group: str, pos: str, out: str =
     counts = df.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy(group).rowsBetween(Window.unboundedPreceding, -1)  # one row per group
     offs = counts.withColumn("_goff", F.coalesce(F.sum("_n").over(w), F.lit(0))).select(group, "_goff")
-    return (df.join(offs, group)
+    return (df.join(F.broadcast(offs), group)  # a row per group: joined by a shuffle, a group would meet in one task
             .withColumn(out, (F.col("_goff") + F.col(pos)).cast("bigint")).drop("_goff"))
 
 
