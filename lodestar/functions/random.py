@@ -22,10 +22,15 @@ def _key_cols(keys) -> list[Column]:
     return out
 
 
+def key_text(seed, salt: str, *keys) -> Column:
+    """``seed|salt|keys...``; null keys are left out."""
+    seed_c = seed.cast("string") if isinstance(seed, Column) else F.lit(str(seed))
+    return F.concat_ws("|", seed_c, F.lit(salt), *_key_cols(keys))
+
+
 def hash_key(seed, salt: str, *keys) -> Column:
     """md5 hex string of ``seed|salt|keys...`` — a uniform sort key."""
-    seed_c = seed.cast("string") if isinstance(seed, Column) else F.lit(str(seed))
-    return F.md5(F.concat_ws("|", seed_c, F.lit(salt), *_key_cols(keys)))
+    return F.md5(key_text(seed, salt, *keys))
 
 
 def uniform(seed, salt: str, *keys) -> Column:

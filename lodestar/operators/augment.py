@@ -3,18 +3,24 @@
 Every random choice is ``uniform(seed, salt, keys...)`` of the row's own key,
 so a line's augmentation does not depend on partitioning or on which other
 rows share its task.  Everything except ``concat_random`` is a column
-expression; ``concat_random`` needs a partner line and is an equi-join on a
-drawn global position.
+expression (the two shuffles by Arrow batches); ``concat_random`` needs a partner line and is an
+equi-join on a drawn global position.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import hashlib
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
 
-from lodestar.functions.random import hash_key, uniform
+from lodestar.functions.random import key_text, uniform
 from lodestar.functions.text import split_words
 from lodestar.operators.order import global_from_group_positions, with_positions
+from lodestar.session import ship_package
 
 
 def _c(x) -> Column:
@@ -36,26 +42,43 @@ def repeat_random(line, seed, *keys) -> Column:
     return F.repeat(_c(line), times)
 
 
-def _shuffle_join(parts: Column, sep: str, seed, salt: str, *keys) -> Column:
-    """The parts in a seeded random order.  One md5 gives the draws of four parts."""
-    n = F.size(parts)
-    hashes = F.transform(F.sequence(F.lit(0), F.floor(F.greatest(n - 1, F.lit(0)) / 4).cast("int")),
-                         lambda b: hash_key(seed, salt, *keys, b))
-    draws = F.slice(F.flatten(F.transform(hashes, lambda h: F.array(*[F.substring(h, 8 * k + 1, 8) for k in range(4)]))),
-                    F.lit(1), n)
-    keyed = F.transform(F.zip_with(draws, parts, lambda d, p: F.struct(d.alias("d"), p.alias("p"))),
-                        lambda s, i: F.struct(s["d"].alias("h"), i.alias("i"), s["p"].alias("p")))
-    return F.array_join(F.transform(F.array_sort(keyed), lambda s: s["p"]), sep)
+def _order(prefix: str, n: int) -> np.ndarray:
+    """The seeded random order of n parts.  One md5 of ``prefix|block`` gives the draws of four parts."""
+    head = f"{prefix}|".encode()
+    draws = b"".join([hashlib.md5(head + b"%d" % b).digest() for b in range(-(-n // 4))])
+    return np.argsort(np.frombuffer(draws, ">u4")[:n].astype(np.uint32), kind="stable")
+
+
+def _mixed_words(text: str, prefix: str) -> str:
+    words = text.split(" ") if text else []
+    return " ".join([words[k] for k in _order(prefix, len(words)).tolist()])
+
+
+def _mixed_chars(text: str, prefix: str) -> str:
+    points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    return points[_order(prefix, len(points))].tobytes().decode("utf-32-le")
+
+
+def _shuffled(text: Column, mix, seed, salt: str, keys) -> Column:
+    """``mix(text, prefix)`` by Arrow batches, the draws' prefix being ``seed|salt|keys``."""
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        ship_package(active)
+
+    @arrow_udf("string")
+    def run(texts: pa.Array, prefixes: pa.Array) -> pa.Array:
+        return pa.array([None if t is None else mix(t, p) for t, p in zip(texts.to_pylist(), prefixes.to_pylist())], pa.string())
+    return run(text, key_text(seed, salt, *keys))
 
 
 def shuffle_words(line, seed, *keys) -> Column:
     """Words (Python ``split()``) in a seeded random order, joined by one space."""
-    return _shuffle_join(split_words(_c(line)), " ", seed, "words", *keys)
+    return _shuffled(F.array_join(split_words(_c(line)), " "), _mixed_words, seed, "words", keys)
 
 
 def shuffle_chars(line, seed, *keys) -> Column:
     """Characters (code points) in a seeded random order."""
-    return _shuffle_join(F.split(_c(line), ""), "", seed, "chars", *keys)
+    return _shuffled(_c(line), _mixed_chars, seed, "chars", keys)
 
 
 def reverse_half(line) -> Column:
@@ -134,8 +157,8 @@ def augment(df: DataFrame, line: str, seed, keys, order_by=None,
             .when(F.col("case") == 2, substring_random(s, seed, *kc))
             .when(F.col("case") == 3, repeat_random(s, seed, *kc))
             .when(F.col("case") == 4, F.col("_c4"))
-            .when(F.col("case") == 5, shuffle_words(s, seed, *kc))
-            .when(F.col("case") == 6, shuffle_chars(s, seed, *kc))
+            .when(F.col("case") == 5, shuffle_words(F.when(F.col("case") == 5, s), seed, *kc))
+            .when(F.col("case") == 6, shuffle_chars(F.when(F.col("case") == 6, s), seed, *kc))
             .when(F.col("case") == 7, reverse_half(s))
             .otherwise(reverse_word(s, seed, *kc)))
     return t.withColumn("text", text).drop("_c4")
