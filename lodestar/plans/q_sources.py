@@ -153,7 +153,8 @@ def src_text_lines(spark, sf_dir):
 SELECT version, pos, token_line AS tokens FROM x8
 """)
 def src_token_lines(spark, sf_dir):
-    paths = land_versions(spark, x8(spark, sf_dir), "token_line", "token-lines")
+    # tokenized once: each version's sorted write reads its lines twice
+    paths = land_versions(spark, x8(spark, sf_dir).checkpoint(eager=True), "token_line", "token-lines")
     t = read_token_lines(spark, paths)
     return t.select("version", "pos", F.array_join("tokens", " ").alias("tokens"))
 
