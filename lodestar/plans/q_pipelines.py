@@ -76,11 +76,15 @@ def pipeline_distill_samples(spark, sf_dir):
     whole vector, and the position of the closing <eos>; written as a version and read back against its manifest."""
     x3 = fx.lines(spark, sf_dir)
     toks = x8(spark, sf_dir, x3).select("version", "pos", AR.parse_ids("token_line").alias("ids"))
-    rows = D.align(toks, _vectors(spark, sf_dir, x3, 0, "qv"), _vectors(spark, sf_dir, x3, 1, "dv"))
     drawn = A.assign_role(42, F.col("version"), F.col("pos"))
+
+    def taught(role):  # a position's key draws its role: the other role's vector is not carried
+        return lambda v: F.when(drawn == role, V.truncate_dims(v, KEPT))
+
+    rows = D.align(toks, _vectors(spark, sf_dir, x3, 0, "qv", taught("query")), _vectors(spark, sf_dir, x3, 1, "dv", taught("document")))
     one = rows.withColumn("role", drawn).select(
         "version", "pos", "role", D.role_tokens(F.col("ids"), F.col("role")).alias("tokens"),
-        V.l2_normalize(V.truncate_dims(F.when(F.col("role") == "query", F.col("qv")).otherwise(F.col("dv")), KEPT)).alias("vector"))
+        V.l2_normalize(F.when(F.col("role") == "query", F.col("qv")).otherwise(F.col("dv"))).alias("vector"))
     path = scratch_path(spark, "samples")
     write_samples(one.withColumn("eos_pos", AR.last_eos("tokens")), path)
     text = F.array_join(F.transform("vector", lambda x: F.format_string("%.4f", F.round(x.cast("double"), 4) + F.lit(0.0))), " ")

@@ -244,13 +244,15 @@ def stats_token_budget(spark, sf_dir):
                         "line", BUDGET, EPOCHS)
 
 
-def _vectors(spark, sf_dir, x3, shift: int, name: str):
-    """Vectors by position: vec_id = (3 * pos + version index + shift) mod N."""
+def _vectors(spark, sf_dir, x3, shift: int, name: str, of=None):
+    """Vectors by position: vec_id = (3 * pos + version index + shift) mod N.  ``of`` makes what is carried
+    with a position from its column ``name``, so that no more than that is shuffled to the other sources."""
     e = fx.table(spark, sf_dir, "embeddings")
     n = e.count()
     vidx = F.col("version").substr(2, 1).cast("int") - 6
     keyed = x3.select("version", "pos", F.pmod(F.col("pos") * 3 + vidx + shift, F.lit(n)).alias("vec_id"))
-    return keyed.join(e.select("vec_id", F.col("embedding").alias(name)), "vec_id").drop("vec_id")
+    t = keyed.join(e.select("vec_id", F.col("embedding").alias(name)), "vec_id").drop("vec_id")
+    return t if of is None else t.withColumn(name, of(F.col(name)))
 
 
 def _vec_sql(shift: int, name: str) -> str:
@@ -267,12 +269,14 @@ FROM x8 JOIN qv USING (version, pos) JOIN dv USING (version, pos)
 def join_positional(spark, sf_dir):
     x3 = fx.lines(spark, sf_dir)
     toks = x8(spark, sf_dir, x3)
-    q = _vectors(spark, sf_dir, x3, 0, "qv")
-    d = _vectors(spark, sf_dir, x3, 1, "dv")
-    j = D.align(toks, q, d, on=("version", "pos"))
-    return j.select("version", "pos", as_long(F.size(T.split_words("token_line"))).alias("n_tokens"),
-                    r6(F.element_at(V.l2_normalize(V.truncate_dims("qv", 640)), 1)).alias("q0"),
-                    r6(F.element_at(V.l2_normalize(V.truncate_dims("dv", 640)), 1)).alias("d0"))
+    def first(v):
+        return r6(F.element_at(V.l2_normalize(V.truncate_dims(v, 640)), 1))
+
+    q = _vectors(spark, sf_dir, x3, 0, "qv", first)
+    d = _vectors(spark, sf_dir, x3, 1, "dv", first)
+    sizes = toks.select("version", "pos", as_long(F.size(T.split_words("token_line"))).alias("n_tokens"))
+    j = D.align(sizes, q, d, on=("version", "pos"))
+    return j.select("version", "pos", "n_tokens", F.col("qv").alias("q0"), F.col("dv").alias("d0"))
 
 
 @query("check_alignment", o.with_ctes(o.X3, VOCAB, X8) + f"""
