@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 import time
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -191,32 +192,51 @@ def stream_metrics(spark: SparkSession, in_path: str, out_path: str, checkpoint:
 
 _WINDOW = ("run bigint, window_id bigint, last_step bigint, mean_loss double, instant_loss double, tokens bigint, "
            "seconds double, tokens_per_sec double")
-_OPEN = "n bigint, loss double, last_step bigint, instant_loss double, tokens bigint, seconds double"
+#: Windows of a run, next to each other, that are one key of the state.
+BLOCK_WINDOWS = 1024
+_FIELDS = [("window_id", np.int64), ("n", np.int64), ("loss", np.float64), ("last_step", np.int64), ("instant_loss", np.float64),
+           ("tokens", np.int64), ("seconds", np.float64), ("until", np.int64)]
+_OPEN = ", ".join(f"{c} array<{'double' if t is np.float64 else 'bigint'}>" for c, t in _FIELDS)
 
 
-def _fold_window(width: int):
+def _sums(f: pd.DataFrame) -> pd.DataFrame:
+    """The rows of some windows as one row per window, with the columns of the state."""
+    f = f.sort_values(["window_id", "step"], kind="stable")
+    g = f.groupby("window_id", sort=True)
+    last = g.tail(1)
+    t = g.agg(n=("step", "size"), loss=("loss", "sum"), tokens=("tokens", "sum"), seconds=("dt", "sum"), until=("until", "max"))
+    return t.assign(last_step=last["step"].to_numpy(), instant_loss=last["loss"].to_numpy()).reset_index().fillna({"until": 0})
+
+
+def _fold_windows(width: int):
+    """Fold for (run, block of windows): the state holds the block's open windows, a list per field."""
     def fold(key, frames, state):
-        if state.hasTimedOut:  # its time has passed without all its steps
-            state.remove()
-            return
-        n, loss, last, instant, tokens, seconds = state.get if state.exists else (0, 0.0, -1, 0.0, 0, 0.0)
-        until = 0
-        for f in frames:
-            f = f.sort_values("step")
-            n, loss = n + len(f), loss + float(f["loss"].sum())
-            tokens, seconds = tokens + int(f["tokens"].sum()), seconds + float(f["dt"].sum())
-            if int(f["step"].iloc[-1]) > last:
-                last, instant = int(f["step"].iloc[-1]), float(f["loss"].iloc[-1])
-            until = max(until, int(f["until"].max()))
-        if n < width:
-            state.update((n, loss, last, instant, tokens, seconds))
-            state.setTimeoutTimestamp(max(until, state.getCurrentWatermarkMs() + 1))
-            return
-        if state.exists:
+        mark = state.getCurrentWatermarkMs()
+        names = [c for c, _ in _FIELDS]
+        held = pd.DataFrame({c: np.array(v, t) for (c, t), v in zip(_FIELDS, state.get if state.exists else [[]] * len(_FIELDS))})
+        if not state.hasTimedOut:
+            new = pd.concat([_sums(f) for f in frames])
+            new["until"] = np.maximum(new["until"], mark + 1)
+            t = pd.concat([held, new[names]]).astype(dict(_FIELDS))
+            last = t.sort_values(["window_id", "last_step"], kind="stable").groupby("window_id", sort=True).tail(1)
+            g = t.groupby("window_id", sort=True)
+            held = g.agg(n=("n", "sum"), loss=("loss", "sum"), tokens=("tokens", "sum"), seconds=("seconds", "sum"),
+                         until=("until", "last")).reset_index()
+            held["last_step"], held["instant_loss"] = last["last_step"].to_numpy(), last["instant_loss"].to_numpy()
+        done = held[held["n"] >= width]
+        held = held[(held["n"] < width) & (held["until"] >= mark)]  # the others' time has passed without all their steps
+        if len(held):
+            state.update(tuple(held[c].tolist() for c in names))
+            state.setTimeoutTimestamp(max(int(held["until"].min()), mark + 1))
+        elif state.exists:
             state.remove()
-        yield pd.DataFrame({"run": [key[0]], "window_id": [key[1]], "last_step": [last], "mean_loss": [loss / n],
-                            "instant_loss": [instant], "tokens": [tokens], "seconds": [seconds],
-                            "tokens_per_sec": [tokens / seconds if seconds > 0 else 0.0]})
+        if len(done):
+            yield pd.DataFrame({
+                "run": pd.Series([key[0]] * len(done), dtype=object), "window_id": done["window_id"].to_numpy(),
+                "last_step": done["last_step"].to_numpy(), "mean_loss": (done["loss"] / done["n"]).to_numpy(),
+                "instant_loss": done["instant_loss"].to_numpy(), "tokens": done["tokens"].to_numpy(),
+                "seconds": done["seconds"].to_numpy(),
+                "tokens_per_sec": np.where(done["seconds"] > 0, done["tokens"] / done["seconds"].where(done["seconds"] > 0, 1.0), 0.0)})
     return fold
 
 
@@ -227,7 +247,7 @@ def stream_windows(spark: SparkSession, in_path: str, out_path: str, checkpoint:
 
     State is kept for open windows only: a complete one is emitted and forgotten, and one whose rows
     are all older than the watermark (the newest ``ts`` less ``delay``) is dropped, so state does not grow with
-    the log.  Rows older than the watermark are late and left out, as a window they would complete is gone.
+    the log.  BLOCK_WINDOWS windows of a run share a key, so a trigger folds them in one call.  Rows older than the watermark are late and left out, as a window they would complete is gone.
     """
     ship_package(spark)
     src = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger).parquet(in_path)
@@ -235,7 +255,8 @@ def stream_windows(spark: SparkSession, in_path: str, out_path: str, checkpoint:
         F.col("run").cast("bigint").alias("run"), F.expr(f"(step - 1) div {width}").cast("bigint").alias("window_id"),
         F.col("step").cast("bigint").alias("step"), F.col("loss").cast("double").alias("loss"), "tokens", "dt", ts,
         (F.unix_millis(ts) + 1).alias("until"))
-    out = rows.groupBy("run", "window_id").applyInPandasWithState(
-        _fold_window(width), _WINDOW, _OPEN, "append", GroupStateTimeout.EventTimeTimeout)
+    blocks = rows.withColumn("block", F.expr(f"window_id div {BLOCK_WINDOWS}"))
+    out = blocks.groupBy("run", "block").applyInPandasWithState(
+        _fold_windows(width), _WINDOW, _OPEN, "append", GroupStateTimeout.EventTimeTimeout)
     _run(out.writeStream.format("parquet").option("path", out_path).option("checkpointLocation", checkpoint)
          .outputMode("append"), spark=spark, state_partitions=state_partitions)
