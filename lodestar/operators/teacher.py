@@ -87,4 +87,4 @@ def splice_roles(df: DataFrame, tokens: str, prefixes=None) -> DataFrame:
                                 for r, p in prefixes.items()]))
     t = df.select("*", roles.alias("_r"))
     t = t.withColumn("role", t["_r"]["role"]).withColumn("tokens", _spliced(t["_r"]["prefix"], F.col(tokens))).drop("_r")
-    return t.withColumn("eos_pos", AR.last_eos("tokens"))
+    return t.withColumn("eos_pos", F.size("tokens") - 1)  # the closing EOS, which every variant ends with
