@@ -58,7 +58,7 @@ def build_vocab(df: DataFrame, text: str, max_size: int | None = None, reserved=
     return words.select("token", "id", "n").unionByName(res).checkpoint(eager=True)
 
 
-def _spaced_words(text: str):
+def spaced_words(text: str):
     """Words of a text, special markers being words of their own."""
     spaced = F.when(F.instr(F.col(text), "<") > 0,
                     F.regexp_replace(F.col(text), SPECIAL_PATTERN, " $1 ")).otherwise(F.col(text))
@@ -95,7 +95,7 @@ def tokenize(df: DataFrame, keys, text: str, vocab: DataFrame, unk: int = AR.UNK
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     if long_form:
-        ex = df.select(*keys, F.posexplode_outer(_spaced_words(text)).alias("_i", "token"))
+        ex = df.select(*keys, F.posexplode_outer(spaced_words(text)).alias("_i", "token"))
         j = _look_up(ex, vocab, F.xxhash64(*[F.col(k) for k in keys], "_i").cast("string"))
         shift = 1 if add_bos else 0
         words = j.filter(F.col("_i").isNotNull()).select(
@@ -125,7 +125,7 @@ def _chunks(df: DataFrame, keys: list[str], text: str) -> DataFrame:
     from the task that made it.
     """
     spark = df.sparkSession
-    src = df.select(*keys, F.coalesce(_spaced_words(text), F.array().cast("array<string>")).alias("_words"))
+    src = df.select(*keys, F.coalesce(spaced_words(text), F.array().cast("array<string>")).alias("_words"))
     none = StructType([StructField(f.name, f.dataType, True) for f in src.select(*keys).schema])
     schema = StructType(none.fields + [StructField("_chunk", LongType()), StructField("_codes", ArrayType(IntegerType())),
                                        StructField("_at", IntegerType()), StructField("_word", StringType())])

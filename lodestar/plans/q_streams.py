@@ -12,7 +12,7 @@ from lodestar.operators.order import running_agg
 from lodestar.plans.q_metrics import TUMBLING_SQL, WIDTH, tumbling_out
 from lodestar.plans.q_udf import encoder_sql
 from lodestar.plans.registry import as_long, query, r6
-from lodestar.session import scratch_path
+from lodestar.session import scratch_path, shuffle_partitions
 from lodestar.streaming import streams as S
 
 
@@ -96,7 +96,8 @@ def stream_windows(spark, sf_dir):
 def stream_embed(spark, sf_dir):
     src = scratch_path(spark, "docs-in")
     d = fx.table(spark, sf_dir, "documents").select("doc_id", "text")
-    d.repartition("doc_id").write.mode("overwrite").parquet(src)
+    # the files of a trigger, a quarter of all, are one task each at least
+    d.repartition(4 * shuffle_partitions(spark), "doc_id").write.mode("overwrite").parquet(src)
     out, ck = _paths(spark, "stream-embed")
     S.stream_embed(spark, src, out, ck, "doc_id long, text string", "doc_id",
                    max_files_per_trigger=S.files_per_trigger(spark, src))

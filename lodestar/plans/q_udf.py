@@ -39,14 +39,14 @@ def pool_eos(spark, sf_dir):
 SELECT pair_id, role, array_to_string(tokens, ' ') AS tokens FROM x4
 """)
 def udf_tokenize(spark, sf_dir):
-    """The vocabulary tokenizer as a plug-in: vocabulary landed as Parquet once,
-    loaded once per Python worker, applied by Arrow batches."""
+    """The vocabulary tokenizer as a plug-in: vocabulary landed as Parquet once, its most frequent
+    words loaded once per Python worker, applied by Arrow batches; rarer words come with their texts."""
     from lodestar.plans.q_tokens import x4_texts
     path = scratch_path(spark, "vocab")
     vocab(spark, sf_dir).select("token", "id").write.mode("overwrite").parquet(path)
     tok = EN.tokenize_udf(EN.VocabTokenizer.factory(path))
-    t = x4_texts(spark, sf_dir)
-    return t.select("pair_id", "role", F.array_join(tok(F.col("text")), " ").alias("tokens"))
+    t = EN.with_rare_words(x4_texts(spark, sf_dir), "text", spark.read.schema("token string, id int").parquet(path))
+    return t.select("pair_id", "role", F.array_join(tok("text", "rare_words", "rare_ids"), " ").alias("tokens"))
 
 
 DIMS, KEPT = EN.HASH_DIMS, 32
