@@ -5,7 +5,7 @@ its md5 and pools a text's vector from its tokens' vectors in whole numbers, so
 same on any partitioning.  It comes in two forms with equal results: ``hash_encode`` on a table, which adds up
 the rows that share their keys, and ``DrawEncoder`` as a plug-in, which shuffles nothing.
 
-Plug-ins are applied by ``predict_batch_udf``, in batches of a fixed number of texts.  A plug-in is given as a *factory* (a picklable zero-argument callable).  Each
+Plug-ins are applied to Arrow batches, a fixed number of texts at a time.  A plug-in is given as a *factory* (a picklable zero-argument callable).  Each
 Python worker builds it once and keeps it for every later batch, as a model
 server would keep weights loaded.  Besides ``DrawEncoder`` two ship here:
 
@@ -28,10 +28,9 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.ml.functions import predict_batch_udf
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
+from pyspark.sql.functions import arrow_udf, pandas_udf
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, DoubleType, FloatType, LongType, StructField, StructType
 
@@ -330,14 +329,20 @@ def encode_texts(df: DataFrame, text: str, role, encoder_factory, pooling: str =
     ship_package(df.sparkSession)
     role_c: Column = F.col(role) if isinstance(role, str) else role
 
-    def model():
-        e = _cached(encoder_factory)
+    kind = pa.float64() if element == "double" else pa.float32()
 
-        def predict(texts: np.ndarray, roles: np.ndarray) -> np.ndarray:
-            return np.stack(e.encode(texts.tolist(), roles.tolist(), pooling, max_length, normalize))
-        return predict
+    @arrow_udf(ArrayType(DoubleType() if element == "double" else FloatType()))
+    def enc(it: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        e = _cached(encoder_factory)
+        for texts, roles in it:
+            out = [pa.array([], pa.list_(kind))]
+            for a in range(0, len(texts), batch_size):  # a batch's strings and vectors go before the next one's are made
+                v = np.stack(e.encode(texts.slice(a, batch_size).to_pylist(), roles.slice(a, batch_size).to_pylist(),
+                                      pooling, max_length, normalize))
+                ends = np.arange(len(v) + 1, dtype=np.int32) * v.shape[1]
+                out.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(v.ravel(), kind)))
+            yield pa.concat_arrays(out)
 
-    enc = predict_batch_udf(model, return_type=ArrayType(DoubleType() if element == "double" else FloatType()), batch_size=batch_size)
     vec = enc(F.coalesce(F.col(text), F.lit("")), F.coalesce(role_c, F.lit("")))
     return df.withColumn(out, F.when(F.col(text).isNotNull(), vec))
 

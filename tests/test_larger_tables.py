@@ -35,6 +35,17 @@ def test_draw_encoder_blocks_and_forgotten_draws_change_nothing(monkeypatch, poo
     assert want[0, 0] == sum(x * (1 if pooling == "mean" else 1 + i % 7) for i, x in enumerate(draw))
 
 
+def test_plug_in_encoder_keeps_to_its_batches(spark):
+    class Sizes:
+        def encode(self, texts, roles, pooling, max_length, normalize):
+            return [np.array([len(texts), len(t)], np.float32) for t in texts]
+    df = spark.createDataFrame([(i, None if i == 9 else "x" * i) for i in range(10)], "id int, text string").coalesce(1)
+    t = EN.encode_texts(df, "text", F.lit("query"), Sizes, batch_size=4)
+    assert "ArrowEvalPython" in plan(t) and "predict" not in plan(t)
+    got = {r.id: r.embedding for r in t.collect()}
+    assert got == {i: None if i == 9 else [2.0 if i > 7 else 4.0, float(i)] for i in range(10)}
+
+
 def test_plug_in_tokenizer_holds_a_bounded_part_of_the_vocabulary(spark, tmp_path):
     path = str(tmp_path / "vocab")
     n = EN.HOT_IDS + 5000
