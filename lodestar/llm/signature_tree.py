@@ -8,8 +8,8 @@ everything below works on classes, so copies cost a row each and no more.
 that bound for the larger size's level, so a linked pair agrees on whole
 groups; a class's entry is (hash of group content, class).  Levels are size
 ranges by powers of num/den: a set enters its own level and the next.  Empty
-groups agree by chance: ``SLACK`` spare groups make up for them, and a set with more empty
-groups than that enters those too.  No pair above the threshold shares no bucket.
+groups agree by chance: a level's spare groups make up for them, some more than the smallest set of the level
+leaves empty, and a set with more empty groups than that enters those too.  No pair above the threshold shares no bucket.
 Buckets with the same members are one.
 
 *First links.*  Each class is compared on the full sets with the least of the first
@@ -26,6 +26,8 @@ first, so fewer than there are members; they are compared on the full sets and j
 A second pass hands on every pair of the components that are still apart, so no link is lost.
 A large bucket is cut into tiles; every pair of tiles is a task of its own.
 
+Full sets are larger than the texts, so none is stored: pairs that their bitmaps allow have theirs made from the texts again.
+
 Defined cases: a null text, or one without words, has the empty set and is
 linked with nothing; repeated rows get the same result each; a null doc_id is
 never the least id of a component unless all its ids are null.  Other columns are not looked at.
@@ -42,6 +44,7 @@ from pyspark.sql import functions as F
 from lodestar.llm.common import Steps, land, map_texts
 from lodestar.llm.components import components
 
+#: Least spare groups of a level.
 SLACK = 3
 #: Least bits of a token bitmap, children of a tree node, members of a tile, node pairs looked at together.
 BITS, FANOUT, TILE, FRONT = 2048, 8, 2048, 1 << 16
@@ -91,7 +94,7 @@ class Shingler:
 
 
 class Levels:
-    """Size levels of a threshold num/den and the number of groups of each."""
+    """Size levels of a threshold num/den and the number of groups of each, the ``spare`` ones among them."""
 
     def __init__(self, num: int, den: int):
         edge = [1]
@@ -99,27 +102,45 @@ class Levels:
             edge.append(edge[-1] * den // num + 1)
         self.edge = np.array(edge)
         self.differ = [2 * (b - 1) * (den - num) // (den + num) for b in edge[1:]]
+        self.spare = [self._spare(d, edge[max(0, k - 1)]) for k, d in enumerate(self.differ)]
+
+    @staticmethod
+    def _spare(differ: int, least: int) -> int:
+        """Three deviations more than the groups that ``least`` shingles, the fewest that enter the level, leave empty.
+
+        Sets with more empty groups meet all others that leave the same ones empty, linked or not, so they should be
+        few.  A quarter of the bound at most: short sets would have a group for each shingle.
+        """
+        spare = SLACK
+        while spare < differ // 4:
+            k = differ + 1 + spare
+            empty = k * (1 - 1 / k) ** least
+            if spare >= empty + 3 * empty ** 0.5:
+                break
+            spare += 1 + spare // 16
+        return min(spare, max(SLACK, differ // 4))
 
     def entries(self, s: np.ndarray) -> np.ndarray:
-        """Bucket hashes of a sorted set."""
+        """Bucket hashes of a sorted set, 48 bits each: the few that meet by chance are compared like all others."""
         own = int(np.searchsorted(self.edge, len(s), side="right")) - 1
         out = []
         value = mix(s ^ _ODD[2])
         for level in (own, own + 1):
             if not self.differ[level]:
                 continue  # linked sets of this level are equal
-            k = self.differ[level] + 1 + SLACK
+            spare = self.spare[level]
+            k = self.differ[level] + 1 + spare
             group = ((mix(s + np.uint64(int(_ODD[3]) * level % (1 << 64))) >> np.uint64(32)) * np.uint64(k) >> np.uint64(32)).astype(
                 np.int64)
             order = np.argsort(group, kind="stable")
             g = group[order]
             cut = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]]))
             content, at = np.add.reduceat(value[order], cut), g[cut]
-            if k - len(at) > SLACK:
+            if k - len(at) > spare:
                 full = np.zeros(k, np.uint64)
                 full[at] = content
                 content, at = full, np.arange(k)
-            out.append(mix(content * _ODD[0] + mix(at.astype(np.uint64) + np.uint64(level << 40))))
+            out.append(mix(content * _ODD[0] + mix(at.astype(np.uint64) + np.uint64(level << 40))) >> np.uint64(16))
         return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
@@ -180,20 +201,37 @@ def _entries(width: int, num: int, den: int):
     return make
 
 
-def _full_sets(width: int):
+def _one_of_each(width: int, columns):
+    """Class, size and ``columns(sets)`` of texts; the class is null for copies within a task and texts without words."""
     def make():
-        shingle = Shingler(width)
+        shingle, seen = Shingler(width), set()
 
         def run(texts):
-            sets = [shingle(t) for t in texts]
-            return [pa.array([_fingerprint(s) if len(s) else None for s in sets], pa.int64()),
-                    pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
-                    pa.array([_bitmap(s) for s in sets], pa.binary())]
+            cls, sets = [], []
+            for t in texts:
+                s = shingle(t)
+                f = _fingerprint(s) if len(s) else None
+                if f is None or f in seen:
+                    cls.append(None)
+                    sets.append(s[:0])
+                    continue
+                if len(seen) < _CLASSES_SEEN:
+                    seen.add(f)
+                cls.append(f)
+                sets.append(s)
+            return [pa.array(cls, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), columns(sets)]
         return run
     return make
 
 
+def _bitmaps(sets):
+    return pa.array([_bitmap(s) if len(s) else None for s in sets], pa.binary())
+
+
+def _shingles(sets):
+    return pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))
+
+
 # -- signature tree ----------------------------------------------------------------------------
 class Tree:
     """Levels from the leaves up: OR bitmaps, size ranges, token excess and component of each node.
@@ -339,15 +377,17 @@ def _tree_pairs(num: int, den: int, spanning: bool):
     return run
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs (a stored table) whose full sets reach the threshold.
+def _verified(pairs: DataFrame, sets_of, num: int, den: int) -> DataFrame:
+    """The pairs (a stored table) whose full sets, made by ``sets_of(classes)``, reach the threshold.
 
     Sets are large and pairs narrow: up to ``PAIRS_SENT`` pairs are broadcast, so that a set moves once for
     each pair that it is the second of and once if it is a first; more pairs are joined by shuffles.
     """
-    a = sets.select(F.col("cls").alias("a"), F.col("n").alias("na"), F.col("shingles").alias("sa"))
-    b = sets.select(F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("shingles").alias("sb"))
-    if pairs.count() <= PAIRS_SENT:
+    n = pairs.count()
+    if not n:
+        return pairs
+    a, b = (sets_of(pairs.select(F.col(x).alias("cls"))).toDF(x, f"n{x}", f"s{x}") for x in ("a", "b"))
+    if n <= PAIRS_SENT:
         both = b.join(F.broadcast(pairs), "b").join(a.join(F.broadcast(pairs.select("a").distinct()), "a"), "a")
     else:
         both = pairs.join(a, "a").join(b, "b")
@@ -391,8 +431,8 @@ def _apart(pairs: DataFrame, comp: DataFrame) -> DataFrame:
         F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")
 
 
-def _sets_of(named: DataFrame, member: DataFrame, docs: DataFrame, width: int, step: Steps) -> DataFrame:
-    """(cls, n, shingles, bitmap) of the classes in ``member``; some further classes may be among them.
+def _texts_of(named: DataFrame, member: DataFrame, docs: DataFrame, step: Steps) -> DataFrame:
+    """The texts of the classes in ``member``; some of further classes may be among them.
 
     One document of each class is wanted.  Up to ``FILTER_IDS`` of them are marked in a
     bit filter, a table of at most ``FILTER_WORDS`` words that is broadcast, so that no
@@ -414,8 +454,7 @@ def _sets_of(named: DataFrame, member: DataFrame, docs: DataFrame, width: int, s
         texts = marked(texts).join(F.broadcast(bits), "w").filter(F.col("bits").bitwiseAND(F.col("bit")) != 0)
     else:
         texts = texts.join(ids, "id", "left_semi")
-    return map_texts(texts, "text", [], "cls bigint, n bigint, shingles array<bigint>, bitmap binary",
-                     _full_sets(width)).filter(F.col("cls").isNotNull())
+    return texts.select("text")
 
 
 def text_hash(text):
@@ -450,11 +489,15 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width:
     step = Steps(docs.sparkSession, "neardup")
     member = step.land(member, "buckets")
 
-    sets = step.land(_sets_of(named, member, d, width, step), "full-sets")
+    def sets_of(classes, column, columns):
+        return map_texts(_texts_of(named, classes, d, step), "text", [], f"cls bigint, n bigint, {column}",
+                         _one_of_each(width, columns)).filter(F.col("cls").isNotNull())
+
+    sets = step.land(sets_of(member, "bitmap binary", _bitmaps), "bitmaps")
 
     def linked(pairs):
         return step.land(_verified(step.land(_possible(pairs, sets, num, den).distinct(), "possible-pairs"),
-                                   sets, num, den), "links")
+                                   lambda classes: sets_of(classes, "shingles array<bigint>", _shingles), num, den), "links")
 
     # each class against the least of its buckets' first classes; then the first classes still apart
     first = member.filter(F.col("cls") != F.col("first")).select(F.col("first").alias("a"), F.col("cls").alias("b"))

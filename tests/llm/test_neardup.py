@@ -186,6 +186,41 @@ def test_a_spanning_pass_gives_fewer_pairs_than_members_and_most_links():
         assert len(set(a)) - len(set(b)) <= n // 20
 
 
+def test_unrelated_sets_share_no_bucket_and_linked_ones_do():
+    """Empty groups are as many as the sizes make likely; a pair at the bound still agrees on a group with something in it."""
+    rng = np.random.default_rng(3)
+    for num, den in ((80, 100), (85, 100)):
+        levels = signature_tree.Levels(num, den)
+        apart = [levels.entries(np.unique(rng.integers(0, 1 << 62, n).astype(np.uint64)))
+                 for n in rng.integers(100, 3000, 120)]
+        every = np.concatenate(apart)
+        assert len(every) - len(np.unique(every)) <= len(every) // 1000
+        for n in [*range(5, 60), 300, 900, 2500]:
+            both = rng.integers(0, 1 << 62, n).astype(np.uint64)
+            extra = n * (den - num) // num   # the most tokens that the larger set may add
+            larger = np.concatenate([both, rng.integers(0, 1 << 62, extra).astype(np.uint64)])
+            a, b = (set(levels.entries(np.unique(x)).tolist()) for x in (both, larger))
+            assert a & b or not extra
+            half = extra // 2
+            a, b = (set(levels.entries(np.unique(x)).tolist()) for x in (larger[:n + half], np.delete(
+                larger, np.arange(n, n + half))))
+            assert a & b or not extra
+
+
+def test_no_full_set_is_stored(spark, monkeypatch):
+    """Sets take more bytes than the texts: what the steps store has none of them."""
+    stored, old = [], signature_tree.Steps.land
+
+    def land(self, df, name):
+        stored.append((name, df.schema.simpleString()))
+        return old(self, df, name)
+    monkeypatch.setattr(signature_tree.Steps, "land", land)
+    rows = families(21, n_bases=3, per=10)
+    per_doc, _ = signature_tree.join(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert got(per_doc) == brute(rows)
+    assert {"buckets", "links"} <= {n for n, _ in stored} and not [x for x in stored if "array" in x[1]]
+
+
 def test_awkward_rows(spark, tmp_path):
     d = folder(spark, tmp_path)
     rows = q_neardup.op4_ngram_jaccard_join(spark, d).collect()
