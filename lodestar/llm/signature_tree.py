@@ -63,34 +63,64 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class _Hashes(dict):
-    def __missing__(self, word):
-        h = xxhash.xxh3_64_intdigest(word)
-        if len(self) < 400_000:
-            self[word] = h
-        return h
+class Shingler:
+    """Sorted distinct 64-bit shingle hashes of texts, all texts of a slice together.
 
+    A word is hashed eight bytes at a time, a longer one than ``LONG`` bytes by xxhash; words of at most eight bytes and
+    equal length never meet.
+    """
 
-class Shingler:
-    """Sorted distinct 64-bit shingle hashes of texts."""
+    #: Bytes between the texts' words, and masks of the first 0 to 8 bytes.
+    _space = np.isin(np.arange(256), np.frombuffer(b" \t\n\r\x0b\x0c", np.uint8))
+    _mask = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+    LONG = 64
 
     def __init__(self, width: int):
-        self.width, self.hashes = width, _Hashes()
+        self.width = width
         self.odd = mix(np.arange(1, width + 1, dtype=np.uint64) * _ODD[0]) | np.uint64(1)
 
-    def __call__(self, text: str | None) -> np.ndarray:
-        words = (text or "").encode().lower().split()  # of bytes: ASCII letters and white space only
-        n = len(words)
-        if not n:
-            return np.zeros(0, np.uint64)
-        if len(self.hashes) >= 400_000:
-            self.hashes = _Hashes()
-        w = np.fromiter(map(self.hashes.__getitem__, words), np.uint64, n)
-        k = min(n, self.width)
-        total = np.full(n - k + 1, k, np.uint64) * _ODD[1]
+    def _hashes(self, raw: bytes, start: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Hashes of the words at ``start``; at least eight bytes follow the last one."""
+        block = np.ndarray(len(raw) - 7, "S8", raw, strides=(1,))  # the eight bytes from each place on
+
+        def bytes_at(at, most):
+            return block[at].view("<u8") & self._mask[np.minimum(most, 8)]
+        h = mix(bytes_at(start, n) + n.astype(np.uint64) * _ODD[0])
+        more = np.flatnonzero((n > 8) & (n <= self.LONG))
+        done = 8
+        while len(more):
+            h[more] = mix(h[more] ^ bytes_at(start[more] + done, n[more] - done))
+            done += 8
+            more = more[n[more] > done]
+        for k in np.flatnonzero(n > self.LONG).tolist():
+            h[k] = xxhash.xxh3_64_intdigest(raw[start[k]:start[k] + n[k]])
+        return h
+
+    def _mixed(self, w: np.ndarray, k: int) -> np.ndarray:
+        """Hashes of the runs of ``k`` words."""
+        total = np.full(len(w) - k + 1, k, np.uint64) * _ODD[1]
         for i in range(k):
-            total += w[i:n - k + 1 + i] * self.odd[i]
-        return np.unique(mix(total))
+            total += w[i:len(w) - k + 1 + i] * self.odd[i]
+        return mix(total)
+
+    def __call__(self, texts: list) -> list[np.ndarray]:
+        parts = [(t or "").encode() for t in texts]
+        raw = b" ".join([b"", *parts, b" " * 8]).lower()  # of bytes: ASCII letters and white space only
+        space = self._space[np.frombuffer(raw, np.uint8)]
+        edge = np.flatnonzero(space[1:] != space[:-1]) + 1
+        start, n = edge[::2], edge[1::2] - edge[::2]
+        w = self._hashes(raw, start, n)
+        size = np.fromiter(map(len, parts), np.int64, len(parts))
+        cut = [0, *np.searchsorted(start, np.cumsum(size + 1)).tolist()]
+        every = self._mixed(w, self.width) if len(w) >= self.width else w[:0]
+        out = []
+        for a, b in zip(cut, cut[1:]):
+            if b - a >= self.width:
+                s = np.sort(every[a:b - self.width + 1])
+                out.append(s[np.concatenate([[True], s[1:] != s[:-1]])])
+            else:
+                out.append(self._mixed(w[a:b], b - a) if b > a else w[:0])
+        return out
 
 
 class Levels:
@@ -131,7 +161,7 @@ class Levels:
             spare = self.spare[level]
             k = self.differ[level] + 1 + spare
             group = ((mix(s + np.uint64(int(_ODD[3]) * level % (1 << 64))) >> np.uint64(32)) * np.uint64(k) >> np.uint64(32)).astype(
-                np.int64)
+                np.uint16 if k <= 1 << 16 else np.int64)  # few bits are sorted by counting
             order = np.argsort(group, kind="stable")
             g = group[order]
             cut = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]]))
@@ -172,7 +202,7 @@ def _sets(width: int):
         shingle = Shingler(width)
 
         def run(texts):
-            sets = [shingle(t) for t in texts]
+            sets = shingle(texts)
             return [pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([_fingerprint(s) if len(s) else None for s in sets], pa.int64())]
         return run
@@ -185,8 +215,7 @@ def _entries(width: int, num: int, den: int):
 
         def run(texts):
             cls, out = [], []
-            for t in texts:
-                s = shingle(t)
+            for s in shingle(texts):
                 f = _fingerprint(s) if len(s) else None
                 if f is None or f in seen:  # a copy within this task has the same entries
                     cls.append(None)
@@ -208,8 +237,7 @@ def _one_of_each(width: int, columns):
 
         def run(texts):
             cls, sets = [], []
-            for t in texts:
-                s = shingle(t)
+            for s in shingle(texts):
                 f = _fingerprint(s) if len(s) else None
                 if f is None or f in seen:
                     cls.append(None)

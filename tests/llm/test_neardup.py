@@ -221,6 +221,32 @@ def test_no_full_set_is_stored(spark, monkeypatch):
     assert {"buckets", "links"} <= {n for n, _ in stored} and not [x for x in stored if "array" in x[1]]
 
 
+def test_sets_of_a_slice_are_those_of_its_texts(monkeypatch):
+    """Words of any length and white space of any kind, all texts together; only long words are hashed one by one."""
+    calls, one = [], signature_tree.xxhash.xxh3_64_intdigest
+    monkeypatch.setattr(signature_tree.xxhash, "xxh3_64_intdigest", lambda b: calls.append(bytes(b)) or one(b))
+    rng = random.Random(8)
+    words = [rng.choice("abXY") * k + e for k in [*range(1, 40), 63, 64] for e in ("", "z", "\0", "É", "\x1c", "\u2003")]
+    long = ["q" * 64 + "R", "q" * 64 + "s", "y" * 5000]
+    texts = ["", None, " ", "\n\t\x0b\x0c\r", "one", " Two  words\n", "two words", "a b c", "a b c d", "ab c d"] + [
+        "".join(w + rng.choice([" ", "\n", "\r\n", "\t ", "\x0b", "\x0c"]) for w in rng.choices(words, k=rng.randint(0, 60)))
+        for _ in range(150)] + [" ".join(long), "x " * 300]
+    words_of = [len((t or "").encode().lower().split()) for t in texts]
+    for width in (1, 4, 5):
+        del calls[:]
+        sets = signature_tree.Shingler(width)(texts)
+        assert len(calls) <= sum(len(w) > 64 for t in texts for w in (t or "").encode().split()) < sum(words_of) // 10
+        want = [shingles(t, width) for t in texts]
+        assert [len(s) for s in sets] == [len(x) for x in want]
+        assert all((s[1:] > s[:-1]).all() for s in sets)
+        for a in range(len(texts)):
+            for b in range(a):
+                assert len(np.intersect1d(sets[a], sets[b])) == len(want[a] & want[b])
+        for t, s in zip(texts, sets):
+            assert np.array_equal(signature_tree.Shingler(width)([t])[0], s)
+    assert signature_tree.Shingler(4)([]) == []
+
+
 def test_awkward_rows(spark, tmp_path):
     d = folder(spark, tmp_path)
     rows = q_neardup.op4_ngram_jaccard_join(spark, d).collect()
