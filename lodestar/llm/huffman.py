@@ -26,18 +26,21 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestar.llm.bpe_tree import byte_symbols
 from lodestar.llm.common import map_texts, text_slices
-from lodestar.llm.wordcache import WordCache
+from lodestar.llm.wordcache import LONGEST
 from lodestar.session import scratch_path, shuffle_partitions
 
 #: Longest code in bits (a code table of 2**20 entries), ids per checkpoint, ids per block.
 MAX_BITS, SEGMENT, BLOCK = 20, 256, 65_536
 #: Text that is cut into chunks at a time: more of it repeats words within the slice.
 ENCODE_BYTES = 8 << 20
+#: Bytes of pieces and their ids that a worker remembers before it starts afresh: some million pieces.
+KNOWN_BYTES = 32 << 20
 #: Ids that are decoded side by side at most, beside a single larger block.
 DECODE_IDS = 1 << 21
 
@@ -62,6 +65,9 @@ class LibraryEncoder:
     _space, _letter, _mark = (np.isin(np.arange(256), np.frombuffer(x, np.uint8)) for x in (
         b" \t\n\r\x0b\x0c\xff", b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", b".,;:!?\"#$%&*|<>()[]{}=+/-"))
 
+    #: ASCII letters and the bytes of U+00C0 to U+023F, all letters but two.
+    _latin = _letter | np.isin(np.arange(256), [*range(0x80, 0xC0), *range(0xC3, 0xC9)])
+
     def __init__(self, raw: bytes, end_id: int | None):
         from tokenizers import Tokenizer, pre_tokenizers
 
@@ -81,7 +87,7 @@ class LibraryEncoder:
             self.words = Tokenizer(self.lib.model)
             self.words.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         self.end = b"" if end_id is None else np.array([end_id], self.dtype).tobytes()
-        self.pieces = WordCache(self._encode_pieces, 400_000)
+        self.known = self.gap = (pa.array([b"\xff"], pa.binary()), pa.array([b""], pa.binary()))  # pieces, their ids
 
     def _pack(self, enc) -> bytes:
         return np.array(enc.ids, self.dtype).tobytes()
@@ -115,9 +121,8 @@ class LibraryEncoder:
         starts = self._cut(np.frombuffer(raw, np.uint8)).astype(np.int32)
         arr = pa.Array.from_buffers(pa.binary(), len(starts) - 1, [None, pa.py_buffer(starts), pa.py_buffer(raw)])
         enc = arr.dictionary_encode()
-        words = [w.decode() if w != b"\xff" else "" for w in enc.dictionary.to_pylist()]
-        known = self.pieces.table([words])
-        ids = pa.array([known[w] for w in words], pa.binary()).take(enc.indices)
+        have, at = self._ids_of(enc.dictionary)
+        ids = have.take(pa.array(at[enc.indices.to_numpy()]))
         offsets = np.frombuffer(ids.buffers()[1], np.int32)[ids.offset:ids.offset + len(ids) + 1]
         size = np.fromiter(map(len, texts), np.int64, len(texts))
         ends = np.cumsum(size + 1)  # a text's pieces are those between its start and its gap
@@ -125,26 +130,63 @@ class LibraryEncoder:
         out = memoryview(ids.buffers()[2]) if ids.buffers()[2] is not None else memoryview(b"")
         return [bytes(out[i:j]) for i, j in zip(a, b)]
 
-    def _encode_pieces(self, chunks: list[str]) -> list[bytes]:
+    def _ids_of(self, pieces: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """Packed ids, and the place among them of each of the different pieces; new ones are encoded and remembered."""
+        at = pc.fill_null(pc.index_in(pieces, value_set=self.known[0]), -1).to_numpy().copy()
+        new = at < 0
+        at[new] = len(self.known[0]) + np.arange(np.count_nonzero(new), dtype=at.dtype)
+        fresh = pieces.filter(pa.array(new))
+        made = self._encode_pieces(fresh)
+        have = pa.concat_arrays([self.known[1], made])
+        short = pc.less_equal(pc.binary_length(fresh), LONGEST)
+        full = sum(x.nbytes for x in self.known) > KNOWN_BYTES
+        first = self.gap if full else self.known  # it starts afresh with those new in this slice
+        self.known = tuple(pa.concat_arrays([x, y.filter(short)]) for x, y in zip(first, (fresh, made)))
+        return have, at
+
+    def _encode_pieces(self, pieces: pa.Array) -> pa.Array:
         """Words of Latin letters, with or without a space before, are one pre-token each and go
         straight to the library's model; everything else takes the library's full way."""
-        words = [c for c in chunks if (c[1:] if c[:1] == " " else c).isalpha() and max(c) < "\u0250"]
-        out: dict = {"": b""}
-        for a in range(0, len(words), 2000):
-            part = words[a:a + 2000]
-            text = "\n".join(part)
-            if not text.isascii():
-                text = text.encode().decode("latin-1")
-            size = np.fromiter(map(len, text.split("\n")), np.int64, len(part))
-            ids = np.array(self.words.encode_batch_fast([text.translate(self.signs)], add_special_tokens=False)[0].ids,
-                           self.dtype)
-            cuts = (self.dtype.itemsize * (np.searchsorted(np.cumsum(self.bytes_of[ids]), np.cumsum(size)) + 1)
-                    ).tolist()
-            raw = ids.tobytes()
-            out.update(zip(part, [raw[i:j] for i, j in zip([0, *cuts], cuts)]))
-        rest = [c for c in chunks if c not in out]
-        out.update(zip(rest, self._plain(rest)))
-        return [out[c] for c in chunks]
+        if not len(pieces):
+            return pieces
+        word = self._words_among(pieces)
+        words, rest = pieces.filter(pa.array(word)), pieces.filter(pa.array(~word))
+        ids = pa.concat_arrays([self._encode_words(words), pa.array(self._plain(rest.cast(pa.string()).to_pylist()), pa.binary())])
+        at = np.where(word, np.cumsum(word) - 1, len(words) + np.cumsum(~word) - 1)
+        return ids.take(pa.array(at))
+
+    @staticmethod
+    def _bytes_of(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes of a binary array without nulls, and the start of each value and the end."""
+        offsets = np.frombuffer(arr.buffers()[1], np.int32)[arr.offset:arr.offset + len(arr) + 1]
+        return np.frombuffer(arr.buffers()[2], np.uint8)[offsets[0]:offsets[-1]], offsets - offsets[0]
+
+    def _words_among(self, pieces: pa.Array) -> np.ndarray:
+        data, offsets = self._bytes_of(pieces)
+        fits = self._latin[data]
+        fits[:-1] &= ~((data[:-1] == 0xC3) & ((data[1:] == 0x97) | (data[1:] == 0xB7)))  # the signs of times and division
+        start = offsets[:-1]
+        fits[start[(data[start] == 32) & (np.diff(offsets) > 1)]] = True
+        return np.logical_and.reduceat(fits, start)
+
+    def _encode_words(self, words: pa.Array) -> pa.Array:
+        n = len(words)
+        if not n:
+            return words
+        data, offsets = self._bytes_of(words)
+        text = np.full(len(data) + n, 10, np.uint8)  # a line feed after each word
+        letter = np.ones(len(text), bool)
+        letter[offsets[1:] + np.arange(n)] = False
+        text[letter] = data
+        ids = []
+        for a in range(0, n, 2000):
+            b = min(n, a + 2000)
+            part = text[offsets[a] + a:offsets[b] + b - 1].tobytes().decode("latin-1").translate(self.signs)
+            ids.append(np.array(self.words.encode_batch_fast([part], add_special_tokens=False)[0].ids, self.dtype))
+        ids = np.concatenate(ids)
+        ends = np.searchsorted(np.cumsum(self.bytes_of[ids]), offsets[1:]) + 1
+        at = (self.dtype.itemsize * np.concatenate([[0], ends])).astype(np.int32)
+        return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(at), pa.py_buffer(ids)])
 
     def encode(self, texts: list) -> list[bytes]:
         texts = [t or "" for t in texts]

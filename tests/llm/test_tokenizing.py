@@ -203,3 +203,29 @@ def test_op2_pieces_equal_the_library_on_mixed_strings():
     want = [e.ids for e in lib.encode_batch([text_of(t) for t in texts], add_special_tokens=False)]
     assert [np.frombuffer(b, own.dtype).tolist() for b in own.encode(texts)] == want
     assert own.encode([]) == []
+
+
+def test_pieces_are_remembered_in_few_bytes_and_start_afresh(monkeypatch):
+    """What is known is not encoded again, even 450,000 pieces; beyond the bound the ids stay right."""
+    with open(public_tokenizers.path("byte_bpe_50k.json"), "rb") as f:
+        raw = f.read()
+    lib = library("byte_bpe_50k.json")
+    letters = "etaoinsrhl"
+    many = [" ".join("".join(letters[int(d)] for d in str(k)) for k in range(a, a + 50_000)) for a in range(0, 450_000, 50_000)]
+    own = huffman.LibraryEncoder(raw, None)
+    first = own.encode(many)
+    monkeypatch.setattr(own, "words", None)  # the library's model, of no more use
+    assert own.encode(many) == first
+    assert np.frombuffer(first[8], own.dtype).tolist() == lib.encode(many[8], add_special_tokens=False).ids
+    monkeypatch.setattr(huffman, "KNOWN_BYTES", 200)
+    own = huffman.LibraryEncoder(raw, 2)
+    rng = random.Random(5)
+    signs = [chr(c) for c in range(0x80, 0x260)]
+    for _ in range(60):
+        texts = ["".join(rng.choice(["ab", " ", "Z", " cd", "\n", "×", rng.choice(signs)]) for _ in range(rng.randint(0, 30)))
+                 for _ in range(20)] + ["w" * 300, "", None]
+        assert [np.frombuffer(b, own.dtype).tolist() for b in own.encode(texts)] == [
+            lib.encode(t or "", add_special_tokens=False).ids + [2] for t in texts]
+        assert sum(x.nbytes for x in own.known) < 200 + 20_000
+    assert own.encode([c + "a" + c + " b" + c for c in signs]) == [
+        np.array(lib.encode(c + "a" + c + " b" + c, add_special_tokens=False).ids + [2], own.dtype).tobytes() for c in signs]
