@@ -25,6 +25,8 @@ which need no further link.  A first pass hands on a spanning forest of the surv
 first, so fewer than there are members; they are compared on the full sets and join components.
 A second pass hands on every pair of the components that are still apart, so no link is lost.
 A large bucket is cut into tiles; every pair of tiles is a task of its own.
+Long texts that are alike share hundreds of buckets: each class carries its ``LEAD`` least ones, and a pair is handed on
+only by the least that both carry, or by every shared one if they carry none in common.
 
 Full sets are larger than the texts, so none is stored: pairs that their bitmaps allow have theirs made from the texts again.
 
@@ -35,6 +37,8 @@ never the least id of a component unless all its ids are null.  Other columns ar
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -48,6 +52,8 @@ from lodestar.llm.components import components
 SLACK = 3
 #: Least bits of a token bitmap, children of a tree node, members of a tile, node pairs looked at together.
 BITS, FANOUT, TILE, FRONT = 2048, 8, 2048, 1 << 16
+#: Least buckets that a class carries to the trees.
+LEAD = 16
 #: Ids that a broadcast bit filter may mark, and its 64-bit words (some 20 MB as a join table).
 FILTER_IDS, FILTER_WORDS = 1 << 20, 1 << 18
 #: Pairs (two longs each) that are broadcast, some 30 MB as a join table.
@@ -348,9 +354,19 @@ class Forest:
         self.up[self.find(a)] = self.find(b)
 
 
+def _leads(column: pa.ChunkedArray, bucket: int) -> np.ndarray:
+    """The buckets before ``bucket`` that each row's class carries, a row each, filled up with ``bucket``."""
+    lists = column.combine_chunks()
+    n = np.diff(lists.offsets.to_numpy())
+    out = np.full((len(n), max(1, int(n.max(initial=0)))), bucket)
+    out[np.arange(out.shape[1]) < n[:, None]] = lists.flatten().to_numpy()
+    return np.minimum(out, bucket)
+
+
 def _tree_pairs(num: int, den: int, spanning: bool):
     """Candidate pairs of each (bucket, tile pair) in a partition sorted by those.
 
+    A pair whose classes both carry an earlier bucket (``lead``, if the rows have it) is left to that one.
     ``spanning``: of all candidates only a spanning forest of the components, the pairs of the largest possible overlap
     first, so fewer than there are members.
     """
@@ -368,10 +384,23 @@ def _tree_pairs(num: int, den: int, spanning: bool):
             return Tree(at, size[at], bits[at], comp[at])
         p = tree(ti[0])
         q = p if ti[0] == tj[0] else tree(tj[0])
+        bucket = group["bucket"][0].as_py()
+        lead = _leads(group["lead"], bucket) if "lead" in group.column_names else np.full((len(ids), 1), bucket)
+
+        def own(a, b):
+            """The pairs of rows that no earlier bucket hands on."""
+            out = np.ones(len(a), bool)
+            for k in range(0, len(a), FRONT):
+                x, y = lead[a[k:k + FRONT]], lead[b[k:k + FRONT]]
+                for c in range(x.shape[1]):
+                    out[k:k + FRONT] &= ~((x[:, c:c + 1] == y) & (y != bucket)).any(1)
+            return out
         if not spanning:
             for i, j in traverse(p, q, num, den):
-                if len(i):
-                    yield pairs(ids[p.ids[i]], ids[q.ids[j]])
+                a, b = p.ids[i], q.ids[j]
+                mine = own(a, b)
+                if mine.any():
+                    yield pairs(ids[a[mine]], ids[b[mine]])
             return
         found = [(p.ids[i], q.ids[j], s) for i, j, s in traverse(p, q, num, den, True) if len(i)]
         if not found:
@@ -383,7 +412,9 @@ def _tree_pairs(num: int, den: int, spanning: bool):
             if forest.find(x) != forest.find(y):
                 forest.join(x, y)
                 kept.append(k)
-        yield pairs(ids[a[kept]], ids[b[kept]])
+        a, b = a[kept], b[kept]
+        mine = own(a, b)
+        yield pairs(ids[a[mine]], ids[b[mine]])
 
     def pairs(a, b):
         return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
@@ -405,15 +436,12 @@ def _tree_pairs(num: int, den: int, spanning: bool):
     return run
 
 
-def _verified(pairs: DataFrame, sets_of, num: int, den: int) -> DataFrame:
-    """The pairs (a stored table) whose full sets, made by ``sets_of(classes)``, reach the threshold.
+def _verified(pairs: DataFrame, n: int, sets_of, num: int, den: int) -> DataFrame:
+    """The ``n`` pairs (a stored table) whose full sets, made by ``sets_of(classes)``, reach the threshold.
 
     Sets are large and pairs narrow: up to ``PAIRS_SENT`` pairs are broadcast, so that a set moves once for
     each pair that it is the second of and once if it is a first; more pairs are joined by shuffles.
     """
-    n = pairs.count()
-    if not n:
-        return pairs
     a, b = (sets_of(pairs.select(F.col(x).alias("cls"))).toDF(x, f"n{x}", f"s{x}") for x in ("a", "b"))
     if n <= PAIRS_SENT:
         both = b.join(F.broadcast(pairs), "b").join(a.join(F.broadcast(pairs.select("a").distinct()), "a"), "a")
@@ -423,8 +451,8 @@ def _verified(pairs: DataFrame, sets_of, num: int, den: int) -> DataFrame:
     return (both.filter((den + num) * common >= num * (F.col("na") + F.col("nb"))).select("a", "b").distinct())
 
 
-def _possible(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs (a stored table) that their bitmaps allow to reach the threshold; only those move full sets."""
+def _possible(pairs: DataFrame, n: int, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """The ``n`` pairs (a stored table) that their bitmaps allow to reach the threshold; only those move full sets."""
     def common(batch):
         na, nb = (batch[c].to_numpy() for c in ("na", "nb"))
         most = np.zeros(len(na), np.int64)
@@ -445,7 +473,7 @@ def _possible(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
 
     facts = sets.select("cls", "n", "bitmap")
     a, b = facts.toDF("a", "na", "ma"), facts.toDF("b", "nb", "mb")
-    if pairs.count() <= PAIRS_SENT:
+    if n <= PAIRS_SENT:
         both = b.join(F.broadcast(pairs), "b").join(a.join(F.broadcast(pairs.select("a").distinct()), "a"), "a")
     else:
         both = pairs.join(a, "a").join(b, "b")
@@ -523,38 +551,55 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width:
 
     sets = step.land(sets_of(member, "bitmap binary", _bitmaps), "bitmaps")
 
-    def linked(pairs):
-        return step.land(_verified(step.land(_possible(pairs, sets, num, den).distinct(), "possible-pairs"),
-                                   lambda classes: sets_of(classes, "shingles array<bigint>", _shingles), num, den), "links")
+    found, comp = [], docs.sparkSession.createDataFrame([], "node bigint, root bigint")
+
+    def link(pairs):
+        """Adds the links among the pairs (a stored table), if there are any, and joins their components."""
+        nonlocal comp
+        if not (n := pairs.count()):
+            return
+        pairs = step.land(_possible(pairs, n, sets, num, den).distinct(), "possible-pairs")
+        if not (n := pairs.count()):
+            return
+        links = step.land(_verified(pairs, n, lambda classes: sets_of(classes, "shingles array<bigint>", _shingles),
+                                    num, den), "links")
+        if links.isEmpty():
+            return
+        found.append(links)
+        # the components so far are stars: what is new joins them in few rounds
+        comp = components(comp.toDF("a", "b").unionByName(links), step.land)
 
     # each class against the least of its buckets' first classes; then the first classes still apart
     first = member.filter(F.col("cls") != F.col("first")).select(F.col("first").alias("a"), F.col("cls").alias("b"))
-    one = step.land(first.groupBy("b").agg(F.min("a").alias("a")), "first-pairs")
-    links = linked(one)
-    apart = _apart(first.distinct().join(one, ["a", "b"], "left_anti"), components(links, step.land))
-    links = links.unionByName(linked(step.land(apart, "other-pairs")))
+    one = step.land(first.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "first-pairs")
+    link(one)
+    link(step.land(_apart(first.distinct().join(one, ["a", "b"], "left_anti"), comp), "other-pairs"))
 
-    def by_trees(links, spanning):
-        comp = components(links, step.land)
+    def tree_pairs(spanning):
         rest = member.filter(F.col("m") > 2).join(
             comp.select(F.col("node").alias("cls"), F.col("root").alias("comp")), "cls", "left").withColumn(
             "comp", F.coalesce("comp", "cls"))
         mixed = rest.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter(
             F.col("lo") != F.col("hi")).select("bucket")
         tiles = F.ceil(F.col("m") / TILE).cast("int")
-        rows = (rest.join(mixed, "bucket", "left_semi").join(sets.select("cls", "n", "bitmap").distinct(), "cls")
+        # a row for each class, with all its buckets in order
+        rows = (rest.join(mixed, "bucket", "left_semi").groupBy("cls").agg(
+                    F.min("comp").alias("comp"), F.array_sort(F.collect_list(F.struct("bucket", "m"))).alias("within"))
+                .join(sets.select("cls", "n", "bitmap").distinct(), "cls")
+                .select("cls", "n", "comp", "bitmap", F.slice("within.bucket", 1, LEAD).alias("lead"), F.inline("within"))
                 .withColumn("tile", F.pmod(F.xxhash64("cls"), tiles).cast("int"))
                 .withColumn("o", F.explode(F.sequence(F.lit(0), tiles - 1)))
                 .select("bucket", F.least("tile", "o").alias("ti"), F.greatest("tile", "o").alias("tj"), "tile", "cls",
-                        "n", "comp", "bitmap"))
+                        "n", "comp", "bitmap", "lead"))
         rows = rows.repartition("bucket", "ti", "tj").sortWithinPartitions("bucket", "ti", "tj")
-        found = rows.mapInArrow(_tree_pairs(num, den, spanning), "a bigint, b bigint").distinct()
-        return links.unionByName(linked(step.land(found, "tree-pairs")))
+        return step.land(rows.mapInArrow(_tree_pairs(num, den, spanning), "a bigint, b bigint").distinct(), "tree-pairs")
 
     # the likeliest pair of each two components first; what is still apart then is compared in full
-    links = land(by_trees(by_trees(links, True), False), "near-duplicate-links")
+    link(tree_pairs(True))
+    link(tree_pairs(False))
+    links = land(reduce(DataFrame.unionByName, found, docs.sparkSession.createDataFrame([], "a bigint, b bigint")),
+                 "near-duplicate-links")
 
-    comp = components(links, step.land)
     least = named.filter(F.col("cls").isNotNull()).groupBy("cls").agg(F.min("doc_id").alias("least"))
     rooted = least.join(comp.select(F.col("node").alias("cls"), "root"), "cls", "left").withColumn(
         "root", F.coalesce("root", "cls"))

@@ -281,3 +281,55 @@ def test_components_of_chains_and_stars(spark):
                 todo.append(m)
         assert got[n] == min(seen)
     assert set(got) == set(nb)
+
+
+def test_pairs_that_share_many_buckets_are_handed_on_about_once():
+    """Long texts that are alike share hundreds of buckets; each of their pairs is one row, not one for each bucket."""
+    rng = np.random.default_rng(12)
+    levels, num, den, sets = signature_tree.Levels(80, 100), 80, 100, []
+    for size in (1500, 1500, 300):
+        base = rng.integers(0, 1 << 62, size).astype(np.uint64)
+        for _ in range(8):
+            s = base.copy()
+            s[rng.choice(size, size // 18, replace=False)] = rng.integers(0, 1 << 62, size // 18)
+            sets.append(np.unique(s))
+    members = defaultdict(list)
+    for k, s in enumerate(sets):
+        for e in np.unique(levels.entries(s)).tolist():
+            members[e].append(k)
+    members = {e: ks for e, ks in members.items() if len(ks) > 2}
+    within = {k: sorted(e for e, ks in members.items() if k in ks) for k in range(len(sets))}
+    assert min(map(len, within.values())) > 3 * signature_tree.LEAD
+    batches = [pa.RecordBatch.from_pydict({
+        "bucket": [e] * len(ks), "ti": [0] * len(ks), "tj": [0] * len(ks), "tile": [0] * len(ks), "cls": ks, "comp": ks,
+        "n": [len(sets[k]) for k in ks], "bitmap": [signature_tree._bitmap(sets[k]) for k in ks],
+        "lead": pa.array([within[k][:signature_tree.LEAD] for k in ks], pa.list_(pa.int64()))}) for e, ks in sorted(members.items())]
+    near = {(a, b) for b in range(len(sets)) for a in range(b)
+            if (num + den) * len(np.intersect1d(sets[a], sets[b])) >= num * (len(sets[a]) + len(sets[b]))}
+    for spanning in (True, False):
+        got = [(a, b) for r in signature_tree._tree_pairs(num, den, spanning)(batches)
+               for a, b in zip(r["a"].to_pylist(), r["b"].to_pylist())]
+        assert len(got) <= 2 * len(set(got)) and len(got) < len(members) // 4
+        assert spanning or near <= set(got)
+
+
+def test_few_leading_buckets_lose_no_link(spark, monkeypatch):
+    """Pairs that carry no leading bucket in common are handed on by every bucket."""
+    rows = families(31, n_bases=3, per=25, size=(60, 200))
+    for lead in (1, 2):
+        monkeypatch.setattr(signature_tree, "LEAD", lead)
+        per_doc, _ = signature_tree.join(spark.createDataFrame(rows, "doc_id long, text string"))
+        assert got(per_doc) == brute(rows)
+
+
+def test_stars_need_no_rounds(spark):
+    """Links that are stars already are told by one look, and so are those of a round that made all of them stars."""
+    for edges, rounds in (([(5, 1), (6, 1), (9, 2)], 0), ([(5, 1), (5, 2)], 1), ([], 0)):
+        stored = []
+
+        def land(df, name):
+            stored.append(name)
+            return df.localCheckpoint()
+        comp = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long"), land).collect()}
+        assert comp == {n: 1 if (5, 2) in edges or n != 2 and n != 9 else 2 for e in edges for n in e}
+        assert stored.count("large-star") == rounds
