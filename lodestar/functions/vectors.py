@@ -48,8 +48,12 @@ def per_element(arr: Column, value: Column) -> Column:
 
 def l2_normalize(v) -> Column:
     """``v / ||v||``; a zero vector gives null instead of NaN."""
-    d = to_double(v)
-    n = norm(v)
+    return divided(v, norm(v))
+
+
+def divided(v, n) -> Column:
+    """``v / n`` for a norm that is already known; null unless it is positive."""
+    d, n = to_double(v), _c(n)
     return F.when(n > 0, F.zip_with(d, per_element(d, n), lambda x, m: x / m))
 
 

@@ -86,12 +86,13 @@ def _look_up(words: DataFrame, vocab: DataFrame, spread) -> DataFrame:
 
 def tokenize(df: DataFrame, keys, text: str, vocab: DataFrame, unk: int = AR.UNK_ID,
              add_bos: bool = True, out: str = "tokens", keep_input: bool = True,
-             long_form: bool = False) -> DataFrame:
+             long_form: bool = False, codes: str | None = None) -> DataFrame:
     """Add ``out`` = [BOS] + vocabulary ids of the words of ``text`` (UNK for misses).
 
     With ``keep_input=False`` the result is just (keys, out) and no join back to the input is needed.
     ``long_form=True`` returns (keys, tok_pos, token_id) rows — BOS at 0 — from a join per word, so
-    a single huge text is never gathered into one task.  A null text has no words.
+    a single huge text is never gathered into one task.  A null text has no words.  ``codes`` names the
+    folder for the landed word codes, for a caller that drops it when the result has been written.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     if long_form:
@@ -105,7 +106,7 @@ def tokenize(df: DataFrame, keys, text: str, vocab: DataFrame, unk: int = AR.UNK
         bos = df.select(*keys, F.lit(0).alias("tok_pos"), F.lit(AR.BOS_ID).alias("token_id"))
         return words.unionByName(bos)
     ship_package(df.sparkSession)
-    chunks = _chunks(df, keys, text)
+    chunks = _chunks(df, keys, text, codes) if codes else _chunks(df, keys, text)
     texts, words = chunks.filter(F.col("_word").isNull()), chunks.filter(F.col("_word").isNotNull())
     found = _look_up(words.select("_chunk", F.col("_at").alias("_c"), F.col("_word").alias("token")), vocab,
                      F.xxhash64("_chunk", "_c").cast("string")).select(
@@ -118,7 +119,7 @@ def tokenize(df: DataFrame, keys, text: str, vocab: DataFrame, unk: int = AR.UNK
     return df.join(res, keys) if keep_input else res
 
 
-def _chunks(df: DataFrame, keys: list[str], text: str) -> DataFrame:
+def _chunks(df: DataFrame, keys: list[str], text: str, path: str | None = None) -> DataFrame:
     """Texts as word codes, and the distinct words of each chunk of texts.
 
     Rows (_chunk, keys, _codes) of texts and (_chunk, _at, _word) of words, landed: a chunk's number comes
@@ -163,7 +164,7 @@ def _chunks(df: DataFrame, keys: list[str], text: str) -> DataFrame:
         cols = {"_chunk": pa.array(np.full(m, chunk)), "_at": pa.array(np.arange(m, dtype=np.int32)), "_word": enc.dictionary}
         yield from pa.table([_as(cols.get(f.name), f.type, m) for f in arrow], schema=arrow).to_batches()
 
-    path = scratch_path(spark, "token-codes")
+    path = path or scratch_path(spark, "token-codes")
     src.mapInArrow(run, schema).write.parquet(path)
     return spark.read.schema(schema).parquet(path)
 

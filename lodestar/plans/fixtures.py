@@ -114,25 +114,60 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ``pos`` is the line position inside its version (order: doc_id, line_no).
     """
+    docs = _line_docs(spark, sf_dir)
+    x = _placed(docs, _line_counts(docs))
+    # Spread lines by their own key (a single huge document must not stay in
+    # one partition), then land them once: most consumers read them repeatedly.
+    n = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    return x.repartition(n, "version", "pos").checkpoint(eager=True)
+
+
+def _line_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(version, doc_id, text) of all X3 lines."""
     d = table(spark, sf_dir, "documents")
     version = F.concat(F.lit("v"), (F.lit(6) + F.pmod("doc_id", F.lit(3))).cast("string"))
     docs = d.select(version.alias("version"), "doc_id", "text")
     # The edge rows form one extra document (none of them holds a newline).
     edge = spark.createDataFrame([("v6", -1, "\n".join(X8_EDGE_LINES))], "version string, doc_id long, text string")
-    docs = docs.unionByName(edge)
+    return docs.unionByName(edge)
+
+
+def _line_counts(docs: DataFrame) -> DataFrame:
+    """(version, doc_id, n_lines, n_chars, _off) per document."""
     # Line offset of each document = lines of the earlier documents of its version:
     # a running sum over the narrow (version, doc_id, n_lines) table, joined back.
-    counts = docs.select("version", "doc_id", F.size(F.split("text", "\n", -1)).cast("long").alias("n_lines"))
-    offs = running_agg(counts, ["doc_id"], "n_lines", group_by=["version"], how="sum", inclusive=False,
-                       out="_off").select("version", "doc_id", F.coalesce("_off", F.lit(0)).alias("_off"))
+    counts = docs.select("version", "doc_id", F.size(F.split("text", "\n", -1)).cast("long").alias("n_lines"),
+                         F.length("text").cast("long").alias("n_chars"))
+    offs = running_agg(counts, ["doc_id"], "n_lines", group_by=["version"], how="sum", inclusive=False, out="_off")
+    return offs.withColumn("_off", F.coalesce("_off", F.lit(0)))
+
+
+def _placed(docs: DataFrame, counts: DataFrame) -> DataFrame:
+    offs = counts.select("version", "doc_id", "_off")
     x = docs.join(offs, ["version", "doc_id"]).select(
         "version", "doc_id", "_off", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
-    x = x.select("version", "doc_id", F.col("line_no").cast("long").alias("line_no"), "line",
-                 (F.col("_off") + F.col("line_no")).cast("long").alias("pos"))
-    # Spread lines by their own key (a single huge document must not stay in
-    # one partition), then land them once: most consumers read them repeatedly.
-    n = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    return x.repartition(n, "version", "pos").checkpoint(eager=True)
+    return x.select("version", "doc_id", F.col("line_no").cast("long").alias("line_no"), "line",
+                    (F.col("_off") + F.col("line_no")).cast("long").alias("pos"))
+
+
+def line_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where the X3 lines of each document begin, a narrow row per document, landed: readers that take
+    the lines in parts, or their keys alone, agree on the positions."""
+    return _line_counts(_line_docs(spark, sf_dir)).checkpoint(eager=True)
+
+
+def line_part(spark: SparkSession, sf_dir: str, places: DataFrame, part: int, parts: int) -> DataFrame:
+    """The X3 lines of one of ``parts`` shares of the documents, not landed."""
+    mine = F.pmod(F.xxhash64("doc_id"), F.lit(parts)) == part
+    return _placed(_line_docs(spark, sf_dir).filter(mine), places)
+
+
+def line_keys(places: DataFrame) -> DataFrame:
+    """(version, pos) of all X3 lines, from the narrow table alone."""
+    n = F.col("n_lines")
+    x = places.select("version", "doc_id", "n_lines").join(places.select("version", "doc_id", "_off"), ["version", "doc_id"])
+    return x.select("version", "_off", F.explode(F.when(n > 0, F.sequence(F.lit(0).cast("long"), n - 1))).alias("_i")).select(
+        "version", (F.col("_off") + F.col("_i")).alias("pos"))
 
 
 def line_words(spark: SparkSession, sf_dir: str) -> DataFrame:

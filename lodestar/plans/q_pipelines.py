@@ -16,11 +16,13 @@ from lodestar.plans import oracle as o
 from lodestar.plans.q_sources import _EXTRA_OK, land_jsonl
 from lodestar.plans.q_tokens import _MASK_SQL, VOCAB, X8, _tok_sql, _vec_sql, _vectors, vocab, x8
 from lodestar.plans.registry import as_long, query, r6
-from lodestar.session import scratch_path
+from lodestar.session import drop_scratch, scratch_path, shuffles_dropped
 from lodestar.sinks.samples import read_samples, write_samples
 from lodestar.sources.jsonl import read_pairs_jsonl
 
 BATCH, MAX_LEN, KEPT = 16, 256, 64
+#: Samples are made in parts of about this many bytes of text and vectors, up to PARTS: what one part shuffles goes before the next.
+PART_BYTES, PARTS = 1 << 27, 8
 
 _PAIRS = f"""
 jp AS (SELECT query, document AS positive, CAST({o.rank_default_sql('rank')} AS BIGINT) AS rank
@@ -74,20 +76,46 @@ FROM t
 def pipeline_distill_samples(spark, sf_dir):
     """Token lines and both teachers aligned by position, one drawn role each: tokens, that role's
     whole vector, and the position of the closing <eos>; written as a version and read back against its manifest."""
-    x3 = fx.lines(spark, sf_dir)
-    toks = x8(spark, sf_dir, x3).select("version", "pos", AR.parse_ids("token_line").alias("ids"))
+    path = scratch_path(spark, "samples")
+    with shuffles_dropped(spark):
+        write_samples(_distill_parts(spark, sf_dir), path)
+        samples = read_samples(spark, path)
+    text = F.array_join(F.transform(V.divided("vector", "norm"), lambda x: F.format_string("%.4f", F.round(x.cast("double"), 4) + F.lit(0.0))), " ")
+    return samples.select(
+        "version", F.col("pos").alias("idx"), "role", F.array_join("tokens", " ").alias("tokenized"),
+        as_long("eos_pos").alias("eos_pos"), text.alias("embedding"))
+
+
+def _distill_parts(spark, sf_dir):
+    """The samples, a DataFrame for each part of the positions.  Tokens are landed first, by shares of the
+    documents; a part's tokens go when it has been written."""
+    places = fx.line_places(spark, sf_dir)
+    size = places.agg(F.sum(F.col("n_chars") + 4 * KEPT * F.col("n_lines"))).first()[0] or 0
+    n = max(1, min(PARTS, -(-size // PART_BYTES)))
+    part = F.pmod(F.xxhash64("version", "pos"), F.lit(n)).cast("int").alias("part")
+
+    def land(df, path):
+        df.select("*", part).write.mode("append").option("compression", "zstd").partitionBy("part").parquet(path)
+
+    keys, tokens = scratch_path(spark, "line-keys"), scratch_path(spark, "line-tokens")
+    land(fx.line_keys(places), keys)
+    words = vocab(spark, sf_dir)
+    for k in range(n):
+        codes = scratch_path(spark, "token-codes")
+        lines = x8(spark, sf_dir, fx.line_part(spark, sf_dir, places, k, n), words, codes)
+        land(lines.select("version", "pos", AR.parse_ids("token_line").alias("ids")), tokens)
+        drop_scratch(spark, codes)
     drawn = A.assign_role(42, F.col("version"), F.col("pos"))
 
     def taught(role):  # a position's key draws its role: the other role's vector is not carried
         return lambda v: F.when(drawn == role, V.truncate_dims(v, KEPT))
 
-    rows = D.align(toks, _vectors(spark, sf_dir, x3, 0, "qv", taught("query")), _vectors(spark, sf_dir, x3, 1, "dv", taught("document")))
-    one = rows.withColumn("role", drawn).select(
-        "version", "pos", "role", D.role_tokens(F.col("ids"), F.col("role")).alias("tokens"),
-        V.l2_normalize(F.when(F.col("role") == "query", F.col("qv")).otherwise(F.col("dv"))).alias("vector"))
-    path = scratch_path(spark, "samples")
-    write_samples(one.withColumn("eos_pos", AR.last_eos("tokens")), path)
-    text = F.array_join(F.transform("vector", lambda x: F.format_string("%.4f", F.round(x.cast("double"), 4) + F.lit(0.0))), " ")
-    return read_samples(spark, path).select(
-        "version", F.col("pos").alias("idx"), "role", F.array_join("tokens", " ").alias("tokenized"),
-        as_long("eos_pos").alias("eos_pos"), text.alias("embedding"))
+    for k in range(n):
+        x3 = spark.read.schema("version string, pos long, part int").parquet(keys).filter(F.col("part") == k).drop("part")
+        toks = spark.read.schema("version string, pos long, ids array<int>, part int").parquet(tokens).filter(F.col("part") == k).drop("part")
+        rows = D.align(toks, _vectors(spark, sf_dir, x3, 0, "qv", taught("query")), _vectors(spark, sf_dir, x3, 1, "dv", taught("document")))
+        one = rows.withColumn("role", drawn).select(
+            "version", "pos", "role", D.role_tokens(F.col("ids"), F.col("role")).alias("tokens"),
+            F.when(F.col("role") == "query", F.col("qv")).otherwise(F.col("dv")).alias("vector"))
+        yield one.withColumn("norm", V.norm("vector")).withColumn("eos_pos", AR.last_eos("tokens"))
+        drop_scratch(spark, f"{tokens}/part={k}")

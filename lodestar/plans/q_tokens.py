@@ -81,10 +81,11 @@ def x4(spark, sf_dir):
     return TK.tokenize(x4_texts(spark, sf_dir), ["pair_id", "role"], "text", vocab(spark, sf_dir), keep_input=False)
 
 
-def x8(spark, sf_dir, x3=None):
+def x8(spark, sf_dir, x3=None, words=None, codes=None):
     """X8 token lines: '2 id id ...' per X3 line, '' for a line without words."""
     x3 = x3 if x3 is not None else fx.lines(spark, sf_dir)
-    t = TK.tokenize(x3, ["version", "pos"], "line", vocab(spark, sf_dir), keep_input=False)
+    words = words if words is not None else vocab(spark, sf_dir)
+    t = TK.tokenize(x3, ["version", "pos"], "line", words, keep_input=False, codes=codes)
     # [BOS] alone means the line holds no word: it is written as a blank line.
     return t.select("version", "pos", F.when(F.size("tokens") == 1, F.lit(""))
                     .otherwise(F.array_join("tokens", " ")).alias("token_line"))

@@ -8,6 +8,7 @@ local tests.
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
@@ -74,6 +75,30 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/lodestar-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a folder made by ``scratch_path`` once nothing reads it any more."""
+    if not path.startswith(f"{checkpoint_root(spark)}/lodestar-scratch/"):
+        raise ValueError(f"not a scratch folder: {path}")
+    p, fs = _hadoop_path(spark, path)
+    fs.delete(p, True)
+
+
+@contextlib.contextmanager
+def shuffles_dropped(spark: SparkSession):
+    """Within it, the shuffle files of an execution go when it ends; else they stay until the driver
+    happens to collect its garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        if old is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, old)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import time
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,12 +20,14 @@ def _counts(data: DataFrame) -> DataFrame:
     return data.groupBy(F.col("_metadata.file_name").alias("file")).agg(F.count(F.lit(1)).alias("rows"))
 
 
-def write_samples(samples: DataFrame, path: str) -> str:
-    """Write a version; returns its folder."""
-    spark = samples.sparkSession
+def write_samples(samples: DataFrame | Iterable[DataFrame], path: str) -> str:
+    """Write a version; returns its folder.  Several DataFrames of one schema are its parts, each written
+    before the next one is asked for."""
     version = f"{path}/version-{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
-    samples.write.parquet(f"{version}/data")
-    _counts(spark.read.schema(samples.schema).parquet(f"{version}/data")).coalesce(1).write.parquet(f"{version}/manifest")
+    for part in [samples] if isinstance(samples, DataFrame) else samples:
+        part.write.mode("append").option("compression", "zstd").parquet(f"{version}/data")
+    data = part.sparkSession.read.schema(part.schema).parquet(f"{version}/data")
+    _counts(data).coalesce(1).write.parquet(f"{version}/manifest")
     return version
 
 

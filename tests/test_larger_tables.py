@@ -1,5 +1,7 @@
 """Steps that must not grow faster than their input: what tasks hold, what is shuffled, what is computed once."""
 import hashlib
+import os
+import time
 from types import SimpleNamespace
 
 import numpy as np
@@ -140,3 +142,52 @@ def test_positional_join_carries_no_vectors(spark, docs, monkeypatch):
     seen = _aligned(monkeypatch, q_tokens)
     assert q_tokens.join_positional(spark, docs).count() == 29
     assert not [f for t in seen for f in t.schema if f.dataType.typeName() == "array"]
+
+
+def _shuffle_files(spark) -> set:
+    """Names of the shuffle files that the session holds (in local mode there is one block manager)."""
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for i in range(files.size()) if (name := files.apply(i).getName()).startswith("shuffle_")}
+
+
+def _scratch(spark) -> set:
+    from lodestar.session import checkpoint_root
+
+    root = checkpoint_root(spark).removeprefix("file:") + "/lodestar-scratch"
+    return set(os.listdir(root)) if os.path.isdir(root) else set()
+
+
+def test_distillation_drops_what_a_part_has_moved(spark, docs, monkeypatch):
+    whole = sorted(map(tuple, q_pipelines.pipeline_distill_samples(spark, docs).collect()))
+    monkeypatch.setattr(q_pipelines, "PART_BYTES", 256)
+    seen, had, lay = _aligned(monkeypatch, q_pipelines), _shuffle_files(spark), _scratch(spark)
+    out = q_pipelines.pipeline_distill_samples(spark, docs)
+    for _ in range(50):  # files go shortly after their execution
+        if not (left := _shuffle_files(spark) - had):
+            break
+        time.sleep(0.2)
+    assert not left
+    landed = _scratch(spark) - lay
+    assert not [x for x in landed if x.startswith("token-codes")]
+    assert sum(x.startswith("samples") for x in landed) == 1
+    assert len(seen) == 3 * q_pipelines.PARTS  # tokens and both teachers of every part
+    assert sorted(map(tuple, out.collect())) == whole and len(whole) == 29
+
+
+def test_samples_in_parts_are_one_version(spark, tmp_path):
+    from lodestar.sinks.samples import read_samples, write_samples
+
+    path = str(tmp_path)
+    version = write_samples((spark.range(10 * k, 10 * k + 10) for k in range(3)), path)
+    assert sorted(r.id for r in read_samples(spark, path).collect()) == list(range(30))
+    assert spark.read.parquet(f"{version}/manifest").agg(F.sum("rows")).first()[0] == 30
+
+
+def test_line_parts_and_keys_are_the_lines(spark, docs):
+    from lodestar.plans import fixtures as fx
+
+    want = sorted((r.version, r.pos, r.line) for r in fx.lines(spark, docs).collect())
+    places = fx.line_places(spark, docs)
+    parts = [[(r.version, r.pos, r.line) for r in fx.line_part(spark, docs, places, k, 3).collect()] for k in range(3)]
+    assert sorted(sum(parts, [])) == want and all(parts)
+    assert sorted(map(tuple, fx.line_keys(places).collect())) == [x[:2] for x in want]
