@@ -80,12 +80,17 @@ def pipeline_distill_samples(spark, sf_dir):
     with shuffles_dropped(spark):
         write_samples(_distill_parts(spark, sf_dir), path)
         samples = read_samples(spark, path)
-    text = F.array_join(F.transform(V.divided("vector", "norm"), lambda x: F.format_string("%.4f", F.round(x.cast("double"), 4) + F.lit(0.0))), " ")
+    text = F.array_join(F.transform(V.divided("vector", "norm"), _four_decimals), " ")
     return samples.select(
         "version", F.col("pos").alias("idx"), "role", F.array_join("tokens", " ").alias("tokenized"),
         as_long("eos_pos").alias("eos_pos"), text.alias("embedding"))
 
 
+def _four_decimals(x):
+    """``%.4f`` of an element of a unit vector: as a decimal, which is rounded half up like ``round`` and has no -0."""
+    return F.when(F.isnan(x), F.lit("NaN")).otherwise(x.cast("decimal(6,4)").cast("string"))
+
+
 def _distill_parts(spark, sf_dir):
     """The samples, a DataFrame for each part of the positions.  Tokens are landed first, by shares of the
     documents; a part's tokens go when it has been written."""

@@ -191,3 +191,12 @@ def test_line_parts_and_keys_are_the_lines(spark, docs):
     parts = [[(r.version, r.pos, r.line) for r in fx.line_part(spark, docs, places, k, 3).collect()] for k in range(3)]
     assert sorted(sum(parts, [])) == want and all(parts)
     assert sorted(map(tuple, fx.line_keys(places).collect())) == [x[:2] for x in want]
+
+
+def test_four_decimals_are_those_of_printf(spark):
+    x = F.col("x")
+    values = [0.0, -0.0, 1.0, -1.0, 5e-5, -5e-5, -4.999e-5, 0.12345, -0.00015, 0.99995, 1.0000000000000002, 1e-300, float("nan")]
+    df = spark.createDataFrame([(v,) for v in [*values, *np.random.default_rng(5).uniform(-1, 1, 500).tolist()]], "x double")
+    t = df.select(q_pipelines._four_decimals(x).alias("got"), F.format_string("%.4f", F.round(x, 4) + F.lit(0.0)).alias("want"))
+    assert "format_string" not in plan(df.select(q_pipelines._four_decimals(x)))
+    assert [r.got for r in t.collect()] == [r.want for r in t.collect()]
