@@ -150,26 +150,22 @@ def _shuffle_files(spark) -> set:
     return {name for i in range(files.size()) if (name := files.apply(i).getName()).startswith("shuffle_")}
 
 
-def _scratch(spark) -> set:
-    from lodestar.session import checkpoint_root
-
-    root = checkpoint_root(spark).removeprefix("file:") + "/lodestar-scratch"
-    return set(os.listdir(root)) if os.path.isdir(root) else set()
-
-
 def test_distillation_drops_what_a_part_has_moved(spark, docs, monkeypatch):
     whole = sorted(map(tuple, q_pipelines.pipeline_distill_samples(spark, docs).collect()))
     monkeypatch.setattr(q_pipelines, "PART_BYTES", 256)
-    seen, had, lay = _aligned(monkeypatch, q_pipelines), _shuffle_files(spark), _scratch(spark)
+    made, path = [], q_pipelines.scratch_path
+    monkeypatch.setattr(q_pipelines, "scratch_path", lambda s, name: (made.append(path(s, name)), made[-1])[1])
+    seen, had = _aligned(monkeypatch, q_pipelines), _shuffle_files(spark)
     out = q_pipelines.pipeline_distill_samples(spark, docs)
     for _ in range(50):  # files go shortly after their execution
         if not (left := _shuffle_files(spark) - had):
             break
         time.sleep(0.2)
     assert not left
-    landed = _scratch(spark) - lay
-    assert not [x for x in landed if x.startswith("token-codes")]
-    assert sum(x.startswith("samples") for x in landed) == 1
+    codes = [x for x in made if "/token-codes-" in x]
+    assert len(codes) == q_pipelines.PARTS and not [x for x in codes if os.path.exists(x.removeprefix("file:"))]
+    tokens = next(x for x in made if "/line-tokens-" in x)
+    assert not [x for x in os.listdir(tokens.removeprefix("file:")) if x.startswith("part=")]
     assert len(seen) == 3 * q_pipelines.PARTS  # tokens and both teachers of every part
     assert sorted(map(tuple, out.collect())) == whole and len(whole) == 29
 
